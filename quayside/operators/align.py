@@ -16,26 +16,21 @@ def observed_keys(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.explode(F.json_object_keys(F.col(quoted(column)))).alias("col_name")).distinct()
 
 
-def _contract_names(spark: SparkSession, contract: Contract) -> DataFrame:
-    names = ", ".join(text_literal(n) for n in contract.names)
-    return spark.range(1).select(F.expr(f"explode(array({names}))").alias("contract_name"))
-
-
 def schema_diff(keys: DataFrame, contract: Contract) -> DataFrame:
     """Contract against observed keys (`col_name`, `status`): present, missing from the data, or extra in it.
 
-    Names match whatever their case is; a present column takes the contract's spelling.
+    Names match whatever their case is, and each gives one row; a present column takes the contract's spelling.
     """
-    wanted = _contract_names(keys.sparkSession, contract)
-    spelling_blind = keys.select(F.lower("col_name").alias("folded"), "col_name")
-    joined = wanted.join(spelling_blind, F.lower("contract_name") == F.col("folded"), "full_outer")
-    return joined.select(
-        F.coalesce("contract_name", "col_name").alias("col_name"),
-        F.when(F.col("col_name").isNull(), "missing")
-        .when(F.col("contract_name").isNull(), "extra")
-        .otherwise("present")
-        .alias("status"),
-    ).distinct()
+    names = ", ".join(text_literal(n) for n in contract.names)
+    wanted = keys.sparkSession.range(1).selectExpr(f"explode(array({names})) AS wanted", "CAST(NULL AS string) AS seen")
+    found = keys.select(F.lit(None).cast("string").alias("wanted"), F.col("col_name").alias("seen"))
+    by_name = (
+        wanted.union(found)
+        .groupBy(F.lower(F.coalesce("wanted", "seen")).alias("folded"))
+        .agg(F.max("wanted").alias("wanted"), F.min("seen").alias("seen"))
+    )
+    status = F.when(F.col("seen").isNull(), "missing").when(F.col("wanted").isNull(), "extra").otherwise("present")
+    return by_name.select(F.coalesce("wanted", "seen").alias("col_name"), status.alias("status"))
 
 
 def matched_spellings(names: list[str], contract: Contract) -> Spellings:
@@ -57,7 +52,8 @@ def missing_fields(spellings: Spellings) -> list[str]:
     return [name for name, seen in spellings.items() if not seen]
 
 
-def _bad_line_name(contract: Contract) -> str:
+def bad_line_name(contract: Contract) -> str:
+    """A column for malformed lines whose name no field has."""
     name = "_bad_line"
     while name in {n.lower() for n in contract.names}:
         name = "_" + name
@@ -68,18 +64,14 @@ def _text_ddl(names: list[str]) -> str:
     return ", ".join(f"{quoted(n)} STRING" for n in names)
 
 
-def _aligned(parsed: DataFrame, fields: list[str], bad_line: str) -> DataFrame:
-    return parsed.selectExpr(f"named_struct({', '.join(fields)}) AS raw", f"{bad_line} AS bad_line")
-
-
 def align_lines(lines: DataFrame, contract: Contract, spellings: Spellings, column: str = "value") -> DataFrame:
-    """Parse JSON lines into `raw`, a struct of text fields in contract order, and `bad_line`, the malformed line.
+    """Parse JSON lines into text columns, the contract's fields in order, followed by the malformed line if it is one.
 
     Null, absent and missing fields are all blank text; keys outside the contract are dropped. Parsing is sensitive to
     case, so the parse schema uses the observed spellings. A field seen in several spellings is read once per spelling
     and the first one present in a record counts.
     """
-    bad = _bad_line_name(contract)
+    bad = bad_line_name(contract)
     depth = max([len(s) for s in spellings.values()] + [1])
     layers = [[s[i] for s in spellings.values() if len(s) > i] for i in range(depth)]
     layers[0] = layers[0] + [bad]
@@ -92,8 +84,8 @@ def align_lines(lines: DataFrame, contract: Contract, spellings: Spellings, colu
     fields = []
     for name, seen in spellings.items():
         read = [f"p{i}.{quoted(s)}" for i, s in enumerate(seen)]
-        fields.append(f"{text_literal(name)}, coalesce({', '.join([*read, repr('')])})")
-    return _aligned(parsed, fields, f"CASE WHEN p0 IS NULL THEN line ELSE p0.{quoted(bad)} END")
+        fields.append(f"coalesce({', '.join([*read, repr('')])}) AS {quoted(name)}")
+    return parsed.selectExpr(*fields, f"CASE WHEN p0 IS NULL THEN line ELSE p0.{quoted(bad)} END AS {quoted(bad)}")
 
 
 def read_aligned(spark: SparkSession, path: str, contract: Contract, spellings: Spellings) -> DataFrame:
@@ -104,13 +96,11 @@ def read_aligned(spark: SparkSession, path: str, contract: Contract, spellings:
     """
     if any(len(seen) > 1 for seen in spellings.values()):
         return align_lines(spark.read.text(path), contract, spellings)
-    bad = _bad_line_name(contract)
+    bad = bad_line_name(contract)
     observed = [seen[0] for seen in spellings.values() if seen]
-    scan = (
-        spark.read.schema(_text_ddl([*observed, bad])).option("columnNameOfCorruptRecord", bad).json(path)
-    )
+    scan = spark.read.schema(_text_ddl([*observed, bad])).option("columnNameOfCorruptRecord", bad).json(path)
     fields = [
-        f"{text_literal(name)}, " + (f"coalesce({quoted(seen[0])}, '')" if seen else "''")
+        (f"coalesce({quoted(seen[0])}, '')" if seen else "''") + f" AS {quoted(name)}"
         for name, seen in spellings.items()
     ]
-    return _aligned(scan, fields, quoted(bad))
+    return scan.selectExpr(*fields, quoted(bad))

@@ -1,11 +1,11 @@
-"""Counts about a run: rejected fields, blanks, distinct keys and the audit table."""
+"""Counts about a run, blank values and distinct keys, and the audit table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.names import quoted
@@ -14,25 +14,12 @@ from quayside.sources.contract import Contract
 TEXT_KINDS = ("string", "enum", "bytes")
 
 
-def error_summary(cast: DataFrame) -> DataFrame:
-    """Rejected values per field and contract type. Counts every rejected field of a row, in either error mode."""
-    errors = cast.where("failed").select(F.explode("errors").alias("e"))
-    return errors.groupBy(F.col("e.field").alias("field"), F.col("e.type").alias("type")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-
-
-def blank_counts(names: Sequence[str], prefix: str = "raw.") -> Column:
-    """One aggregate: blank values per field, as a map."""
-    entries: list[Column] = []
-    for name in names:
-        entries += [F.lit(name), F.count_if(F.col(f"{prefix}{quoted(name)}") == "")]
-    return F.create_map(*entries) if entries else F.expr("CAST(map() AS map<string, bigint>)")
-
-
 def blank_profile(aligned: DataFrame, names: Sequence[str]) -> DataFrame:
     """Blank (null, absent or empty) values per field, in one pass without a shuffle of rows."""
-    return aligned.agg(blank_counts(names).alias("blanks")).select(F.explode("blanks").alias("field", "blanks"))
+    entries = [
+        F.struct(F.lit(n).alias("field"), F.count_if(F.col(quoted(n)) == "").alias("blanks")) for n in names
+    ]
+    return aligned.agg(F.array(*entries).alias("found")).select(F.inline("found"))
 
 
 def default_ambiguous(contract: Contract) -> list[str]:
@@ -63,5 +50,5 @@ def append_audit(report: DataFrame, output_dir: str, run_date: date) -> None:
     daily.write.mode("append").partitionBy("run_date").parquet(audit_dir(output_dir))
 
 
-def read_audit(spark, output_dir: str) -> DataFrame:
+def read_audit(spark: SparkSession, output_dir: str) -> DataFrame:
     return spark.read.schema(f"{AUDIT_SCHEMA}, run_date string").parquet(audit_dir(output_dir))

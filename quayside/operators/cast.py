@@ -1,16 +1,19 @@
 """Typed casting of aligned rows, with the original of every failed row kept beside its typed form.
 
 All expressions are generated as SQL text and stay in the JVM. Each field is converted once, in one projection; the next
-ones look only at which conversions came out empty. Scratch columns are numbered, so no field name can clash with them.
+ones look only at which conversions came out empty. Columns are numbered until the last projection, so no field name can
+clash with a scratch column.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import grammar
-from quayside.functions.names import quoted, text_literal
+from quayside.functions.names import text_literal
 from quayside.sources.contract import Contract
 
 ROW_STICKY = "row_sticky"
@@ -18,75 +21,116 @@ FIELD = "field"
 ERROR_MODES = (ROW_STICKY, FIELD)
 
 ERROR_TYPE = "array<struct<field: string, type: string, raw: string>>"
-BAD_LINE_TYPE = "json"
+BAD_LINE_KIND = "json"
+
+
+@dataclass(frozen=True)
+class CastRows:
+    """Cast rows. `frame` has, per contract field, its text `r<i>` and its typed value `t<i>`, and besides
+
+    - `first_bad`, the 1-based position of the first rejected field, 0 when there is none
+    - `bad_line`, the line itself where it was malformed
+    - `failed`, whether the row has either
+    - `e<i>`, for fields that can be rejected, whether it was
+    """
+
+    frame: DataFrame
+    contract: Contract
+
+    def index(self, name: str) -> int:
+        return [n.lower() for n in self.contract.names].index(name.lower())
 
+    def typed_columns(self) -> list:
+        return [F.col(f"t{i}").alias(n) for i, n in enumerate(self.contract.names)]
 
-def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STICKY) -> DataFrame:
-    """Cast every field of `raw` to its contract type.
+    def text_columns(self) -> list:
+        return [F.col(f"r{i}").alias(n) for i, n in enumerate(self.contract.names)]
 
-    Result columns: `typed` (struct, contract types), `raw` (struct, original text), `failed` (whether any field was
-    rejected), `errors` (the rejected fields with their contract type and text) and `bad_line`.
+    def fallible(self) -> list:
+        return [(i, f) for i, f in enumerate(self.contract.fields) if grammar.is_fallible(f)]
 
-    A blank field takes its default and is no error. A rejected field takes its default; in mode `row_sticky` so do all
-    fields after the first rejected one in contract order, in mode `field` only the rejected ones. A malformed line
-    counts as failed and is all defaults.
+
+def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STICKY) -> CastRows:
+    """Cast every field to its contract type.
+
+    `aligned` holds the contract's fields as blank-filled text, in order, and then the malformed line. A blank field
+    takes its default and is no error. A rejected field takes its default; in mode `row_sticky` so do all fields after
+    the first rejected one in contract order, in mode `field` only the rejected ones. A malformed line counts as failed
+    and is all defaults.
     """
     if error_mode not in ERROR_MODES:
         raise ValueError(f"error_mode is one of {', '.join(ERROR_MODES)}, not {error_mode!r}")
     fields = list(enumerate(contract.fields))
-    fallible = [(i, f) for i, f in fields if grammar.is_fallible(f)]
+    fallible = [i for i, f in fields if grammar.is_fallible(f)]
+    texts = [f"r{i}" for i, _ in fields]
 
-    text = aligned.selectExpr(*[f"raw.{quoted(f.name)} AS r{i}" for i, f in fields], "bad_line")
-    converted = text.selectExpr(
-        *[f"r{i}" for i, _ in fields],
-        *[f"{grammar.converted(f, f'r{i}')} AS c{i}" for i, f in fallible],
-        "bad_line",
+    converted = aligned.toDF(*texts, "bad_line").selectExpr(
+        *texts, "bad_line", *[f"{grammar.converted(contract.fields[i], f'r{i}')} AS c{i}" for i in fallible]
     )
-    # Position of the first rejected field, 1-based; 0 when there is none. Stops looking at the first hit.
-    rejected = {i: f"r{i} <> '' AND c{i} IS NULL" for i, _ in fallible}
-    arms = " ".join(f"WHEN {rejected[i]} THEN {i + 1}" for i, _ in fallible)
+    # The arms stop at the first hit. An array of flags would be built for every row.
+    rejected = {i: f"(r{i} <> '' AND c{i} IS NULL)" for i in fallible}
+    arms = " ".join(f"WHEN {rejected[i]} THEN {i + 1}" for i in fallible)
     located = converted.selectExpr("*", f"{f'CASE {arms} ELSE 0 END' if arms else '0'} AS first_bad")
 
     typed = []
-    seen_fallible = False
     for i, f in fields:
-        seen_fallible = seen_fallible or i in rejected
         value = f"c{i}" if i in rejected else grammar.converted(f, f"r{i}")
-        if error_mode == ROW_STICKY and seen_fallible:
+        if error_mode == ROW_STICKY and fallible and i >= fallible[0]:
             value = f"CASE WHEN first_bad = 0 OR first_bad > {i + 1} THEN {value} END"
         if not f.nullable:
             value = f"coalesce({value}, {grammar.default(f)})"
-        typed.append(f"{text_literal(f.name)}, {value}")
+        typed.append(f"{value} AS t{i}")
+    frame = located.selectExpr(
+        *texts,
+        *typed,
+        "first_bad",
+        "bad_line",
+        "(first_bad > 0 OR bad_line IS NOT NULL) AS failed",
+        *[f"{rejected[i]} AS e{i}" for i in fallible],
+    )
+    return CastRows(frame, contract)
+
 
-    failed = "first_bad > 0 OR bad_line IS NOT NULL"
+def typed_rows(cast: CastRows) -> DataFrame:
+    """The typed form of all rows, failed ones included."""
+    return cast.frame.select(*cast.typed_columns())
+
+
+def quarantine_rows(cast: CastRows, bad_line_col: str | None = None) -> DataFrame:
+    """The original text of the failed rows; on request with one more column for lines that could not be parsed."""
+    extra = [F.col("bad_line").alias(bad_line_col)] if bad_line_col else []
+    return cast.frame.where("failed").select(*cast.text_columns(), *extra)
+
+
+def error_lists(cast: CastRows) -> DataFrame:
+    """`typed`, `raw` and `errors` of every row; `errors` lists the rejected fields with their type and text."""
     found = [
-        f"CASE WHEN {rejected[i]} THEN named_struct('field', {text_literal(f.name)}, "
-        f"'type', {text_literal(f.kind)}, 'raw', r{i}) END"
-        for i, f in fallible
+        f"CASE WHEN e{i} THEN named_struct('field', {text_literal(f.name)}, 'type', {text_literal(f.kind)}, "
+        f"'raw', r{i}) END"
+        for i, f in cast.fallible()
     ]
     found.append(
         "CASE WHEN bad_line IS NOT NULL THEN "
-        f"named_struct('field', '', 'type', {text_literal(BAD_LINE_TYPE)}, 'raw', bad_line) END"
+        f"named_struct('field', '', 'type', {text_literal(BAD_LINE_KIND)}, 'raw', bad_line) END"
     )
-    originals = ", ".join(f"{text_literal(f.name)}, r{i}" for i, f in fields)
-    return located.selectExpr(
-        f"named_struct({', '.join(typed)}) AS typed",
-        f"named_struct({originals}) AS raw",
-        f"{failed} AS failed",
-        f"CAST(CASE WHEN {failed} THEN array_compact(array({', '.join(found)})) ELSE array() END AS {ERROR_TYPE})"
-        " AS errors",
-        "bad_line",
+    errors = f"CASE WHEN failed THEN array_compact(array({', '.join(found)})) ELSE array() END"
+    return cast.frame.select(
+        F.struct(*cast.typed_columns()).alias("typed"),
+        F.struct(*cast.text_columns()).alias("raw"),
+        F.expr(f"CAST({errors} AS {ERROR_TYPE})").alias("errors"),
     )
 
 
-def typed_rows(cast: DataFrame) -> DataFrame:
-    """The typed form of all rows, failed ones included."""
-    return cast.select("typed.*")
-
+def error_summary(cast: CastRows) -> DataFrame:
+    """Rejected values per field (`field`, `type`, `n`), counted in one pass and without a shuffle of rows.
 
-def quarantine_rows(cast: DataFrame, bad_line_col: str | None = None) -> DataFrame:
-    """The original text of the failed rows; on request with one more column for lines that could not be parsed."""
-    failed = cast.where("failed")
-    if bad_line_col is None:
-        return failed.select("raw.*")
-    return failed.select("raw.*", F.col("bad_line").alias(bad_line_col))
+    Counts every rejected field of a row, in either error mode. Malformed lines count under an empty field name.
+    """
+    counters = [("", BAD_LINE_KIND, F.col("bad_line").isNotNull())]
+    counters += [(f.name, f.kind, F.col(f"e{i}")) for i, f in cast.fallible()]
+    entries = [
+        F.struct(F.lit(name).alias("field"), F.lit(kind).alias("type"), F.count_if(flag).alias("n"))
+        for name, kind, flag in counters
+    ]
+    counted = cast.frame.agg(F.array(*entries).alias("found"))
+    return counted.select(F.inline("found")).where("n > 0")

@@ -64,7 +64,7 @@ def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.read_aligned(spark, path, contract(), spellings)
 
 
-def cast_events(spark: SparkSession, sf_dir: str, error_mode: str) -> DataFrame:
+def cast_events(spark: SparkSession, sf_dir: str, error_mode: str) -> cast.CastRows:
     return cast.cast_rows(aligned_rows(spark, sf_dir), contract(), error_mode)
 
 
@@ -177,7 +177,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.error_summary(cast_events(spark, sf_dir, cast.ROW_STICKY)).select("field", "n")
+    return cast.error_summary(cast_events(spark, sf_dir, cast.ROW_STICKY)).select("field", "n")
 
 
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:

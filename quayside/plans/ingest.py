@@ -220,32 +220,32 @@ def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, ru
     return path, seen.get["landed"]
 
 
-def _write_typed(rows: DataFrame, contract: Contract, params: IngestParams, path: str, blanks: list[str]) -> dict:
+def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: list[str]) -> dict:
     """Write the typed table and count its rows on the way.
 
     The counts are taken behind the shuffle that clusters sub-partitions, in the stage that writes: a stage that runs
     again after a lost executor would count its rows twice, a write task that succeeds counts once.
     """
     partition_by = sink.partition_columns(params.partition_by)
-    flagged = rows.select(
-        "typed",
+    flagged = rows.frame.select(
+        *[f"t{i}" for i in range(len(rows.contract.fields))],
         "failed",
         F.col("bad_line").isNotNull().alias("malformed"),
-        F.struct(*[(F.col(f"raw.{quoted(b)}") == "").alias(b) for b in blanks] or [F.lit(False).alias("none")]).alias(
-            "blank"
-        ),
+        *[(F.col(f"r{rows.index(b)}") == "").alias(f"b{j}") for j, b in enumerate(blanks)],
     )
     counts = Observation()
-    counted = sink.clustered(flagged, [f"typed.{quoted(c)}" for c in partition_by]).observe(
+    counted = sink.clustered(flagged, [f"t{rows.index(c)}" for c in partition_by]).observe(
         counts,
         F.count(F.lit(1)).alias("processed"),
         F.count_if("failed").alias("error_rows"),
         F.count_if("malformed").alias("malformed"),
-        *[F.count_if(F.col(f"blank.{quoted(b)}")).alias(f"blank_{i}") for i, b in enumerate(blanks)],
+        *[F.count_if(f"b{j}").alias(f"b{j}") for j in range(len(blanks))],
+    )
+    sink.write_partition(
+        counted.select(*rows.typed_columns()), path, partition_by, params.sink_format, rows.contract
     )
-    sink.write_partition(cast.typed_rows(counted), path, partition_by, params.sink_format, contract)
     found = dict(counts.get)
-    found["blanks"] = {b: found.pop(f"blank_{i}") for i, b in enumerate(blanks)}
+    found["blanks"] = {b: found.pop(f"b{j}") for j, b in enumerate(blanks)}
     return found
 
 
@@ -257,12 +257,12 @@ def raw_line_column(contract: Contract) -> str:
     return name
 
 
-def _write_quarantine(rows: DataFrame, contract: Contract, params: IngestParams, path: str, errors: int) -> None:
+def _write_quarantine(rows: cast.CastRows, params: IngestParams, path: str, errors: int) -> None:
     """Write the originals of failed rows. A run without any only empties the partition, and does not parse again."""
     partition_by = sink.partition_columns(params.partition_by)
-    originals = cast.quarantine_rows(rows, raw_line_column(contract))
+    originals = cast.quarantine_rows(rows, raw_line_column(rows.contract))
     if not errors:
-        originals = rows.sparkSession.createDataFrame([], originals.schema)
+        originals = rows.frame.sparkSession.createDataFrame([], originals.schema)
     sink.write_partition(sink.clustered(originals, [quoted(c) for c in partition_by]), path, partition_by)
 
 
@@ -295,10 +295,10 @@ def run(
     quarantine_path = sink.quarantine_dir(params.output_dir, params.table, params.run_partition)
     blanks = params.blank_fields
     blanks = audit.default_ambiguous(contract) if blanks is None else list(blanks)
-    counts = _write_typed(rows, contract, params, typed_path, blanks)
+    counts = _write_typed(rows, params, typed_path, blanks)
     if landed is not None and counts["processed"] != landed:
         raise RuntimeError(f"{landed} records were landed but {counts['processed']} were processed")
-    _write_quarantine(rows, contract, params, quarantine_path, counts["error_rows"])
+    _write_quarantine(rows, params, quarantine_path, counts["error_rows"])
     unique = audit.unique_keys(
         sink.read_partition(spark, typed_path, contract, params.sink_format), params.key_col
     )
