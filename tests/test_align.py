@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from quayside.operators import align, audit, cast
+from quayside.sources.contract import parse_contract
+
+CONTRACT = parse_contract(
+    json.dumps(
+        {
+            "type": "record",
+            "name": "r",
+            "fields": [{"name": n, "type": t} for n, t in (("sys_id", "string"), ("n", "int"), ("note", "string"))],
+        }
+    )
+)
+
+
+@pytest.fixture(params=["lines", "files"])
+def align_all(request, spark, tmp_path):
+    """Both ways to align: lines in flight and landed files."""
+
+    def run(records: list[str]):
+        lines = spark.createDataFrame([(r,) for r in records], "value string")
+        if request.param == "files":
+            path = str(tmp_path / "landed")
+            lines.write.mode("overwrite").text(path)
+            spellings = align.discover_spellings(spark.read.text(path), CONTRACT)
+            return align.read_aligned(spark, path, CONTRACT, spellings)
+        return align.align_lines(lines, CONTRACT, align.discover_spellings(lines, CONTRACT))
+
+    return run
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_blank_null_and_absent_are_blank(align_all):
+    frame = align_all(['{"sys_id":"a","n":""}', '{"sys_id":"b","n":null}', '{"sys_id":"c"}', '{"extra":"1","sys_id":"d"}'])
+    assert frame.columns[:3] == ["sys_id", "n", "note"]
+    assert rows(frame) == [(k, "", "", None) for k in "abcd"]
+
+
+def test_values_that_are_not_text(align_all):
+    frame = align_all(['{"sys_id":"a","n":5}', '{"sys_id":"b","n":true}', '{"sys_id":"c","n":{"x":1}}', '{"sys_id":"d","n":[1,2]}'])
+    assert [r[1] for r in rows(frame)] == ["5", "true", '{"x":1}', "[1,2]"]
+
+
+def test_spelling(align_all):
+    frame = align_all(['{"SYS_ID":"q","N":"1"}'])
+    assert frame.columns[:3] == ["sys_id", "n", "note"]
+    assert rows(frame) == [("q", "1", "", None)]
+
+
+def test_several_spellings(align_all):
+    frame = align_all(['{"SYS_ID":"q"}', '{"sys_id":"r"}', '{"Sys_Id":"s","N":"1"}', '{"sys_id":"t","SYS_ID":"u","n":"2"}'])
+    assert [r[:2] for r in rows(frame)] == [("q", ""), ("r", ""), ("s", "1"), ("t", "2")]
+
+
+def test_malformed_lines(align_all):
+    frame = align_all(['{"sys_id":"a","n":"1"}', "not json", '{"sys_id":"b"', '"text"'])
+    result = cast.cast_rows(frame, CONTRACT)
+    assert rows(cast.quarantine_rows(result, "_raw").select("_raw")) == [('"text"',), ("not json",), ('{"sys_id":"b"',)]
+    assert cast.typed_rows(result).count() == 4
+    assert [tuple(r) for r in cast.error_summary(result).collect()] == [("", "json", 3)]
+
+
+def test_no_records(align_all):
+    frame = align_all([])
+    typed = cast.typed_rows(cast.cast_rows(frame, CONTRACT))
+    assert typed.schema.simpleString() == "struct<sys_id:string,n:int,note:string>"
+    assert typed.count() == 0
+
+
+def test_lines_without_any_contract_field(align_all):
+    assert rows(align_all(['{"x":1}', "{}"])) == [("", "", "", None)] * 2
+
+
+def test_schema_diff(spark):
+    lines = spark.createDataFrame([('{"SYS_ID":"a","x":1}',), ('{"sys_id":"a","n":null}',), ("bad",)], "value string")
+    keys = align.observed_keys(lines)
+    assert rows(keys) == [("SYS_ID",), ("n",), ("sys_id",), ("x",)]
+    assert rows(align.schema_diff(keys, CONTRACT)) == [
+        ("n", "present"), ("note", "missing"), ("sys_id", "present"), ("x", "extra"),
+    ]
+    assert align.missing_fields(align.discover_spellings(lines, CONTRACT)) == ["note"]
+
+
+def test_blank_profile(spark, align_all):
+    frame = align_all(['{"sys_id":"a","n":""}', '{"sys_id":"","n":"3"}', '{"n":null}'])
+    profile = audit.blank_profile(frame, ["sys_id", "n", "note"])
+    assert rows(profile) == [("n", 2), ("note", 3), ("sys_id", 2)]
+
+
+def test_scan_reads_only_what_is_asked_for(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    spark.createDataFrame([('{"sys_id":"a","n":"1","note":"x"}',)], "value string").write.text(path)
+    frame = align.read_aligned(spark, path, CONTRACT, align.matched_spellings(CONTRACT.names, CONTRACT))
+    plan = cast.typed_rows(cast.cast_rows(frame, CONTRACT, cast.FIELD)).select("n")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<n:string>" in plan
