@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import pyarrow.dataset as ds
@@ -26,11 +25,6 @@ def page_files(records: DataFrame, key_col: str) -> str:
     return path
 
 
-@lru_cache(maxsize=4)
-def _open(path: str) -> ds.Dataset:
-    return ds.dataset(path.removeprefix("file:"), format="parquet")
-
-
 def _condition(request: PageRequest, key_col: str, updated_col: str):
     key, updated = ds.field(key_col), ds.field(updated_col)
     if request.ids:
@@ -54,9 +48,16 @@ def _condition(request: PageRequest, key_col: str, updated_col: str):
 def page_files_service(path: str, key_col: str, updated_col: str, rows_per_task: int) -> PagedService:
     """A page service over what `page_files` wrote. Row group statistics lead each request to its first key."""
 
+    opened: list[ds.Dataset] = []
+
+    def files() -> ds.Dataset:
+        if not opened:
+            opened.append(ds.dataset(path.removeprefix("file:"), format="parquet"))
+        return opened[0]
+
     def matching(request: PageRequest) -> Iterator[dict]:
         columns = list(request.fields) or None
-        batches = _open(path).to_batches(
+        batches = files().to_batches(
             columns=columns,
             filter=_condition(request, key_col, updated_col),
             batch_size=max(request.limit, 64),
@@ -71,6 +72,6 @@ def page_files_service(path: str, key_col: str, updated_col: str, rows_per_task:
         return list(islice(matching(request), first, first + request.limit))
 
     def count(request: PageRequest) -> int:
-        return _open(path).count_rows(filter=_condition(request, key_col, updated_col))
+        return files().count_rows(filter=_condition(request, key_col, updated_col))
 
     return PagedService(fetch, count, rows_per_task)

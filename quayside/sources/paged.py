@@ -14,12 +14,14 @@ there, so none travel in options or plans. The contract of `fetch(request)`:
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -176,7 +178,9 @@ class _Reader(DataSourceReader):
                 edges.append(str(at[0][self.scan.key_col]))
         return [replace(chunk, after=a, upto=b) for a, b in zip([None, *edges], [*edges, None])]
 
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes when there are no ranges
+            return
         pages = self._offset_pages(partition) if partition.offsets is not None else self._key_pages(partition)
         requests = records = 0
         for page in pages:
@@ -246,8 +250,14 @@ def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:
     return Paged
 
 
+def _ship_package() -> None:
+    """Send this package's code along with the tasks, so that executors need not have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
+
+
 def read_paged(spark: SparkSession, service: PagedService, scan: PagedScan) -> DataFrame:
     """Records of a service as JSON lines (`range_id`, `updated`, `value`), one task per range."""
+    _ship_package()
     source = paged_source(service, scan)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(source)
@@ -262,6 +272,7 @@ def fetch_ids(
     Keys are spread over `tasks` tasks and never collected. One request covers one batch: as keys are unique, a batch
     cannot return more records than it has keys.
     """
+    _ship_package()
     key = ids.columns[0]
     fetch = service.fetch
     lines = pa.schema([("value", pa.string())])

@@ -1,0 +1,181 @@
+from __future__ import annotations
+
+import json
+import sys
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark import cloudpickle
+
+from quayside import PagedService, PageRequest
+from quayside.functions.moments import as_text
+from quayside.sources.paged import OFFSETS, PagedScan, fetch_ids, paged_source, read_paged
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def records(n, per_second=1):
+    start = datetime(2024, 1, 1)
+    return [
+        {"key": f"{i:05d}", "at": as_text(start + timedelta(seconds=i * 37 % max(n, 1) // per_second)), "v": i}
+        for i in range(n)
+    ]
+
+
+def list_service(rows, count=True, rows_per_task=1_000_000, short_pages=False):
+    """A service over a list; `short_pages` makes it hold back records of a page, as access rules can do."""
+
+    def matching(request: PageRequest):
+        if request.ids:
+            return [r for r in rows if r["key"] in request.ids]
+        found = []
+        for r in rows:
+            if request.lo is not None and r["at"] < as_text(request.lo):
+                continue
+            if request.hi is not None and (r["at"] > as_text(request.hi) or (r["at"] == as_text(request.hi) and not request.hi_closed)):
+                continue
+            if request.after is not None and r["key"] <= request.after:
+                continue
+            if request.upto is not None and r["key"] > request.upto:
+                continue
+            found.append(r)
+        return found
+
+    def fetch(request: PageRequest):
+        first = request.offset or 0
+        page = matching(request)[first : first + request.limit]
+        if short_pages and len(page) > 1:
+            page = page[:-1]
+        return [{k: r[k] for k in request.fields or r} for r in page]
+
+    return PagedService(fetch, (lambda request: len(matching(request))) if count else None, rows_per_task)
+
+
+SCAN = PagedScan("things", "key", "at", start="2024-01-01", end="2024-01-02", num_ranges=3, page_size=10)
+
+
+def keys(frame):
+    return sorted(json.loads(r["value"])["key"] for r in frame.collect())
+
+
+@pytest.mark.parametrize("n", [0, 1, 10, 11, 95])
+@pytest.mark.parametrize("short_pages", [False, True])
+def test_every_key_once(spark, n, short_pages):
+    rows = records(n)
+    service = list_service(rows, short_pages=short_pages)
+    assert keys(read_paged(spark, service, SCAN)) == [r["key"] for r in rows]
+
+
+@pytest.mark.parametrize("size", [2, 3, 200])
+def test_page_sizes(spark, size):
+    rows = records(40)
+    assert keys(read_paged(spark, list_service(rows), replace(SCAN, page_size=size))) == [r["key"] for r in rows]
+
+
+def test_page_size_one_is_refused():
+    with pytest.raises(ValueError):
+        paged_source(list_service([]), replace(SCAN, page_size=1))
+
+
+def test_window_is_inclusive_and_chunks_do_not_overlap(spark):
+    rows = [{"key": str(i), "at": f"2024-01-0{1 + i // 3} {8 * (i % 3):02d}:00:00", "v": i} for i in range(9)]
+    scan = replace(SCAN, start="2024-01-01 08:00:00", end="2024-01-03 08:00:00", num_ranges=6)
+    frame = read_paged(spark, list_service(rows), scan)
+    assert keys(frame) == [str(i) for i in range(1, 8)]
+    assert [r["updated"] for r in frame.orderBy("updated").collect()] == [r["at"] for r in rows[1:8]]
+
+
+def test_hot_second_is_split(spark):
+    """All records changed in one second: no window chunk can part them, the key can."""
+    rows = records(100, per_second=1000)
+    scan = replace(SCAN, report_ranges=True)
+    frame = read_paged(spark, list_service(rows, rows_per_task=30), scan)
+    assert keys(frame.where("value IS NOT NULL")) == [r["key"] for r in rows]
+    done = {r["range_id"]: (r["records"], r["requests"]) for r in frame.where("value IS NULL").collect()}
+    assert [done[i][0] for i in sorted(done)] == [30, 30, 30, 10, 0, 0]
+    assert [done[i][1] for i in sorted(done)] == [4, 4, 4, 2, 1, 1]
+
+
+def test_without_a_count_chunks_stay_whole(spark):
+    rows = records(100, per_second=1000)
+    frame = read_paged(spark, list_service(rows, count=False, rows_per_task=30), SCAN)
+    assert keys(frame) == [r["key"] for r in rows]
+    assert {r["range_id"] for r in frame.collect()} == {0}
+
+
+def test_keys_added_during_the_read(spark):
+    rows = records(30)
+    late = [{"key": f"{i:05d}x", "at": "2024-01-01 00:00:01", "v": 0} for i in (3, 29)]
+
+    def fetch(request):
+        now = sorted(rows + (late if request.after else []), key=lambda r: r["key"])
+        return list_service(now).fetch(request)
+
+    found = keys(read_paged(spark, PagedService(fetch), replace(SCAN, num_ranges=1)))
+    assert len(found) == len(set(found))
+    assert {r["key"] for r in rows} <= set(found)
+
+
+def test_a_service_that_repeats_its_last_key_is_found_out(spark):
+    rows = records(30)
+    service = PagedService(lambda request: rows[:10])
+    with pytest.raises(Exception, match="ordered by key"):
+        read_paged(spark, service, replace(SCAN, num_ranges=1)).count()
+
+
+@pytest.mark.parametrize("cutoff", [None, 1, 2])
+def test_offsets(spark, cutoff):
+    rows = records(95)
+    scan = replace(SCAN, mode=OFFSETS, num_ranges=4, max_pages_per_range=cutoff)
+    expected = [r["key"] for i, r in enumerate(rows) if cutoff is None or i % 24 < cutoff * 10]
+    assert keys(read_paged(spark, list_service(rows), scan)) == expected
+
+
+def test_offsets_need_a_count():
+    with pytest.raises(ValueError):
+        paged_source(list_service([], count=False), replace(SCAN, mode=OFFSETS))
+
+
+def test_filters_narrow_the_requests(spark, tmp_path):
+    rows = records(86400 // 100)
+    log = tmp_path / "requests"
+    log.mkdir()
+
+    def fetch(request):
+        (log / f"{as_text(request.lo)} {as_text(request.hi)} {request.after}".replace(":", "-")).touch()
+        return list_service(rows).fetch(request)
+
+    frame = read_paged(spark, PagedService(fetch), replace(SCAN, num_ranges=1))
+    low, high = "2024-01-01 00:05:00", "2024-01-01 00:06:00"
+    found = frame.where(f"updated >= '{low}' AND updated < '{high}'")
+    assert keys(found) == sorted(r["key"] for r in rows if low <= r["at"] < high)
+    assert {p.name[:39] for p in log.iterdir()} == {f"{low} {high}".replace(":", "-")}
+
+
+def test_contradicting_filters_ask_nothing(spark):
+    frame = read_paged(spark, PagedService(lambda r: 1 / 0), SCAN)
+    assert frame.where("updated >= '2025-01-01 00:00:00'").count() == 0
+
+
+def test_fields_reach_the_service(spark):
+    frame = read_paged(spark, list_service(records(3)), replace(SCAN, fields=("key", "at")))
+    assert {frozenset(json.loads(r["value"])) for r in frame.collect()} == {frozenset({"key", "at"})}
+
+
+@pytest.mark.parametrize("n", [0, 1, 100, 101, 250])
+def test_ids(spark, tmp_path, n):
+    rows = records(300)
+    wanted = [r["key"] for r in rows[::2]][:n] + ["unknown"]
+    log = tmp_path / "batches"
+    log.mkdir()
+
+    def fetch(request):
+        (log / f"{request.ids[0]}_{len(request.ids)}").touch()
+        return list_service(rows).fetch(request)
+
+    ids = spark.createDataFrame([(k,) for k in wanted], "id string")
+    frame = fetch_ids(ids, PagedService(fetch), "things", (), 100, tasks=2)
+    assert keys(frame) == sorted(k for k in wanted if k != "unknown")
+    sizes = [int(p.name.split("_")[1]) for p in log.iterdir()]
+    assert sum(sizes) == len(wanted) and max(sizes) <= 100

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.functions.ranges import offset_ranges, range_size, truncated_rows
+from quayside.operators import paging
+
+
+def overlapping_pager(n: int, size: int) -> tuple[int, int]:
+    """Requests and emitted records of reading 0 … n-1 by pages that begin at the last key seen."""
+    requests = emitted = last = 0
+    while True:
+        page = range(last, min(last + size, n))
+        requests += 1
+        emitted += len(page)
+        if len(page) < 2:
+            return requests, emitted
+        last = page[-1]
+
+
+@pytest.mark.parametrize("size", [2, 3, 7, 14])
+def test_keyset_audit_equals_a_pager(spark, size):
+    frame = spark.range(1, 41).select(F.explode(F.sequence(F.lit(1), F.col("id"))), F.col("id").alias("n"))
+    found = {r["chunk"]: (r["unique_rows"], r["requests"], r["emitted_rows"]) for r in paging.keyset_audit(frame, "n", size).collect()}
+    assert found == {n: (n, *overlapping_pager(n, size)) for n in range(1, 41)}
+
+
+def test_page_size_one_is_refused(spark):
+    with pytest.raises(ValueError):
+        paging.keyset_audit(spark.range(3), "id", 1)
+    with pytest.raises(ValueError):
+        paging.offset_pages(spark.range(3), "id", 1, 1)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_positions_are_dense_and_in_key_order(spark, many_partitions):
+    frame = spark.range(5000).select(F.format_string("%08d", F.col("id") * 7919 % 5000).alias("key"), F.col("id").alias("v"))
+    positioned, total = paging.with_position(frame, "key")
+    rows = positioned.collect()
+    assert total == 5000
+    assert positioned.columns == ["key", "v", "off"]
+    assert all(r["off"] == int(r["key"]) for r in rows)
+    assert {r["v"] for r in rows} == set(range(5000))
+
+
+def test_one_frequent_key_is_spread_over_partitions(spark, many_partitions, monkeypatch):
+    """Two thirds of the records share a key, and still no partition holds them all."""
+    paths = []
+    original = paging.scratch_path
+    monkeypatch.setattr(paging, "scratch_path", lambda *a: paths.append(original(*a)) or paths[-1])
+    frame = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("key"))
+    positioned, total = paging.with_position(frame, "key")
+    assert sorted(r["off"] for r in positioned.collect()) == list(range(total))
+    ordered = [r["key"] for r in positioned.orderBy("off").collect()]
+    assert ordered == sorted(ordered)
+    largest = spark.read.parquet(paths[0]).groupBy(F.shiftright("_slot", 33)).count().agg(F.max("count")).first()[0]
+    assert largest < 10000
+
+
+def test_no_records(spark):
+    positioned, total = paging.with_position(spark.range(0), "id")
+    assert total == 0 and positioned.collect() == [] and positioned.columns == ["id", "off"]
+    assert paging.offset_pages(spark.range(0), "id", 3, 10).collect() == []
+
+
+def test_ranges():
+    assert [list(r) for r in offset_ranges(5, 2)] == [[0, 1, 2], [3, 4, 5]]
+    assert [list(r) for r in offset_ranges(0, 4)] == [[0]]
+    assert range_size(10, 4) == 3
+    for count in range(30):
+        for n in range(1, 9):
+            assert [o for r in offset_ranges(count, n) for o in r] == list(range(count + 1))
+
+
+@pytest.mark.parametrize("cutoff", [None, 1, 2, 100])
+def test_offset_pages(spark, cutoff):
+    rows = paging.offset_pages(spark.range(103), "id", ranges=4, page_size=10, max_pages_per_range=cutoff).collect()
+    expected = []
+    for i, r in enumerate(offset_ranges(103, 4)):
+        for off in r:
+            page = (off - r.start) // 10
+            if off < 103 and (cutoff is None or page < cutoff):
+                expected.append((off, off, i, page))
+    assert sorted(tuple(r) for r in rows) == expected
+    assert truncated_rows(103, 4, 10, cutoff) == 103 - len(expected)
+
+
+@pytest.mark.parametrize("n", [0, 1, 99, 100, 101, 950])
+def test_id_batches(spark, n):
+    batches = paging.id_batches(spark.range(n), "id", 100).groupBy("batch").count().collect()
+    assert sum(r["count"] for r in batches) == n
+    assert len(batches) == min(n, n // 100 + 1)
+    assert all(r["count"] <= 100 for r in batches)
