@@ -71,11 +71,8 @@ def epoch_micros(column: Column, data_type: T.DataType) -> Column:
         column = column.try_cast("timestamp_ntz")
     elif not isinstance(data_type, T.TimestampNTZType):
         raise TypeError(f"a change time cannot be of type {data_type.simpleString()}")
-    seconds = (
-        F.unix_date(column.cast("date")).cast("bigint") * 86_400 + F.hour(column) * 3_600 + F.minute(column) * 60
-    )
-    # The second field is decimal(8, 6): whole seconds and the fraction.
-    return seconds * F.lit(1_000_000) + (F.date_part(F.lit("second"), column) * 1_000_000).cast("bigint")
+    since = column - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("bigint")
 
 
 def chunk_of(micros: Column, low: int, high: int, chunks: int) -> Column:

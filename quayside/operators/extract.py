@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.moments import (
     Moment,
@@ -62,8 +63,12 @@ def extract_window(
 
 def observed_window(df: DataFrame, updated_col: str) -> tuple[Moment, Moment] | None:
     """First and last change time of a table, or None when it is empty."""
-    micros = epoch_micros(F.col(quoted(updated_col)), column_type(df, quoted(updated_col)))
-    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    updated, data_type = F.col(quoted(updated_col)), column_type(df, quoted(updated_col))
+    if isinstance(data_type, T.StringType):
+        # Text that is no moment must not become a bound.
+        updated, data_type = updated.try_cast("timestamp_ntz"), T.TimestampNTZType()
+    ends = df.agg(F.min(updated).alias("low"), F.max(updated).alias("high"))
+    low, high = ends.select(*[epoch_micros(F.col(end), data_type) for end in ends.columns]).first()
     return None if low is None else (from_micros(low), from_micros(high))
 
 

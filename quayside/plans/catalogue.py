@@ -56,16 +56,18 @@ def service_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Service records landed as JSON lines, their keys discovered, and read back aligned to the contract."""
+def landed_events(spark: SparkSession, sf_dir: str) -> str:
+    """Service records as JSON lines in a new directory."""
     path = scratch_path(spark, "landing")
     land(as_lines(service_rows(spark, sf_dir)), path)
-    spellings = align.discover_spellings(spark.read.text(path), contract())
-    return align.read_aligned(spark, path, contract(), spellings)
+    return path
 
 
 def cast_events(spark: SparkSession, sf_dir: str, error_mode: str) -> cast.CastRows:
-    return cast.cast_rows(aligned_rows(spark, sf_dir), contract(), error_mode)
+    """Service records landed, read back aligned to the contract, and cast."""
+    spellings = align.matched_spellings(service_rows(spark, sf_dir).columns, contract())
+    aligned = align.read_aligned(spark, landed_events(spark, sf_dir), contract(), spellings)
+    return cast.cast_rows(aligned, contract(), error_mode)
 
 
 def extract_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +163,10 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blank_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.blank_profile(aligned_rows(spark, sf_dir), ["user_id", "amount"])
+    """Blanks in landed lines whose keys are not known beforehand."""
+    lines = spark.read.text(landed_events(spark, sf_dir))
+    aligned = align.align_lines(lines, contract(), align.discover_spellings(lines, contract()))
+    return audit.blank_profile(aligned, ["user_id", "amount"])
 
 
 def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -161,6 +162,39 @@ def test_sticky_equals_a_loop_over_the_fields(spark):
     assert result == expected
 
 
+def test_invariants_of_the_modes(spark):
+    """On random rows: a field defaults alone iff blank or rejected, and rows without errors are equal in both modes."""
+    rng = random.Random(7)
+    contract = contract_of(k="string", a="int", b="double", c="boolean", d="string", e="long")
+    texts = ["", "1", "x", "2.5", "true", "99999999999", "-7", "1e2"]
+    rows = [(str(i), *[rng.choice(texts) for _ in range(5)]) for i in range(500)]
+    frame = aligned(spark, contract, rows)
+    field = cast.error_lists(cast.cast_rows(frame, contract, cast.FIELD)).collect()
+    sticky = cast.error_lists(cast.cast_rows(frame, contract, cast.ROW_STICKY)).collect()
+    defaults = {"k": "", "a": 0, "b": 0.0, "c": False, "d": "", "e": 0}
+    order = contract.names
+    for one, other, row in zip(field, sticky, rows):
+        assert one["raw"] == other["raw"] and tuple(one["raw"]) == row
+        assert one["errors"] == other["errors"]
+        rejected = {e["field"]: e["raw"] for e in one["errors"]}
+        assert all(one["raw"][f] == raw != "" for f, raw in rejected.items())
+        first = min((order.index(f) for f in rejected), default=len(order))
+        for i, name in enumerate(order):
+            if one["raw"][name] == "" or name in rejected:
+                assert one["typed"][name] == defaults[name]
+            assert other["typed"][name] == (defaults[name] if i >= first else one["typed"][name])
+
+
+def test_records_keep_their_structure(spark):
+    inner = {"type": "record", "name": "p", "fields": [{"name": "x y", "type": ["null", "int"]}, {"name": "z", "type": "string"}]}
+    contract = contract_of(f=inner, g=["null", "p"])
+    rows = [('{"x y":1,"z":"q"}', "[1]"), ("", "")]
+    result = cast.error_lists(cast.cast_rows(aligned(spark, contract, rows), contract, cast.FIELD)).collect()
+    assert [tuple(r["typed"]["f"]) for r in result] == [(1, "q"), (None, None)]
+    assert [r["typed"]["g"] for r in result] == [None, None]
+    assert [[(e["field"], e["type"]) for e in r["errors"]] for r in result] == [[("g", "record")], []]
+
+
 def test_required_fields_are_never_null(spark):
     contract = contract_of(**MIXED)
     schema = cast.typed_rows(cast.cast_rows(aligned(spark, contract, [("",) * 7]), contract)).schema

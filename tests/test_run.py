@@ -248,3 +248,12 @@ def test_a_failed_audit_is_reported(spark, make_source, params, monkeypatch):
 def test_refused_parameters(spark, params, change):
     with pytest.raises(ValueError):
         run(spark, spark.range(1), CONTRACT, replace(params, **change))
+
+
+def test_contract_from_its_directory_and_settings_are_restored(spark, make_source, params, tmp_path):
+    fields = [{"name": f.name, "type": ["null", f.kind] if f.nullable else f.kind} for f in CONTRACT.fields]
+    (tmp_path / "thing.avsc").write_text(json.dumps({"type": "record", "name": "thing", "fields": fields}))
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    result = run(spark, make_source(source_rows(12)), None, replace(params, contract_dir=str(tmp_path)))
+    assert typed(spark, result) == expected_rows(source_rows(12))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
