@@ -146,10 +146,12 @@ def id_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.groupBy("batch").agg(F.count(F.lit(1)).alias("ids"))
 
 
-def paged_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same window as `extract_window`, read page by page in six chunks."""
-    path = page_files(service_rows(spark, sf_dir), "sys_id")
-    service = page_files_service(path, "sys_id", "sys_updated_on", rows_per_task=50_000)
+def paged_extract(spark: SparkSession, sf_dir: str, rows_per_task: int = 1_000_000) -> DataFrame:
+    """The records of the window, read page by page in six chunks."""
+    layout = (*WINDOW, 6)
+    rows = extract.extract_window(service_rows(spark, sf_dir), "sys_updated_on", *WINDOW)
+    path = page_files(rows, "sys_id", "sys_updated_on", *layout)
+    service = page_files_service(spark, path, "sys_id", *layout, rows_per_task)
     scan = PagedScan("events", "sys_id", "sys_updated_on", start=WINDOW[0], end=WINDOW[1], num_ranges=6)
     lines = read_paged(spark, service, scan)
     record = F.from_json("value", "sys_id string, sys_updated_on string, category string")

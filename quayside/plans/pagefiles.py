@@ -1,77 +1,102 @@
-"""Pages out of Parquet files: lets a sorted export of a table be read the way a paged service is."""
+"""Pages out of Parquet files: lets an export of a table be read the way a paged service is.
+
+The export has one directory per window chunk, its rows in key order. Requests are answered from file metadata and the
+few row groups that hold a page, so neither planning nor reading goes over data it does not return.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
+from datetime import datetime
 
+import pyarrow as pa
 import pyarrow.dataset as ds
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from quayside.functions.moments import as_text
+from quayside.functions.moments import Moment, chunk_bounds
 from quayside.functions.names import quoted
+from quayside.operators.extract import with_chunk
 from quayside.sources.paged import PagedService, PageRequest
-from quayside.sources.storage import scratch_path
+from quayside.sources.storage import list_directories, scratch_path
 
-# Small row groups, as a page needs only the few around its first key.
+# A page needs one or two row groups, so they are small.
 _ROW_GROUP_BYTES = 1024 * 1024
 
 
-def page_files(records: DataFrame, key_col: str) -> str:
-    """Write records in key order to the shared folder, and return where."""
+def page_files(records: DataFrame, key_col: str, updated_col: str, start: Moment, end: Moment, chunks: int) -> str:
+    """Write the records of a window by chunk and in key order to the shared folder, and return where.
+
+    The range partitioner spreads a chunk over as many files as its size asks for.
+    """
     path = scratch_path(records.sparkSession, "pages")
-    ordered = records.repartitionByRange(quoted(key_col)).sortWithinPartitions(quoted(key_col))
-    ordered.write.mode("overwrite").option("parquet.block.size", _ROW_GROUP_BYTES).parquet(path)
+    order = ["_chunk", quoted(key_col)]
+    tagged = with_chunk(records, updated_col, start, end, chunks, "_chunk")
+    ordered = tagged.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = ordered.write.mode("overwrite").option("parquet.block.size", _ROW_GROUP_BYTES)
+    writer.partitionBy("_chunk").parquet(path)
     return path
 
 
-def _condition(request: PageRequest, key_col: str, updated_col: str):
-    key, updated = ds.field(key_col), ds.field(updated_col)
-    if request.ids:
-        return key.isin(list(request.ids))
-    parts = []
-    if request.lo is not None:
-        parts.append(updated >= as_text(request.lo))
-    if request.hi is not None:
-        hi = as_text(request.hi)
-        parts.append(updated <= hi if request.hi_closed else updated < hi)
-    if request.after is not None:
-        parts.append(key > request.after)
-    if request.upto is not None:
-        parts.append(key <= request.upto)
-    condition = ds.scalar(True)
-    for part in parts:
-        condition = condition & part
-    return condition
-
-
-def page_files_service(path: str, key_col: str, updated_col: str, rows_per_task: int) -> PagedService:
-    """A page service over what `page_files` wrote. Row group statistics lead each request to its first key."""
-
-    opened: list[ds.Dataset] = []
-
-    def files() -> ds.Dataset:
-        if not opened:
-            opened.append(ds.dataset(path.removeprefix("file:"), format="parquet"))
-        return opened[0]
-
-    def matching(request: PageRequest) -> Iterator[dict]:
-        columns = list(request.fields) or None
-        batches = files().to_batches(
-            columns=columns,
-            filter=_condition(request, key_col, updated_col),
-            batch_size=max(request.limit, 64),
-            batch_readahead=0,
-            fragment_readahead=0,
-        )
-        for batch in batches:
-            yield from batch.to_pylist()
+class _Chunk:
+    """The row groups of one chunk, in key order."""
+
+    def __init__(self, path: str, key_col: str):
+        self.key = ds.field(key_col)
+        files = ds.dataset(path.removeprefix("file:"), format="parquet").get_fragments()
+        ordered = sorted(files, key=lambda f: f.path)
+        self.groups = [g for f in ordered for g in f.split_by_row_group()]
+        self.ends = [g.row_groups[0].statistics[key_col] for g in self.groups]
+        self.sizes = [g.row_groups[0].num_rows for g in self.groups]
+
+    def slices(self, request: PageRequest) -> Iterator[pa.Table]:
+        """The records after `request.after` and up to `request.upto`, less the first `request.offset`."""
+        skip, columns = request.offset or 0, list(request.fields) or None
+        for group, ends, size in zip(self.groups, self.ends, self.sizes):
+            if request.after is not None and ends["max"] <= request.after:
+                continue
+            if request.upto is not None and ends["min"] > request.upto:
+                return
+            condition = None
+            if request.after is not None and ends["min"] <= request.after:
+                condition = self.key > request.after
+            if request.upto is not None and ends["max"] > request.upto:
+                below = self.key <= request.upto
+                condition = below if condition is None else condition & below
+            if condition is None and skip >= size:
+                skip -= size
+                continue
+            found = group.to_table(columns=columns, filter=condition)
+            yield found.slice(skip)
+            skip = max(skip - found.num_rows, 0)
+
+
+def page_files_service(
+    spark: SparkSession, path: str, key_col: str, start: Moment, end: Moment, chunks: int, rows_per_task: int = 1_000_000
+) -> PagedService:
+    """A service over what `page_files` wrote, for requests that ask for its chunks."""
+    bounds = chunk_bounds(start, end, chunks)
+    written = set(list_directories(spark, path))
+    directories: dict[datetime, str] = {
+        lo: f"{path}/_chunk={i}" for i, (lo, _) in enumerate(bounds) if f"_chunk={i}" in written
+    }
+    opened: dict[datetime, _Chunk] = {}
+
+    def chunk(request: PageRequest) -> _Chunk | None:
+        if request.lo not in opened and request.lo in directories:
+            opened[request.lo] = _Chunk(directories[request.lo], key_col)
+        return opened.get(request.lo)
 
     def fetch(request: PageRequest) -> list[dict]:
-        first = request.offset or 0
-        return list(islice(matching(request), first, first + request.limit))
+        page: list[dict] = []
+        held = chunk(request)
+        for found in held.slices(request) if held else ():
+            page += found.slice(0, request.limit - len(page)).to_pylist()
+            if len(page) == request.limit:
+                break
+        return page
 
     def count(request: PageRequest) -> int:
-        return files().count_rows(filter=_condition(request, key_col, updated_col))
+        held = chunk(request)
+        return sum(held.sizes) if held else 0
 
     return PagedService(fetch, count, rows_per_task)

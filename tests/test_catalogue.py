@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
-from check_oracles import compare
+from check_oracles import compare, duckdb_rows, normalised
 
 from __spark_entry__ import entry, oracle_sql, queries
+from quayside.plans import catalogue
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -18,5 +19,12 @@ def test_query_equals_its_sql(spark, name):
     assert same and rows
 
 
+@pytest.mark.parametrize("rows_per_task", [7, 100])
+def test_paged_extract_with_split_chunks(spark, rows_per_task):
+    frame = catalogue.paged_extract(spark, SMALL, rows_per_task)
+    found = normalised(frame.columns, [tuple(r) for r in frame.collect()])
+    assert found == duckdb_rows(SMALL, oracle_sql()["paged_extract"])
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
