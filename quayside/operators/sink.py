@@ -41,12 +41,13 @@ def storage_format(spark: SparkSession, name: str) -> str:
         return _AVRO_CLASS
 
 
-def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one sub-partition together, so that tasks do not each write a small file for every value.
 
-    Adaptive execution sizes the result: small values share a task, a value with much data is split over several.
+    Adaptive execution sizes the result: little data shares a task, a value with much of it is split over several.
+    Without columns it only evens out the tasks, which suits a few rows left over from many.
     """
-    return df.hint("rebalance", *columns) if columns else df
+    return df.hint("rebalance", *columns)
 
 
 def write_partition(

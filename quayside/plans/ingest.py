@@ -240,7 +240,9 @@ def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: l
         *[(F.col(f"r{rows.index(b)}") == "").alias(f"b{j}") for j, b in enumerate(blanks)],
     )
     counts = Observation()
-    counted = sink.clustered(flagged, [f"t{rows.index(c)}" for c in partition_by]).observe(
+    if partition_by:
+        flagged = sink.clustered(flagged, [f"t{rows.index(c)}" for c in partition_by])
+    counted = flagged.observe(
         counts,
         F.count(F.lit(1)).alias("processed"),
         F.count_if("failed").alias("error_rows"),
@@ -264,7 +266,10 @@ def raw_line_column(contract: Contract) -> str:
 
 
 def _write_quarantine(rows: cast.CastRows, params: IngestParams, path: str, errors: int) -> None:
-    """Write the originals of failed rows. A run without any only empties the partition, and does not parse again."""
+    """Write the originals of failed rows. A run without any only empties the partition, and does not parse again.
+
+    Failed rows are few and come from all tasks; they are gathered before they are written.
+    """
     partition_by = sink.partition_columns(params.partition_by)
     originals = cast.quarantine_rows(rows, raw_line_column(rows.contract))
     if not errors:

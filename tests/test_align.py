@@ -64,7 +64,7 @@ def test_malformed_lines(align_all):
     frame = align_all(['{"sys_id":"a","n":"1"}', "not json", '{"sys_id":"b"', '"text"'])
     result = cast.cast_rows(frame, CONTRACT)
     assert rows(cast.quarantine_rows(result, "_raw").select("_raw")) == [('"text"',), ("not json",), ('{"sys_id":"b"',)]
-    assert cast.typed_rows(result).count() == 4
+    assert [r["sys_id"] for r in cast.typed_rows(result).orderBy("sys_id").collect()] == ["", "", "", "a"]
     assert [tuple(r) for r in cast.error_summary(result).collect()] == [("", "json", 3)]
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,22 @@ def test_a_good_rerun_empties_the_quarantine(spark, make_source, params):
     assert spark.read.schema(CONTRACT.text_schema).parquet(result.quarantine_path).count() == 0
 
 
+def test_few_failed_rows_make_few_files(spark, params, tmp_path):
+    frame = spark.range(0, 4000, 1, 40).selectExpr(
+        "lpad(string(id), 5, '0') AS key", "'2024-01-01 00:00:00' AS at", "if(id % 100 = 0, 'bad', '1') AS v", "'a' AS kind"
+    )
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        result = run(spark, frame, CONTRACT, params)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    files = lambda path: len([f for f in Path(path.removeprefix("file:")).glob("part-*")])
+    assert files(result.typed_path) >= 8
+    assert result.report["error_rows"] == 40 and files(result.quarantine_path) == 1
+
+
 @pytest.mark.parametrize("partition_by", ["", "kind"])
 def test_no_records(spark, make_source, params, partition_by):
     window = replace(params, window_start="2030-01-01", window_end="2030-01-02", partition_by=partition_by)

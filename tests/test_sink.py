@@ -36,7 +36,7 @@ def test_round_trip_and_rerun(spark, tmp_path, fmt, partition_by):
     sink.write_partition(spark.sql(ROWS.format(n=5)), other, partition_by, fmt, CONTRACT)
     for n in (20, 10, 10):
         rows = spark.sql(ROWS.format(n=n))
-        sink.write_partition(sink.clustered(rows, partition_by), path, partition_by, fmt, CONTRACT)
+        sink.write_partition(sink.clustered(rows, partition_by) if partition_by else rows, path, partition_by, fmt, CONTRACT)
         written = sink.read_partition(spark, path, CONTRACT, fmt)
         assert written.schema.simpleString() == "struct<id:bigint,code:string,at:timestamp>"
         assert sorted(written.collect()) == sorted(rows.collect())
