@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.names import quoted
@@ -12,7 +11,7 @@ from quayside.sources.contract import Contract
 
 AVRO = "avro"
 PARQUET = "parquet"
-# The class behind the short name, for installations that lack the external package.
+# The class behind the short name. The name itself is known only where the external package is deployed.
 _AVRO_CLASS = "org.apache.spark.sql.avro.AvroFileFormat"
 
 
@@ -30,15 +29,9 @@ def quarantine_dir(output_dir: str, table: str, run_partition: str) -> str:
     return table_dir(output_dir, f"{table}_err", run_partition)
 
 
-def storage_format(spark: SparkSession, name: str) -> str:
-    """The data source to use for `parquet` or `avro`."""
-    if name != AVRO:
-        return name
-    try:
-        spark.read.format(AVRO).schema("probe string").load([])
-        return AVRO
-    except AnalysisException:
-        return _AVRO_CLASS
+def storage_format(name: str) -> str:
+    """The data source behind `parquet` or `avro`."""
+    return _AVRO_CLASS if name == AVRO else name
 
 
 def clustered(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +56,7 @@ def write_partition(
         writer = writer.option("recordName", contract.name)
         if contract.namespace:
             writer = writer.option("recordNamespace", contract.namespace)
-    writer.format(storage_format(df.sparkSession, sink_format)).save(path)
+    writer.format(storage_format(sink_format)).save(path)
 
 
 def read_partition(
@@ -71,5 +64,5 @@ def read_partition(
 ) -> DataFrame:
     """Read a written partition with the contract's types, not with types guessed from directory names."""
     schema = contract.text_schema if as_text else contract.schema
-    reader = spark.read.format(storage_format(spark, sink_format)).schema(schema)
+    reader = spark.read.format(storage_format(sink_format)).schema(schema)
     return reader.load(path).select(*[quoted(n) for n in contract.names])

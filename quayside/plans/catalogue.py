@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import align, audit, cast, extract, paging, retention, sink
-from quayside.plans.ingest import IngestParams, run
+from quayside.plans.ingest import IngestParams, RunResult, run
 from quayside.plans.pagefiles import page_files, page_files_service
 from quayside.sources.contract import Contract, parse_contract
 from quayside.sources.idfile import read_id_file
 from quayside.sources.landing import as_lines, land
-from quayside.sources.paged import PagedScan, read_paged
+from quayside.sources.paged import OFFSETS, PagedScan, read_paged
 from quayside.sources.storage import scratch_path
 
 CONTRACT = """
@@ -158,6 +158,16 @@ def paged_extract(spark: SparkSession, sf_dir: str, rows_per_task: int = 1_000_0
     return lines.select(record.alias("r")).select("r.*")
 
 
+def paged_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the window, read by offset in six ranges."""
+    layout = (*WINDOW, 1)
+    rows = extract.extract_window(service_rows(spark, sf_dir), "sys_updated_on", *WINDOW)
+    service = page_files_service(spark, page_files(rows, "sys_id", "sys_updated_on", *layout), "sys_id", *layout)
+    scan = PagedScan("events", "sys_id", "sys_updated_on", OFFSETS, *WINDOW, num_ranges=6, fields=("sys_id", "amount"))
+    lines = read_paged(spark, service, scan)
+    return lines.select(F.from_json("value", "sys_id string, amount string").alias("r")).select("r.*")
+
+
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [{"name": n, "type": "string"} for n in ("k", "unit", "note")]
     wanted = parse_contract(json.dumps({"type": "record", "name": "props", "fields": fields}))
@@ -187,8 +197,14 @@ def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast.error_summary(cast_events(spark, sf_dir, cast.ROW_STICKY)).select("field", "n")
 
 
-def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole run, and what its audit table says."""
+def error_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected value with the key of its record."""
+    listed = cast.error_lists(cast_events(spark, sf_dir, cast.ROW_STICKY))
+    return listed.select(F.col("raw.sys_id").alias("sys_id"), F.inline("errors"))
+
+
+def ingest_events(spark: SparkSession, sf_dir: str, **options) -> tuple[RunResult, str]:
+    """A whole run over the service records."""
     params = IngestParams(
         table="event_row",
         run_partition="20240130",
@@ -196,12 +212,30 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         key_col="sys_id",
         updated_col="sys_updated_on",
         num_chunks=8,
-        partition_by="category",
+        **options,
     )
     result = run(spark, service_rows(spark, sf_dir), contract(), params)
     if result.audit_error:
         raise result.audit_error
-    return audit.read_audit(spark, params.output_dir).select(
+    return result, params.output_dir
+
+
+def ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run writes to the typed table, in Avro."""
+    result, _ = ingest_events(spark, sf_dir, sink_format=sink.AVRO)
+    return sink.read_partition(spark, result.typed_path, contract(), sink.AVRO)
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run writes to the quarantine, with sub-partitions."""
+    result, _ = ingest_events(spark, sf_dir, partition_by="category")
+    return sink.read_partition(spark, result.quarantine_path, contract(), as_text=True)
+
+
+def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit table says of a run."""
+    _, output_dir = ingest_events(spark, sf_dir, partition_by="category")
+    return audit.read_audit(spark, output_dir).select(
         "processed", "unique_keys", "error_rows", F.col("blanks")["user_id"].alias("blank_user_id")
     )
 
@@ -238,12 +272,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         id_file_scan,
         id_batches,
         paged_extract,
+        paged_offsets,
         schema_diff,
         blank_profile,
         typed_cast,
         typed_cast_field,
         quarantine,
         error_summary,
+        error_details,
+        ingest_typed,
+        ingest_quarantine,
         ingest_report,
         partition_profile,
         retention_plan,
@@ -265,6 +303,16 @@ _FLAGS = """flags AS (
     (active <> '' AND active NOT IN ('true', 'false')) AS e3
   FROM api)"""
 
+_TYPED = f"""WITH {_API}, {_FLAGS}
+SELECT sys_id, CASE WHEN e1 OR user_id = '' THEN 0 ELSE TRY_CAST(user_id AS INT) END AS user_id,
+  CASE WHEN e1 OR e2 OR amount = '' THEN 0.0 ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
+  CASE WHEN e1 OR e2 OR e3 OR active = '' THEN FALSE ELSE active = 'true' END AS active,
+  CASE WHEN e1 OR e2 OR e3 THEN '' ELSE category END AS category, CAST(NULL AS VARCHAR) AS note
+FROM flags"""
+
+_QUARANTINE = f"""WITH {_API}, {_FLAGS}
+SELECT sys_id, user_id, amount, active, category, '' AS note FROM flags WHERE e1 OR e2 OR e3"""
+
 ORACLES: dict[str, str] = {
     "extract_window": f"""WITH {_API}
 SELECT sys_id, sys_updated_on, category FROM api
@@ -304,6 +352,8 @@ SELECT CAST(i % (CAST(FLOOR(n / 100) AS BIGINT) + 1) AS BIGINT) AS batch, COUNT(
     "paged_extract": f"""WITH {_API}
 SELECT sys_id, sys_updated_on, category FROM api
 WHERE sys_updated_on >= '{WINDOW[0]}' AND sys_updated_on <= '{WINDOW[1]}'""",
+    "paged_offsets": f"""WITH {_API}
+SELECT sys_id, amount FROM api WHERE sys_updated_on >= '{WINDOW[0]}' AND sys_updated_on <= '{WINDOW[1]}'""",
     "schema_diff": """WITH seen AS (SELECT DISTINCT k FROM (SELECT unnest(json_keys(props)) AS k FROM events) t),
 want AS (SELECT * FROM (VALUES ('k'), ('unit'), ('note')) v(k))
 SELECT COALESCE(w.k, s.k) AS col_name,
@@ -312,23 +362,23 @@ FROM want w FULL OUTER JOIN seen s ON lower(w.k) = lower(s.k)""",
     "blank_profile": f"""WITH {_API}
 SELECT 'user_id' AS field, COUNT(*) FILTER (WHERE user_id = '') AS blanks FROM api
 UNION ALL SELECT 'amount', COUNT(*) FILTER (WHERE amount = '') FROM api""",
-    "typed_cast": f"""WITH {_API}, {_FLAGS}
-SELECT sys_id, CASE WHEN e1 OR user_id = '' THEN 0 ELSE TRY_CAST(user_id AS INT) END AS user_id,
-  CASE WHEN e1 OR e2 OR amount = '' THEN 0.0 ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
-  CASE WHEN e1 OR e2 OR e3 OR active = '' THEN FALSE ELSE active = 'true' END AS active,
-  CASE WHEN e1 OR e2 OR e3 THEN '' ELSE category END AS category, CAST(NULL AS VARCHAR) AS note
-FROM flags""",
+    "typed_cast": _TYPED,
+    "ingest_typed": _TYPED,
     "typed_cast_field": f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, CASE WHEN e1 OR user_id = '' THEN 0 ELSE TRY_CAST(user_id AS INT) END AS user_id,
   CASE WHEN e2 OR amount = '' THEN 0.0 ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
   CASE WHEN e3 OR active = '' THEN FALSE ELSE active = 'true' END AS active, category
 FROM flags""",
-    "quarantine": f"""WITH {_API}, {_FLAGS}
-SELECT sys_id, user_id, amount, active, category, '' AS note FROM flags WHERE e1 OR e2 OR e3""",
+    "quarantine": _QUARANTINE,
+    "ingest_quarantine": _QUARANTINE,
     "error_summary": f"""WITH {_API}, {_FLAGS}
 SELECT 'user_id' AS field, COUNT(*) AS n FROM flags WHERE e1
 UNION ALL SELECT 'amount', COUNT(*) FROM flags WHERE e2
 UNION ALL SELECT 'active', COUNT(*) FROM flags WHERE e3""",
+    "error_details": f"""WITH {_API}, {_FLAGS}
+SELECT sys_id, 'user_id' AS field, 'int' AS type, user_id AS raw FROM flags WHERE e1
+UNION ALL SELECT sys_id, 'amount', 'double', amount FROM flags WHERE e2
+UNION ALL SELECT sys_id, 'active', 'boolean', active FROM flags WHERE e3""",
     "ingest_report": f"""WITH {_API}, {_FLAGS}
 SELECT COUNT(*) AS processed, COUNT(DISTINCT sys_id) AS unique_keys,
   COUNT(*) FILTER (WHERE e1 OR e2 OR e3) AS error_rows, COUNT(*) FILTER (WHERE user_id = '') AS blank_user_id

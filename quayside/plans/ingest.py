@@ -5,16 +5,16 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions import ranges as ranges_of
 from quayside.functions.moments import Moment, as_text, chunk_bounds
 from quayside.functions.names import quoted
+from quayside.functions.ranges import check_page_size, offset_ranges, truncated_rows
 from quayside.operators import align, audit, cast, extract, paging, retention, sink
 from quayside.sources.contract import Contract, read_contract
 from quayside.sources.idfile import read_id_file
@@ -99,7 +99,7 @@ def _check(contract: Contract, params: IngestParams) -> None:
         raise ValueError(f"error_mode is one of {', '.join(cast.ERROR_MODES)}, not {params.error_mode!r}")
     if params.retention not in retention.RETENTION_MODES:
         raise ValueError(f"retention is one of {', '.join(retention.RETENTION_MODES)}, not {params.retention!r}")
-    ranges_of.check_page_size(params.page_size)
+    check_page_size(params.page_size)
     if params.extract_mode == OFFSETS and not params.count_probe:
         raise ValueError("reading by offsets needs the count probe")
     if params.extract_mode == IDS and not params.id_file:
@@ -137,7 +137,7 @@ def _chunk_ranges(rows: DataFrame, params: IngestParams) -> list[tuple]:
 def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
     size, most = params.page_size, params.max_pages_per_range
     report = []
-    for i, r in enumerate(ranges_of.offset_ranges(count, params.num_chunks)):
+    for i, r in enumerate(offset_ranges(count, params.num_chunks)):
         there = max(min(r.stop, count) - r.start, 0)
         kept = there if most is None else min(there, most * size)
         report.append((i, str(r.start), str(r.stop - 1), kept, None))
@@ -166,7 +166,7 @@ def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
     needed = list(dict.fromkeys([params.key_col, *fields]))
     layout = (params.num_chunks, params.page_size, params.max_pages_per_range)
     pages = paging.offset_pages(rows.select(*[F.col(quoted(c)) for c in needed]), params.key_col, *layout)
-    truncated = ranges_of.truncated_rows(expected, *layout)
+    truncated = truncated_rows(expected, *layout)
     return _Extraction(as_lines(pages.select(*picked)), fields, expected, truncated, ranges)
 
 
@@ -197,11 +197,9 @@ def _from_service(spark: SparkSession, service: PagedService, params: IngestPara
     if params.extract_mode == OFFSETS:
         if expected is None:
             raise ValueError("reading by offsets needs a service that can count")
-        scan = PagedScan(**{**scan.__dict__, "expected": expected})
-        truncated = ranges_of.truncated_rows(
-            expected, params.num_chunks, params.page_size, params.max_pages_per_range
-        )
-    done = F.when(F.col("value").isNull(), F.struct("range_id", "records", "requests"))
+        scan = replace(scan, expected=expected)
+        truncated = truncated_rows(expected, params.num_chunks, params.page_size, params.max_pages_per_range)
+    done = F.when(F.col("value").isNull(), F.struct("range_id", "low", "high", "records", "requests"))
     return _Extraction(
         read_paged(spark, service, scan),
         expected=expected,
@@ -221,8 +219,7 @@ def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, ru
     )
     land(counted.where("value IS NOT NULL"), path)
     if "ranges" in extraction.metrics:
-        done = sorted(seen.get["ranges"], key=lambda r: r["range_id"])
-        extraction.ranges = [(r["range_id"], None, None, r["records"], r["requests"]) for r in done]
+        extraction.ranges = sorted(tuple(r) for r in seen.get["ranges"])
     return path, seen.get["landed"]
 
 

@@ -43,8 +43,19 @@ CHUNKS = "chunks"
 OFFSETS = "offsets"
 
 SCHEMA = "range_id int, updated string, value string"
-# With range reports, each range ends in one row without a value that tells what reading it took.
-REPORT_SCHEMA = SCHEMA + ", records bigint, requests bigint"
+# With range reports, each range ends in one row without a value that tells what it was and what reading it took.
+REPORT_SCHEMA = SCHEMA + ", low string, high string, records bigint, requests bigint"
+_ARROW = pa.schema(
+    [
+        ("range_id", pa.int32()),
+        ("updated", pa.string()),
+        ("value", pa.string()),
+        ("low", pa.string()),
+        ("high", pa.string()),
+        ("records", pa.int64()),
+        ("requests", pa.int64()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -108,6 +119,11 @@ class _Range(InputPartition):
     request: PageRequest
     offsets: range | None = None
 
+    def bounds(self) -> tuple[str | None, str | None]:
+        if self.offsets is not None:
+            return str(self.offsets.start), str(self.offsets.stop - 1)
+        return tuple(None if m is None else as_text(m) for m in (self.request.lo, self.request.hi))
+
 
 def as_line(record: Mapping[str, Any]) -> str:
     return json.dumps(dict(record), ensure_ascii=False, separators=(",", ":"), default=str)
@@ -189,7 +205,8 @@ class _Reader(DataSourceReader):
             if page:
                 yield self._batch(partition.range_id, page)
         if self.scan.report_ranges:
-            yield self._arrow([partition.range_id], [None], [None], [records], [requests])
+            low, high = partition.bounds()
+            yield self._arrow([partition.range_id], [None], [None], [low], [high], [records], [requests])
 
     def _key_pages(self, partition: _Range) -> Iterator[list]:
         """Pages by exclusive key bound. Only an empty page ends the range: a service may well return short ones."""
@@ -213,19 +230,14 @@ class _Reader(DataSourceReader):
 
     def _batch(self, range_id: int, page: list) -> pa.RecordBatch:
         updated = [_text_of(r, self.scan.updated_col) for r in page]
-        n = len(page)
-        return self._arrow([range_id] * n, updated, [as_line(r) for r in page], [None] * n, [None] * n)
-
-    def _arrow(self, range_ids, updated, values, records, requests) -> pa.RecordBatch:
-        columns = {
-            "range_id": pa.array(range_ids, pa.int32()),
-            "updated": pa.array(updated, pa.string()),
-            "value": pa.array(values, pa.string()),
-        }
-        if self.scan.report_ranges:
-            columns["records"] = pa.array(records, pa.int64())
-            columns["requests"] = pa.array(requests, pa.int64())
-        return pa.RecordBatch.from_pydict(columns)
+        none = [None] * len(page)
+        return self._arrow([range_id] * len(page), updated, [as_line(r) for r in page], none, none, none, none)
+
+    def _arrow(self, *columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values, f.type) for values, f in zip(columns, _ARROW)],
+            schema=_ARROW,
+        ).select([f.name for f in _ARROW][: None if self.scan.report_ranges else 3])
 
 
 def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:

@@ -91,7 +91,11 @@ def test_run(spark, make_source, params):
     }
     assert report["missing_fields"] == ["missing"]
     assert report["blanks"] == {"v": 10}
-    assert sum(r[3] for r in report["ranges"]) == 100 and len(report["ranges"]) == 3
+    assert [r[:4] for r in report["ranges"]] == [
+        (0, "2024-01-01 00:00:00", "2024-01-01 19:00:00", 34),
+        (1, "2024-01-01 19:00:00", "2024-01-02 14:00:00", 33),
+        (2, "2024-01-02 14:00:00", "2024-01-03 09:00:00", 33),
+    ]
 
     partial = [(k, v, kind or None, m) for k, v, kind, m in expected_rows(rows)]
     assert typed(spark, result) == partial
@@ -174,6 +178,7 @@ def test_offsets(spark, make_source, params, cutoff):
     wanted = [r for i, r in enumerate(rows) if cutoff is None or i % 24 < 10 * cutoff]
     assert typed(spark, result) == expected_rows(wanted)
     assert (result.report["expected"], result.report["truncated"]) == (95, 95 - len(wanted))
+    assert [r[:3] for r in result.report["ranges"]] == [(0, "0", "23"), (1, "24", "47"), (2, "48", "71"), (3, "72", "95")]
     assert sum(r[3] for r in result.report["ranges"]) == len(wanted)
 
 
