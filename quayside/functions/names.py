@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores in front until no taken name equals it in any case."""
+    folded = {t.lower() for t in taken}
+    while name.lower() in folded:
+        name = "_" + name
+    return name
+
+
 def quoted(name: str) -> str:
     """A column or field name as one back-ticked SQL identifier."""
     return "`" + name.replace("`", "``") + "`"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.names import quoted, text_literal
+from quayside.functions.names import quoted, text_literal, unused
 from quayside.sources.contract import Contract
 
 Spellings = dict[str, list[str]]
@@ -52,14 +52,6 @@ def missing_fields(spellings: Spellings) -> list[str]:
     return [name for name, seen in spellings.items() if not seen]
 
 
-def bad_line_name(contract: Contract) -> str:
-    """A column for malformed lines whose name no field has."""
-    name = "_bad_line"
-    while name in {n.lower() for n in contract.names}:
-        name = "_" + name
-    return name
-
-
 def _text_ddl(names: list[str]) -> str:
     return ", ".join(f"{quoted(n)} STRING" for n in names)
 
@@ -71,7 +63,7 @@ def align_lines(lines: DataFrame, contract: Contract, spellings: Spellings, colu
     case, so the parse schema uses the observed spellings. A field seen in several spellings is read once per spelling
     and the first one present in a record counts.
     """
-    bad = bad_line_name(contract)
+    bad = unused("_bad_line", contract.names)
     depth = max([len(s) for s in spellings.values()] + [1])
     layers = [[s[i] for s in spellings.values() if len(s) > i] for i in range(depth)]
     layers[0] = layers[0] + [bad]
@@ -97,7 +89,7 @@ def read_aligned(spark: SparkSession, path: str, contract: Contract, spellings:
     observed = [seen[0] for seen in spellings.values() if seen]
     if not observed or any(len(seen) > 1 for seen in spellings.values()):
         return align_lines(spark.read.text(path), contract, spellings)
-    bad = bad_line_name(contract)
+    bad = unused("_bad_line", contract.names)
     scan = spark.read.schema(_text_ddl([*observed, bad])).option("columnNameOfCorruptRecord", bad).json(path)
     fields = [
         (f"coalesce({quoted(seen[0])}, '')" if seen else "''") + f" AS {quoted(name)}"

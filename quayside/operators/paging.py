@@ -7,17 +7,25 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.names import quoted
+from quayside.functions.names import quoted, unused
 from quayside.functions.ranges import check_page_size, range_size
 from quayside.sources.storage import scratch_path
 
 # monotonically_increasing_id(): the partition number is above bit 33, the row's place in the partition below.
 _PARTITION_BITS = 33
 
+PAGE_COLUMNS = ("off", "rng", "page")
+
 def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
+def _check_new(df: DataFrame, names: tuple[str, ...]) -> None:
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"the records already have columns named {', '.join(sorted(taken))}")
+
+
 def with_position(df: DataFrame, key_col: str, position_col: str = "off") -> tuple[DataFrame, int]:
     """Number all records 0, 1, 2, … in key order, and return them with their count.
 
@@ -26,53 +34,62 @@ def with_position(df: DataFrame, key_col: str, position_col: str = "off") -> tup
     shared folder and both steps read that copy. The tie breaker lets records of one frequent key spread over several
     partitions. Only partition sizes reach the driver.
     """
+    _check_new(df, (position_col,))
     spark = df.sparkSession
     path = scratch_path(spark, "positions")
+    tie, slot = unused("_tie", df.columns), unused("_slot", df.columns)
     ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(quoted(key_col), "_tie")
-        .sortWithinPartitions(quoted(key_col), "_tie")
-        .drop("_tie")
-        .withColumn("_slot", F.monotonically_increasing_id())
+        df.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(quoted(key_col), tie)
+        .sortWithinPartitions(quoted(key_col), tie)
+        .drop(tie)
+        .withColumn(slot, F.monotonically_increasing_id())
     )
     ordered.write.mode("overwrite").parquet(path)
     stored = spark.read.schema(ordered.schema).parquet(path)
-    part = F.shiftright("_slot", _PARTITION_BITS).cast("int")
+    part = F.shiftright(slot, _PARTITION_BITS).cast("int")
     sizes = {r["part"]: r["n"] for r in stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    if not total:
-        return stored.select(*df.columns, F.lit(0).cast("bigint").alias(position_col)), 0
-    per_part = [sizes.get(p, 0) for p in range(max(sizes) + 1)]
+    per_part = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
     before = [0, *accumulate(per_part[:-1])]
-    place = F.col("_slot").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    first = F.get(F.lit(before).cast("array<bigint>"), part)
-    return stored.select(*[F.col(quoted(c)) for c in df.columns], (first + place).alias(position_col)), total
+    place = F.col(slot).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
+    first = F.expr(f"array({', '.join(f'{n}L' for n in before)})")
+    position = F.get(first, part) + place
+    return stored.select(*[F.col(quoted(c)) for c in df.columns], position.alias(position_col)), sum(per_part)
 
 
 def offset_pages(
-    df: DataFrame, key_col: str, ranges: int, page_size: int, max_pages_per_range: int | None = None
+    df: DataFrame,
+    key_col: str,
+    ranges: int,
+    page_size: int,
+    max_pages_per_range: int | None = None,
+    names: tuple[str, str, str] = PAGE_COLUMNS,
 ) -> DataFrame:
     """Records with their offset (`off`), offset range (`rng`) and page within the range (`page`).
 
     A cutoff keeps the first pages of every range.
     """
     check_page_size(page_size)
-    positioned, total = with_position(df, key_col, "off")
+    _check_new(df, names)
+    off, rng, page = names
+    positioned, total = with_position(df, key_col, off)
     size = range_size(total, ranges)
-    in_range = F.col("off") - F.col("rng").cast("bigint") * F.lit(size).cast("bigint")
-    paged = positioned.withColumn("rng", _div(F.col("off"), size).cast("int")).withColumn(
-        "page", _div(in_range, page_size).cast("int")
+    in_range = F.col(off) - F.col(rng).cast("bigint") * F.lit(size).cast("bigint")
+    paged = positioned.withColumn(rng, _div(F.col(off), size).cast("int")).withColumn(
+        page, _div(in_range, page_size).cast("int")
     )
-    return paged if max_pages_per_range is None else paged.where(F.col("page") < max_pages_per_range)
+    return paged if max_pages_per_range is None else paged.where(F.col(page) < max_pages_per_range)
 
 
 def id_batches(ids: DataFrame, id_col: str, ids_per_batch: int) -> DataFrame:
-    """Assign every key a request batch: its position in key order modulo the number of batches."""
+    """Assign every key a request batch (`batch`): its position in key order modulo the number of batches."""
     if ids_per_batch < 1:
         raise ValueError("a batch holds at least one key")
-    positioned, total = with_position(ids, id_col, "position")
+    _check_new(ids, ("batch",))
+    position = unused("_position", ids.columns)
+    positioned, total = with_position(ids, id_col, position)
     batches = total // ids_per_batch + 1
-    return positioned.withColumn("batch", F.pmod(F.col("position"), F.lit(batches).cast("bigint"))).drop("position")
+    return positioned.withColumn("batch", F.pmod(F.col(position), F.lit(batches).cast("bigint"))).drop(position)
 
 
 def keyset_audit(df: DataFrame, chunk_col: str, page_size: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.moments import Moment, as_text, chunk_bounds
-from quayside.functions.names import quoted
+from quayside.functions.names import quoted, unused
 from quayside.functions.ranges import check_page_size, offset_ranges, truncated_rows
 from quayside.operators import align, audit, cast, extract, paging, retention, sink
 from quayside.sources.contract import Contract, read_contract
@@ -24,6 +24,9 @@ from quayside.sources.paged import CHUNKS, OFFSETS, PagedScan, PagedService, fet
 IDS = "ids"
 EXTRACT_MODES = (CHUNKS, OFFSETS, IDS)
 
+# The quarantine's extra column, for lines that could not be parsed.
+RAW_LINE = "_raw"
+
 # The JVM does not compile methods beyond 8000 bytes. From some 30 fields on, the cast fused into one generated method
 # is larger and would be interpreted; with this limit Spark runs it as separate projections, twice as fast.
 SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
@@ -126,8 +129,9 @@ def _chunk_ranges(rows: DataFrame, params: IngestParams) -> list[tuple]:
     window = _table_window(rows, params)
     if window is None:
         return []
-    chunked = extract.with_chunk(rows, params.updated_col, *window, params.num_chunks)
-    found = {r["chunk"]: r["n"] for r in extract.chunk_report(chunked, params.updated_col).collect()}
+    times = rows.select(F.col(quoted(params.updated_col)).alias("updated"))
+    chunked = extract.with_chunk(times, "updated", *window, params.num_chunks)
+    found = {r["chunk"]: r["n"] for r in extract.chunk_report(chunked, "updated").collect()}
     bounds = chunk_bounds(*window, params.num_chunks)
     report = [(i, as_text(lo), as_text(hi), found.pop(i, 0), None) for i, (lo, hi) in enumerate(bounds)]
     # Records without a readable change time, possible only where no window is given.
@@ -165,7 +169,8 @@ def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
         return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=ranges)
     needed = list(dict.fromkeys([params.key_col, *fields]))
     layout = (params.num_chunks, params.page_size, params.max_pages_per_range)
-    pages = paging.offset_pages(rows.select(*[F.col(quoted(c)) for c in needed]), params.key_col, *layout)
+    names = tuple(unused(n, needed) for n in paging.PAGE_COLUMNS)
+    pages = paging.offset_pages(rows.select(*[F.col(quoted(c)) for c in needed]), params.key_col, *layout, names)
     truncated = truncated_rows(expected, *layout)
     return _Extraction(as_lines(pages.select(*picked)), fields, expected, truncated, ranges)
 
@@ -254,21 +259,13 @@ def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: l
     return found
 
 
-def raw_line_column(contract: Contract) -> str:
-    """The quarantine's extra column for malformed lines."""
-    name = "_raw"
-    while name in {n.lower() for n in contract.names}:
-        name = "_" + name
-    return name
-
-
 def _write_quarantine(rows: cast.CastRows, params: IngestParams, path: str, errors: int) -> None:
     """Write the originals of failed rows. A run without any only empties the partition, and does not parse again.
 
     Failed rows are few and come from all tasks; they are gathered before they are written.
     """
     partition_by = sink.partition_columns(params.partition_by)
-    originals = cast.quarantine_rows(rows, raw_line_column(rows.contract))
+    originals = cast.quarantine_rows(rows, unused(RAW_LINE, rows.contract.names))
     if not errors:
         originals = rows.frame.sparkSession.createDataFrame([], originals.schema)
     sink.write_partition(sink.clustered(originals, [quoted(c) for c in partition_by]), path, partition_by)

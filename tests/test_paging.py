@@ -98,3 +98,13 @@ def test_id_batches(spark, n):
     assert sum(r["count"] for r in batches) == n
     assert len(batches) == min(n, n // 100 + 1)
     assert all(r["count"] <= 100 for r in batches)
+
+
+def test_columns_of_the_records_are_left_alone(spark):
+    frame = spark.range(5).selectExpr("id", "id * 2 AS page", "id * 3 AS _slot", "id * 5 AS _tie")
+    with pytest.raises(ValueError, match="page"):
+        paging.offset_pages(frame, "id", 1, 2)
+    rows = paging.offset_pages(frame, "id", 1, 2, names=("off", "rng", "_page")).collect()
+    assert sorted(tuple(r) for r in rows) == [(i, 2 * i, 3 * i, 5 * i, i, 0, i // 2) for i in range(5)]
+    with pytest.raises(ValueError):
+        paging.id_batches(spark.range(3).selectExpr("id", "id AS batch"), "id", 10)

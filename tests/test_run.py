@@ -182,6 +182,17 @@ def test_offsets(spark, make_source, params, cutoff):
     assert sum(r[3] for r in result.report["ranges"]) == len(wanted)
 
 
+def test_a_field_named_like_a_page_column(spark, params):
+    contract = parse_contract(
+        json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": "long"} for n in ("key", "page", "off")]})
+    )
+    frame = spark.range(50).selectExpr("id AS key", "id * 2 AS page", "id * 3 AS off", "'2024-01-01 00:00:00' AS at")
+    few = replace(params, extract_mode="offsets", num_chunks=1, max_pages_per_range=2)
+    result = run(spark, frame, contract, few)
+    rows = sink.read_partition(spark, result.typed_path, contract).collect()
+    assert sorted(tuple(r) for r in rows) == [(i, 2 * i, 3 * i) for i in range(20)]
+
+
 def test_ids(spark, make_source, params, tmp_path):
     (tmp_path / "ids").write_text("00001,00002\n00093 ,,00002,99999\n")
     rows = source_rows(95)
