@@ -175,12 +175,18 @@ def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
     return _Extraction(as_lines(pages.select(*picked)), fields, expected, truncated, ranges)
 
 
-def _from_service(spark: SparkSession, service: PagedService, params: IngestParams) -> _Extraction:
+def _from_service(
+    spark: SparkSession, service: PagedService, contract: Contract, params: IngestParams
+) -> _Extraction:
+    # The reader notes the spellings of contract fields as records pass, which saves a pass over the landed files. Few
+    # ranges differ in them, so the set is small.
+    wanted = tuple(contract.names)
+    spellings = {"names": F.collect_set("names")}
     fields = tuple(params.fields)
     if params.extract_mode == IDS:
         ids = read_id_file(spark, params.id_file)
-        lines = fetch_ids(ids, service, params.table, fields, params.ids_per_batch, params.num_chunks)
-        return _Extraction(lines)
+        lines = fetch_ids(ids, service, params.table, fields, params.ids_per_batch, params.num_chunks, wanted)
+        return _Extraction(lines, metrics=spellings)
 
     scan = PagedScan(
         params.table,
@@ -194,7 +200,8 @@ def _from_service(spark: SparkSession, service: PagedService, params: IngestPara
         fields,
         extract.cleaned_filter(params.base_filter),
         params.max_pages_per_range,
-        report_ranges=True,
+        report=True,
+        wanted_names=wanted,
     )
     expected, truncated = None, 0
     if params.count_probe and service.count is not None:
@@ -209,7 +216,7 @@ def _from_service(spark: SparkSession, service: PagedService, params: IngestPara
         read_paged(spark, service, scan),
         expected=expected,
         truncated=truncated,
-        metrics={"ranges": F.collect_list(done)},
+        metrics={**spellings, "ranges": F.collect_list(done)},
     )
 
 
@@ -225,6 +232,8 @@ def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, ru
     land(counted.where("value IS NOT NULL"), path)
     if "ranges" in extraction.metrics:
         extraction.ranges = sorted(tuple(r) for r in seen.get["ranges"])
+    if "names" in extraction.metrics:
+        extraction.names = sorted({name for names in seen.get["names"] for name in names})
     return path, seen.get["landed"]
 
 
@@ -310,7 +319,7 @@ def _run(
         extraction, raw_path, landed = _Extraction(spark.read.text(source.path)), source.path, None
     else:
         from_service = isinstance(source, PagedService)
-        extraction = _from_service(spark, source, params) if from_service else _from_table(source, params)
+        extraction = _from_service(spark, source, contract, params) if from_service else _from_table(source, params)
         raw_path, landed = _land(spark, extraction, params, run_date)
 
     if extraction.names is None:

@@ -43,8 +43,9 @@ CHUNKS = "chunks"
 OFFSETS = "offsets"
 
 SCHEMA = "range_id int, updated string, value string"
-# With range reports, each range ends in one row without a value that tells what it was and what reading it took.
-REPORT_SCHEMA = SCHEMA + ", low string, high string, records bigint, requests bigint"
+# With reports, each range ends in one row without a value. It tells what the range was, what reading it took, and in
+# which spellings the wanted names came up in its records.
+REPORT_SCHEMA = SCHEMA + ", low string, high string, records bigint, requests bigint, names array<string>"
 _ARROW = pa.schema(
     [
         ("range_id", pa.int32()),
@@ -54,6 +55,7 @@ _ARROW = pa.schema(
         ("high", pa.string()),
         ("records", pa.int64()),
         ("requests", pa.int64()),
+        ("names", pa.list_(pa.string())),
     ]
 )
 
@@ -102,7 +104,8 @@ class PagedScan:
     base_filter: str | None = None
     max_pages_per_range: int | None = None
     expected: int | None = None
-    report_ranges: bool = False
+    report: bool = False
+    wanted_names: tuple[str, ...] = ()
 
     def request(self) -> PageRequest:
         """The request for everything in the window."""
@@ -134,6 +137,18 @@ def _text_of(record: Mapping[str, Any], name: str) -> str | None:
     return None if value is None else str(value)
 
 
+class _Spellings:
+    """The spellings in which wanted names come up in records."""
+
+    def __init__(self, wanted: Iterable[str]):
+        self.wanted = {name.lower() for name in wanted}
+        self.seen: set[str] = set()
+
+    def note(self, page: Iterable[Mapping[str, Any]]) -> None:
+        for record in page:
+            self.seen.update(k for k in record.keys() - self.seen if k.lower() in self.wanted)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, service: PagedService, scan: PagedScan):
         self.service = service
@@ -199,14 +214,17 @@ class _Reader(DataSourceReader):
             return
         pages = self._offset_pages(partition) if partition.offsets is not None else self._key_pages(partition)
         requests = records = 0
+        spellings = _Spellings(self.scan.wanted_names)
         for page in pages:
             requests += 1
             records += len(page)
+            spellings.note(page)
             if page:
                 yield self._batch(partition.range_id, page)
-        if self.scan.report_ranges:
+        if self.scan.report:
             low, high = partition.bounds()
-            yield self._arrow([partition.range_id], [None], [None], [low], [high], [records], [requests])
+            names = sorted(spellings.seen)
+            yield self._arrow([partition.range_id], [None], [None], [low], [high], [records], [requests], [names])
 
     def _key_pages(self, partition: _Range) -> Iterator[list]:
         """Pages by exclusive key bound. Only an empty page ends the range: a service may well return short ones."""
@@ -229,15 +247,14 @@ class _Reader(DataSourceReader):
             yield list(self.service.fetch(replace(partition.request, offset=start, limit=limit)))
 
     def _batch(self, range_id: int, page: list) -> pa.RecordBatch:
+        values = [as_line(r) for r in page]
         updated = [_text_of(r, self.scan.updated_col) for r in page]
-        none = [None] * len(page)
-        return self._arrow([range_id] * len(page), updated, [as_line(r) for r in page], none, none, none, none)
+        return self._arrow([range_id] * len(page), updated, values, *[[None] * len(page)] * (len(_ARROW) - 3))
 
     def _arrow(self, *columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(values, f.type) for values, f in zip(columns, _ARROW)],
-            schema=_ARROW,
-        ).select([f.name for f in _ARROW][: None if self.scan.report_ranges else 3])
+        names = _ARROW.names if self.scan.report else _ARROW.names[:3]
+        arrays = [pa.array(values, _ARROW.field(name).type) for name, values in zip(names, columns)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:
@@ -254,7 +271,7 @@ def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:
             return f"paged_{scan.table}"
 
         def schema(self) -> str:
-            return REPORT_SCHEMA if scan.report_ranges else SCHEMA
+            return REPORT_SCHEMA if scan.report else SCHEMA
 
         def reader(self, schema) -> DataSourceReader:
             return _Reader(service, scan)
@@ -277,22 +294,33 @@ def read_paged(spark: SparkSession, service: PagedService, scan: PagedScan) -> D
 
 
 def fetch_ids(
-    ids: DataFrame, service: PagedService, table: str, fields: tuple[str, ...], ids_per_batch: int, tasks: int
+    ids: DataFrame,
+    service: PagedService,
+    table: str,
+    fields: tuple[str, ...],
+    ids_per_batch: int,
+    tasks: int,
+    wanted_names: tuple[str, ...] = (),
 ) -> DataFrame:
     """Records of the given (distinct) keys as JSON lines (`value`), at most `ids_per_batch` keys per request.
 
     Keys are spread over `tasks` tasks and never collected. One request covers one batch: as keys are unique, a batch
-    cannot return more records than it has keys.
+    cannot return more records than it has keys. Every task ends in one row without a value that tells (`names`) in
+    which spellings the wanted names came up.
     """
     _ship_package()
     key = ids.columns[0]
     fetch = service.fetch
-    lines = pa.schema([("value", pa.string())])
+    lines = pa.schema([("value", pa.string()), ("names", pa.list_(pa.string()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spellings = _Spellings(wanted_names)
+
         def page(keys: list[str]) -> pa.RecordBatch:
-            request = PageRequest(table, len(keys), tuple(fields), ids=tuple(keys))
-            return pa.RecordBatch.from_pydict({"value": [as_line(r) for r in fetch(request)]}, lines)
+            found = list(fetch(PageRequest(table, len(keys), tuple(fields), ids=tuple(keys))))
+            spellings.note(found)
+            values = [as_line(r) for r in found]
+            return pa.RecordBatch.from_pydict({"value": values, "names": [None] * len(found)}, lines)
 
         waiting: list[str] = []
         for batch in batches:
@@ -302,6 +330,7 @@ def fetch_ids(
                 waiting = waiting[ids_per_batch:]
         if waiting:
             yield page(waiting)
+        yield pa.RecordBatch.from_pydict({"value": [None], "names": [sorted(spellings.seen)]}, lines)
 
     spread = ids.select(F.col(quoted(key)).cast("string").alias("id")).repartition(tasks, "id")
-    return spread.mapInArrow(read, "value string")
+    return spread.mapInArrow(read, "value string, names array<string>")

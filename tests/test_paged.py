@@ -89,7 +89,7 @@ def test_window_is_inclusive_and_chunks_do_not_overlap(spark):
 def test_hot_second_is_split(spark):
     """All records changed in one second: no window chunk can part them, the key can."""
     rows = records(100, per_second=1000)
-    scan = replace(SCAN, report_ranges=True)
+    scan = replace(SCAN, report=True)
     frame = read_paged(spark, list_service(rows, rows_per_task=30), scan)
     assert keys(frame.where("value IS NOT NULL")) == [r["key"] for r in rows]
     done = {r["range_id"]: (r["records"], r["requests"]) for r in frame.where("value IS NULL").collect()}
@@ -97,6 +97,15 @@ def test_hot_second_is_split(spark):
     assert [done[i][1] for i in sorted(done)] == [4, 4, 4, 2, 1, 1]
 
 
+def test_spellings_are_noted(spark):
+    rows = records(30)
+    for r in rows[10:]:
+        r["V"] = r.pop("v")
+    scan = replace(SCAN, num_ranges=1, report=True, wanted_names=("Key", "v", "other"))
+    done = read_paged(spark, list_service(rows), scan).where("value IS NULL").collect()
+    assert [r["names"] for r in done] == [["V", "key", "v"]]
+
+
 def test_without_a_count_chunks_stay_whole(spark):
     rows = records(100, per_second=1000)
     frame = read_paged(spark, list_service(rows, count=False, rows_per_task=30), SCAN)
@@ -175,7 +184,9 @@ def test_ids(spark, tmp_path, n):
         return list_service(rows).fetch(request)
 
     ids = spark.createDataFrame([(k,) for k in wanted], "id string")
-    frame = fetch_ids(ids, PagedService(fetch), "things", (), 100, tasks=2)
-    assert keys(frame) == sorted(k for k in wanted if k != "unknown")
+    frame = fetch_ids(ids, PagedService(fetch), "things", (), 100, tasks=2, wanted_names=("KEY", "w"))
+    names = [r["names"] for r in frame.where("value IS NULL").collect()]
+    assert {name for found in names for name in found} == ({"key"} if n else set())
+    assert keys(frame.where("value IS NOT NULL")) == sorted(k for k in wanted if k != "unknown")
     sizes = [int(p.name.split("_")[1]) for p in log.iterdir()]
     assert sum(sizes) == len(wanted) and max(sizes) <= 100

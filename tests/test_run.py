@@ -163,6 +163,17 @@ def test_window_filter_and_fields(spark, params):
     assert result.report["missing_fields"] == ["v", "missing"]
 
 
+def test_spellings_of_a_service(spark, params):
+    """A service that spells a field in two ways: both are read."""
+    rows = source_rows(30)
+    for i, r in enumerate(rows):
+        if i % 3 == 0:
+            r["KIND"] = r.pop("kind")
+    result = run(spark, list_service(rows), CONTRACT, params)
+    assert typed(spark, result) == expected_rows(source_rows(30))
+    assert result.report["missing_fields"] == ["missing"]
+
+
 def test_open_window(spark, params):
     frame = spark.createDataFrame([tuple(r.values()) for r in source_rows(30)], "key string, at string, v string, kind string")
     frame = frame.union(spark.sql("SELECT 'z', CAST(NULL AS string), '1', 'a'"))
