@@ -96,5 +96,5 @@ def read_aligned(spark: SparkSession, path: str, contract: Contract, spellings:
         for name, seen in spellings.items()
     ]
     # Spark refuses to read the malformed lines alone. The condition never holds; it ties them to a field.
-    some = quoted(observed[0])
-    return scan.selectExpr(*fields, f"CASE WHEN octet_length({some}) < 0 THEN {some} ELSE {quoted(bad)} END AS {quoted(bad)}")
+    some, line = quoted(observed[0]), quoted(bad)
+    return scan.selectExpr(*fields, f"CASE WHEN octet_length({some}) < 0 THEN {some} ELSE {line} END AS {line}")

@@ -28,7 +28,7 @@ BAD_LINE_KIND = "json"
 class CastRows:
     """Cast rows. `frame` has, per contract field, its text `r<i>` and its typed value `t<i>`, and besides
 
-    - `first_bad`, the 1-based position of the first rejected field, 0 when there is none
+    - `first_bad`, the 1-based position of the first rejected field, one past the last field when there is none
     - `bad_line`, the line itself where it was malformed
     - `failed`, whether the row has either
     - `e<i>`, for fields that can be rejected, whether it was
@@ -70,13 +70,14 @@ def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STIC
     # The arms stop at the first hit. An array of flags would be built for every row.
     rejected = {i: f"(r{i} <> '' AND c{i} IS NULL)" for i in fallible}
     arms = " ".join(f"WHEN {rejected[i]} THEN {i + 1}" for i in fallible)
-    located = converted.selectExpr("*", f"{f'CASE {arms} ELSE 0 END' if arms else '0'} AS first_bad")
+    beyond = len(fields) + 1
+    located = converted.selectExpr("*", f"{f'CASE {arms} ELSE {beyond} END' if arms else beyond} AS first_bad")
 
     typed = []
     for i, f in fields:
         value = f"c{i}" if i in rejected else grammar.converted(f, f"r{i}")
         if error_mode == ROW_STICKY and fallible and i >= fallible[0]:
-            value = f"CASE WHEN first_bad = 0 OR first_bad > {i + 1} THEN {value} END"
+            value = f"CASE WHEN first_bad > {i + 1} THEN {value} END"
         if not f.nullable:
             value = f"coalesce({value}, {grammar.default(f)})"
         typed.append(f"{value} AS t{i}")
@@ -85,7 +86,7 @@ def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STIC
         *typed,
         "first_bad",
         "bad_line",
-        "(first_bad > 0 OR bad_line IS NOT NULL) AS failed",
+        f"(first_bad < {beyond} OR bad_line IS NOT NULL) AS failed",
         *[f"{rejected[i]} AS e{i}" for i in fallible],
     )
     return CastRows(frame, contract)

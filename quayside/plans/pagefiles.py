@@ -71,7 +71,13 @@ class _Chunk:
 
 
 def page_files_service(
-    spark: SparkSession, path: str, key_col: str, start: Moment, end: Moment, chunks: int, rows_per_task: int = 1_000_000
+    spark: SparkSession,
+    path: str,
+    key_col: str,
+    start: Moment,
+    end: Moment,
+    chunks: int,
+    rows_per_task: int = 1_000_000,
 ) -> PagedService:
     """A service over what `page_files` wrote, for requests that ask for its chunks."""
     bounds = chunk_bounds(start, end, chunks)

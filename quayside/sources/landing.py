@@ -28,7 +28,8 @@ def landing_dir(output_dir: str, table: str, run_date: date) -> str:
 
 def as_lines(records: DataFrame) -> DataFrame:
     """Records as JSON text in the single column `value`; a null field is left out of its record."""
-    return records.select(F.to_json(F.struct(*[F.col(quoted(c)) for c in records.columns]), _JSON_OPTIONS).alias("value"))
+    record = F.struct(*[F.col(quoted(c)) for c in records.columns])
+    return records.select(F.to_json(record, _JSON_OPTIONS).alias("value"))
 
 
 def land(lines: DataFrame, path: str) -> None:

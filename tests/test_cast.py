@@ -227,6 +227,15 @@ def test_text_only_contract(spark):
     assert cast.error_summary(rows).count() == 0
 
 
+def test_quarantine_holds_the_rows_without_a_null(spark):
+    """Selecting by error gives what dropping rows with nulls gives when the text of good rows is nulled."""
+    contract = contract_of(k="string", a="int", b=["null", "double"])
+    rows = [(str(i), "x" if i % 3 else "1", "" if i % 2 else "y") for i in range(12)]
+    result = cast.cast_rows(aligned(spark, contract, rows), contract)
+    nulled = result.frame.select(*[F.when(F.col("failed"), c).alias(n) for c, n in zip(result.text_columns(), contract.names)])
+    assert sorted(nulled.na.drop().collect()) == sorted(cast.quarantine_rows(result).collect())
+
+
 def test_no_python_in_the_plan(spark):
     contract = contract_of(**MIXED)
     rows = cast.cast_rows(aligned(spark, contract, [("",) * 7]), contract)

@@ -6,7 +6,6 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 from test_paged import list_service
 
 from quayside import IngestParams, LandedLines, parse_contract, run
