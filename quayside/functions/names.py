@@ -15,6 +15,12 @@ def unused(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def name_list(spec: str | Iterable[str]) -> list[str]:
+    """Names from a list or from comma-separated text; blanks are dropped."""
+    names = spec.split(",") if isinstance(spec, str) else spec
+    return [n.strip() for n in names if n.strip()]
+
+
 def quoted(name: str) -> str:
     """A column or field name as one back-ticked SQL identifier."""
     return "`" + name.replace("`", "``") + "`"

@@ -15,12 +15,6 @@ PARQUET = "parquet"
 _AVRO_CLASS = "org.apache.spark.sql.avro.AvroFileFormat"
 
 
-def partition_columns(spec: str | Sequence[str]) -> list[str]:
-    """Partition columns from a list or from comma-separated text; blanks are dropped."""
-    names = spec.split(",") if isinstance(spec, str) else spec
-    return [n.strip() for n in names if n.strip()]
-
-
 def table_dir(output_dir: str, table: str, run_partition: str) -> str:
     return f"{output_dir.rstrip('/')}/{table}/dt={run_partition}"
 

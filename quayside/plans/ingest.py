@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.moments import Moment, as_text, chunk_bounds
-from quayside.functions.names import quoted, unused
+from quayside.functions.names import name_list, quoted, unused
 from quayside.functions.ranges import check_page_size, offset_ranges, truncated_rows
 from quayside.operators import align, audit, cast, extract, paging, retention, sink
 from quayside.sources.contract import Contract, read_contract
@@ -49,7 +49,7 @@ class IngestParams:
     window_start: Moment | None = None
     window_end: Moment | None = None
     base_filter: str | None = None
-    fields: Sequence[str] = ()
+    fields: str | Sequence[str] = ()
     extract_mode: str = CHUNKS
     num_chunks: int = 1
     page_size: int = 1000
@@ -108,7 +108,7 @@ def _check(contract: Contract, params: IngestParams) -> None:
     if params.extract_mode == IDS and not params.id_file:
         raise ValueError("reading by ids needs an id_file")
     known = {n.lower() for n in contract.names}
-    wanted = [params.key_col, *sink.partition_columns(params.partition_by), *(params.blank_fields or ())]
+    wanted = [params.key_col, *name_list(params.partition_by), *(params.blank_fields or ())]
     unknown = [n for n in wanted if n.lower() not in known]
     if unknown:
         raise ValueError(f"not in contract {contract.name}: {', '.join(unknown)}")
@@ -149,7 +149,7 @@ def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
 
 
 def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
-    fields = list(params.fields) or df.columns
+    fields = name_list(params.fields) or df.columns
     picked = [F.col(quoted(f)) for f in fields]
     if params.extract_mode == IDS:
         ids = read_id_file(df.sparkSession, params.id_file)
@@ -182,7 +182,7 @@ def _from_service(
     # ranges differ in them, so the set is small.
     wanted = tuple(contract.names)
     spellings = {"names": F.collect_set("names")}
-    fields = tuple(params.fields)
+    fields = tuple(name_list(params.fields))
     if params.extract_mode == IDS:
         ids = read_id_file(spark, params.id_file)
         lines = fetch_ids(ids, service, params.table, fields, params.ids_per_batch, params.num_chunks, wanted)
@@ -243,7 +243,7 @@ def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: l
     The counts are taken behind the shuffle that clusters sub-partitions, in the stage that writes: a stage that runs
     again after a lost executor would count its rows twice, a write task that succeeds counts once.
     """
-    partition_by = sink.partition_columns(params.partition_by)
+    partition_by = name_list(params.partition_by)
     flagged = rows.frame.select(
         *[f"t{i}" for i in range(len(rows.contract.fields))],
         "failed",
@@ -273,7 +273,7 @@ def _write_quarantine(rows: cast.CastRows, params: IngestParams, path: str, erro
 
     Failed rows are few and come from all tasks; they are gathered before they are written.
     """
-    partition_by = sink.partition_columns(params.partition_by)
+    partition_by = name_list(params.partition_by)
     originals = cast.quarantine_rows(rows, unused(RAW_LINE, rows.contract.names))
     if not errors:
         originals = rows.frame.sparkSession.createDataFrame([], originals.schema)

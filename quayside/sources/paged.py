@@ -202,11 +202,12 @@ class _Reader(DataSourceReader):
         if self.service.count is None:
             return [chunk]
         step = self.service.rows_per_task
-        edges = []
+        edges: list[str] = []
         for offset in range(step - 1, self.service.count(chunk) - 1, step):
             at = list(self.service.fetch(replace(chunk, offset=offset, limit=1)))
-            if at:
-                edges.append(str(at[0][self.scan.key_col]))
+            key = str(at[0][self.scan.key_col]) if at else None
+            if key is not None and key not in edges[-1:]:
+                edges.append(key)
         return [replace(chunk, after=a, upto=b) for a, b in zip([None, *edges], [*edges, None])]
 
     def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:

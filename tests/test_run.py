@@ -155,7 +155,7 @@ def test_no_records(spark, make_source, params, partition_by):
 def test_window_filter_and_fields(spark, params):
     rows = source_rows(60)
     frame = spark.createDataFrame([tuple(r.values()) for r in rows], "key string, at string, v string, kind string")
-    some = replace(params, window_end="2024-01-01 23:59:59", base_filter="kind = 'a'", fields=["key", "kind"])
+    some = replace(params, window_end="2024-01-01 23:59:59", base_filter="kind = 'a'", fields="key,kind")
     result = run(spark, frame, CONTRACT, some)
     wanted = [r for r in rows if r["at"] < "2024-01-02" and r["kind"] == "a"]
     assert typed(spark, result) == [(r["key"], 0, "a", None) for r in wanted]
