@@ -108,3 +108,27 @@ def test_extract_ids(spark, monkeypatch, broadcast_bytes):
     assert sorted(r["v"] for r in found.collect()) == ["w", "y", "z"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert ("broadcast" in plan) == bool(broadcast_bytes)
+
+
+def test_a_frequent_key_is_split_where_the_list_is_long(spark, monkeypatch):
+    """A third of the records share one key: adaptive execution splits its partition of the shuffle join."""
+    monkeypatch.setattr(extract, "BROADCAST_BYTES", 0)
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        records = spark.range(0, 300_000, 1, 24).selectExpr("if(id % 3 = 0, 7, id) AS id", "sha2(string(id), 512) AS v")
+        keys = spark.range(0, 300_000, 7).selectExpr("string(id) AS id")
+        longest = extract.extract_ids(records, keys, "id").selectExpr("count(1) AS n", "max(v) AS v")
+        wanted = 100_000 + sum(1 for i in range(0, 300_000, 7) if i % 3 and i != 7)
+        assert longest.collect()[0]["n"] == wanted + 1
+        assert "skew=true" in longest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
