@@ -11,6 +11,7 @@ import numpy as np
 END = 256
 SYMBOLS = 257
 BITS = 9
+DISCOUNT = 0.3
 
 
 def grams(data: bytes, order: int) -> np.ndarray:
@@ -61,10 +62,10 @@ def found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
 def code_lengths(wanted: np.ndarray, levels: list[Level]) -> np.ndarray:
     """log10 probability of the symbol of each gram in `wanted`; `levels` go from order 0 to the order of the grams.
 
-    From the longest context down: a symbol that the context has seen has probability (2c - 1) / 2n, the escape to the
-    next shorter context d / 2n, where n counts what the context saw and d how many different symbols. Symbols that the
-    longer context knows are excluded from the counts of the shorter one. What order 0 has not seen is shared evenly by
-    the symbols left over.
+    From the longest context down: a symbol that the context has seen c times has probability (c - DISCOUNT) / n, the
+    escape to the next shorter context DISCOUNT * d / n, where n counts what the context saw and d how many different
+    symbols. Symbols that the longer context knows are excluded from the counts of the shorter one. What order 0 has not
+    seen is shared evenly by the symbols left over.
     """
     result = np.zeros(len(wanted))
     todo = np.arange(len(wanted))
@@ -87,8 +88,8 @@ def code_lengths(wanted: np.ndarray, levels: list[Level]) -> np.ndarray:
         with np.errstate(divide="ignore", invalid="ignore"):
             result[todo] += np.where(
                 hit,
-                np.log10((2 * count - 1) / (2 * total)),
-                np.where(total > 0, np.log10(distinct / (2 * total)), 0.0),
+                np.log10((count - DISCOUNT) / total),
+                np.where(total > 0, np.log10(DISCOUNT * distinct / total), 0.0),
             )
         todo = todo[~hit]
         above = level
@@ -98,13 +99,17 @@ def code_lengths(wanted: np.ndarray, levels: list[Level]) -> np.ndarray:
 
 
 def levels_of(keys: np.ndarray, counts: np.ndarray, order: int, lowest: int = 0) -> list[Level]:
-    """Levels `lowest` to `order` from the counts of the longest grams."""
+    """Levels `lowest` to `order` from the counts of the longest grams.
+
+    A shorter gram counts once for each different byte in front of it that it was seen with, not for every time: a
+    shorter context is asked only about what is new to the longer one (update exclusion).
+    """
     trained = counts > 0
     keys, counts = keys[trained], counts[trained]
     built: list[Level] = []
     for length in range(order, lowest - 1, -1):
         level = Level(keys & mask(length), counts)
-        keys, counts = level.keys, level.counts
+        keys, counts = level.keys, np.ones_like(level.counts)
         built.append(level)
     return built[::-1]
 

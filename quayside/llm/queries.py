@@ -10,12 +10,27 @@ from quayside.llm.common import documents
 from quayside.llm.licenses import PHRASES, license_scan
 from quayside.llm.linededup import line_bitmaps, without_lines
 from quayside.llm.linequality import line_quality
+from quayside.llm.mixing import mixed
+from quayside.llm.neardup import near_duplicates
 from quayside.llm.pieces import encoded
+from quayside.llm.ppm import ppm_scores
 from quayside.llm.tokencounts import token_attribution
 from quayside.llm.topk import top_k
+from quayside.llm.toxicity import chain_of, scored
 
 MIN_LINE_DOCS = 10
 MIN_WORDS = 50
+TOXIC_FROM = 0.5
+SOURCE_WEIGHTS = [3, 1, 2]
+MIX_BUDGET = 1.5
+NEAR_PERCENT = 85
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chain = chain_of(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    probabilities = [F.col(c).alias(f"p_{c}") for c in chain.categories]
+    return scored(docs, chain).select("doc_id", *probabilities, (F.col("toxic") >= TOXIC_FROM).alias("toxic"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +56,32 @@ GROUP BY doc_id
 """
 
 
+def op3_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixed(documents(spark, sf_dir), SOURCE_WEIGHTS, MIX_BUDGET)
+    return plan.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
+def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learns = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
+    scores = ppm_scores(documents(spark, sf_dir), learns)
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("learned")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = encoded(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.select(
@@ -85,6 +126,16 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir), NEAR_PERCENT)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and of its paragraphs; a token that crosses belongs to the one with its first character."""
     counted = token_attribution(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -121,10 +172,14 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_line_dedup,
+        op3_entropy_mix,
+        op4_ppm_scores,
         op5_sentencepiece,
         op6_line_quality,
         op7_license_scan,
+        op8_near_duplicates,
         op9_token_counts,
         op10_exact_top_k,
     )
