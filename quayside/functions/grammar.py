@@ -29,14 +29,20 @@ class Rule:
 # The accepted text forms.
 INTEGER = r"r'^[+-]?[0-9]+\z'"
 DECIMAL = r"r'^[+-]?[0-9]+([.][0-9]+)?\z'"
-FLOATING = r"r'^[+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?\z'"
+FLOATING = r"r'^([+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?|-?Infinity|NaN)\z'"
 DAY = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2}\z'"
-MOMENT = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z'"
+MOMENT = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?\z'"
+BASE64 = "data:;base64,"
 
 _CAST = "try_cast({v} AS {type})"
 _ZERO = "CAST(0 AS {type})"
 _OBJECT = "json_object_keys({v}) IS NOT NULL"
 _PARSED = "from_json({v}, {type_text})"
+# Text is its own bytes; binary columns of a table are landed as base64 behind a mark.
+_ENCODED = f"substr({{v}}, {len(BASE64) + 1})"
+_MARKED = f"startswith({{v}}, '{BASE64}')"
+_BINARY_OK = f"{{v}} <> '' AND (NOT {_MARKED} OR try_to_binary({_ENCODED}, 'base64') IS NOT NULL)"
+_BINARY = f"CASE WHEN {_MARKED} THEN try_to_binary({_ENCODED}, 'base64') ELSE encode({{v}}, 'UTF-8') END"
 
 RULES: dict[str, Rule] = {
     "string": Rule(None, "{v}", "''"),
@@ -52,8 +58,8 @@ RULES: dict[str, Rule] = {
         f"regexp_like({{v}}, {MOMENT})", "try_cast(concat({v}, 'Z') AS TIMESTAMP)", "timestamp_seconds(0)"
     ),
     "timestamp_ntz": Rule(f"regexp_like({{v}}, {MOMENT})", _CAST, "TIMESTAMP_NTZ '1970-01-01 00:00:00'"),
-    "bytes": Rule(None, "encode({v}, 'UTF-8')", "X''"),
-    "fixed": Rule("octet_length({v}) = {size}", "encode({v}, 'UTF-8')", "unhex(repeat('00', {size}))"),
+    "bytes": Rule(_BINARY_OK, _BINARY, "X''"),
+    "fixed": Rule(f"{_BINARY_OK} AND octet_length({_BINARY}) = {{size}}", _BINARY, "unhex(repeat('00', {size}))"),
     "record": Rule(_OBJECT, _PARSED, "from_json('{}', {type_text})"),
     "map": Rule(_OBJECT, _PARSED, "from_json('{}', {type_text})"),
     "array": Rule("json_array_length({v}) IS NOT NULL", _PARSED, "from_json('[]', {type_text})"),

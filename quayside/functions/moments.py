@@ -61,6 +61,15 @@ def bound_literal(moment: Moment, data_type: T.DataType) -> Column:
     raise TypeError(f"a change time cannot be of type {data_type.simpleString()}")
 
 
+def first_moment(start: Moment, data_type: T.DataType) -> datetime:
+    """The first moment from `start` on that a column of this type can hold: a day begins at midnight."""
+    moment = as_datetime(start)
+    midnight = moment.replace(hour=0, minute=0, second=0, microsecond=0)
+    if isinstance(data_type, T.DateType) and moment > midnight:
+        return midnight + timedelta(days=1)
+    return moment
+
+
 def epoch_micros(column: Column, data_type: T.DataType) -> Column:
     """Micros since the epoch, without a detour through the session zone."""
     if isinstance(data_type, T.TimestampType):

@@ -21,11 +21,3 @@ def offset_ranges(count: int, ranges: int) -> list[range]:
     """The ranges themselves. The offset `count` is in the plan though no record stands there."""
     size = range_size(count, ranges)
     return [range(low, min(low + size, count + 1)) for low in range(0, count + 1, size)]
-
-
-def truncated_rows(count: int, ranges: int, page_size: int, max_pages: int | None) -> int:
-    """Records a page cutoff leaves out."""
-    if max_pages is None:
-        return 0
-    kept = sum(min(max(min(r.stop, count) - r.start, 0), max_pages * page_size) for r in offset_ranges(count, ranges))
-    return count - kept

@@ -59,8 +59,9 @@ def _text_ddl(names: list[str]) -> str:
 def align_lines(lines: DataFrame, contract: Contract, spellings: Spellings, column: str = "value") -> DataFrame:
     """Parse JSON lines into text columns, the contract's fields in order, followed by the malformed line if it is one.
 
-    Null, absent and missing fields are all blank text; keys outside the contract are dropped. Parsing is sensitive to
-    case, so the parse schema uses the observed spellings. A field seen in several spellings is read once per spelling
+    Null, absent and missing fields are all blank text; keys outside the contract are dropped. Numbers that foreign lines
+    hold without quotes come out as Spark prints them; what this package lands has them as text, which stays as it is.
+    Parsing is sensitive to case, so the parse schema uses the observed spellings. A field seen in several spellings is read once per spelling
     and the first one present in a record counts.
     """
     bad = unused("_bad_line", contract.names)

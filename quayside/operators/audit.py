@@ -35,7 +35,7 @@ def unique_keys(typed: DataFrame, key_col: str) -> int:
 AUDIT_SCHEMA = """
     table_name string, run_partition string, extract_mode string, started_at timestamp, elapsed_ms bigint,
     expected bigint, landed bigint, processed bigint, unique_keys bigint, error_rows bigint, malformed bigint,
-    truncated bigint, missing_fields array<string>, blanks map<string, bigint>,
+    missing_fields array<string>, blanks map<string, bigint>,
     ranges array<struct<range_id: int, low: string, high: string, records: bigint, requests: bigint>>
 """
 
@@ -44,11 +44,14 @@ def audit_dir(output_dir: str) -> str:
     return f"{output_dir.rstrip('/')}/logs/runs"
 
 
-def append_audit(report: DataFrame, output_dir: str, run_date: date) -> None:
-    """Add a run report to the audit table, one partition per day."""
-    daily = report.coalesce(1).withColumn("run_date", F.lit(f"{run_date:%Y%m%d}"))
-    daily.write.mode("append").partitionBy("run_date").parquet(audit_dir(output_dir))
+def append_audit(report: DataFrame, output_dir: str, run_date: date, run_id: str) -> None:
+    """Add a run report to the audit table: a folder for the day, below it one for the run.
+
+    Runs that end at the same time write to folders of their own and cannot disturb each other.
+    """
+    path = f"{audit_dir(output_dir)}/run_date={run_date:%Y%m%d}/run_id={run_id}"
+    report.coalesce(1).write.mode("errorifexists").parquet(path)
 
 
 def read_audit(spark: SparkSession, output_dir: str) -> DataFrame:
-    return spark.read.schema(f"{AUDIT_SCHEMA}, run_date string").parquet(audit_dir(output_dir))
+    return spark.read.schema(f"{AUDIT_SCHEMA}, run_date string, run_id string").parquet(audit_dir(output_dir))

@@ -15,14 +15,12 @@ from quayside.functions.moments import (
     chunk_of,
     column_type,
     epoch_micros,
+    first_moment,
     from_micros,
     to_micros,
 )
 from quayside.functions.names import quoted
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-_BYTES_PER_KEY = 64
-
 
 def cleaned_filter(base_filter: str | None) -> str | None:
     """A base filter; blank and the word `null` mean that there is none."""
@@ -36,7 +34,7 @@ def window_predicate(df: DataFrame, updated_col: str, start: Moment | None, end:
     updated, data_type = F.col(quoted(updated_col)), column_type(df, quoted(updated_col))
     predicate = F.lit(True)
     if start is not None:
-        predicate = predicate & (updated >= bound_literal(start, data_type))
+        predicate = predicate & (updated >= bound_literal(first_moment(start, data_type), data_type))
     if end is not None:
         predicate = predicate & (updated <= bound_literal(end, data_type))
     return predicate
@@ -106,12 +104,10 @@ def expected_count(df: DataFrame) -> int:
 def extract_ids(df: DataFrame, ids: DataFrame, key_col: str, id_col: str = "id") -> DataFrame:
     """The records whose key is in the list.
 
-    The list is broadcast when its measured size is small; the large side is then not shuffled. A longer list joins by
-    sort-merge, where adaptive execution splits a partition that a frequent key has made large.
+    Spark broadcasts the list where its size is within `spark.sql.autoBroadcastJoinThreshold`, and the large side is
+    then not shuffled. A longer list joins by sort-merge, where adaptive execution splits a partition that a frequent
+    key has made large.
     """
     key_type = column_type(df, quoted(key_col))
     keys = ids.select(F.col(quoted(id_col)).try_cast(key_type).alias("_wanted")).where("_wanted IS NOT NULL")
-    size = keys.agg(F.sum(F.octet_length(F.col("_wanted").cast("string")) + F.lit(_BYTES_PER_KEY))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
     return df.join(keys, df[quoted(key_col)] == keys["_wanted"], "left_semi")

@@ -1,4 +1,4 @@
-"""Reading by position: dense offsets, pages, key batches, and what keyset paging costs."""
+"""Reading by position: dense offsets and pages, and batches of keys."""
 
 from __future__ import annotations
 
@@ -62,48 +62,30 @@ def offset_pages(
     key_col: str,
     ranges: int,
     page_size: int,
-    max_pages_per_range: int | None = None,
     names: tuple[str, str, str] = PAGE_COLUMNS,
 ) -> DataFrame:
-    """Records with their offset (`off`), offset range (`rng`) and page within the range (`page`).
-
-    A cutoff keeps the first pages of every range.
-    """
+    """Records with their offset (`off`), offset range (`rng`) and page within the range (`page`)."""
     check_page_size(page_size)
     _check_new(df, names)
     off, rng, page = names
     positioned, total = with_position(df, key_col, off)
     size = range_size(total, ranges)
     in_range = F.col(off) - F.col(rng).cast("bigint") * F.lit(size).cast("bigint")
-    paged = positioned.withColumn(rng, _div(F.col(off), size).cast("int")).withColumn(
+    return positioned.withColumn(rng, _div(F.col(off), size).cast("int")).withColumn(
         page, _div(in_range, page_size).cast("int")
     )
-    return paged if max_pages_per_range is None else paged.where(F.col(page) < max_pages_per_range)
-
-
-def id_batches(ids: DataFrame, id_col: str, ids_per_batch: int) -> DataFrame:
-    """Assign every key a request batch (`batch`): its position in key order modulo the number of batches."""
-    if ids_per_batch < 1:
-        raise ValueError("a batch holds at least one key")
-    _check_new(ids, ("batch",))
-    position = unused("_position", ids.columns)
-    positioned, total = with_position(ids, id_col, position)
-    batches = total // ids_per_batch + 1
-    return positioned.withColumn("batch", F.pmod(F.col(position), F.lit(batches).cast("bigint"))).drop(position)
 
 
-def keyset_audit(df: DataFrame, chunk_col: str, page_size: int) -> DataFrame:
-    """What reading each chunk by overlapping keyset pages costs.
+def id_batches(ids: DataFrame, id_col: str, ids_per_batch: int, tasks: int) -> DataFrame:
+    """Keys (`id`, text) with the request `batch` they belong to, as `fetch_ids` asks for them.
 
-    Every page but the first repeats the last record of the page before, and the read ends on a page of fewer than two
-    records: n records take 1 + ceil((n - 1) / (page_size - 1)) requests, each further request emits one record twice.
+    Keys are spread over `tasks` partitions by hash, and those of a partition are cut into batches in the order they
+    come: no sort, and no key is in two batches. The number holds the partition above bit 33, as Spark's own do.
     """
-    check_page_size(page_size)
-    counted = df.groupBy(F.col(quoted(chunk_col)).alias("chunk")).agg(F.count(F.lit(1)).alias("unique_rows"))
-    repeats = _div(F.col("unique_rows") + F.lit(page_size - 3), page_size - 1)
-    return counted.select(
-        "chunk",
-        "unique_rows",
-        (F.lit(1).cast("bigint") + repeats).alias("requests"),
-        (F.col("unique_rows") + repeats).alias("emitted_rows"),
-    )
+    if ids_per_batch < 1:
+        raise ValueError("a batch holds at least one key")
+    spread = ids.select(F.col(quoted(id_col)).cast("string").alias("id")).repartition(tasks, "id")
+    numbered = spread.withColumn("place", F.monotonically_increasing_id())
+    part = F.shiftright("place", _PARTITION_BITS)
+    within = _div(F.col("place").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1)), ids_per_batch)
+    return numbered.select("id", (F.shiftleft(part, _PARTITION_BITS) + within).alias("batch"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.names import quoted
 from quayside.sources.contract import Contract
+from quayside.sources.storage import file_system
 
 AVRO = "avro"
 PARQUET = "parquet"
@@ -37,6 +39,30 @@ def clustered(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def staging_dir(path: str) -> str:
+    """A new directory beside a partition, with a name that readers of the table pass over."""
+    parent, _, name = path.rpartition("/")
+    return f"{parent}/.{name.replace('=', '-')}.{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished directory in the place of a partition.
+
+    The old one is moved aside and deleted when the new one is in place; where that fails, it is moved back.
+    """
+    fs, target = file_system(spark, path)
+    aside = file_system(spark, staging_dir(path))[1]
+    had_one = fs.exists(target)
+    if had_one and not fs.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside")
+    if not fs.rename(file_system(spark, staged)[1], target):
+        if had_one:
+            fs.rename(aside, target)
+        raise OSError(f"{staged} could not be moved to {path}")
+    if had_one:
+        fs.delete(aside, True)
+
+
 def write_partition(
     df: DataFrame,
     path: str,

@@ -14,12 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import align, audit, cast, extract, paging, retention, sink
-from quayside.plans.ingest import IngestParams, RunResult, run
-from quayside.plans.pagefiles import page_files, page_files_service
-from quayside.sources.contract import Contract, parse_contract
+from quayside.plans.ingest import IngestParams, LandedLines, RunResult, run
+from quayside.sources.contract import Contract, parse_contract, read_contract
 from quayside.sources.idfile import read_id_file
 from quayside.sources.landing import as_lines, land
-from quayside.sources.paged import OFFSETS, PagedScan, read_paged
 from quayside.sources.storage import scratch_path
 
 CONTRACT = """
@@ -32,6 +30,18 @@ CONTRACT = """
   {"name": "note", "type": ["null", "string"], "default": null}]}
 """
 
+ORDERS_CONTRACT = """
+{"type": "record", "name": "orders", "fields": [
+  {"name": "id", "type": "int"},
+  {"name": "big", "type": ["null", "long"]},
+  {"name": "price", "type": {"type": "bytes", "logicalType": "decimal", "precision": 15, "scale": 2}},
+  {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+  {"name": "at", "type": ["null", {"type": "long", "logicalType": "local-timestamp-micros"}]},
+  {"name": "ratio", "type": "float"},
+  {"name": "code", "type": {"type": "fixed", "name": "four", "size": 4}},
+  {"name": "raw", "type": "bytes"}]}
+"""
+
 WINDOW = ("2024-01-05 00:00:00", "2024-01-12 00:00:00")
 
 
@@ -47,7 +57,7 @@ def service_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records of a service."""
     return table(spark, sf_dir, "events").selectExpr(
         "lpad(CAST(event_id AS string), 10, '0') AS sys_id",
-        "substring(CAST(ts AS string), 1, 19) AS sys_updated_on",
+        "CAST(ts AS string) AS sys_updated_on",
         "event_type AS category",
         "CASE WHEN event_id % 17 = 0 THEN 'bad' WHEN event_id % 19 = 0 THEN '' ELSE CAST(user_id AS string) END"
         " AS user_id",
@@ -91,28 +101,18 @@ def extract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _second(column: str):
-    return F.substring(F.col(column).cast("string"), 1, 19)
-
-
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = extract.chunk_plan(table(spark, sf_dir, "events").select("ts"), "ts", 4)
-    return plan.select(
-        "chunk", "n", _second("first_updated").alias("first_ts"), _second("last_updated").alias("last_ts")
-    )
-
-
-def keyset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.keyset_audit(table(spark, sf_dir, "events"), "event_type", page_size=100)
+    return plan.select("chunk", "n", F.col("first_updated").alias("first_ts"), F.col("last_updated").alias("last_ts"))
 
 
 def offset_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id")
-    return paging.offset_pages(events, "event_id", ranges=4, page_size=1000, max_pages_per_range=2)
+    return paging.offset_pages(events, "event_id", ranges=4, page_size=1000)
 
 
 def offset_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages of all ranges, without a cutoff."""
+    """What each page of each range holds."""
     pages = paging.offset_pages(service_rows(spark, sf_dir).select("sys_id"), "sys_id", ranges=3, page_size=250)
     return pages.groupBy("rng", "page").agg(
         F.count(F.lit(1)).alias("n"), F.min("sys_id").alias("first_id"), F.max("sys_id").alias("last_id")
@@ -142,30 +142,11 @@ def id_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = paging.id_batches(_urgent(spark, sf_dir), "o_orderkey", ids_per_batch=100)
-    return batches.groupBy("batch").agg(F.count(F.lit(1)).alias("ids"))
-
-
-def paged_extract(spark: SparkSession, sf_dir: str, rows_per_task: int = 1_000_000) -> DataFrame:
-    """The records of the window, read page by page in six chunks."""
-    layout = (*WINDOW, 6)
-    rows = extract.extract_window(service_rows(spark, sf_dir), "sys_updated_on", *WINDOW)
-    path = page_files(rows, "sys_id", "sys_updated_on", *layout)
-    service = page_files_service(spark, path, "sys_id", *layout, rows_per_task)
-    scan = PagedScan("events", "sys_id", "sys_updated_on", start=WINDOW[0], end=WINDOW[1], num_ranges=6)
-    lines = read_paged(spark, service, scan)
-    record = F.from_json("value", "sys_id string, sys_updated_on string, category string")
-    return lines.select(record.alias("r")).select("r.*")
-
-
-def paged_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records of the window, read by offset in six ranges."""
-    layout = (*WINDOW, 1)
-    rows = extract.extract_window(service_rows(spark, sf_dir), "sys_updated_on", *WINDOW)
-    service = page_files_service(spark, page_files(rows, "sys_id", "sys_updated_on", *layout), "sys_id", *layout)
-    scan = PagedScan("events", "sys_id", "sys_updated_on", OFFSETS, *WINDOW, num_ranges=6, fields=("sys_id", "amount"))
-    lines = read_paged(spark, service, scan)
-    return lines.select(F.from_json("value", "sys_id string, amount string").alias("r")).select("r.*")
+    """Keys in requests as a run makes them: every key once, and how many requests hold more than they may."""
+    batches = paging.id_batches(_urgent(spark, sf_dir), "o_orderkey", ids_per_batch=100, tasks=8)
+    sizes = batches.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    kept = batches.join(sizes, "batch").withColumn("oversized", F.col("n") > 100)
+    return kept.select("id", "oversized")
 
 
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +167,90 @@ def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_cast_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cast.typed_rows(cast_events(spark, sf_dir, cast.FIELD)).drop("note")
+    return cast.typed_rows(cast_events(spark, sf_dir, cast.FIELD))
+
+
+def typed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored times through the landing and the cast, with and without zone, to the microsecond."""
+    logical = {"at": "local-timestamp-micros", "instant": "timestamp-micros"}
+    fields = [{"name": n, "type": {"type": "long", "logicalType": kind}} for n, kind in logical.items()]
+    fields.insert(0, {"name": "event_id", "type": "long"})
+    wanted = parse_contract(json.dumps({"type": "record", "name": "times", "fields": fields}))
+    since = F.col("ts") - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    instant = F.expr("TIMESTAMP '1970-01-01 00:00:00Z'") + since
+    records = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("at"), instant.alias("instant"))
+    path = scratch_path(spark, "landing")
+    land(as_lines(records), path)
+    aligned = align.read_aligned(spark, path, wanted, align.matched_spellings(records.columns, wanted))
+    typed = cast.typed_rows(cast.cast_rows(aligned, wanted))
+    return typed.select("event_id", "at", F.unix_micros("instant").alias("instant_micros"))
+
+
+def _orders_contract(spark: SparkSession) -> Contract:
+    """A contract as it is kept: a file in a folder."""
+    folder = scratch_path(spark, "contracts")
+    spark.createDataFrame([(ORDERS_CONTRACT,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{folder}/orders.avsc"
+    )
+    return read_contract(spark, folder, "orders")
+
+
+def _cast_orders(spark: SparkSession, sf_dir: str, error_mode: str) -> DataFrame:
+    """Orders as text with an overflow, a 30 February, an exponent, fractions, blanks and marked binaries."""
+    key = "o_orderkey"
+    records = table(spark, sf_dir, "orders").selectExpr(
+        f"CAST({key} AS string) AS id",
+        f"CASE WHEN {key} % 13 = 0 THEN '92233720368547758080' ELSE CAST({key} AS string) END AS big",
+        f"CASE WHEN {key} % 17 = 0 THEN '1e3' WHEN {key} % 19 = 0 THEN '' ELSE CAST(o_totalprice AS string) END AS price",
+        f"CASE WHEN {key} % 23 = 0 THEN '2023-02-30' ELSE CAST(CAST(o_orderdate AS date) AS string) END AS day",
+        f"CASE WHEN {key} % 29 = 0 THEN '2023-02-30 00:00:00' ELSE concat(CAST(CAST(o_orderdate AS date) AS string),"
+        f" ' 12:34:56.', lpad(CAST({key} % 1000000 AS string), 6, '0')) END AS at",
+        f"CASE WHEN {key} % 31 = 0 THEN '1.5E3' WHEN {key} % 37 = 0 THEN '.5' ELSE '0.25' END AS ratio",
+        f"CASE WHEN {key} % 41 = 0 THEN 'x' ELSE 'four' END AS code",
+        f"unhex(lpad(hex({key}), 16, '0')) AS raw",
+    )
+    wanted = _orders_contract(spark)
+    path = scratch_path(spark, "landing")
+    land(as_lines(records), path)
+    aligned = align.read_aligned(spark, path, wanted, align.matched_spellings(records.columns, wanted))
+    typed = cast.typed_rows(cast.cast_rows(aligned, wanted, error_mode))
+    return typed.withColumns({"code": F.hex("code"), "raw": F.hex("raw")})
+
+
+def typed_cast_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cast_orders(spark, sf_dir, cast.ROW_STICKY)
+
+
+def typed_cast_orders_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cast_orders(spark, sf_dir, cast.FIELD)
+
+
+def replay_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over a table, then its landing replayed, as it is and with a second spelling in some records."""
+    fields = [
+        {"name": "id", "type": "long"},
+        {"name": "amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 24, "scale": 4}},
+        {"name": "label", "type": "string"},
+    ]
+    wanted = parse_contract(json.dumps({"type": "record", "name": "replay", "fields": fields}))
+    records = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CAST(o_totalprice AS decimal(24,4)) + CAST('12345678901234567.8901' AS decimal(24,4)) AS amount",
+        "concat(CAST(o_orderkey AS string), '.50') AS label",
+        "o_orderdate AS changed",
+    )
+    folder = scratch_path(spark, "replay")
+    params = IngestParams("replay", "20240101", folder, "id", "changed", num_chunks=4)
+    first = run(spark, records, wanted, params)
+    respelled = f"{folder}/respelled"
+    second = F.when(F.col("value").rlike('"id":"[0-9]*7"'), F.regexp_replace("value", '"amount"', '"Amount"'))
+    spark.read.text(first.raw_path).select(F.coalesce(second, "value").alias("value")).write.text(respelled)
+    passes = [first.typed_path]
+    for number, path in enumerate((first.raw_path, respelled), start=2):
+        again = IngestParams("replay", f"2024010{number}", folder, "id", "changed")
+        passes.append(run(spark, LandedLines(path), wanted, again).typed_path)
+    found = [sink.read_partition(spark, path, wanted).withColumn("pass", F.lit(i)) for i, path in enumerate(passes)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +258,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cast.error_summary(cast_events(spark, sf_dir, cast.ROW_STICKY)).select("field", "n")
+    return cast.error_summary(cast_events(spark, sf_dir, cast.ROW_STICKY))
 
 
 def error_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,10 +300,18 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the audit table says of a run."""
     _, output_dir = ingest_events(spark, sf_dir, partition_by="category")
     return audit.read_audit(spark, output_dir).select(
-        "processed", "unique_keys", "error_rows", F.col("blanks")["user_id"].alias("blank_user_id")
+        *["table_name", "run_partition", "extract_mode", "expected", "landed", "processed", "unique_keys"],
+        *["error_rows", "malformed"],
+        F.array_join("missing_fields", ",").alias("missing_fields"),
+        *[F.col("blanks")[name].alias(f"blank_{name}") for name in ("user_id", "amount", "active")],
+        F.array_join(F.transform("ranges", _range_text), ";").alias("ranges"),
     )
 
 
+def _range_text(r):
+    return F.concat_ws("|", r["range_id"].cast("string"), r["low"], r["high"], r["records"].cast("string"))
+
+
 def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows written with sub-partitions and read back."""
     fields = [{"name": "event_id", "type": "long"}, {"name": "category", "type": "string"}]
@@ -265,18 +337,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         extract_window,
         extract_events,
         chunk_plan,
-        keyset_audit,
         offset_pages,
         offset_layout,
         id_list_extract,
         id_file_scan,
         id_batches,
-        paged_extract,
-        paged_offsets,
         schema_diff,
         blank_profile,
         typed_cast,
         typed_cast_field,
+        typed_times,
+        typed_cast_orders,
+        typed_cast_orders_field,
+        replay_typed,
         quarantine,
         error_summary,
         error_details,
@@ -290,7 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _API = """api AS (
   SELECT event_id, lpad(CAST(event_id AS VARCHAR(20)), 10, '0') AS sys_id,
-    strftime(ts, '%Y-%m-%d %H:%M:%S') AS sys_updated_on, event_type AS category,
+    CAST(ts AS VARCHAR) AS sys_updated_on, event_type AS category,
     CASE WHEN event_id % 17 = 0 THEN 'bad' WHEN event_id % 19 = 0 THEN '' ELSE CAST(user_id AS VARCHAR(20)) END
       AS user_id,
     CASE WHEN event_id % 23 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR(40)) END AS amount,
@@ -313,6 +386,36 @@ FROM flags"""
 _QUARANTINE = f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, user_id, amount, active, category, '' AS note FROM flags WHERE e1 OR e2 OR e3"""
 
+def _orders_sql(sticky: bool) -> str:
+    """What the orders become: a field is bad by its key; in sticky mode later fields are bad with it."""
+    bad = {"big": 13, "price": 17, "day": 23, "at": 29, "ratio": 37, "code": 41}
+    names = ["id", "big", "price", "day", "at", "ratio", "code", "raw"]
+
+    def fails(name: str) -> str:
+        before = names[: names.index(name) + 1] if sticky else [name]
+        wrong = [f"k % {bad[n]} = 0" + (" AND k % 31 <> 0" if n == "ratio" else "") for n in before if n in bad]
+        return " OR ".join(f"({w})" for w in wrong) or "FALSE"
+
+    values = {
+        "id": ("CAST(k AS INT)", "0"),
+        "big": ("CAST(k AS BIGINT)", "NULL"),
+        "price": ("CASE WHEN k % 19 = 0 THEN 0 ELSE p END", "0"),
+        "day": ("d", "DATE '1970-01-01'"),
+        "at": ("CAST(d AS TIMESTAMP) + INTERVAL 45296 SECOND + to_microseconds(k % 1000000)", "NULL"),
+        "ratio": ("CASE WHEN k % 31 = 0 THEN 1500 ELSE 0.25 END", "0"),
+        "code": ("'666F7572'", "'00000000'"),
+        "raw": ("lpad(hex(k), 16, '0')", "''"),
+    }
+    types = {"price": "DECIMAL(15,2)", "ratio": "FLOAT"}
+    columns = []
+    for name, (value, default) in values.items():
+        column = f"CASE WHEN {fails(name)} THEN {default} ELSE {value} END"
+        columns.append(f"CAST({column} AS {types[name]}) AS {name}" if name in types else f"{column} AS {name}")
+    return f"""WITH o AS (
+  SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS p, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT {", ".join(columns)} FROM o"""
+
+
 ORACLES: dict[str, str] = {
     "extract_window": f"""WITH {_API}
 SELECT sys_id, sys_updated_on, category FROM api
@@ -321,13 +424,7 @@ WHERE category = 'click' AND sys_updated_on >= '{WINDOW[0]}' AND sys_updated_on
 WHERE event_type = 'click' AND ts >= TIMESTAMP '{WINDOW[0]}' AND ts <= TIMESTAMP '{WINDOW[1]}'""",
     "chunk_plan": """WITH b AS (SELECT epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts)) AS hi FROM events),
 c AS (SELECT LEAST(CAST(FLOOR((epoch_us(ts) - lo) * 4.0 / (hi - lo)) AS INT), 3) AS chunk, ts FROM events CROSS JOIN b)
-SELECT chunk, COUNT(*) AS n, strftime(MIN(ts), '%Y-%m-%d %H:%M:%S') AS first_ts,
-  strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
-FROM c GROUP BY chunk""",
-    "keyset_audit": """SELECT event_type AS chunk, COUNT(*) AS unique_rows,
-  1 + CAST(CEIL((COUNT(*) - 1) / 99.0) AS BIGINT) AS requests,
-  COUNT(*) + CAST(CEIL((COUNT(*) - 1) / 99.0) AS BIGINT) AS emitted_rows
-FROM events GROUP BY event_type""",
+SELECT chunk, COUNT(*) AS n, MIN(ts) AS first_ts, MAX(ts) AS last_ts FROM c GROUP BY chunk""",
     "offset_pages": """WITH r AS (
   SELECT event_id, CAST(ROW_NUMBER() OVER (ORDER BY event_id) - 1 AS BIGINT) AS off, COUNT(*) OVER () AS cnt
   FROM events),
@@ -335,7 +432,7 @@ p AS (
   SELECT event_id, off, CAST(FLOOR(off / CEIL((cnt + 1) / 4.0)) AS INT) AS rng,
     CAST(FLOOR((off - FLOOR(off / CEIL((cnt + 1) / 4.0)) * CEIL((cnt + 1) / 4.0)) / 1000) AS INT) AS page
   FROM r)
-SELECT event_id, off, rng, page FROM p WHERE page < 2""",
+SELECT event_id, off, rng, page FROM p""",
     "offset_layout": f"""WITH {_API},
 r AS (SELECT sys_id, ROW_NUMBER() OVER (ORDER BY sys_id) - 1 AS off, COUNT(*) OVER () AS cnt FROM api),
 s AS (SELECT sys_id, off, CAST(CEIL((cnt + 1) / 3.0) AS BIGINT) AS size FROM r)
@@ -345,15 +442,8 @@ FROM s GROUP BY 1, 2""",
     "id_list_extract": """SELECT e.event_id, e.event_type FROM events e
 WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = e.event_id AND o.o_orderpriority = '1-URGENT')""",
     "id_file_scan": "SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders",
-    "id_batches": """WITH ids AS (
-  SELECT o_orderkey AS id, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i, COUNT(*) OVER () AS n
-  FROM orders WHERE o_orderpriority = '1-URGENT')
-SELECT CAST(i % (CAST(FLOOR(n / 100) AS BIGINT) + 1) AS BIGINT) AS batch, COUNT(*) AS ids FROM ids GROUP BY 1""",
-    "paged_extract": f"""WITH {_API}
-SELECT sys_id, sys_updated_on, category FROM api
-WHERE sys_updated_on >= '{WINDOW[0]}' AND sys_updated_on <= '{WINDOW[1]}'""",
-    "paged_offsets": f"""WITH {_API}
-SELECT sys_id, amount FROM api WHERE sys_updated_on >= '{WINDOW[0]}' AND sys_updated_on <= '{WINDOW[1]}'""",
+    "id_batches": """SELECT CAST(o_orderkey AS VARCHAR) AS id, FALSE AS oversized
+FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "schema_diff": """WITH seen AS (SELECT DISTINCT k FROM (SELECT unnest(json_keys(props)) AS k FROM events) t),
 want AS (SELECT * FROM (VALUES ('k'), ('unit'), ('note')) v(k))
 SELECT COALESCE(w.k, s.k) AS col_name,
@@ -367,22 +457,40 @@ UNION ALL SELECT 'amount', COUNT(*) FILTER (WHERE amount = '') FROM api""",
     "typed_cast_field": f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, CASE WHEN e1 OR user_id = '' THEN 0 ELSE TRY_CAST(user_id AS INT) END AS user_id,
   CASE WHEN e2 OR amount = '' THEN 0.0 ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
-  CASE WHEN e3 OR active = '' THEN FALSE ELSE active = 'true' END AS active, category
+  CASE WHEN e3 OR active = '' THEN FALSE ELSE active = 'true' END AS active, category, CAST(NULL AS VARCHAR) AS note
 FROM flags""",
+    "typed_times": "SELECT event_id, ts AS at, epoch_us(ts) AS instant_micros FROM events",
+    "typed_cast_orders": _orders_sql(sticky=True),
+    "typed_cast_orders_field": _orders_sql(sticky=False),
+    "replay_typed": """WITH t AS (
+  SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(24,4)) + 12345678901234567.8901 AS DECIMAL(24,4)) AS amount,
+    CAST(o_orderkey AS VARCHAR) || '.50' AS label FROM orders)
+SELECT id, amount, label, CAST(p AS INT) AS pass FROM t, range(3) r(p)""",
     "quarantine": _QUARANTINE,
     "ingest_quarantine": _QUARANTINE,
     "error_summary": f"""WITH {_API}, {_FLAGS}
-SELECT 'user_id' AS field, COUNT(*) AS n FROM flags WHERE e1
-UNION ALL SELECT 'amount', COUNT(*) FROM flags WHERE e2
-UNION ALL SELECT 'active', COUNT(*) FROM flags WHERE e3""",
+SELECT 'user_id' AS field, 'int' AS type, COUNT(*) AS n FROM flags WHERE e1
+UNION ALL SELECT 'amount', 'double', COUNT(*) FROM flags WHERE e2
+UNION ALL SELECT 'active', 'boolean', COUNT(*) FROM flags WHERE e3""",
     "error_details": f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, 'user_id' AS field, 'int' AS type, user_id AS raw FROM flags WHERE e1
 UNION ALL SELECT sys_id, 'amount', 'double', amount FROM flags WHERE e2
 UNION ALL SELECT sys_id, 'active', 'boolean', active FROM flags WHERE e3""",
-    "ingest_report": f"""WITH {_API}, {_FLAGS}
-SELECT COUNT(*) AS processed, COUNT(DISTINCT sys_id) AS unique_keys,
-  COUNT(*) FILTER (WHERE e1 OR e2 OR e3) AS error_rows, COUNT(*) FILTER (WHERE user_id = '') AS blank_user_id
-FROM flags""",
+    "ingest_report": f"""WITH {_API}, {_FLAGS},
+w AS (SELECT epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts)) AS hi FROM events),
+c AS (SELECT CAST(LEAST((epoch_us(ts) - lo) * 8 // (hi - lo), 7) AS INT) AS i, COUNT(*) AS n
+  FROM events, w GROUP BY 1),
+e AS (SELECT CAST(i AS INT) AS i, lo + ((hi - lo) * i + 7) // 8 AS us FROM w, range(9) r(i)),
+t AS (SELECT i, strftime(make_timestamp(us), '%Y-%m-%d %H:%M:%S.%f') AS at FROM e),
+ranges AS (
+  SELECT string_agg(a.i || '|' || a.at || '|' || b.at || '|' || COALESCE(c.n, 0), ';' ORDER BY a.i) AS ranges
+  FROM t a JOIN t b ON b.i = a.i + 1 LEFT JOIN c ON c.i = a.i)
+SELECT 'event_row' AS table_name, '20240130' AS run_partition, 'chunks' AS extract_mode, COUNT(*) AS expected,
+  COUNT(*) AS landed, COUNT(*) AS processed, COUNT(DISTINCT sys_id) AS unique_keys,
+  COUNT(*) FILTER (WHERE e1 OR e2 OR e3) AS error_rows, CAST(0 AS BIGINT) AS malformed, 'note' AS missing_fields,
+  COUNT(*) FILTER (WHERE user_id = '') AS blank_user_id, COUNT(*) FILTER (WHERE amount = '') AS blank_amount,
+  COUNT(*) FILTER (WHERE active = '') AS blank_active, MAX(ranges) AS ranges
+FROM flags, ranges""",
     "partition_profile": """SELECT event_type AS category, COUNT(*) AS n, MIN(event_id) AS min_id,
   MAX(event_id) AS max_id
 FROM events GROUP BY event_type""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
@@ -14,15 +15,18 @@ from pyspark.sql import functions as F
 
 from quayside.functions.moments import Moment, as_text, chunk_bounds
 from quayside.functions.names import name_list, quoted, unused
-from quayside.functions.ranges import check_page_size, offset_ranges, truncated_rows
-from quayside.operators import align, audit, cast, extract, paging, retention, sink
+from quayside.functions.ranges import check_page_size, offset_ranges
+from quayside.operators import align, audit, cast, extract, retention, sink
 from quayside.sources.contract import Contract, read_contract
 from quayside.sources.idfile import read_id_file
 from quayside.sources.landing import as_lines, land, landing_dir
 from quayside.sources.paged import CHUNKS, OFFSETS, PagedScan, PagedService, fetch_ids, read_paged
+from quayside.sources.storage import delete_directory
 
 IDS = "ids"
 EXTRACT_MODES = (CHUNKS, OFFSETS, IDS)
+FAIL = "fail"
+REPORT = "report"
 
 # The quarantine's extra column, for lines that could not be parsed.
 RAW_LINE = "_raw"
@@ -36,8 +40,10 @@ SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 class IngestParams:
     """Parameters of a run.
 
-    `window_start` and `window_end` are inclusive. `num_chunks` is the number of window chunks or offset ranges; take
-    more of them than there are executors. `blank_fields` names the fields whose blanks are counted (default: those
+    `window_start` and `window_end` are inclusive. `num_chunks` is the number of window chunks, offset ranges or tasks
+    that read keys; without it there are as many as the session runs tasks at once. `on_mismatch` says what happens when
+    other numbers of records are expected, landed and processed: "fail", before any earlier output is replaced, or
+    "report", for a service whose records change while they are read. `blank_fields` names the fields whose blanks are counted (default: those
     whose default value could be mistaken for data).
     """
 
@@ -51,9 +57,9 @@ class IngestParams:
     base_filter: str | None = None
     fields: str | Sequence[str] = ()
     extract_mode: str = CHUNKS
-    num_chunks: int = 1
+    num_chunks: int | None = None
     page_size: int = 1000
-    max_pages_per_range: int | None = None
+    on_mismatch: str = FAIL
     count_probe: bool = True
     id_file: str | None = None
     ids_per_batch: int = 100
@@ -90,7 +96,6 @@ class _Extraction:
     lines: DataFrame
     names: list[str] | None = None
     expected: int | None = None
-    truncated: int = 0
     ranges: list[tuple] = field(default_factory=list)
     metrics: dict[str, Column] = field(default_factory=dict)
 
@@ -102,6 +107,8 @@ def _check(contract: Contract, params: IngestParams) -> None:
         raise ValueError(f"error_mode is one of {', '.join(cast.ERROR_MODES)}, not {params.error_mode!r}")
     if params.retention not in retention.RETENTION_MODES:
         raise ValueError(f"retention is one of {', '.join(retention.RETENTION_MODES)}, not {params.retention!r}")
+    if params.on_mismatch not in (FAIL, REPORT):
+        raise ValueError(f"on_mismatch is {FAIL} or {REPORT}, not {params.on_mismatch!r}")
     check_page_size(params.page_size)
     if params.extract_mode == OFFSETS and not params.count_probe:
         raise ValueError("reading by offsets needs the count probe")
@@ -139,13 +146,10 @@ def _chunk_ranges(rows: DataFrame, params: IngestParams) -> list[tuple]:
 
 
 def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
-    size, most = params.page_size, params.max_pages_per_range
-    report = []
-    for i, r in enumerate(offset_ranges(count, params.num_chunks)):
-        there = max(min(r.stop, count) - r.start, 0)
-        kept = there if most is None else min(there, most * size)
-        report.append((i, str(r.start), str(r.stop - 1), kept, None))
-    return report
+    return [
+        (i, str(r.start), str(r.stop - 1), max(min(r.stop, count) - r.start, 0), None)
+        for i, r in enumerate(offset_ranges(count, params.num_chunks))
+    ]
 
 
 def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
@@ -164,15 +168,7 @@ def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
         return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=ranges)
 
     expected = extract.expected_count(rows)
-    ranges = _offset_ranges(expected, params)
-    if params.max_pages_per_range is None:
-        return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=ranges)
-    needed = list(dict.fromkeys([params.key_col, *fields]))
-    layout = (params.num_chunks, params.page_size, params.max_pages_per_range)
-    names = tuple(unused(n, needed) for n in paging.PAGE_COLUMNS)
-    pages = paging.offset_pages(rows.select(*[F.col(quoted(c)) for c in needed]), params.key_col, *layout, names)
-    truncated = truncated_rows(expected, *layout)
-    return _Extraction(as_lines(pages.select(*picked)), fields, expected, truncated, ranges)
+    return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=_offset_ranges(expected, params))
 
 
 def _from_service(
@@ -185,7 +181,8 @@ def _from_service(
     fields = tuple(name_list(params.fields))
     if params.extract_mode == IDS:
         ids = read_id_file(spark, params.id_file)
-        lines = fetch_ids(ids, service, params.table, fields, params.ids_per_batch, params.num_chunks, wanted)
+        layout = (params.ids_per_batch, params.num_chunks, wanted, params.page_size)
+        lines = fetch_ids(ids, service, params.table, fields, *layout)
         return _Extraction(lines, metrics=spellings)
 
     scan = PagedScan(
@@ -195,36 +192,30 @@ def _from_service(
         params.extract_mode,
         params.window_start,
         params.window_end,
-        params.num_chunks,
+        params.num_chunks if None not in (params.window_start, params.window_end) else 1,
         params.page_size,
         fields,
         extract.cleaned_filter(params.base_filter),
-        params.max_pages_per_range,
         report=True,
         wanted_names=wanted,
     )
-    expected, truncated = None, 0
+    expected = None
     if params.count_probe and service.count is not None:
         expected = service.count(scan.request())
     if params.extract_mode == OFFSETS:
         if expected is None:
             raise ValueError("reading by offsets needs a service that can count")
-        scan = replace(scan, expected=expected)
-        truncated = truncated_rows(expected, params.num_chunks, params.page_size, params.max_pages_per_range)
+        scan = replace(scan, expected=expected, num_ranges=params.num_chunks)
     done = F.when(F.col("value").isNull(), F.struct("range_id", "low", "high", "records", "requests"))
     return _Extraction(
         read_paged(spark, service, scan),
         expected=expected,
-        truncated=truncated,
         metrics={**spellings, "ranges": F.collect_list(done)},
     )
 
 
 def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, run_date: date) -> tuple[str, int]:
     path = landing_dir(params.output_dir, params.table, run_date)
-    retention.apply_retention(
-        spark, params.output_dir, params.table, run_date, params.raw_days_to_keep, params.retention
-    )
     seen = Observation()
     counted = extraction.lines.observe(
         seen, F.count("value").alias("landed"), *[m.alias(n) for n, m in extraction.metrics.items()]
@@ -234,9 +225,20 @@ def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, ru
         extraction.ranges = sorted(tuple(r) for r in seen.get["ranges"])
     if "names" in extraction.metrics:
         extraction.names = sorted({name for names in seen.get["names"] for name in names})
+    # only now that the new landing is there
+    retention.apply_retention(
+        spark, params.output_dir, params.table, run_date, params.raw_days_to_keep, params.retention
+    )
     return path, seen.get["landed"]
 
 
+def _reconcile(
+    params: IngestParams, wanted: int | None, wanted_name: str, found: int, found_name: str, always: bool = False
+) -> None:
+    if wanted is not None and wanted != found and (always or params.on_mismatch == FAIL):
+        raise RuntimeError(f"{wanted} records were {wanted_name} but {found} were {found_name}")
+
+
 def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: list[str]) -> dict:
     """Write the typed table and count its rows on the way.
 
@@ -293,6 +295,8 @@ def run(
     if contract is None:
         contract = read_contract(spark, params.contract_dir, params.table)
     _check(contract, params)
+    if params.num_chunks is None:
+        params = replace(params, num_chunks=spark.sparkContext.defaultParallelism)
     with _settings(spark, SETTINGS):
         return _run(spark, source, contract, params)
 
@@ -321,6 +325,7 @@ def _run(
         from_service = isinstance(source, PagedService)
         extraction = _from_service(spark, source, contract, params) if from_service else _from_table(source, params)
         raw_path, landed = _land(spark, extraction, params, run_date)
+        _reconcile(params, extraction.expected, "expected", landed, "landed")
 
     if extraction.names is None:
         spellings = align.discover_spellings(spark.read.text(raw_path), contract)
@@ -336,10 +341,17 @@ def _run(
     quarantine_path = sink.quarantine_dir(params.output_dir, params.table, params.run_partition)
     blanks = params.blank_fields
     blanks = audit.default_ambiguous(contract) if blanks is None else list(blanks)
-    counts = _write_typed(rows, params, typed_path, blanks)
-    if landed is not None and counts["processed"] != landed:
-        raise RuntimeError(f"{landed} records were landed but {counts['processed']} were processed")
-    _write_quarantine(rows, params, quarantine_path, counts["error_rows"])
+    # both are written beside their partitions, which change places only when the counts agree
+    new_typed, new_quarantine = sink.staging_dir(typed_path), sink.staging_dir(quarantine_path)
+    try:
+        counts = _write_typed(rows, params, new_typed, blanks)
+        _reconcile(params, landed, "landed", counts["processed"], "processed", always=True)
+        _write_quarantine(rows, params, new_quarantine, counts["error_rows"])
+        sink.publish(spark, new_typed, typed_path)
+        sink.publish(spark, new_quarantine, quarantine_path)
+    finally:
+        for leftover in (new_typed, new_quarantine):
+            delete_directory(spark, leftover)
     unique = audit.unique_keys(
         sink.read_partition(spark, typed_path, contract, params.sink_format), params.key_col
     )
@@ -356,7 +368,6 @@ def _run(
         "unique_keys": unique,
         "error_rows": counts["error_rows"],
         "malformed": counts["malformed"],
-        "truncated": extraction.truncated,
         "missing_fields": align.missing_fields(spellings),
         "blanks": counts["blanks"],
         "ranges": extraction.ranges,
@@ -364,7 +375,7 @@ def _run(
     failure = None
     try:
         frame = spark.createDataFrame([tuple(report.values())], audit.AUDIT_SCHEMA)
-        audit.append_audit(frame, params.output_dir, run_date)
+        audit.append_audit(frame, params.output_dir, run_date, uuid.uuid4().hex)
     except Exception as e:  # the data is written; a lost report must not undo that
         failure = e
     return RunResult(report, raw_path, typed_path, quarantine_path, failure)

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quayside.functions.grammar import BASE64
 from quayside.functions.names import quoted
 
-# The text forms typed source columns take in a landed record.
+# The text forms of times within nested columns.
 _JSON_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "dateFormat": "yyyy-MM-dd",
     "timeZone": "UTC",
 }
@@ -26,10 +28,26 @@ def landing_dir(output_dir: str, table: str, run_date: date) -> str:
     return f"{output_dir.rstrip('/')}/json/{table}_{run_date:%Y%m%d}"
 
 
+def _as_text(name: str, data_type: T.DataType) -> Column:
+    """The text form of a column, which the cast grammar turns back into the same value.
+
+    Numbers are text, so that no parser rewrites them; times are UTC and keep the fraction that they have.
+    """
+    column = F.col(quoted(name))
+    if isinstance(data_type, T.TimestampType):
+        since = column - F.expr("TIMESTAMP '1970-01-01 00:00:00Z'")
+        return (F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + since).cast("string")
+    if isinstance(data_type, T.BinaryType):
+        return F.concat(F.lit(BASE64), F.base64(column))
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        return column
+    return column.cast("string")
+
+
 def as_lines(records: DataFrame) -> DataFrame:
     """Records as JSON text in the single column `value`; a null field is left out of its record."""
-    record = F.struct(*[F.col(quoted(c)) for c in records.columns])
-    return records.select(F.to_json(record, _JSON_OPTIONS).alias("value"))
+    texts = [_as_text(f.name, f.dataType).alias(f.name) for f in records.schema]
+    return records.select(F.to_json(F.struct(*texts), _JSON_OPTIONS).alias("value"))
 
 
 def land(lines: DataFrame, path: str) -> None:

@@ -6,14 +6,16 @@ there, so none travel in options or plans. The contract of `fetch(request)`:
 - it returns the matching records (mappings), at most `request.limit` of them, ordered by the key;
 - `lo`/`hi` bound the change time (`hi` itself belongs to the request only when `hi_closed`);
 - `after` is an exclusive and `upto` an inclusive bound of the key, `offset` skips that many matching records;
-- `ids` asks for exactly these keys, and then nothing else restricts.
+- `ids` asks for the records of exactly these keys, and then only `offset` and `limit` apply.
 
 `count(request)`, optional, tells how many records match.
 """
 
 from __future__ import annotations
 
+import base64
 import json
+import math
 import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, replace
@@ -27,17 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
     InputPartition,
-    LessThan,
-    LessThanOrEqual,
 )
 
-from quayside.functions.moments import Moment, as_datetime, as_text, chunk_bounds
-from quayside.functions.names import quoted
+from quayside.functions.grammar import BASE64
+from quayside.functions.moments import Moment, as_datetime, as_text, chunk_bounds, from_micros, to_micros
 from quayside.functions.ranges import check_page_size, offset_ranges
+from quayside.operators.paging import id_batches
 
 CHUNKS = "chunks"
 OFFSETS = "offsets"
@@ -79,13 +77,17 @@ class PageRequest:
 class PagedService:
     """A fetch callable, and a count callable where the service can count.
 
-    A chunk that holds more than `rows_per_task` records is split at keys, so a burst of changes does not become one
-    long task. Without a count, chunks are read as they are.
+    A window that holds more than `rows_per_task` records is halved until its parts do not, so a burst of changes does
+    not become one long task. Without a count, chunks are read as they are.
+
+    `short_pages` tells that an offset page may be cut short though more records follow: the next page then starts
+    behind the last record. Without it, an offset page that is short is an error.
     """
 
     fetch: Callable[[PageRequest], Iterable[Mapping[str, Any]]]
     count: Callable[[PageRequest], int] | None = None
     rows_per_task: int = 1_000_000
+    short_pages: bool = False
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,6 @@ class PagedScan:
     page_size: int = 1000
     fields: tuple[str, ...] = ()
     base_filter: str | None = None
-    max_pages_per_range: int | None = None
     expected: int | None = None
     report: bool = False
     wanted_names: tuple[str, ...] = ()
@@ -128,8 +129,22 @@ class _Range(InputPartition):
         return tuple(None if m is None else as_text(m) for m in (self.request.lo, self.request.hi))
 
 
+def _landed(value: Any) -> Any:
+    """A value in the text form that tables are landed in; nested values stay as they are."""
+    if value is None or isinstance(value, (str, Mapping, list, tuple)):
+        return value
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, float) and not math.isfinite(value):
+        return "NaN" if math.isnan(value) else ("Infinity" if value > 0 else "-Infinity")
+    if isinstance(value, (bytes, bytearray)):
+        return BASE64 + base64.b64encode(value).decode()
+    return str(value)
+
+
 def as_line(record: Mapping[str, Any]) -> str:
-    return json.dumps(dict(record), ensure_ascii=False, separators=(",", ":"), default=str)
+    texts = {name: _landed(value) for name, value in record.items()}
+    return json.dumps(texts, ensure_ascii=False, separators=(",", ":"), default=str)
 
 
 def _text_of(record: Mapping[str, Any], name: str) -> str | None:
@@ -149,66 +164,57 @@ class _Spellings:
             self.seen.update(k for k in record.keys() - self.seen if k.lower() in self.wanted)
 
 
+def _whole_chunks(scan: PagedScan) -> list[PageRequest]:
+    """The window's chunks as they were asked for; an open window is one."""
+    whole = scan.request()
+    if whole.lo is None or whole.hi is None:
+        return [whole]
+    if whole.lo > whole.hi:
+        return []
+    bounds = chunk_bounds(whole.lo, whole.hi, scan.num_ranges)
+    return [replace(whole, lo=lo, hi=hi, hi_closed=hi == whole.hi) for lo, hi in bounds]
+
+
+def halved(chunk: PageRequest, service: PagedService, key_col: str) -> Iterator[PageRequest]:
+    """Parts of a chunk with at most `rows_per_task` records each, in the order of time; empty halves are left out.
+
+    Parts are found by counting. Only where one instant holds more records than a task reads is it cut at keys, and
+    the offsets this takes stay within that instant. A chunk with an open end is not cut.
+    """
+    found = service.count(chunk)
+    if found <= service.rows_per_task or chunk.lo is None or chunk.hi is None:
+        yield chunk
+        return
+    low, high = to_micros(chunk.lo), to_micros(chunk.hi)
+    if high - low <= (0 if chunk.hi_closed else 1):
+        yield from _cut_at_keys(chunk, found, service, key_col)
+        return
+    middle = from_micros((low + high + 1) // 2)
+    for half in (replace(chunk, hi=middle, hi_closed=False), replace(chunk, lo=middle)):
+        if service.count(half):
+            yield from halved(half, service, key_col)
+
+
+def _cut_at_keys(instant: PageRequest, found: int, service: PagedService, key_col: str) -> Iterator[PageRequest]:
+    step = service.rows_per_task
+    edges: list[str] = []
+    for offset in range(step - 1, found - 1, step):
+        at = list(service.fetch(replace(instant, offset=offset, limit=1)))
+        key = str(at[0][key_col]) if at else None
+        if key is not None and key not in edges[-1:]:
+            edges.append(key)
+    for after, upto in zip([None, *edges], [*edges, None]):
+        yield replace(instant, after=after, upto=upto)
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, service: PagedService, scan: PagedScan):
+    def __init__(self, service: PagedService, scan: PagedScan, ranges: list[_Range]):
         self.service = service
         self.scan = scan
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Narrow the window by filters on `updated`. Spark still applies every filter itself."""
-        for f in filters:
-            if getattr(f, "attribute", None) == ("updated",):
-                self._narrow(f)
-            yield f
-
-    def _narrow(self, f: Filter) -> None:
-        try:
-            moment = as_datetime(f.value)
-        except (ValueError, AttributeError):
-            return
-        # Text order is time order only for the full text form.
-        if as_text(moment) != f.value:
-            return
-        if isinstance(f, (GreaterThan, GreaterThanOrEqual)):
-            start = self.scan.start
-            self.scan = replace(self.scan, start=moment if start is None else max(as_datetime(start), moment))
-        elif isinstance(f, (LessThan, LessThanOrEqual)):
-            end = self.scan.end
-            self.scan = replace(self.scan, end=moment if end is None else min(as_datetime(end), moment))
+        self.ranges = ranges
 
     def partitions(self) -> list[_Range]:
-        whole = self.scan.request()
-        if whole.lo is not None and whole.hi is not None and whole.lo > whole.hi:
-            return []
-        return self._offset_ranges(whole) if self.scan.mode == OFFSETS else self._chunk_ranges(whole)
-
-    def _offset_ranges(self, whole: PageRequest) -> list[_Range]:
-        count = self.scan.expected
-        if count is None:
-            count = self.service.count(whole)
-        return [_Range(i, whole, r) for i, r in enumerate(offset_ranges(count, self.scan.num_ranges))]
-
-    def _chunk_ranges(self, whole: PageRequest) -> list[_Range]:
-        if whole.lo is None or whole.hi is None:
-            chunks = [whole]
-        else:
-            bounds = chunk_bounds(whole.lo, whole.hi, self.scan.num_ranges)
-            chunks = [replace(whole, lo=lo, hi=hi, hi_closed=hi == whole.hi) for lo, hi in bounds]
-        pieces = [piece for chunk in chunks for piece in self._split(chunk)]
-        return [_Range(i, piece) for i, piece in enumerate(pieces)]
-
-    def _split(self, chunk: PageRequest) -> list[PageRequest]:
-        """Cut a chunk at the keys that stand `rows_per_task` records apart."""
-        if self.service.count is None:
-            return [chunk]
-        step = self.service.rows_per_task
-        edges: list[str] = []
-        for offset in range(step - 1, self.service.count(chunk) - 1, step):
-            at = list(self.service.fetch(replace(chunk, offset=offset, limit=1)))
-            key = str(at[0][self.scan.key_col]) if at else None
-            if key is not None and key not in edges[-1:]:
-                edges.append(key)
-        return [replace(chunk, after=a, upto=b) for a, b in zip([None, *edges], [*edges, None])]
+        return self.ranges
 
     def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # what Spark passes when there are no ranges
@@ -241,11 +247,15 @@ class _Reader(DataSourceReader):
             request = replace(request, after=last)
 
     def _offset_pages(self, partition: _Range) -> Iterator[list]:
-        size, most = self.scan.page_size, self.scan.max_pages_per_range
-        starts = partition.offsets[::size]
-        for start in starts if most is None else starts[:most]:
-            limit = min(size, partition.offsets.stop - start)
-            yield list(self.service.fetch(replace(partition.request, offset=start, limit=limit)))
+        """Pages by offset, until all records that the range was planned for have come."""
+        at, stop = partition.offsets.start, partition.offsets.stop
+        while at < stop:
+            limit = min(self.scan.page_size, stop - at)
+            page = list(self.service.fetch(replace(partition.request, offset=at, limit=limit)))
+            if not page or (len(page) < limit and not self.service.short_pages):
+                raise ValueError(f"offsets {at} to {at + limit - 1} gave {len(page)} records of {limit}")
+            yield page
+            at += len(page)
 
     def _batch(self, range_id: int, page: list) -> pa.RecordBatch:
         values = [as_line(r) for r in page]
@@ -258,13 +268,36 @@ class _Reader(DataSourceReader):
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:
-    """The data source class of one scan, ready for `spark.dataSource.register`."""
-    check_page_size(scan.page_size)
-    if scan.mode not in (CHUNKS, OFFSETS):
-        raise ValueError(f"a paged scan reads by {CHUNKS} or {OFFSETS}, not {scan.mode!r}")
-    if scan.mode == OFFSETS and scan.expected is None and service.count is None:
-        raise ValueError("reading by offsets needs a record count")
+def planned_ranges(spark: SparkSession, service: PagedService, scan: PagedScan) -> list[_Range]:
+    """The tasks of a scan. Chunks are counted and halved by a Spark job, so the driver asks the service for nothing
+    that grows with the records; what comes back is a few fields for each task."""
+    if scan.mode == OFFSETS:
+        count = service.count(scan.request()) if scan.expected is None else scan.expected
+        wanted = max(scan.num_ranges, -(-count // service.rows_per_task))
+        clipped = [range(r.start, min(r.stop, count)) for r in offset_ranges(count, wanted)]
+        return [_Range(i, scan.request(), r) for i, r in enumerate(clipped)]
+    chunks = _whole_chunks(scan)
+    if service.count is None or not chunks:
+        return [_Range(i, chunk) for i, chunk in enumerate(chunks)]
+    _ship_package()
+    numbered = spark.createDataFrame([(i, cloudpickle.dumps(c)) for i, c in enumerate(chunks)], "chunk int, request binary")
+    one_task_each = numbered.repartitionByRange(len(chunks), "chunk")
+
+    def plan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for number, request in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                pieces = [cloudpickle.dumps(piece) for piece in halved(cloudpickle.loads(request), service, scan.key_col)]
+                rows = [[number] * len(pieces), list(range(len(pieces))), pieces]
+                arrays = [pa.array(r, t) for r, t in zip(rows, (pa.int32(), pa.int32(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "piece", "request"])
+
+    pieces = one_task_each.mapInArrow(plan, "chunk int, piece int, request binary").collect()
+    ordered = sorted(pieces, key=lambda r: (r["chunk"], r["piece"]))
+    return [_Range(i, cloudpickle.loads(bytes(r["request"]))) for i, r in enumerate(ordered)]
+
+
+def paged_source(service: PagedService, scan: PagedScan, ranges: list[_Range]) -> type[DataSource]:
+    """The data source class of one planned scan, ready for `spark.dataSource.register`."""
 
     class Paged(DataSource):
         @classmethod
@@ -275,11 +308,21 @@ def paged_source(service: PagedService, scan: PagedScan) -> type[DataSource]:
             return REPORT_SCHEMA if scan.report else SCHEMA
 
         def reader(self, schema) -> DataSourceReader:
-            return _Reader(service, scan)
+            return _Reader(service, scan, ranges)
 
     return Paged
 
 
+def check_scan(service: PagedService, scan: PagedScan) -> None:
+    check_page_size(scan.page_size)
+    if scan.mode not in (CHUNKS, OFFSETS):
+        raise ValueError(f"a paged scan reads by {CHUNKS} or {OFFSETS}, not {scan.mode!r}")
+    if scan.mode == OFFSETS and scan.expected is None and service.count is None:
+        raise ValueError("reading by offsets needs a record count")
+    if scan.mode == CHUNKS and scan.num_ranges > 1 and (scan.start is None or scan.end is None):
+        raise ValueError("an open window cannot be cut into chunks; name its start and end")
+
+
 def _ship_package() -> None:
     """Send this package's code along with the tasks, so that executors need not have it installed."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
@@ -287,9 +330,9 @@ def _ship_package() -> None:
 
 def read_paged(spark: SparkSession, service: PagedService, scan: PagedScan) -> DataFrame:
     """Records of a service as JSON lines (`range_id`, `updated`, `value`), one task per range."""
+    check_scan(service, scan)
     _ship_package()
-    source = paged_source(service, scan)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    source = paged_source(service, scan, planned_ranges(spark, service, scan))
     spark.dataSource.register(source)
     return spark.read.format(source.name()).load()
 
@@ -302,36 +345,39 @@ def fetch_ids(
     ids_per_batch: int,
     tasks: int,
     wanted_names: tuple[str, ...] = (),
+    page_size: int = 1000,
 ) -> DataFrame:
     """Records of the given (distinct) keys as JSON lines (`value`), at most `ids_per_batch` keys per request.
 
-    Keys are spread over `tasks` tasks and never collected. One request covers one batch: as keys are unique, a batch
-    cannot return more records than it has keys. Every task ends in one row without a value that tells (`names`) in
-    which spellings the wanted names came up.
+    Keys are spread over `tasks` tasks and never collected. A batch is paged until an empty page ends it: a key may have
+    several records, and a page may be short. Every task ends in one row without a value that tells (`names`) in which
+    spellings the wanted names came up.
     """
     _ship_package()
-    key = ids.columns[0]
     fetch = service.fetch
     lines = pa.schema([("value", pa.string()), ("names", pa.list_(pa.string()))])
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spellings = _Spellings(wanted_names)
 
-        def page(keys: list[str]) -> pa.RecordBatch:
-            found = list(fetch(PageRequest(table, len(keys), tuple(fields), ids=tuple(keys))))
-            spellings.note(found)
-            values = [as_line(r) for r in found]
-            return pa.RecordBatch.from_pydict({"value": values, "names": [None] * len(found)}, lines)
-
-        waiting: list[str] = []
-        for batch in batches:
-            waiting += batch.column(0).to_pylist()
-            while len(waiting) >= ids_per_batch:
-                yield page(waiting[:ids_per_batch])
-                waiting = waiting[ids_per_batch:]
+        def pages(keys: list[str]) -> Iterator[pa.RecordBatch]:
+            request = PageRequest(table, page_size, tuple(fields), offset=0, ids=tuple(keys))
+            while found := list(fetch(request)):
+                spellings.note(found)
+                values = [as_line(r) for r in found]
+                yield pa.RecordBatch.from_pydict({"value": values, "names": [None] * len(found)}, lines)
+                request = replace(request, offset=request.offset + len(found))
+
+        waiting, number = [], None
+        for part in parts:
+            for key, batch in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if waiting and batch != number:
+                    yield from pages(waiting)
+                    waiting = []
+                waiting.append(key)
+                number = batch
         if waiting:
-            yield page(waiting)
+            yield from pages(waiting)
         yield pa.RecordBatch.from_pydict({"value": [None], "names": [sorted(spellings.seen)]}, lines)
 
-    spread = ids.select(F.col(quoted(key)).cast("string").alias("id")).repartition(tasks, "id")
-    return spread.mapInArrow(read, "value string, names array<string>")
+    return id_batches(ids, ids.columns[0], ids_per_batch, tasks).mapInArrow(read, "value string, names array<string>")

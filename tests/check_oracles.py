@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
-TABLES = "events orders"
+TABLES = "events orders documents embeddings pages benchmark labels conversations"
 
 
 def duckdb_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:

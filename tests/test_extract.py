@@ -98,21 +98,40 @@ def test_id_file(spark, tmp_path):
     assert sorted(r["id"] for r in found.collect()) == ["a", "b", "c", "d"]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [extract.BROADCAST_BYTES, 0])
-def test_extract_ids(spark, monkeypatch, broadcast_bytes):
-    """Both ways to join: a list within the broadcast bound and one beyond it."""
-    monkeypatch.setattr(extract, "BROADCAST_BYTES", broadcast_bytes)
-    frame = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (3, "w")], "id bigint, v string")
-    keys = spark.createDataFrame([("2",), ("3",), ("9",), ("nonsense",)], "id string")
-    found = extract.extract_ids(frame, keys, "id")
-    assert sorted(r["v"] for r in found.collect()) == ["w", "y", "z"]
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert ("broadcast" in plan) == bool(broadcast_bytes)
-
-
-def test_a_frequent_key_is_split_where_the_list_is_long(spark, monkeypatch):
+def test_a_list_in_one_line_uses_several_tasks(spark, tmp_path):
+    (tmp_path / "ids.txt").write_text(",".join(f"key{i:07d}" for i in range(200_000)) + "\r\nlast")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        entries = spark.read.option("lineSep", ",").text(str(tmp_path / "ids.txt"))
+        assert entries.rdd.getNumPartitions() > 4
+        assert read_id_file(spark, str(tmp_path / "ids.txt")).count() == 200_001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_extract_ids(spark, threshold):
+    """Both ways to join: a list that is broadcast and one that is not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        frame = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (3, "w")], "id bigint, v string")
+        keys = spark.createDataFrame([("2",), ("3",), ("9",), ("nonsense",)], "id string")
+        assert sorted(r["v"] for r in extract.extract_ids(frame, keys, "id").collect()) == ["w", "y", "z"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_day_begins_at_midnight(spark):
+    frame = spark.sql("SELECT explode(sequence(DATE '2024-01-04', DATE '2024-01-07')) AS day")
+    found = extract.extract_window(frame, "day", "2024-01-05 12:00:00", "2024-01-06 12:00:00").collect()
+    assert [str(r["day"]) for r in found] == ["2024-01-06"]
+    found = extract.extract_window(frame, "day", "2024-01-05 00:00:00", "2024-01-06").collect()
+    assert [str(r["day"]) for r in found] == ["2024-01-05", "2024-01-06"]
+
+
+def test_a_frequent_key_is_split_where_the_list_is_long(spark):
     """A third of the records share one key: adaptive execution splits its partition of the shuffle join."""
-    monkeypatch.setattr(extract, "BROADCAST_BYTES", 0)
     settings = {
         "spark.sql.shuffle.partitions": "32",
         "spark.sql.autoBroadcastJoinThreshold": "-1",

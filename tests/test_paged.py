@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 from dataclasses import replace
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark import cloudpickle
 
 from quayside import PagedService, PageRequest
 from quayside.functions.moments import as_text
-from quayside.sources.paged import OFFSETS, PagedScan, fetch_ids, paged_source, read_paged
+from quayside.sources.paged import OFFSETS, PagedScan, as_line, check_scan, fetch_ids, planned_ranges, read_paged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -23,7 +25,7 @@ def records(n, per_second=1):
     ]
 
 
-def list_service(rows, count=True, rows_per_task=1_000_000, short_pages=False):
+def list_service(rows, count=True, rows_per_task=1_000_000, short_pages=False, most=None):
     """A service over a list; `short_pages` makes it hold back records of a page, as access rules can do."""
 
     def matching(request: PageRequest):
@@ -47,9 +49,11 @@ def list_service(rows, count=True, rows_per_task=1_000_000, short_pages=False):
         page = matching(request)[first : first + request.limit]
         if short_pages and len(page) > 1:
             page = page[:-1]
+        page = page[:most]
         return [{k: r[k] for k in request.fields or r} for r in page]
 
-    return PagedService(fetch, (lambda request: len(matching(request))) if count else None, rows_per_task)
+    counted = (lambda request: len(matching(request))) if count else None
+    return PagedService(fetch, counted, rows_per_task, short_pages=short_pages)
 
 
 SCAN = PagedScan("things", "key", "at", start="2024-01-01", end="2024-01-02", num_ranges=3, page_size=10)
@@ -75,7 +79,7 @@ def test_page_sizes(spark, size):
 
 def test_page_size_one_is_refused():
     with pytest.raises(ValueError):
-        paged_source(list_service([]), replace(SCAN, page_size=1))
+        check_scan(list_service([]), replace(SCAN, page_size=1))
 
 
 def test_window_is_inclusive_and_chunks_do_not_overlap(spark):
@@ -93,8 +97,33 @@ def test_hot_second_is_split(spark):
     frame = read_paged(spark, list_service(rows, rows_per_task=30), scan)
     assert keys(frame.where("value IS NOT NULL")) == [r["key"] for r in rows]
     done = {r["range_id"]: (r["records"], r["requests"]) for r in frame.where("value IS NULL").collect()}
-    assert [done[i][0] for i in sorted(done)] == [30, 30, 30, 10, 0, 0]
-    assert [done[i][1] for i in sorted(done)] == [4, 4, 4, 2, 1, 1]
+    assert [done[i] for i in sorted(done)] == [(30, 4), (30, 4), (30, 4), (10, 2), (0, 1), (0, 1)]
+
+
+def test_a_burst_is_halved_until_tasks_are_small(spark):
+    rows = records(400)
+    frame = read_paged(spark, list_service(rows, rows_per_task=60), replace(SCAN, num_ranges=2))
+    assert keys(frame) == [r["key"] for r in rows]
+    sizes = [r["count"] for r in frame.groupBy("range_id").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) <= 60
+
+
+@pytest.mark.parametrize("n", [50, 800])
+def test_the_driver_asks_nothing_while_ranges_are_planned(spark, tmp_path, n):
+    plain = list_service(records(n), rows_per_task=20)
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def noted(call):
+        def asked(request):
+            (log / str(os.getpid())).touch()
+            return call(request)
+
+        return asked
+
+    service = PagedService(noted(plain.fetch), noted(plain.count), 20)
+    assert len(planned_ranges(spark, service, SCAN)) >= n // 20
+    assert str(os.getpid()) not in {p.name for p in log.iterdir()}
 
 
 def test_spellings_are_noted(spark):
@@ -113,6 +142,13 @@ def test_without_a_count_chunks_stay_whole(spark):
     assert {r["range_id"] for r in frame.collect()} == {0}
 
 
+def test_an_open_window_is_not_cut(spark):
+    with pytest.raises(ValueError, match="open window"):
+        read_paged(spark, list_service(records(5)), replace(SCAN, end=None))
+    whole = read_paged(spark, list_service(records(5)), replace(SCAN, end=None, num_ranges=1))
+    assert len(keys(whole)) == 5
+
+
 def test_keys_added_during_the_read(spark):
     rows = records(30)
     late = [{"key": f"{i:05d}x", "at": "2024-01-01 00:00:01", "v": 0} for i in (3, 29)]
@@ -133,38 +169,48 @@ def test_a_service_that_repeats_its_last_key_is_found_out(spark):
         read_paged(spark, service, replace(SCAN, num_ranges=1)).count()
 
 
-@pytest.mark.parametrize("cutoff", [None, 1, 2])
-def test_offsets(spark, cutoff):
+@pytest.mark.parametrize("rows_per_task", [7, 1_000_000])
+def test_offsets(spark, rows_per_task):
     rows = records(95)
-    scan = replace(SCAN, mode=OFFSETS, num_ranges=4, max_pages_per_range=cutoff)
-    expected = [r["key"] for i, r in enumerate(rows) if cutoff is None or i % 24 < cutoff * 10]
-    assert keys(read_paged(spark, list_service(rows), scan)) == expected
+    frame = read_paged(spark, list_service(rows, rows_per_task=rows_per_task), replace(SCAN, mode=OFFSETS, num_ranges=4))
+    assert keys(frame) == [r["key"] for r in rows]
+    assert max(r["count"] for r in frame.groupBy("range_id").count().collect()) <= max(rows_per_task, 24)
 
 
-def test_offsets_need_a_count():
-    with pytest.raises(ValueError):
-        paged_source(list_service([], count=False), replace(SCAN, mode=OFFSETS))
+def test_short_offset_pages_lose_nothing(spark):
+    """A service that gives at most 7 records a page: all of them where that is known, else an error."""
+    rows = records(100)
+    scan = replace(SCAN, mode=OFFSETS, num_ranges=4)
+    capped = list_service(rows, most=7)
+    with pytest.raises(Exception, match="gave 7 records of 10"):
+        read_paged(spark, capped, scan).count()
+    assert keys(read_paged(spark, replace(capped, short_pages=True), scan)) == [r["key"] for r in rows]
 
 
-def test_filters_narrow_the_requests(spark, tmp_path):
-    rows = records(86400 // 100)
-    log = tmp_path / "requests"
-    log.mkdir()
+def test_missing_offsets_are_an_error(spark):
+    plain = list_service(records(30))
+    short = PagedService(plain.fetch, lambda request: 35, short_pages=True)
+    with pytest.raises(Exception, match="gave 0 records"):
+        read_paged(spark, short, replace(SCAN, mode=OFFSETS, num_ranges=2)).count()
+
+
+def test_offsets_need_a_count():
+    with pytest.raises(ValueError):
+        check_scan(list_service([], count=False), replace(SCAN, mode=OFFSETS))
 
-    def fetch(request):
-        (log / f"{as_text(request.lo)} {as_text(request.hi)} {request.after}".replace(":", "-")).touch()
-        return list_service(rows).fetch(request)
 
-    frame = read_paged(spark, PagedService(fetch), replace(SCAN, num_ranges=1))
-    low, high = "2024-01-01 00:05:00", "2024-01-01 00:06:00"
-    found = frame.where(f"updated >= '{low}' AND updated < '{high}'")
-    assert keys(found) == sorted(r["key"] for r in rows if low <= r["at"] < high)
-    assert {p.name[:39] for p in log.iterdir()} == {f"{low} {high}".replace(":", "-")}
+def test_filters_on_one_use_leave_the_others_alone(spark):
+    rows = records(100)
+    frame = read_paged(spark, list_service(rows), SCAN)
+    middle = sorted(r["at"] for r in rows)[50]
+    later, earlier = frame.where(f"updated >= '{middle}'"), frame.where(f"updated < '{middle}'")
+    assert [frame.count(), later.count(), frame.count(), len(keys(frame))] == [100, 50, 100, 100]
+    assert keys(later.union(earlier)) == [r["key"] for r in rows]
 
 
-def test_contradicting_filters_ask_nothing(spark):
-    frame = read_paged(spark, PagedService(lambda r: 1 / 0), SCAN)
-    assert frame.where("updated >= '2025-01-01 00:00:00'").count() == 0
+def test_a_window_that_ends_before_it_starts_asks_nothing(spark):
+    frame = read_paged(spark, PagedService(lambda r: 1 / 0), replace(SCAN, start="2025-01-01"))
+    assert frame.count() == 0
 
 
 def test_fields_reach_the_service(spark):
@@ -190,3 +236,20 @@ def test_ids(spark, tmp_path, n):
     assert keys(frame.where("value IS NOT NULL")) == sorted(k for k in wanted if k != "unknown")
     sizes = [int(p.name.split("_")[1]) for p in log.iterdir()]
     assert sum(sizes) == len(wanted) and max(sizes) <= 100
+
+
+def test_keys_with_several_records(spark):
+    rows = [{"key": f"k{i % 4}", "at": "2024-01-01 00:00:00", "v": i} for i in range(50)]
+    ids = spark.createDataFrame([("k1",), ("k3",), ("none",)], "id string")
+    for most in (None, 2):
+        frame = fetch_ids(ids, list_service(rows, most=most), "things", (), 10, tasks=1, page_size=5)
+        found = sorted(int(json.loads(r["value"])["v"]) for r in frame.where("value IS NOT NULL").collect())
+        assert found == [i for i in range(50) if i % 4 in (1, 3)]
+
+
+def test_records_land_as_text():
+    record = {"a": 1.50, "b": Decimal("12345678901234567.8901"), "c": True, "d": None, "e": {"n": 1}, "f": float("inf")}
+    assert json.loads(as_line({**record, "g": b"\x01\xff"})) == {
+        "a": "1.5", "b": "12345678901234567.8901", "c": "true", "d": None, "e": {"n": 1}, "f": "Infinity",
+        "g": "data:;base64,Af8=",
+    }

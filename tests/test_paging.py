@@ -1,34 +1,15 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.functions.ranges import offset_ranges, range_size, truncated_rows
+from quayside.functions.ranges import offset_ranges, range_size
 from quayside.operators import paging
 
 
-def overlapping_pager(n: int, size: int) -> tuple[int, int]:
-    """Requests and emitted records of reading 0 … n-1 by pages that begin at the last key seen."""
-    requests = emitted = last = 0
-    while True:
-        page = range(last, min(last + size, n))
-        requests += 1
-        emitted += len(page)
-        if len(page) < 2:
-            return requests, emitted
-        last = page[-1]
-
-
-@pytest.mark.parametrize("size", [2, 3, 7, 14])
-def test_keyset_audit_equals_a_pager(spark, size):
-    frame = spark.range(1, 41).select(F.explode(F.sequence(F.lit(1), F.col("id"))), F.col("id").alias("n"))
-    found = {r["chunk"]: (r["unique_rows"], r["requests"], r["emitted_rows"]) for r in paging.keyset_audit(frame, "n", size).collect()}
-    assert found == {n: (n, *overlapping_pager(n, size)) for n in range(1, 41)}
-
-
 def test_page_size_one_is_refused(spark):
-    with pytest.raises(ValueError):
-        paging.keyset_audit(spark.range(3), "id", 1)
     with pytest.raises(ValueError):
         paging.offset_pages(spark.range(3), "id", 1, 1)
 
@@ -79,25 +60,20 @@ def test_ranges():
             assert [o for r in offset_ranges(count, n) for o in r] == list(range(count + 1))
 
 
-@pytest.mark.parametrize("cutoff", [None, 1, 2, 100])
-def test_offset_pages(spark, cutoff):
-    rows = paging.offset_pages(spark.range(103), "id", ranges=4, page_size=10, max_pages_per_range=cutoff).collect()
+def test_offset_pages(spark):
+    rows = paging.offset_pages(spark.range(103), "id", ranges=4, page_size=10).collect()
     expected = []
     for i, r in enumerate(offset_ranges(103, 4)):
-        for off in r:
-            page = (off - r.start) // 10
-            if off < 103 and (cutoff is None or page < cutoff):
-                expected.append((off, off, i, page))
+        expected += [(off, off, i, (off - r.start) // 10) for off in r if off < 103]
     assert sorted(tuple(r) for r in rows) == expected
-    assert truncated_rows(103, 4, 10, cutoff) == 103 - len(expected)
 
 
 @pytest.mark.parametrize("n", [0, 1, 99, 100, 101, 950])
 def test_id_batches(spark, n):
-    batches = paging.id_batches(spark.range(n), "id", 100).groupBy("batch").count().collect()
-    assert sum(r["count"] for r in batches) == n
-    assert len(batches) == min(n, n // 100 + 1)
-    assert all(r["count"] <= 100 for r in batches)
+    rows = paging.id_batches(spark.range(n), "id", 100, tasks=3).collect()
+    assert sorted(r["id"] for r in rows) == sorted(str(i) for i in range(n))
+    sizes = Counter(r["batch"] for r in rows)
+    assert all(size <= 100 for size in sizes.values()) and len(sizes) <= n // 100 + 3
 
 
 def test_columns_of_the_records_are_left_alone(spark):
@@ -106,5 +82,3 @@ def test_columns_of_the_records_are_left_alone(spark):
         paging.offset_pages(frame, "id", 1, 2)
     rows = paging.offset_pages(frame, "id", 1, 2, names=("off", "rng", "_page")).collect()
     assert sorted(tuple(r) for r in rows) == [(i, 2 * i, 3 * i, 5 * i, i, 0, i // 2) for i in range(5)]
-    with pytest.raises(ValueError):
-        paging.id_batches(spark.range(3).selectExpr("id", "id AS batch"), "id", 10)

@@ -10,6 +10,7 @@ from test_paged import list_service
 
 from quayside import IngestParams, LandedLines, parse_contract, run
 from quayside.operators import audit, sink
+from quayside.plans import ingest
 from quayside.sources.storage import list_directories
 
 CONTRACT = parse_contract(
@@ -84,9 +85,9 @@ def test_run(spark, make_source, params):
     result = run(spark, make_source(rows), CONTRACT, params)
     assert result.audit_error is None
     report = result.report
-    counts = {k: report[k] for k in ("expected", "landed", "processed", "unique_keys", "error_rows", "malformed", "truncated")}
+    counts = {k: report[k] for k in ("expected", "landed", "processed", "unique_keys", "error_rows", "malformed")}
     assert counts == {
-        "expected": 100, "landed": 100, "processed": 100, "unique_keys": 100, "error_rows": 10, "malformed": 0, "truncated": 0,
+        "expected": 100, "landed": 100, "processed": 100, "unique_keys": 100, "error_rows": 10, "malformed": 0,
     }
     assert report["missing_fields"] == ["missing"]
     assert report["blanks"] == {"v": 10}
@@ -180,16 +181,40 @@ def test_open_window(spark, params):
     assert result.report["expected"] == result.report["processed"] == 31
 
 
-@pytest.mark.parametrize("cutoff", [None, 1])
-def test_offsets(spark, make_source, params, cutoff):
+def test_offsets(spark, make_source, params):
     rows = source_rows(95)
-    by_offset = replace(params, extract_mode="offsets", num_chunks=4, max_pages_per_range=cutoff)
-    result = run(spark, make_source(rows), CONTRACT, by_offset)
-    wanted = [r for i, r in enumerate(rows) if cutoff is None or i % 24 < 10 * cutoff]
-    assert typed(spark, result) == expected_rows(wanted)
-    assert (result.report["expected"], result.report["truncated"]) == (95, 95 - len(wanted))
-    assert [r[:3] for r in result.report["ranges"]] == [(0, "0", "23"), (1, "24", "47"), (2, "48", "71"), (3, "72", "95")]
-    assert sum(r[3] for r in result.report["ranges"]) == len(wanted)
+    result = run(spark, make_source(rows), CONTRACT, replace(params, extract_mode="offsets", num_chunks=4))
+    assert typed(spark, result) == expected_rows(rows)
+    assert result.report["expected"] == 95
+    assert [r[:2] for r in result.report["ranges"]] == [(0, "0"), (1, "24"), (2, "48"), (3, "72")]
+    assert sum(r[3] for r in result.report["ranges"]) == 95
+
+
+def test_a_shortfall_leaves_the_old_partition(spark, params):
+    """A service that counts more than it gives: the run fails before anything is replaced."""
+    frame_rows = source_rows(20)
+    first = run(spark, list_service(frame_rows), CONTRACT, params)
+    before = typed(spark, first)
+    plain = list_service(source_rows(10))
+    lying = type(plain)(plain.fetch, lambda request: plain.count(request) + 1 if request.limit else 0)
+    with pytest.raises(RuntimeError, match="landed"):
+        run(spark, lying, CONTRACT, replace(params, num_chunks=1))
+    assert typed(spark, first) == before
+    assert run(spark, lying, CONTRACT, replace(params, num_chunks=1, on_mismatch="report")).report["landed"] == 10
+
+
+def test_a_failed_write_leaves_the_old_partition(spark, make_source, params, monkeypatch):
+    first = run(spark, make_source(source_rows(20)), CONTRACT, params)
+    before = typed(spark, first)
+
+    def refuse(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr(ingest, "_write_quarantine", refuse)
+    with pytest.raises(OSError, match="no space"):
+        run(spark, make_source(source_rows(5)), CONTRACT, params)
+    assert typed(spark, first) == before
+    assert list_directories(spark, f"{params.output_dir}/thing") == ["dt=" + params.run_partition]
 
 
 def test_a_field_named_like_a_page_column(spark, params):
@@ -197,10 +222,9 @@ def test_a_field_named_like_a_page_column(spark, params):
         json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": "long"} for n in ("key", "page", "off")]})
     )
     frame = spark.range(50).selectExpr("id AS key", "id * 2 AS page", "id * 3 AS off", "'2024-01-01 00:00:00' AS at")
-    few = replace(params, extract_mode="offsets", num_chunks=1, max_pages_per_range=2)
-    result = run(spark, frame, contract, few)
+    result = run(spark, frame, contract, replace(params, extract_mode="offsets", num_chunks=1))
     rows = sink.read_partition(spark, result.typed_path, contract).collect()
-    assert sorted(tuple(r) for r in rows) == [(i, 2 * i, 3 * i) for i in range(20)]
+    assert sorted(tuple(r) for r in rows) == [(i, 2 * i, 3 * i) for i in range(50)]
 
 
 def test_ids(spark, make_source, params, tmp_path):
@@ -281,6 +305,7 @@ def test_a_failed_audit_is_reported(spark, make_source, params, monkeypatch):
         dict(error_mode="none"),
         dict(retention="none"),
         dict(page_size=1),
+        dict(on_mismatch="ignore"),
         dict(extract_mode="offsets", count_probe=False),
         dict(extract_mode="ids"),
         dict(key_col="unknown"),

@@ -89,14 +89,19 @@ def test_clustering_makes_few_files_and_splits_a_hot_value(spark, tmp_path):
 def test_landing_round_trip(spark, tmp_path):
     records = spark.sql(
         """SELECT 1 AS `a b`, 'line\\nbreak "q"' AS t, CAST(NULL AS string) AS gone, DATE '2024-01-02' AS d,
-        TIMESTAMP_NTZ '2024-01-02 03:04:05' AS l, TIMESTAMP '2024-01-02 03:04:05Z' AS z, 1.50D AS x"""
+        TIMESTAMP_NTZ '2024-01-02 03:04:05.1234' AS l, TIMESTAMP '2024-01-02 03:04:05.000001Z' AS z, 1.50D AS x,
+        CAST(1.50 AS decimal(9,4)) AS y, X'0102FF' AS b, double('-Infinity') AS i, named_struct('n', 1.50D) AS s"""
     )
     path = landing_dir(str(tmp_path), "thing", date(2024, 1, 2))
     assert path.endswith("/json/thing_20240102")
     for _ in range(2):
         land(as_lines(records), path)
     assert [json.loads(r["value"]) for r in spark.read.text(path).collect()] == [
-        {"a b": 1, "t": 'line\nbreak "q"', "d": "2024-01-02", "l": "2024-01-02 03:04:05", "z": "2024-01-02 03:04:05", "x": 1.5}
+        {
+            "a b": "1", "t": 'line\nbreak "q"', "d": "2024-01-02", "l": "2024-01-02 03:04:05.1234",
+            "z": "2024-01-02 03:04:05.000001", "x": "1.5", "y": "1.5000", "b": "data:;base64,AQL/", "i": "-Infinity",
+            "s": {"n": 1.5},
+        }
     ]
 
 
