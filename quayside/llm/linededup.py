@@ -65,8 +65,13 @@ def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows one by one; of rows that repeat, which come one behind the other, the first."""
+    before = None
     for part in parts:
-        yield from zip(*(part.column(i).to_pylist() for i in range(5)), strict=True)
+        for row in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
+            if row != before:
+                yield row
+            before = row
 
 
 def _stream(parts: Iterator[pa.RecordBatch], min_docs: int, keep_first: bool) -> Iterator[tuple]:

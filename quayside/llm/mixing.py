@@ -124,7 +124,7 @@ def class_copies(classes: DataFrame, targets: DataFrame, solved: DataFrame) -> D
     """(key, size, n, copies): how many copies the documents of a source and size get together.
 
     Copies follow the running sum of the expected ones over rising sizes, so each class has its rates rounded up or
-    down. The tokens by which a source then misses its target are made up by single copies, the largest that fit first.
+    down. The tokens by which a source then misses its target are made up by single copies, of the largest sizes first.
     The array for this holds one entry for each distinct size of a source, not one for each document.
     """
     rated = classes.join(targets, "key").join(solved, "key", "left")
@@ -147,28 +147,25 @@ def class_copies(classes: DataFrame, targets: DataFrame, solved: DataFrame) -> D
             F.collect_list(F.when(F.col("size") > 0, F.struct("size", "n", "copies"))), asc=False
         ).alias("sizes"),
     )
-    gap = F.col("target") - F.col("taken")
-    room = lambda c: F.when(
-        F.col("gap") > 0, F.least(c["n"], MAX_COPIES * c["n"] - c["copies"])
-    ).otherwise(F.least(c["n"], c["copies"]))
 
     def fill(done: Column, c: Column) -> Column:
-        moved = F.least(room(c), F.floor(done["left"] / c["size"]))
+        """From the largest size down, as many copies more or less as bring the tokens closest to the target."""
+        fewer, more = -F.least(c["n"], c["copies"]), F.least(c["n"], MAX_COPIES * c["n"] - c["copies"])
+        moved = F.least(F.greatest(F.round(done["left"] / c["size"]).cast("long"), fewer), more)
         entry = F.array(F.struct(c["size"].alias("size"), moved.alias("moved")))
         return F.struct(
             (done["left"] - moved * c["size"]).alias("left"),
-            F.when(moved > 0, F.concat(done["moves"], entry)).otherwise(done["moves"]).alias("moves"),
+            F.when(moved != 0, F.concat(done["moves"], entry)).otherwise(done["moves"]).alias("moves"),
         )
 
     nothing = F.struct(
-        F.abs("gap").cast("double").alias("left"),
+        (F.col("target") - F.col("taken")).cast("double").alias("left"),
         F.array().cast("array<struct<size: bigint, moved: bigint>>").alias("moves"),
     )
     moves = (
-        missing.withColumn("gap", gap)
-        .withColumn("filled", F.aggregate("sizes", nothing, fill))
-        .select("key", F.signum("gap").cast("long").alias("sign"), F.explode("filled.moves").alias("move"))
-        .select("key", F.col("move.size").alias("size"), (F.col("sign") * F.col("move.moved")).alias("moved"))
+        missing.withColumn("filled", F.aggregate("sizes", nothing, fill))
+        .select("key", F.explode("filled.moves").alias("move"))
+        .select("key", "move.size", "move.moved")
     )
     final = F.col("copies") + F.coalesce("moved", F.lit(0))
     return summed.join(moves, ["key", "size"], "left").select("key", "size", "n", final.alias("copies"))

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.llm.linededup import kept_lines, line_bitmaps, packed, without_lines
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_docs, keep_first):
+    """(id, text) to (id, lines, dropped, kept) by a plain reading of the rules."""
+    holders, first = defaultdict(set), {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        for position, line in enumerate((text or "").split("\n")):
+            key = line.strip(" \t\n\x0b\x0c\r").translate(FOLD)
+            if key:
+                holders[key].add(doc)
+                first.setdefault(key, (doc, position))
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = []
+        for position, line in enumerate(lines):
+            key = line.strip(" \t\n\x0b\x0c\r").translate(FOLD)
+            if not key or len(holders[key]) < min_docs or (keep_first and first[key] == (doc, position)):
+                kept.append(line)
+        out.append((doc, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def found(docs, min_docs, keep_first=False):
+    result = without_lines(docs, line_bitmaps(docs, min_docs, keep_first))
+    rows = result.select("row.doc_id", "n_lines", "n_dropped", F.coalesce("kept", F.lit(""))).collect()
+    return sorted(map(tuple, rows), key=repr)
+
+
+@pytest.mark.parametrize("min_docs, keep_first", [(2, False), (3, True), (1, True), (1, False)])
+def test_equals_brute_force(awkward, min_docs, keep_first):
+    rows = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
+    assert found(awkward, min_docs, keep_first) == brute(rows, min_docs, keep_first)
+
+
+def test_a_line_over_many_partitions(spark):
+    rows = [(i, f"The same line\nown {i}") for i in range(500)] + [(1000, "rare"), (1001, "rare"), (None, "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for min_docs, keep_first in ((3, False), (400, True), (501, False)):
+            assert found(docs, min_docs, keep_first) == brute(rows, min_docs, keep_first)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_same_id_with_other_text(spark):
+    rows = [(1, "a\nb"), (1, "b\nc"), (2, "b"), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(docs, 2) == brute(rows, 2, False)
+
+
+def test_rows_keep_their_columns(awkward):
+    result = without_lines(awkward, line_bitmaps(awkward, 2)).select("row.*")
+    assert result.columns == awkward.columns
+    assert result.exceptAll(awkward).isEmpty() and awkward.exceptAll(result).isEmpty()
+
+
+def test_empty_table(empty):
+    assert found(empty, 2) == []
+
+
+def test_bitmaps():
+    lines = [str(i) for i in range(40)]
+    assert kept_lines(lines, packed([0, 7, 8, 30])) == [x for x in lines if x not in ("0", "7", "8", "30")]
+    assert hashlib.sha256(packed([3])).digest()

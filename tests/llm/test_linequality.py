@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from quayside.llm.linequality import LineRules, line_quality, repeated_words
+
+
+def brute_repeated(words):
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    return len({j for i, w in enumerate(windows) if windows.count(w) > 1 for j in (i, i + 1, i + 2)})
+
+
+def test_repeated_words():
+    rng = random.Random(1)
+    for _ in range(300):
+        words = [rng.choice("abcd") for _ in range(rng.randrange(14))]
+        assert repeated_words(words) == brute_repeated(words)
+
+
+@pytest.mark.parametrize(
+    "line, rule",
+    [
+        ("This is an ordinary sentence, and it ends.", None),
+        ("A longer line may well end without a mark here", None),
+        ("Contact us", "punctuation"),
+        ("WHAT!! A!! SHOUT!! THIS!! IS!!", "punctuation"),
+        ("so### many*** odd%%% signs&&& here$$$ now.", "punctuation"),
+        ("Home | About | News | Contact | Imprint.", "navigation"),
+        ("All rights reserved by somebody else.", "boilerplate"),
+        ("The privacy policy. " + "Words of a long text follow here. " * 6, None),
+        ("same same same same same same same same same same same.", "repetition"),
+    ],
+)
+def test_rules(line, rule):
+    assert LineRules().broken(line, line.split()) == rule
+
+
+def test_documents(awkward):
+    texts = {r["doc_id"]: r["text"] or "" for r in awkward.select("doc_id", "text").collect()}
+    rows = line_quality(awkward).collect()
+    assert len(rows) == awkward.count()
+    for row in rows:
+        text = texts[row["doc_id"]]
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert row["n_words"] == len(words) and row["word_chars"] == sum(map(len, words))
+        assert row["n_dup_lines"] == len(lines) - len(set(lines))
+        assert row["n_repeat_words"] == (brute_repeated(words) if len(words) < 500 else row["n_repeat_words"])
+        assert row["n_symbols"] == sum(text.count(c) for c in "#*$%&|<>")
+
+
+def test_lost_text_decides(spark):
+    good = "This line has enough words and ends well.\n"
+    rows = [(1, good * 3 + "Home | Shop | News | Help"), (2, good + "a | b | c | d | e | f | g | h | i | j | k"), (3, None)]
+    found = {r["doc_id"]: r for r in line_quality(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found[1]["accepted"] and found[1]["cleaned"] == (good * 3)[:-1] and found[1]["n_navigation"] == 1
+    assert not found[2]["accepted"]
+    assert found[3]["accepted"] and found[3]["n_words"] == 0
+
+
+def test_empty_table(empty):
+    assert line_quality(empty).count() == 0

@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import random
+import struct
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from quayside.llm.pieces import encoded, table_of
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def table():
+    with open(MODEL, "rb") as file:
+        return table_of(file.read())
+
+
+def ids_of(packed: bytes) -> list[int]:
+    return list(struct.unpack(f"<{len(packed) // 4}I", packed))
+
+
+def test_random_texts_as_the_library(library, table):
+    rng = random.Random(11)
+    letters = list("abcdeghinorst  \n\t▁.,:'éß漢字🙂0123ABTHE​\x00")
+    pieces = [library.id_to_piece(i).replace("▁", " ") for i in range(259, 32000)]
+    for i in range(6000):
+        parts = letters if i % 2 else pieces
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(25 if i % 2 else 7)))
+        ids = library.encode(text, add_bos=True, add_eos=True)
+        assert ids_of(table.encode(text)) == ids, text
+        assert table.decode(table.encode(text)) == library.decode(ids)
+
+
+def test_any_ids_decode_as_the_library_does(library, table):
+    rng = random.Random(12)
+    for _ in range(6000):
+        ids = [rng.randrange(32000 if rng.random() < 0.5 else 300) for _ in range(rng.randrange(9))]
+        assert table.decode(struct.pack(f"<{len(ids)}I", *ids)) == library.decode(ids), ids
+
+
+def test_long_runs(library, table):
+    for text in (" " * 100, "a" * 5000, "ab" * 3000 + " " * 37 + "x", "=" * 999, "\n" * 50):
+        assert ids_of(table.encode(text)) == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_documents(awkward, library):
+    texts = {r["doc_id"]: r["text"] or "" for r in awkward.select("doc_id", "text").collect()}
+    rows = encoded(awkward, MODEL).collect()
+    assert len(rows) == awkward.count()
+    for row in rows:
+        expected = library.encode(texts[row["doc_id"]], add_bos=True, add_eos=True)
+        assert ids_of(bytes(row["ids"])) == expected and row["n_tokens"] == len(expected)
+        assert row["decoded"] == texts[row["doc_id"]]
+
+
+def test_empty_table(empty):
+    assert encoded(empty, MODEL).columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    assert encoded(empty, MODEL).count() == 0
