@@ -59,23 +59,33 @@ def extract_window(
     return rows.select(*[F.col(quoted(f)) for f in fields]) if fields else rows
 
 
-def observed_window(df: DataFrame, updated_col: str) -> tuple[Moment, Moment] | None:
-    """First and last change time of a table, or None when it is empty."""
+def probe(df: DataFrame, updated_col: str) -> tuple[tuple[Moment, Moment] | None, int]:
+    """First and last change time of a table, None when it has none, and the number of records, in one scan."""
     updated, data_type = F.col(quoted(updated_col)), column_type(df, quoted(updated_col))
     if isinstance(data_type, T.StringType):
         # Text that is no moment must not become a bound.
         updated, data_type = updated.try_cast("timestamp_ntz"), T.TimestampNTZType()
-    ends = df.agg(F.min(updated).alias("low"), F.max(updated).alias("high"))
-    low, high = ends.select(*[epoch_micros(F.col(end), data_type) for end in ends.columns]).first()
-    return None if low is None else (from_micros(low), from_micros(high))
+    found = df.agg(F.min(updated).alias("low"), F.max(updated).alias("high"), F.count(F.lit(1)).alias("n"))
+    low, high, count = found.select(*[epoch_micros(F.col(end), data_type) for end in ("low", "high")], "n").first()
+    return (None if low is None else (from_micros(low), from_micros(high))), count
+
+
+def observed_window(df: DataFrame, updated_col: str) -> tuple[Moment, Moment] | None:
+    """First and last change time of a table, or None when it is empty."""
+    return probe(df, updated_col)[0]
+
+
+def chunk_number(df: DataFrame, updated_col: str, start: Moment, end: Moment, chunks: int) -> Column:
+    """The number of the equal-width window chunk a record's change time falls into."""
+    micros = epoch_micros(F.col(quoted(updated_col)), column_type(df, quoted(updated_col)))
+    return chunk_of(micros, to_micros(start), to_micros(end), chunks)
 
 
 def with_chunk(
     df: DataFrame, updated_col: str, start: Moment, end: Moment, chunks: int, chunk_col: str = "chunk"
 ) -> DataFrame:
     """Tag every record with the number of the equal-width window chunk its change time falls into."""
-    micros = epoch_micros(F.col(quoted(updated_col)), column_type(df, quoted(updated_col)))
-    return df.withColumn(chunk_col, chunk_of(micros, to_micros(start), to_micros(end), chunks))
+    return df.withColumn(chunk_col, chunk_number(df, updated_col, start, end, chunks))
 
 
 def chunk_report(chunked: DataFrame, updated_col: str, chunk_col: str = "chunk") -> DataFrame:

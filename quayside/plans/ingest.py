@@ -98,6 +98,7 @@ class _Extraction:
     expected: int | None = None
     ranges: list[tuple] = field(default_factory=list)
     metrics: dict[str, Column] = field(default_factory=dict)
+    bounds: list[tuple[str, str]] = field(default_factory=list)
 
 
 def _check(contract: Contract, params: IngestParams) -> None:
@@ -121,28 +122,33 @@ def _check(contract: Contract, params: IngestParams) -> None:
         raise ValueError(f"not in contract {contract.name}: {', '.join(unknown)}")
 
 
-def _table_window(df: DataFrame, params: IngestParams) -> tuple[Moment, Moment] | None:
+def _chunked(rows: DataFrame, fields: Sequence[str], params: IngestParams) -> _Extraction:
+    """The records of a table by window chunks.
+
+    One scan of the change times alone gives the expected count and the ends of an open window; how many records each
+    chunk has is counted while they are landed.
+    """
     start, end = params.window_start, params.window_end
+    expected = None
     if start is None or end is None:
-        seen = extract.observed_window(df, params.updated_col)
+        seen, expected = extract.probe(rows, params.updated_col)
         if seen is None:
-            return None
+            return _Extraction(as_lines(rows, fields), fields, expected if params.count_probe else None)
         start, end = start or seen[0], end or seen[1]
-    return start, end
+    elif params.count_probe:
+        expected = extract.expected_count(rows)
+    bounds = [(as_text(low), as_text(high)) for low, high in chunk_bounds(start, end, params.num_chunks)]
+    chunk = extract.chunk_number(rows, params.updated_col, start, end, params.num_chunks)
+    metrics = {f"chunk{i}": F.count_if(F.col("chunk") == i) for i in range(len(bounds))}
+    # records without a readable change time, possible only where no window is given
+    metrics["chunk_none"] = F.count_if(F.col("chunk").isNull())
+    expected = expected if params.count_probe else None
+    return _Extraction(as_lines(rows, fields, chunk=chunk), fields, expected, metrics=metrics, bounds=bounds)
 
 
-def _chunk_ranges(rows: DataFrame, params: IngestParams) -> list[tuple]:
-    """Records per window chunk: the count probe of a table, reading nothing but the change time."""
-    window = _table_window(rows, params)
-    if window is None:
-        return []
-    times = rows.select(F.col(quoted(params.updated_col)).alias("updated"))
-    chunked = extract.with_chunk(times, "updated", *window, params.num_chunks)
-    found = {r["chunk"]: r["n"] for r in extract.chunk_report(chunked, "updated").collect()}
-    bounds = chunk_bounds(*window, params.num_chunks)
-    report = [(i, as_text(lo), as_text(hi), found.pop(i, 0), None) for i, (lo, hi) in enumerate(bounds)]
-    # Records without a readable change time, possible only where no window is given.
-    return report + [(-1, None, None, n, None) for n in found.values()]
+def _chunk_report(bounds: list[tuple[str, str]], seen: dict[str, Any]) -> list[tuple]:
+    report = [(i, low, high, seen[f"chunk{i}"], None) for i, (low, high) in enumerate(bounds)]
+    return report + ([(-1, None, None, seen["chunk_none"], None)] if seen["chunk_none"] else [])
 
 
 def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
@@ -154,21 +160,17 @@ def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
 
 def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
     fields = name_list(params.fields) or df.columns
-    picked = [F.col(quoted(f)) for f in fields]
     if params.extract_mode == IDS:
         ids = read_id_file(df.sparkSession, params.id_file)
-        return _Extraction(as_lines(extract.extract_ids(df, ids, params.key_col).select(*picked)), fields)
+        return _Extraction(as_lines(extract.extract_ids(df, ids, params.key_col), fields), fields)
 
     rows = extract.extract_window(
         df, params.updated_col, params.window_start, params.window_end, params.base_filter
     )
     if params.extract_mode == CHUNKS:
-        ranges = _chunk_ranges(rows, params) if params.count_probe else []
-        expected = sum(r[3] for r in ranges) if params.count_probe else None
-        return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=ranges)
-
+        return _chunked(rows, fields, params)
     expected = extract.expected_count(rows)
-    return _Extraction(as_lines(rows.select(*picked)), fields, expected, ranges=_offset_ranges(expected, params))
+    return _Extraction(as_lines(rows, fields), fields, expected, ranges=_offset_ranges(expected, params))
 
 
 def _from_service(
@@ -223,6 +225,8 @@ def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, ru
     land(counted.where("value IS NOT NULL"), path)
     if "ranges" in extraction.metrics:
         extraction.ranges = sorted(tuple(r) for r in seen.get["ranges"])
+    if extraction.bounds:
+        extraction.ranges = _chunk_report(extraction.bounds, seen.get)
     if "names" in extraction.metrics:
         extraction.names = sorted({name for names in seen.get["names"] for name in names})
     # only now that the new landing is there

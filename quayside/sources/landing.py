@@ -6,6 +6,7 @@ of its files, not a new extraction.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -44,10 +45,17 @@ def _as_text(name: str, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
-def as_lines(records: DataFrame) -> DataFrame:
-    """Records as JSON text in the single column `value`; a null field is left out of its record."""
-    texts = [_as_text(f.name, f.dataType).alias(f.name) for f in records.schema]
-    return records.select(F.to_json(F.struct(*texts), _JSON_OPTIONS).alias("value"))
+def as_lines(records: DataFrame, fields: Sequence[str] | None = None, **beside: Column) -> DataFrame:
+    """Records, or some of their fields, as JSON text in the column `value`; a null field is left out of its record.
+
+    `beside` are further columns, made of the records, that go along for counting and are not landed.
+    """
+    types = {f.name: f.dataType for f in records.schema}
+    folded = {name.lower(): name for name in types}
+    names = list(types) if fields is None else list(fields)
+    texts = [_as_text(n, types[n if n in types else folded[n.lower()]]).alias(n) for n in names]
+    line = F.to_json(F.struct(*texts), _JSON_OPTIONS).alias("value")
+    return records.select(line, *[column.alias(name) for name, column in beside.items()])
 
 
 def land(lines: DataFrame, path: str) -> None:
