@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.names import quoted, unused
@@ -32,7 +30,7 @@ def with_position(df: DataFrame, key_col: str, position_col: str = "off") -> tup
     The range partitioner sorts in parallel; a record's place is its place in its partition plus the sizes of the
     partitions before. Range boundaries are chosen anew whenever a plan runs, so the sorted records are written to the
     shared folder and both steps read that copy. The tie breaker lets records of one frequent key spread over several
-    partitions. Only partition sizes reach the driver.
+    partitions.
     """
     _check_new(df, (position_col,))
     spark = df.sparkSession
@@ -47,14 +45,17 @@ def with_position(df: DataFrame, key_col: str, position_col: str = "off") -> tup
     )
     ordered.write.mode("overwrite").parquet(path)
     stored = spark.read.schema(ordered.schema).parquet(path)
-    part = F.shiftright(slot, _PARTITION_BITS).cast("int")
-    sizes = {r["part"]: r["n"] for r in stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    per_part = [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)]
-    before = [0, *accumulate(per_part[:-1])]
+    part, n, before = (unused(name, df.columns) for name in ("_part", "_n", "_before"))
+    parted = stored.withColumn(part, F.shiftright(slot, _PARTITION_BITS))
+    # one row for each partition
+    sizes = parted.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
     place = F.col(slot).bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    first = F.expr(f"array({', '.join(f'{n}L' for n in before)})")
-    position = F.get(first, part) + place
-    return stored.select(*[F.col(quoted(c)) for c in df.columns], position.alias(position_col)), sum(per_part)
+    placed = parted.join(offsets, part)
+    return placed.select(
+        *[F.col(quoted(c)) for c in df.columns], (F.col(before) + place).alias(position_col)
+    ), stored.count()
 
 
 def offset_pages(
