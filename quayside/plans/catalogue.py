@@ -267,12 +267,14 @@ def error_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select(F.col("raw.sys_id").alias("sys_id"), F.inline("errors"))
 
 
-def ingest_events(spark: SparkSession, sf_dir: str, **options) -> tuple[RunResult, str]:
+def ingest_events(
+    spark: SparkSession, sf_dir: str, output_dir: str | None = None, **options
+) -> tuple[RunResult, str]:
     """A whole run over the service records."""
     params = IngestParams(
         table="event_row",
         run_partition="20240130",
-        output_dir=scratch_path(spark, "ingest"),
+        output_dir=output_dir or scratch_path(spark, "ingest"),
         key_col="sys_id",
         updated_col="sys_updated_on",
         num_chunks=8,
@@ -290,6 +292,26 @@ def ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read_partition(spark, result.typed_path, contract(), sink.AVRO)
 
 
+def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run and then one of the same partition over fewer records: only the second one's rows are there."""
+    _, folder = ingest_events(spark, sf_dir)
+    again, _ = ingest_events(spark, sf_dir, folder, base_filter="category = 'click'")
+    typed = sink.read_partition(spark, again.typed_path, contract()).withColumn("part", F.lit("typed"))
+    originals = sink.read_partition(spark, again.quarantine_path, contract(), as_text=True)
+    return typed.select("sys_id", "part").unionByName(originals.select("sys_id", F.lit("quarantine").alias("part")))
+
+
+def ingest_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a run whose window holds no record, and what it writes."""
+    result, folder = ingest_events(spark, sf_dir, window_start="2031-01-01", window_end="2031-01-02")
+    written = sink.read_partition(spark, result.typed_path, contract()).count()
+    return audit.read_audit(spark, folder).select(
+        *["expected", "landed", "processed", "unique_keys", "error_rows"],
+        F.size("ranges").cast("long").alias("chunks"),
+        F.lit(written).cast("long").alias("typed_rows"),
+    )
+
+
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run writes to the quarantine, with sub-partitions."""
     result, _ = ingest_events(spark, sf_dir, partition_by="category")
@@ -354,6 +376,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         error_summary,
         error_details,
         ingest_typed,
+        ingest_rerun,
+        ingest_nothing,
         ingest_quarantine,
         ingest_report,
         partition_profile,
@@ -491,6 +515,13 @@ SELECT 'event_row' AS table_name, '20240130' AS run_partition, 'chunks' AS extra
   COUNT(*) FILTER (WHERE user_id = '') AS blank_user_id, COUNT(*) FILTER (WHERE amount = '') AS blank_amount,
   COUNT(*) FILTER (WHERE active = '') AS blank_active, MAX(ranges) AS ranges
 FROM flags, ranges""",
+    "ingest_rerun": f"""WITH {_API}, {_FLAGS}
+SELECT sys_id, part
+FROM flags, (VALUES ('typed'), ('quarantine')) p(part)
+WHERE category = 'click' AND (part = 'typed' OR e1 OR e2 OR e3)""",
+    "ingest_nothing": """SELECT COUNT(*) AS expected, COUNT(*) AS landed, COUNT(*) AS processed, COUNT(*) AS unique_keys,
+  COUNT(*) AS error_rows, CAST(8 AS BIGINT) AS chunks, COUNT(*) AS typed_rows
+FROM events WHERE ts >= TIMESTAMP '2031-01-01 00:00:00'""",
     "partition_profile": """SELECT event_type AS category, COUNT(*) AS n, MIN(event_id) AS min_id,
   MAX(event_id) AS max_id
 FROM events GROUP BY event_type""",
