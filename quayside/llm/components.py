@@ -9,8 +9,12 @@ from quayside.llm.common import stored
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    """Every (node, other) with the smallest of the node and its others."""
-    least = edges.groupBy("node").agg(F.min("other").alias("least"))
+    """Every (node, other) with the smallest of the node and its others.
+
+    The smallest ones are merged before their shuffle and stored, so the join has a shuffle of its own on both sides
+    and adaptive execution can split the edges of a node that very many documents are linked to.
+    """
+    least = stored(edges.groupBy("node").agg(F.min("other").alias("least")), "least")
     return edges.join(least, "node").withColumn("least", F.least("least", "node"))
 
 

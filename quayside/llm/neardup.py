@@ -118,16 +118,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stored(source.mapInArrow(made, schema), "signatures")
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
-    """(node, component) of all nodes that share a table key with a smaller node, directly or over others."""
+def candidate_groups(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all nodes that share a table key with a smaller node, directly or over others.
+
+    Besides, the `weight` of each node with shared halves: how many nodes have its halves, counted for each of them.
+    """
     halves = classes.select("node", F.posexplode("halves").alias("slot", "half"))
-    shared = halves.groupBy("slot", "half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = halves.groupBy("slot", "half").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     alive = (
         halves.join(shared, ["slot", "half"])
         .groupBy("node")
-        .agg(F.collect_set(F.struct("slot", "half")).alias("halves"))
+        .agg(F.collect_set(F.struct("slot", "half")).alias("halves"), F.sum("n").alias("weight"))
         .select(
             "node",
+            "weight",
             F.filter("halves", lambda h: h["slot"] < HALVES).alias("left"),
             F.filter("halves", lambda h: h["slot"] >= HALVES).alias("right"),
         )
@@ -141,7 +145,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     # a star for each key: every node with the smallest one
     centres = keys.groupBy("key").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n"))
     stars = keys.join(centres.where("n > 1").drop("n"), "key").where(F.col("node") != F.col("other"))
-    return components(stars.select("node", "other"))
+    return components(stars.select("node", "other")), alive.select("node", "weight")
 
 
 def block_links(sets: list[np.ndarray], nodes: list[int], sides: list[tuple[bool, bool]], percent: int):
@@ -183,40 +187,82 @@ def block_links(sets: list[np.ndarray], nodes: list[int], sides: list[tuple[bool
     return links
 
 
-def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(node, other): true links that connect the nodes of each group just as all its true links would."""
+def _checked(placed: DataFrame, percent: int) -> DataFrame:
+    """True links within each (component, first, second): between rows that are `left` and rows that are `right`."""
+
+    def check(table: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        sets = [shingle_set(text, hashes) for text in table.column("text").to_pylist()]
+        sides = list(zip(table.column("left").to_pylist(), table.column("right").to_pylist(), strict=True))
+        links = block_links(sets, table.column("node").to_pylist(), sides, percent)
+        pairs = [list(c) for c in zip(*links, strict=True)] or [[], []]
+        return pa.table([pa.array(p, pa.int64()) for p in pairs], names=["node", "other"])
+
+    return placed.groupBy("component", "first", "second").applyInArrow(check, "node long, other long")
+
+
+def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """`rows` with the number of `blocks` that their component needs, and the block each belongs to."""
+    counts = rows.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks"))
+    dealt = rows.join(counts, "component")
+    return dealt.withColumn("block", F.pmod(F.xxhash64("node", "version"), "blocks").cast("int"))
+
+
+def _each(count: str):
+    return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+
+def verified_links(
+    docs: DataFrame, classes: DataFrame, groups: DataFrame, weights: DataFrame, percent: int
+) -> DataFrame:
+    """(node, other): true links that connect the nodes of each group just as all its true links would.
+
+    A group of one block is checked at once. In a larger one all documents are first compared with one of them, the
+    pivot, a block at a time. Those linked to it are connected; only the others are compared with all of the group,
+    each block of them with each block of the group. So the work is linear in a group whose documents are all near its
+    pivot, and grows with the square of those that are not.
+    """
     roots = groups.select("component", F.col("component").alias("node")).distinct()
     members = groups.select("component", "node").unionByName(roots)
-    counts = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).cast("int").alias("blocks"))
     texts = (
         members.join(classes.select("node", "version"), "node")
         .join(docs, (F.col("node") == F.col("id")) & (F.col("version") == F.col("text_version")))
         .select("component", "node", "version", "text")
         .dropDuplicates(["node", "version"])
     )
-    placed = texts.join(counts, "component").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    # every block meets every block of its group, itself included; most groups have one
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = placed.withColumn("met", other).select(
-        "component",
-        F.least("own", "met").alias("low"),
-        F.greatest("own", "met").alias("high"),
-        "own",
-        "node",
-        "text",
+    texts = stored(_in_blocks(texts, BLOCK_DOCS), "group_texts")
+    both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
+    zero = F.lit(0)
+    small = texts.where("blocks = 1").select("component", zero.alias("first"), zero.alias("second"), *both, "node", "text")
+    links = _checked(small, percent)
+    large = texts.where("blocks > 1")
+    if large.isEmpty():
+        return links
+
+    # the document whose half keys most others share stands in the middle of its group
+    most = F.struct("weight", -F.col("node"), "version")
+    chosen = (
+        large.join(weights, "node")
+        .groupBy("component", "blocks")
+        .agg(F.max_by(F.struct("node", "text"), most).alias("pivot"))
     )
-
-    def check(key: tuple, table: pa.Table) -> pa.Table:
-        low, high = key[1].as_py(), key[2].as_py()
-        hashes = WordHashes()
-        sets = [shingle_set(text, hashes) for text in table.column("text").to_pylist()]
-        own = table.column("own").to_pylist()
-        sides = [(o == low, o == high) for o in own]
-        links = block_links(sets, table.column("node").to_pylist(), sides, percent)
-        pairs = [list(c) for c in zip(*links, strict=True)] or [[], []]
-        return pa.table([pa.array(p, pa.int64()) for p in pairs], names=["node", "other"])
-
-    return paired.groupBy("component", "low", "high").applyInArrow(check, "node long, other long")
+    yes, no = F.lit(True), F.lit(False)
+    left, right = [yes.alias("left"), no.alias("right")], [no.alias("left"), yes.alias("right")]
+    pivots = chosen.select("component", _each("blocks").alias("first"), zero.alias("second"), *left, "pivot.*")
+    compared = large.select("component", F.col("block").alias("first"), zero.alias("second"), *right, "node", "text")
+    to_pivot = stored(_checked(pivots.unionByName(compared), percent), "pivot_links")
+    connected = to_pivot.select("node").unionByName(to_pivot.select(F.col("other").alias("node"))).distinct()
+    apart = _in_blocks(large.drop("blocks", "block").join(connected, "node", "left_anti"), BLOCK_DOCS)
+    apart = stored(apart.withColumnsRenamed({"blocks": "parts", "block": "part"}), "apart")
+    sizes = large.select("component", "blocks").distinct()
+    parts = apart.select("component", "parts").distinct()
+    asking = apart.join(sizes, "component").select(
+        "component", F.col("part").alias("first"), _each("blocks").alias("second"), *left, "node", "text"
+    )
+    asked = large.join(parts, "component").select(
+        "component", _each("parts").alias("first"), F.col("block").alias("second"), *right, "node", "text"
+    )
+    return links.unionByName(to_pivot).unionByName(_checked(asking.unionByName(asked), percent))
 
 
 def near_duplicates(
@@ -237,13 +283,13 @@ def near_duplicates(
         .select("digest", F.col("one.id").alias("node"), "one.version", "one.halves")
     )
     classes = stored(classes, "classes")
-    groups = candidate_groups(classes)
+    groups, weights = candidate_groups(classes)
     source = docs.select(
         column(id_col).cast("long").alias("id"),
         column(text_col).alias("text"),
         F.xxhash64(column(text_col)).alias("text_version"),
     )
-    found = components(verified_links(source, classes, groups, percent))
+    found = components(verified_links(source, classes, groups, weights, percent))
     owners = classes.select("digest", "node").join(found, "node", "left")
     owners = owners.select("digest", F.coalesce("component", "node").alias("component"))
     return signed.join(owners, "digest", "left").select(

@@ -69,9 +69,10 @@ def test_equals_brute_force(spark, percent):
     assert {tuple(r) for r in near_duplicates(docs, percent).collect()} == brute(rows, percent)
 
 
-def test_a_large_group_in_several_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("families, copies", [(2, 160), (1, 240), (5, 60)])
+def test_large_groups_in_several_blocks(spark, monkeypatch, families, copies):
     monkeypatch.setattr("quayside.llm.neardup.BLOCK_DOCS", 25)
-    rows = near_copies(5, 2, 160)
+    rows = near_copies(copies, families, copies)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {tuple(r) for r in near_duplicates(docs, 85).collect()} == brute(rows, 85)
 
