@@ -4,8 +4,8 @@ A merge-type (BPE) model encodes every prefix of a text with one last token that
 there and may stand behind the last token of the prefix before it. An automaton over the pieces finds the tokens that
 end at each character, a test of neighbouring tokens picks the one, and the ids are read backwards from the end.
 
-Texts are cut where no piece of the model can cross: in front of white space marks, and around line feeds. Each such
-chunk is encoded for itself, and short chunks that come back are remembered.
+Texts are cut where no piece of the model can cross: in front of white space marks, around line feeds, and between a word
+and a punctuation mark. Each such chunk is encoded for itself, and short chunks that come back are remembered.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 import codecs
 import re
 import struct
+from functools import lru_cache
+from itertools import groupby
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -21,9 +23,11 @@ from sentencepiece import SentencePieceProcessor
 from quayside.llm.common import per_document
 
 SPACE = "▁"
-CHUNKS_KEPT = 200_000
+CHUNKS_KEPT = 400_000
 CHUNK_KEPT_CHARS = 40
-PAIRS_KEPT = 500_000
+NEVER = float("-inf")
+MARKS = ".,;:!?"
+PAIRS_KEPT = 400_000
 
 
 def _each_byte(error: UnicodeDecodeError):
@@ -44,11 +48,11 @@ class PieceTable(dict):
         self.id: dict[str, int] = {}
         self.byte_id: dict[int, int] = {}
         self.surface: list[bytes] = []
-        self.is_byte: list[bool] = []
+        self.controls: set[int] = set()
         for number in range(processor.get_piece_size()):
             piece = processor.id_to_piece(number)
-            self.is_byte.append(processor.is_byte(number))
             if processor.is_control(number):
+                self.controls.add(number)
                 self.surface.append(b"")
             elif processor.is_unknown(number):
                 self.surface.append(" ⁇ ".encode())
@@ -64,7 +68,8 @@ class PieceTable(dict):
         if len(self.byte_id) != 256:
             raise ValueError("the model has no byte fallback")
         self.piece = {number: piece for piece, number in self.id.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.size = processor.get_piece_size()
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, number in self.id.items():
             if len(piece) == 1 or self.merged(piece) == [piece]:  # a piece that no merges lead to is never a token
@@ -73,52 +78,65 @@ class PieceTable(dict):
         long = [piece for piece in self.id if len(piece) > 1]
         inner_space = any(SPACE in piece.lstrip(SPACE) for piece in long)
         line_feed = "" if any("\n" in piece for piece in long) else "\n"
-        pattern = rf"{SPACE}+[^{SPACE}{line_feed}]*|{line_feed or SPACE}|[^{SPACE}{line_feed}]+"
+        # marks that no piece has behind a letter: a word in front of one is a chunk of its own
+        behind = {b for piece in long for a, b in zip(piece, piece[1:]) if a.isalpha()}  # noqa: B905
+        marks = "".join(m for m in MARKS if m not in behind)
+        word = rf"{SPACE}*[^\W\d_]+(?=[{re.escape(marks)}])|" if marks else ""
+        pattern = rf"{word}{SPACE}+[^{SPACE}{line_feed}]*|{line_feed or SPACE}|[^{SPACE}{line_feed}]+"
         self.chunks = re.compile(r"(?s:.+)" if inner_space else pattern)
 
     def merged(self, text: str) -> list[str]:
         """What merging leads to: always the neighbours whose joint piece scores best, the first of equals."""
         parts = list(text)
-        while True:
-            best, place = None, -1
-            for at in range(len(parts) - 1):
-                score = self.score.get(parts[at] + parts[at + 1])
-                if score is not None and (best is None or score > best):
-                    best, place = score, at
-            if place < 0:
-                return parts
-            parts[place : place + 2] = [parts[place] + parts[place + 1]]
+        score = self.score.get
+        joint = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]  # noqa: B905
+        while joint:
+            best = max(joint)
+            if best == NEVER:
+                break
+            at = joint.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joint[at]
+            if at:
+                joint[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(joint):
+                joint[at] = score(parts[at] + parts[at + 1], NEVER)
+        return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the two tokens stay as they are when their texts meet."""
-        pair = (left, right)
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            first, second = self.piece[left], self.piece[right]
-            known = self.pairs[pair] = self.merged(first + second) == [first, second]
-        return known
+        """Whether the two tokens stay as they are when their texts meet. Remembered by left * size + right."""
+        if len(self.pairs) >= PAIRS_KEPT:
+            self.pairs.clear()
+        first, second = self.piece[left], self.piece[right]
+        stays = self.pairs[left * self.size + right] = self.merged(first + second) == [first, second]
+        return stays
 
     def encode_chunk(self, chunk: str) -> bytes:
-        last: list[tuple[int, int] | None] = [None] * (len(chunk) + 1)
-        for end, token in self.automaton.iter(chunk):
-            if last[end + 1] is None:
-                before = last[end + 1 - token[0]]
-                # None before a token is the chunk's start or a character of no piece: nothing merges across either
-                if before is None or self.compatible(before[1], token[1]):
-                    last[end + 1] = token
+        pairs, size = self.pairs, self.size
+        # of each prefix the last token and its length; none for the empty one and behind a character of no piece,
+        # across which nothing merges
+        last, lengths = [-1] * (len(chunk) + 1), [0] * (len(chunk) + 1)
+        for end, (length, number) in self.automaton.iter(chunk):
+            end += 1
+            if last[end] >= 0:
+                continue
+            before = last[end - length]
+            if before >= 0:
+                stays = pairs.get(before * size + number)
+                if not (self.compatible(before, number) if stays is None else stays):
+                    continue
+            last[end], lengths[end] = number, length
         ids: list[int] = []
         at = len(chunk)
         while at:
-            token = last[at]
-            if token is None:
+            if last[at] < 0:
                 ids += [self.byte_id[b] for b in reversed(chunk[at - 1].encode())]
                 at -= 1
             else:
-                ids.append(token[1])
-                at -= token[0]
-        return struct.pack(f"<{len(ids)}I", *reversed(ids))
+                ids.append(last[at])
+                at -= lengths[at]
+        ids.reverse()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
         made = self.encode_chunk(chunk)
@@ -139,16 +157,28 @@ class PieceTable(dict):
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids: marks become blanks, the one put in front goes, stray bytes become U+FFFD each."""
-        numbers = memoryview(ids).cast("I")
-        joined = b"".join(map(self.surface.__getitem__, numbers))
+        numbers = memoryview(ids).cast("I").tolist()
+        inner = numbers[numbers[:1] == [self.begin] : len(numbers) - (numbers[-1:] == [self.end])]
+        if self.controls.isdisjoint(inner):
+            text = self._joined(inner)
+        else:  # bytes on two sides of a control id are not one character
+            runs = groupby(inner, key=self.controls.__contains__)
+            text = "".join(self._joined(list(run)) for control, run in runs if not control)
+        first = next((n for n in inner if n not in self.controls), None)
+        return text[1:] if self.piece.get(first, "").startswith(SPACE) else text
+
+    def _joined(self, numbers: list[int]) -> str:
+        data = b"".join(map(self.surface.__getitem__, numbers))
         try:
-            text = joined.decode()
+            return data.decode()
         except UnicodeDecodeError:
-            text = joined.decode(errors="quayside-each-byte")
-        first = next((n for n in numbers if self.surface[n] or self.is_byte[n]), None)
-        if first is not None and not self.is_byte[first] and text.startswith(" "):
-            text = text[1:]
-        return text
+            return data.decode(errors="quayside-each-byte")
+
+
+@lru_cache(maxsize=2)
+def table_of(model: bytes) -> PieceTable:
+    """The table of a model, kept with what it remembers for the tasks that a worker runs one after the other."""
+    return PieceTable(model)
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,7 +191,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
         model = file.read()
 
     def setup():
-        table = PieceTable(model)
+        table = table_of(model)
 
         def row(text: str) -> tuple:
             ids = table.encode(text)
