@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,11 @@ class Encoder:
         return ids, character[starts], character[ends - 1] + 1
 
 
+@lru_cache(maxsize=2)
+def encoder_of(ranks_file: bytes) -> Encoder:
+    return Encoder(ranks_file)
+
+
 def attributed(
     starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, stops: np.ndarray, rule: str
 ) -> tuple[np.ndarray, int, int]:
@@ -117,7 +123,7 @@ def token_attribution(
     schema = StructType([source.schema[id_col], *StructType.fromDDL(fields).fields])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks)
+        encoder = encoder_of(ranks)
         target = to_arrow_schema(schema)
         for part in parts:
             rows = []
