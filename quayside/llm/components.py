@@ -34,17 +34,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).where(F.col("node") != F.col("other")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one other, which has none itself. Then both steps change nothing any more."""
+    roots = edges.select(F.col("other").alias("node")).distinct()
+    if not edges.join(roots, "node", "left_semi").isEmpty():
+        return False
+    return edges.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (node, other) that is not its component's smallest node itself.
 
     Both columns are numbers; edges have no direction, loops and repeated edges do no harm. Each round writes its edges
-    to the shared folder; rounds end when one changes nothing, which takes about the logarithm of the longest path.
+    to the shared folder; rounds end when stars are left, which takes about the logarithm of the longest path.
     """
     current = stored(edges.select("node", "other").where(F.col("node") != F.col("other")).distinct(), "edges")
-    state = None
     while True:
         current = stored(_small_star(_large_star(current)), "edges")
-        reached = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))).first()
-        if reached == state:
+        if _are_stars(current):
             return current.select("node", F.col("other").alias("component"))
-        state = reached
