@@ -29,9 +29,10 @@ from quayside.llm.common import column, per_document, stored
 from quayside.llm.ppm_trie import BITS, DISCOUNT, END, SYMBOLS, GramTable, Level, code_lengths, grams, levels_of, mask
 
 ORDER = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 2 << 20
-LEAST_SHARDS = 64
+GRAMS_HELD = 2_000_000
+LEAST_SHARDS, MOST_SHARDS = 64, 1024
 MERGED_TOGETHER = 64
 WORDS, GRAMS = 0, 1
 
@@ -136,6 +137,8 @@ def gram_counts(texts: list[bytes], learns: list[bool], order: int) -> tuple[np.
             keys, counts = np.unique(np.concatenate(held[learn]), return_counts=True)
             found.append((keys, counts if learn else np.zeros_like(counts)))
             held[learn], size[learn] = [], 0
+            if sum(len(k) for k, _ in found) >= GRAMS_HELD:
+                found[:] = [_summed(found)]
 
     for text, learn in zip(texts, learns, strict=True):
         held[learn].append(grams(text, order))
@@ -330,7 +333,7 @@ def ppm_scores(
         raise ValueError("order must be from 2 to 6")
     packed = blocks(docs, learns, id_col, text_col)
     count = packed.count()
-    shards = max(LEAST_SHARDS, count)
+    shards = min(max(LEAST_SHARDS, count), MOST_SHARDS)
     piece = StructType.fromDDL(_PIECE)
     pieces = stored(
         packed.select("block", "learns", "texts").mapInArrow(
