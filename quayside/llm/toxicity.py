@@ -25,6 +25,7 @@ FOLDS = 4
 MAX_TRAINING_ROWS = 20_000
 FEATURES_PER_CATEGORY = 400
 LEAST_DOCUMENTS = 4
+LEAST_RATIO = 2.0
 PENALTY = 0.2
 COUNTS_HELD = 300_000
 
@@ -150,7 +151,7 @@ def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY) -> np.ndarr
             step += along * direction
             residual -= along * bent
             smaller = residual @ residual
-            if smaller < 1e-6 * start:
+            if smaller < 1e-3 * start:
                 break
             direction = residual + smaller / size * direction
             size = smaller
@@ -163,7 +164,7 @@ def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY) -> np.ndarr
             if then <= now + 1e-4 * length * slope or length < 1e-6:
                 break
             length /= 2
-        done = now - then < 1e-6 * max(1.0, now)
+        done = now - then < 1e-4 * max(1.0, now)
         weights, now = moved, then
         if done:
             break
@@ -194,7 +195,7 @@ def train(sample: DataFrame, categories: list[str]) -> Chain:
     """A chain over `categories`, in this order, from a bounded sample with `id`, `text` and a 0/1 column for each.
 
     Of each category those features enter that speak for it most: by documents times log odds, FEATURES_PER_CATEGORY at
-    most, from LEAST_DOCUMENTS documents on. Only counts, and the numbers of these features in each row, come to the
+    most, from LEAST_DOCUMENTS documents on and LEAST_RATIO times as frequent in the category as outside. Only counts, and the numbers of these features in each row, come to the
     driver.
     """
     width = len(categories)
@@ -234,7 +235,9 @@ def train(sample: DataFrame, categories: list[str]) -> Chain:
     for i, own in enumerate(positive):
         inside = (F.col(f"c{i}") + 0.5) / (own + 1.0)
         outside = (F.col("n") - F.col(f"c{i}") + 0.5) / (total - own + 1.0)
-        ranked = counts.withColumn("weight", F.col(f"c{i}") * F.log(inside / outside)).where("weight > 0")
+        ranked = counts.withColumn("weight", F.col(f"c{i}") * F.log(inside / outside)).where(
+            inside >= LEAST_RATIO * outside
+        )
         top = ranked.orderBy(F.desc("weight"), "feature").limit(FEATURES_PER_CATEGORY)
         chosen.update(r["feature"] for r in top.select("feature").collect())
     vocabulary = {f: i for i, f in enumerate(sorted(chosen))}
