@@ -18,7 +18,7 @@ from quayside.llm.common import column, stored
 MAX_COPIES = 2
 TOLERANCE = 1e-7
 MOST_ITERATIONS = 100
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 1_000
 WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -211,16 +211,20 @@ def mixed(
         F.ceil(F.col("n") / RANKED_TOGETHER).alias("buckets"),
     ).join(targets, "key")
     place = F.pmod(F.xxhash64("id", "version"), F.lit(2**31))
-    placed = (
+    # stored on both sides, the join stands alone and adaptive execution can split a class of very many documents
+    placed = stored(
         sized.drop("source")
-        .join(ruled, ["key", "size"])
+        .join(stored(ruled, "ruled"), ["key", "size"])
         .withColumn("place", place)
-        .withColumn("bucket", F.floor(F.col("place") * F.col("buckets") / F.lit(2**31)))
+        .withColumn("bucket", F.floor(F.col("place") * F.col("buckets") / F.lit(2**31))),
+        "placed",
     )
     # a class of many documents is ranked in buckets of places, which follow each other
     bucket_sizes = placed.where("buckets > 1").groupBy("key", "size", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     earlier = Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket_sizes.select("key", "size", "bucket", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    # dealt by the bucket too, so that not all of a class meet in one task
+    placed = placed.repartition("key", "size", "bucket")
     within = Window.partitionBy("key", "size", "bucket").orderBy("place", "id", "version")
     ranked = placed.withColumn("rank", F.row_number().over(within)).join(offsets, ["key", "size", "bucket"], "left")
     one_more = (F.col("rank") + F.coalesce("offset", F.lit(0)) <= F.col("more")).cast("long")
