@@ -22,24 +22,22 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
     moved = _smallest(both).where(F.col("other") > F.col("node"))
-    return moved.select(F.col("other").alias("node"), F.col("least").alias("other")).distinct()
+    return moved.select(F.col("other").alias("node"), F.col("least").alias("other"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of these."""
     down = edges.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other"))
-    starred = _smallest(down)
-    moved = starred.select(F.col("other").alias("node"), F.col("least").alias("other"))
-    own = starred.select("node", F.col("least").alias("other"))
-    return moved.unionByName(own).where(F.col("node") != F.col("other")).distinct()
+    starred = _smallest(down).select(F.explode(F.array("other", "node")).alias("node"), F.col("least").alias("other"))
+    return starred.where(F.col("node") != F.col("other")).distinct()
 
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node has one other, which has none itself. Then both steps change nothing any more."""
-    roots = edges.select(F.col("other").alias("node")).distinct()
-    if not edges.join(roots, "node", "left_semi").isEmpty():
-        return False
-    return edges.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    ends = F.array(F.struct("node", F.lit(1).alias("up"), F.lit(0).alias("down")),
+                   F.struct(F.col("other").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counts = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counts.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -224,13 +224,14 @@ def verified_links(
     """
     roots = groups.select("component", F.col("component").alias("node")).distinct()
     members = groups.select("component", "node").unionByName(roots)
-    texts = (
-        members.join(classes.select("node", "version"), "node")
-        .join(docs, (F.col("node") == F.col("id")) & (F.col("version") == F.col("text_version")))
-        .select("component", "node", "version", "text")
-        .dropDuplicates(["node", "version"])
+    # blocks are dealt out before texts come along, which are never dealt by component alone
+    dealt = _in_blocks(members.join(classes.select("node", "version"), "node"), BLOCK_DOCS)
+    texts = stored(
+        dealt.join(docs, (F.col("node") == F.col("id")) & (F.col("version") == F.col("text_version")))
+        .select("component", "node", "version", "blocks", "block", "text")
+        .dropDuplicates(["node", "version"]),
+        "group_texts",
     )
-    texts = stored(_in_blocks(texts, BLOCK_DOCS), "group_texts")
     both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
     zero = F.lit(0)
     small = texts.where("blocks = 1").select("component", zero.alias("first"), zero.alias("second"), *both, "node", "text")
@@ -252,14 +253,15 @@ def verified_links(
     compared = large.select("component", F.col("block").alias("first"), zero.alias("second"), *right, "node", "text")
     to_pivot = stored(_checked(pivots.unionByName(compared), percent), "pivot_links")
     connected = to_pivot.select("node").unionByName(to_pivot.select(F.col("other").alias("node"))).distinct()
-    apart = _in_blocks(large.drop("blocks", "block").join(connected, "node", "left_anti"), BLOCK_DOCS)
+    keys = large.select("component", "node", "version", "block", F.col("blocks").alias("all_blocks"))
+    apart = _in_blocks(keys.drop("block").join(connected, "node", "left_anti"), BLOCK_DOCS)
     apart = stored(apart.withColumnsRenamed({"blocks": "parts", "block": "part"}), "apart")
-    sizes = large.select("component", "blocks").distinct()
     parts = apart.select("component", "parts").distinct()
-    asking = apart.join(sizes, "component").select(
-        "component", F.col("part").alias("first"), _each("blocks").alias("second"), *left, "node", "text"
+    one = large.select("node", "version", "text")
+    asking = apart.join(one, ["node", "version"]).select(
+        "component", F.col("part").alias("first"), _each("all_blocks").alias("second"), *left, "node", "text"
     )
-    asked = large.join(parts, "component").select(
+    asked = keys.join(parts, "component").join(one, ["node", "version"]).select(
         "component", _each("parts").alias("first"), F.col("block").alias("second"), *right, "node", "text"
     )
     return links.unionByName(to_pivot).unionByName(_checked(asking.unionByName(asked), percent))
