@@ -103,3 +103,90 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _put(value: str, cost: str, edit: str, row: str | None) -> str:
+    """A state's (cost, audit, rows) after one more edit; null where the state cannot be reached."""
+    rows = f"list_append({value}.t, {row})" if row else f"{value}.t"
+    return f"CASE WHEN {value} IS NOT NULL THEN {{'c': {value}.c + {cost}, 'a': {value}.a || '{edit}', 't': {rows}}} END"
+
+
+_ROW, _CUT = "role || ':' || text", "CAST(cut AS BIGINT)"
+_FREE = "NOT gone AND "
+
+
+def _kept(value: str, initial: str, renamed: str) -> str:
+    """A row that stays: as it is where its role has the initial, else with its role changed."""
+    keep = _put(value, _CUT, "K", _ROW)
+    rename = _put(value, f"2 + {_CUT}", "R", f"'{renamed}:' || text")
+    return f"CASE WHEN {_FREE}initial = '{initial}' THEN {keep} WHEN {_FREE}TRUE THEN {rename} END"
+
+
+_DELETED = [_put(f"b{p}", "3", "D", None) for p in range(4)]
+_INSERTED = [_put(f"s{p}", "2", "I", "'user:'") for p in (0, 1, 3)]
+_CLOSED = f"""s0 AS b0, s1 AS b1, least(s2, {", ".join(_INSERTED)}) AS b2"""
+
+# the best way to each of the four points of the order, row by row: nothing, behind system, behind user, behind assistant
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_concat([4294967295], [CAST(ord(c) AS BIGINT) FOR c IN string_split(
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')]),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 1, 2, 3, 4, 5, 6, 7]),
+      lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS damage
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM keyed, range(CASE damage WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS r(copy)),
+numbered AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER o || left(role, 1) AS pair, row_number() OVER o AS i,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS unended
+  FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (
+  SELECT *, blank OR again AS gone, again AND NOT blank AS duplicate, unended AND NOT blank AND NOT again AS cut
+  FROM (SELECT *, i > min(i) OVER (PARTITION BY conv_id, role, text) AS again FROM numbered)),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+    count(*) FILTER (WHERE cut) AS truncated,
+    count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+parsed AS (
+  SELECT conv_id, n, CAST(0 AS BIGINT) AS pos, z AS b0, NULLIF(z, z) AS b1, {{'c': CAST(2 AS BIGINT), 'a': 'I', 't': ['user:']}} AS b2,
+    {{'c': CAST(4 AS BIGINT), 'a': 'II', 't': ['user:', 'assistant:']}} AS b3
+  FROM counted, (SELECT {{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}} AS z)
+  UNION ALL
+  SELECT conv_id, n, pos, b0, b1, b2, least(s3, {_put("b2", "2", "I", "'assistant:'")}) AS b3
+  FROM (SELECT conv_id, n, pos, s3, {_CLOSED} FROM (
+    SELECT p.conv_id, n, i AS pos, {_DELETED[0]} AS s0,
+      least({_DELETED[1]}, CASE WHEN {_FREE}initial = 's' THEN {_put("b0", _CUT, "K", _ROW)} END) AS s1,
+      least({_DELETED[2]}, {", ".join(_kept(f"b{p}", "u", "user") for p in (0, 1, 3))}) AS s2,
+      least({_DELETED[3]}, {_kept("b2", "a", "assistant")}) AS s3
+    FROM parsed p JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.i = p.pos + 1))),
+best AS (SELECT conv_id, least(b0, b3) AS b FROM parsed WHERE pos = n)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost,
+  coalesce(b.a, '') AS audit, sha256(coalesce(array_to_string(b.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+# every pair in doubles; ids are unique there
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT vec_id, b FROM reached JOIN links ON a = other)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, min(other) = vec_id AS kept
+FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id
+"""

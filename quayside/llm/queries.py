@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import oracles
 from quayside.llm.common import documents
+from quayside.llm.forest import near_vectors
 from quayside.llm.licenses import PHRASES, license_scan
 from quayside.llm.linededup import line_bitmaps, without_lines
 from quayside.llm.linequality import line_quality
@@ -15,9 +16,11 @@ from quayside.llm.mixing import mixed
 from quayside.llm.neardup import near_duplicates
 from quayside.llm.pieces import encoded
 from quayside.llm.ppm import ppm_scores
+from quayside.llm.repair import digests, repaired
 from quayside.llm.tokencounts import token_attribution
 from quayside.llm.topk import top_k
 from quayside.llm.toxicity import chain_of, scored
+from quayside.llm.whitening import whitened
 
 MIN_LINE_DOCS = 10
 MIN_WORDS = 50
@@ -25,6 +28,8 @@ TOXIC_FROM = 0.5
 SOURCE_WEIGHTS = [3, 1, 2]
 MIX_BUDGET = 1.5
 NEAR_PERCENT = 85
+COMPONENTS = 16
+NEAR_COSINE = 0.9
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +144,55 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), NEAR_COSINE)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with the faults that op12 repairs, put in by a hash of conversation and turn."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    damage = F.crc32(F.concat_ws(":", conv, turn)) % 20
+    copies = F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return conversations.where(damage != 0).select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(damage == 1, F.lit("")).when(damage == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    repair = repaired(damaged(conversations))
+    found = repair.conversations.withColumnRenamed("conv", "found_conv")
+    digested = digests(repair.turns).withColumnRenamed("conv", "digest_conv")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (
+        conversations.select("conv_id")
+        .distinct()
+        .join(found, F.col("conv_id").eqNullSafe(F.col("found_conv")), "left")
+        .join(digested, F.col("conv_id").eqNullSafe(F.col("digest_conv")), "left")
+        .select(
+            "conv_id",
+            *counts,
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), COMPONENTS)
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -152,6 +206,9 @@ QUERIES = {
         op8_near_duplicates,
         op9_token_counts,
         op10_exact_top_k,
+        op11_embedding_near_duplicates,
+        op12_conversation_repair,
+        op13_embedding_whitening,
     )
 }
 
@@ -161,4 +218,6 @@ ORACLES = {
     "op6_line_quality": oracles.LINE_QUALITY,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op10_exact_top_k": oracles.TOP_K,
+    "op11_embedding_near_duplicates": oracles.NEAR_VECTORS,
+    "op12_conversation_repair": oracles.CONVERSATION_REPAIR,
 }

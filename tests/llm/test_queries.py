@@ -14,7 +14,7 @@ def test_query_equals_its_sql(spark, name):
     assert same and rows
 
 
-@pytest.mark.parametrize("name", [n for n in llm.QUERIES if n not in llm.ORACLES])
+@pytest.mark.parametrize("name", [n for n in llm.QUERIES if n not in llm.ORACLES and "embedding" not in n])
 def test_query_answers_every_document(spark, name):
     frame = llm.QUERIES[name](spark, SMALL)
     rows = [r["doc_id"] for r in frame.select("doc_id").collect()]
