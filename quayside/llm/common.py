@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -24,6 +26,27 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_parts(parts: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices with some megabytes of text each, one row at the least.
+
+    Spark cuts batches by rows. What Python makes of a slice is gone before the next, so a task holds one batch and the
+    objects of a few texts, whatever their number and length.
+    """
+    for part in parts:
+        sizes = pc.fill_null(pc.binary_length(part.column(text_at)), 0).to_numpy(zero_copy_only=False)
+        until, begin = np.cumsum(sizes), 0
+        while begin < len(part):
+            read = until[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(until, read + BATCH_BYTES, side="right")))
+            yield part.slice(begin, end - begin)
+            begin = end
+        if not len(part):
+            yield part
+
+
 def column(name: str):
     """A column by its exact name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -50,7 +73,7 @@ def per_document(
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = setup() if setup else row
         target = to_arrow_schema(schema)
-        for part in parts:
+        for part in small_parts(parts, 1):
             rows = [made(text or "") for text in part.column(1).to_pylist()]
             columns = list(zip(*rows, strict=True)) if rows else [()] * (len(names) - 1)
             arrays = [part.column(0).cast(target.field(0).type)]

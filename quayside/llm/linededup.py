@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, stored
+from quayside.llm.common import column, small_parts, stored
 
 BLANKS = b" \t\n\x0b\x0c\r"
 MASK = (1 << 63) - 1
@@ -43,7 +43,7 @@ def line_keys(text: str) -> list[tuple[int, int, int]]:
 
 
 def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
+    for part in small_parts(parts, 1):
         documents, texts, rows = part.column(0), part.column(1), part.column(2).to_pylist()
         owners, found, versions = [], [], []
         for at, text in enumerate(texts.to_pylist()):
@@ -194,7 +194,7 @@ def without_lines(
         text.alias("text"),
     )
     same = rows["id"].eqNullSafe(bitmaps["document"]) & (rows["text_version"] == bitmaps["version"])
-    joined = rows.join(bitmaps.hint("shuffle_hash"), same, "left")
+    joined = rows.join(bitmaps, same, "left")
 
     @F.udf("string", useArrow=True)
     def kept(whole: str | None, bitmap: bytes | None) -> str | None:

@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, stored
+from quayside.llm.common import column, small_parts, stored
 from quayside.llm.components import components
 
 SHINGLE = 5
 HALVES = 10
 MINHASHES_PER_HALF = 2
 BLOCK_DOCS = 1_000
-WORDS_KEPT = 300_000
+WORDS_KEPT = 100_000
 COLUMNS_AT_ONCE = 8_192
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -86,7 +86,7 @@ def _seeds() -> np.ndarray:
 
 def _signatures(parts: Iterator[pa.RecordBatch], target: pa.Schema) -> Iterator[pa.RecordBatch]:
     hashes, seeds = WordHashes(), _seeds()
-    for part in parts:
+    for part in small_parts(parts, 1):
         sizes, digests, keys = [], [], []
         for text in part.column(1).to_pylist():
             shingles = shingle_set(text, hashes)

@@ -272,12 +272,13 @@ def scored(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str
 
 
 def without_toxic(docs: DataFrame, chain: Chain, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose last category's probability is below the threshold."""
-    at = docs.columns.index(text_col)
+    """The rows of `docs`, all columns as they are, whose last category's probability is below the threshold.
 
-    def kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            texts = part.column(at).to_pylist()
-            yield part.filter(pa.array([chain.probabilities(t or "")[-1] < threshold for t in texts], pa.bool_()))
+    A null text is read as empty. Only texts travel to Python, and a verdict on each comes back.
+    """
+
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        return pa.array([chain.probabilities(t.as_py() or "")[-1] < threshold for t in texts], pa.bool_())
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.where(kept(column(text_col)))
