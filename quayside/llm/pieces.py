@@ -23,11 +23,11 @@ from sentencepiece import SentencePieceProcessor
 from quayside.llm.common import per_document
 
 SPACE = "▁"
-CHUNKS_KEPT = 150_000
+CHUNKS_KEPT = 300_000
 CHUNK_KEPT_CHARS = 40
 NEVER = float("-inf")
 MARKS = ".,;:!?"
-PAIRS_KEPT = 150_000
+PAIRS_KEPT = 250_000
 
 
 def _each_byte(error: UnicodeDecodeError):
