@@ -7,8 +7,13 @@ accept   what the text must look like before it is converted; None when any text
 convert  the typed value, null when the text has the right look but no value (overflow, 30 February)
 default  the value of a required field that is blank or was rejected; nullable fields become null
 
-The guards decide, not the engine's casts: those trim spaces, take `1d` for a double or `yes` for a boolean. They also
-keep rejected text away from `try_cast`, whose failures cost an exception per value.
+The guards decide, not the engine's casts: those trim spaces, take `1d` for a double or `yes` for a boolean, turn a
+number that is too large into infinity, one that is too small into zero, and round digits away. They also keep rejected
+text away from `try_cast`, whose failures cost an exception per value.
+
+A rejected text has one of three reasons: its `form`; its `range`, where the form is right but the type has no such
+value; its `scale`, where a decimal has more digits behind the point than the type keeps, zeros at the end not counted.
+With excess_digits="round" such decimals are rounded instead.
 """
 
 from __future__ import annotations
@@ -32,10 +37,24 @@ DECIMAL = r"r'^[+-]?[0-9]+([.][0-9]+)?\z'"
 FLOATING = r"r'^([+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?|-?Infinity|NaN)\z'"
 DAY = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2}\z'"
 MOMENT = r"r'^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?\z'"
+# A decimal whose digits beyond the scale are zeros.
+SCALED = r"r'^[+-]?[0-9]+([.](?=[0-9])[0-9]{0,{scale}}0*)?\z'"
+NONZERO = r"r'^[+-]?[0.]*[1-9]'"
 BASE64 = "data:;base64,"
 
+FORM, RANGE, SCALE = "form", "range", "scale"
+REJECT, ROUND = "reject", "round"
+EXCESS_DIGITS = (REJECT, ROUND)
+
 _CAST = "try_cast({v} AS {type})"
 _ZERO = "CAST(0 AS {type})"
+# Without an exponent, a text this short is far from either end of a float's range. All others are looked at again.
+_SURELY_IN_RANGE = "octet_length({v}) <= 37 AND NOT contains(lower({v}), 'e')"
+_NO_VALUE = (
+    f"(abs({_CAST}) = CAST('Infinity' AS {{type}}) AND NOT endswith({{v}}, 'Infinity'))"
+    f" OR ({_CAST} = 0 AND regexp_like({{v}}, {NONZERO}))"
+)
+_REAL = f"CASE WHEN {_SURELY_IN_RANGE} THEN {_CAST} WHEN NOT ({_NO_VALUE}) THEN {_CAST} END"
 _OBJECT = "json_object_keys({v}) IS NOT NULL"
 _PARSED = "from_json({v}, {type_text})"
 # Text is its own bytes; binary columns of a table are landed as base64 behind a mark.
@@ -49,9 +68,9 @@ RULES: dict[str, Rule] = {
     "enum": Rule(None, "{v}", "''"),
     "int": Rule(f"regexp_like({{v}}, {INTEGER})", _CAST, _ZERO),
     "long": Rule(f"regexp_like({{v}}, {INTEGER})", _CAST, _ZERO),
-    "float": Rule(f"regexp_like({{v}}, {FLOATING})", _CAST, _ZERO),
-    "double": Rule(f"regexp_like({{v}}, {FLOATING})", _CAST, _ZERO),
-    "decimal": Rule(f"regexp_like({{v}}, {DECIMAL})", _CAST, _ZERO),
+    "float": Rule(f"regexp_like({{v}}, {FLOATING})", _REAL, _ZERO),
+    "double": Rule(f"regexp_like({{v}}, {FLOATING})", _REAL, _ZERO),
+    "decimal": Rule(f"regexp_like({{v}}, {SCALED})", _CAST, _ZERO),
     "boolean": Rule("lower({v}) IN ('true', 'false')", "lower({v}) = 'true'", "false"),
     "date": Rule(f"regexp_like({{v}}, {DAY})", _CAST, "DATE '1970-01-01'"),
     "timestamp": Rule(
@@ -66,9 +85,20 @@ RULES: dict[str, Rule] = {
 }
 
 
+# Where excess digits are rounded, a decimal may have as many as it likes.
+_ROUNDED = {"decimal": Rule(f"regexp_like({{v}}, {DECIMAL})", _CAST, _ZERO)}
+
+
+def _rule(field: Field, excess_digits: str) -> Rule:
+    if excess_digits == ROUND:
+        return _ROUNDED.get(field.kind, RULES[field.kind])
+    return RULES[field.kind]
+
+
 def _fill(template: str, field: Field, v: str = "") -> str:
     spelled = ddl(field.type)
     filled = template.replace("{v}", v).replace("{size}", str(field.size))
+    filled = filled.replace("{scale}", str(getattr(field.type, "scale", 0)))
     return filled.replace("{type}", spelled).replace("{type_text}", text_literal(spelled))
 
 
@@ -77,9 +107,9 @@ def is_fallible(field: Field) -> bool:
     return RULES[field.kind].accept is not None
 
 
-def converted(field: Field, v: str) -> str:
+def converted(field: Field, v: str, excess_digits: str = REJECT) -> str:
     """SQL for the typed value of text `v`; null when the text is rejected or, but for required text, blank."""
-    rule = RULES[field.kind]
+    rule = _rule(field, excess_digits)
     accept = _fill(rule.accept, field, v) if rule.accept else f"{v} <> ''"
     value = _fill(rule.convert, field, v)
     if rule.accept is None and not field.nullable:
@@ -87,6 +117,15 @@ def converted(field: Field, v: str) -> str:
     return f"CASE WHEN {accept} THEN {value} END"
 
 
+def reason(field: Field, v: str, excess_digits: str = REJECT) -> str:
+    """SQL for why the rejected text `v` was rejected."""
+    accept = _fill(_rule(field, excess_digits).accept, field, v)
+    if field.kind != "decimal":
+        return f"CASE WHEN {accept} THEN '{RANGE}' ELSE '{FORM}' END"
+    number = _fill(_ROUNDED["decimal"].accept, field, v)
+    return f"CASE WHEN {accept} THEN '{RANGE}' WHEN {number} THEN '{SCALE}' ELSE '{FORM}' END"
+
+
 def default(field: Field) -> str:
     """SQL for the value a blank or rejected field takes."""
     if field.nullable:

@@ -20,7 +20,7 @@ ROW_STICKY = "row_sticky"
 FIELD = "field"
 ERROR_MODES = (ROW_STICKY, FIELD)
 
-ERROR_TYPE = "array<struct<field: string, type: string, raw: string>>"
+ERROR_TYPE = "array<struct<field: string, type: string, raw: string, reason: string>>"
 BAD_LINE_KIND = "json"
 
 
@@ -36,6 +36,7 @@ class CastRows:
 
     frame: DataFrame
     contract: Contract
+    excess_digits: str = grammar.REJECT
 
     def index(self, name: str) -> int:
         return [n.lower() for n in self.contract.names].index(name.lower())
@@ -50,22 +51,27 @@ class CastRows:
         return [(i, f) for i, f in enumerate(self.contract.fields) if grammar.is_fallible(f)]
 
 
-def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STICKY) -> CastRows:
+def cast_rows(
+    aligned: DataFrame, contract: Contract, error_mode: str = ROW_STICKY, excess_digits: str = grammar.REJECT
+) -> CastRows:
     """Cast every field to its contract type.
 
     `aligned` holds the contract's fields as blank-filled text, in order, and then the malformed line. A blank field
     takes its default and is no error. A rejected field takes its default; in mode `row_sticky` so do all fields after
     the first rejected one in contract order, in mode `field` only the rejected ones. A malformed line counts as failed
-    and is all defaults.
+    and is all defaults. A decimal with more digits than its type keeps is rejected, or rounded by
+    `excess_digits="round"`; no other value is ever changed by its cast, but for the nearest float or double of a number.
     """
     if error_mode not in ERROR_MODES:
         raise ValueError(f"error_mode is one of {', '.join(ERROR_MODES)}, not {error_mode!r}")
+    if excess_digits not in grammar.EXCESS_DIGITS:
+        raise ValueError(f"excess_digits is one of {', '.join(grammar.EXCESS_DIGITS)}, not {excess_digits!r}")
     fields = list(enumerate(contract.fields))
     fallible = [i for i, f in fields if grammar.is_fallible(f)]
     texts = [f"r{i}" for i, _ in fields]
 
     converted = aligned.toDF(*texts, "bad_line").selectExpr(
-        *texts, "bad_line", *[f"{grammar.converted(contract.fields[i], f'r{i}')} AS c{i}" for i in fallible]
+        *texts, "bad_line", *[f"{grammar.converted(contract.fields[i], f'r{i}', excess_digits)} AS c{i}" for i in fallible]
     )
     # The arms stop at the first hit. An array of flags would be built for every row.
     rejected = {i: f"(r{i} <> '' AND c{i} IS NULL)" for i in fallible}
@@ -89,7 +95,7 @@ def cast_rows(aligned: DataFrame, contract: Contract, error_mode: str = ROW_STIC
         f"(first_bad < {beyond} OR bad_line IS NOT NULL) AS failed",
         *[f"{rejected[i]} AS e{i}" for i in fallible],
     )
-    return CastRows(frame, contract)
+    return CastRows(frame, contract, excess_digits)
 
 
 def typed_rows(cast: CastRows) -> DataFrame:
@@ -104,15 +110,16 @@ def quarantine_rows(cast: CastRows, bad_line_col: str | None = None) -> DataFram
 
 
 def error_lists(cast: CastRows) -> DataFrame:
-    """`typed`, `raw` and `errors` of every row; `errors` lists the rejected fields with their type and text."""
+    """`typed`, `raw` and `errors` of every row; `errors` lists the rejected fields with type, text and reason."""
     found = [
         f"CASE WHEN e{i} THEN named_struct('field', {text_literal(f.name)}, 'type', {text_literal(f.kind)}, "
-        f"'raw', r{i}) END"
+        f"'raw', r{i}, 'reason', {grammar.reason(f, f'r{i}', cast.excess_digits)}) END"
         for i, f in cast.fallible()
     ]
     found.append(
         "CASE WHEN bad_line IS NOT NULL THEN "
-        f"named_struct('field', '', 'type', {text_literal(BAD_LINE_KIND)}, 'raw', bad_line) END"
+        f"named_struct('field', '', 'type', {text_literal(BAD_LINE_KIND)}, 'raw', bad_line, "
+        f"'reason', '{grammar.FORM}') END"
     )
     errors = f"CASE WHEN failed THEN array_compact(array({', '.join(found)})) ELSE array() END"
     return cast.frame.select(

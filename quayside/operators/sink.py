@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.names import quoted
-from quayside.sources.contract import Contract
-from quayside.sources.storage import file_system
+from quayside.sources.contract import Contract, writer_schema
+from quayside.sources.storage import delete_directory, file_system, read_small, write_small
 
 AVRO = "avro"
 PARQUET = "parquet"
@@ -45,22 +47,86 @@ def staging_dir(path: str) -> str:
     return f"{parent}/.{name.replace('=', '-')}.{uuid.uuid4().hex}"
 
 
-def publish(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a finished directory in the place of a partition.
+@dataclass(frozen=True)
+class Move:
+    """One partition of a commit: where its new files are, where they go, and where the old ones wait meanwhile."""
 
-    The old one is moved aside and deleted when the new one is in place; where that fails, it is moved back.
+    path: str
+    staged: str
+    aside: str
+    replaces: bool
+
+
+def journal_path(output_dir: str, table: str, run_partition: str) -> str:
+    return f"{output_dir.rstrip('/')}/.commit-{table}-dt={run_partition}.json"
+
+
+def _journal(spark: SparkSession, journal: str) -> list[Move]:
+    """The moves of a commit that has begun and not ended. Text that was cut off is from one that moved nothing yet."""
+    text = read_small(spark, journal)
+    try:
+        return [Move(**move) for move in json.loads(text)["moves"]] if text else []
+    except ValueError:
+        return []
+
+
+def publish(spark: SparkSession, staged: dict[str, str], journal: str) -> None:
+    """Put finished directories, `staged` by the partition they are for, in the place of these partitions, all or none.
+
+    The journal, a file, is written before anything moves and removed when everything has. That removal is the commit:
+    until then readers that resolve through the journal see all the old partitions, from then on all the new ones. A
+    move that fails is undone at once; what a lost driver leaves is undone by the next run, see `recover`.
     """
+    moves = []
+    for path, new in staged.items():
+        fs, target = file_system(spark, path)
+        moves.append(Move(path, new, staging_dir(path), fs.exists(target)))
+    write_small(spark, journal, json.dumps({"moves": [asdict(m) for m in moves]}))
+    try:
+        for move in moves:
+            if move.replaces:
+                _rename(spark, move.path, move.aside)
+        for move in moves:
+            _rename(spark, move.staged, move.path)
+    except Exception:
+        recover(spark, journal)
+        raise
+    delete_directory(spark, journal)
+    for move in moves:
+        delete_directory(spark, move.aside)
+
+
+def recover(spark: SparkSession, journal: str) -> None:
+    """Undo a commit that did not end: the old partitions come back. Does nothing where there is none, and again no harm."""
+    for move in _journal(spark, journal):
+        fs, target = file_system(spark, move.path)
+        if not move.replaces:
+            if not fs.exists(file_system(spark, move.staged)[1]):
+                delete_directory(spark, move.path)
+        elif fs.exists(file_system(spark, move.aside)[1]):
+            # whatever stands there is new; the old files wait aside
+            delete_directory(spark, move.path)
+            _rename(spark, move.aside, move.path)
+        delete_directory(spark, move.staged)
+    delete_directory(spark, journal)
+
+
+def resolved(spark: SparkSession, path: str, journal: str) -> str | None:
+    """Where the committed files of a partition are just now; None where it has none."""
+    for move in _journal(spark, journal):
+        if move.path == path and not move.replaces:
+            return None
+        if move.path == path:
+            fs, aside = file_system(spark, move.aside)
+            return move.aside if fs.exists(aside) else path
     fs, target = file_system(spark, path)
-    aside = file_system(spark, staging_dir(path))[1]
-    had_one = fs.exists(target)
-    if had_one and not fs.rename(target, aside):
-        raise OSError(f"{path} could not be moved aside")
-    if not fs.rename(file_system(spark, staged)[1], target):
-        if had_one:
-            fs.rename(aside, target)
-        raise OSError(f"{staged} could not be moved to {path}")
-    if had_one:
-        fs.delete(aside, True)
+    return path if fs.exists(target) else None
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, there = file_system(spark, target)
+    if not fs.rename(file_system(spark, source)[1], there):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def write_partition(
@@ -70,12 +136,19 @@ def write_partition(
     sink_format: str = PARQUET,
     contract: Contract | None = None,
 ) -> None:
-    """Replace what is under `path`. An empty text partition value is stored, and read back, as null."""
+    """Replace what is under `path`. An empty text partition value is stored, and read back, as null.
+
+    Avro files carry the contract's own schema, with its logical types, enums, fixed lengths and fields without null.
+    """
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     if sink_format == AVRO and contract is not None:
-        writer = writer.option("recordName", contract.name)
-        if contract.namespace:
-            writer = writer.option("recordNamespace", contract.namespace)
+        schema = writer_schema(contract, partition_by)
+        if schema is not None:
+            writer = writer.option("avroSchema", schema)
+        else:
+            writer = writer.option("recordName", contract.name)
+            if contract.namespace:
+                writer = writer.option("recordNamespace", contract.namespace)
     writer.format(storage_format(sink_format)).save(path)
 
 

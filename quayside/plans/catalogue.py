@@ -38,6 +38,7 @@ ORDERS_CONTRACT = """
   {"name": "day", "type": {"type": "int", "logicalType": "date"}},
   {"name": "at", "type": ["null", {"type": "long", "logicalType": "local-timestamp-micros"}]},
   {"name": "ratio", "type": "float"},
+  {"name": "total", "type": "double"},
   {"name": "code", "type": {"type": "fixed", "name": "four", "size": 4}},
   {"name": "raw", "type": "bytes"}]}
 """
@@ -196,16 +197,27 @@ def _orders_contract(spark: SparkSession) -> Contract:
 
 
 def _cast_orders(spark: SparkSession, sf_dir: str, error_mode: str) -> DataFrame:
-    """Orders as text with an overflow, a 30 February, an exponent, fractions, blanks and marked binaries."""
+    """Orders with every kind of trouble, cast."""
+    typed = cast.typed_rows(_cast_order_rows(spark, sf_dir, error_mode))
+    return typed.withColumns({"code": F.hex("code"), "raw": F.hex("raw")})
+
+
+def _cast_order_rows(spark: SparkSession, sf_dir: str, error_mode: str) -> cast.CastRows:
+    """Orders as text with overflows, underflows, excess digits, a 30 February, exponents, blanks and marked binaries."""
     key = "o_orderkey"
+    price = "CAST(o_totalprice AS string)"
     records = table(spark, sf_dir, "orders").selectExpr(
         f"CAST({key} AS string) AS id",
         f"CASE WHEN {key} % 13 = 0 THEN '92233720368547758080' ELSE CAST({key} AS string) END AS big",
-        f"CASE WHEN {key} % 17 = 0 THEN '1e3' WHEN {key} % 19 = 0 THEN '' ELSE CAST(o_totalprice AS string) END AS price",
+        f"CASE WHEN {key} % 17 = 0 THEN '1e3' WHEN {key} % 19 = 0 THEN '' WHEN {key} % 47 = 0 THEN '1.239'"
+        f" WHEN {key} % 59 = 0 THEN '12345678901234.00' WHEN {key} % 61 = 0 THEN '1.2300' ELSE {price} END AS price",
         f"CASE WHEN {key} % 23 = 0 THEN '2023-02-30' ELSE CAST(CAST(o_orderdate AS date) AS string) END AS day",
         f"CASE WHEN {key} % 29 = 0 THEN '2023-02-30 00:00:00' ELSE concat(CAST(CAST(o_orderdate AS date) AS string),"
         f" ' 12:34:56.', lpad(CAST({key} % 1000000 AS string), 6, '0')) END AS at",
-        f"CASE WHEN {key} % 31 = 0 THEN '1.5E3' WHEN {key} % 37 = 0 THEN '.5' ELSE '0.25' END AS ratio",
+        f"CASE WHEN {key} % 31 = 0 THEN '1.5E3' WHEN {key} % 37 = 0 THEN '.5'"
+        f" WHEN {key} % 43 = 0 THEN '1e39' WHEN {key} % 67 = 0 THEN '-1e-50' ELSE '0.25' END AS ratio",
+        f"CASE WHEN {key} % 53 = 0 THEN '1e400' WHEN {key} % 71 = 0 THEN concat('-', repeat('9', 400))"
+        f" WHEN {key} % 73 = 0 THEN '-Infinity' WHEN {key} % 79 = 0 THEN '0e999' ELSE {price} END AS total",
         f"CASE WHEN {key} % 41 = 0 THEN 'x' ELSE 'four' END AS code",
         f"unhex(lpad(hex({key}), 16, '0')) AS raw",
     )
@@ -213,8 +225,13 @@ def _cast_orders(spark: SparkSession, sf_dir: str, error_mode: str) -> DataFrame
     path = scratch_path(spark, "landing")
     land(as_lines(records), path)
     aligned = align.read_aligned(spark, path, wanted, align.matched_spellings(records.columns, wanted))
-    typed = cast.typed_rows(cast.cast_rows(aligned, wanted, error_mode))
-    return typed.withColumns({"code": F.hex("code"), "raw": F.hex("raw")})
+    return cast.cast_rows(aligned, wanted, error_mode)
+
+
+def error_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each field was rejected, and why."""
+    listed = cast.error_lists(_cast_order_rows(spark, sf_dir, cast.FIELD)).select(F.inline("errors"))
+    return listed.groupBy("field", "type", "reason").agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("least"))
 
 
 def typed_cast_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +281,7 @@ def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rejected value with the key of its record."""
     listed = cast.error_lists(cast_events(spark, sf_dir, cast.ROW_STICKY))
-    return listed.select(F.col("raw.sys_id").alias("sys_id"), F.inline("errors"))
+    return listed.select(F.col("raw.sys_id").alias("sys_id"), F.inline("errors")).drop("reason")
 
 
 def ingest_events(
@@ -371,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         typed_times,
         typed_cast_orders,
         typed_cast_orders_field,
+        error_reasons,
         replay_typed,
         quarantine,
         error_summary,
@@ -410,33 +428,70 @@ FROM flags"""
 _QUARANTINE = f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, user_id, amount, active, category, '' AS note FROM flags WHERE e1 OR e2 OR e3"""
 
+# What is wrong with the orders, by their keys: (reason, condition on k, text) of each field.
+_ORDER_FAULTS = {
+    "big": [("range", "k % 13 = 0", "92233720368547758080")],
+    "price": [
+        ("form", "k % 17 = 0", "1e3"),
+        ("scale", "k % 17 <> 0 AND k % 19 <> 0 AND k % 47 = 0", "1.239"),
+        ("range", "k % 17 <> 0 AND k % 19 <> 0 AND k % 47 <> 0 AND k % 59 = 0", "12345678901234.00"),
+    ],
+    "day": [("range", "k % 23 = 0", "2023-02-30")],
+    "at": [("range", "k % 29 = 0", "2023-02-30 00:00:00")],
+    "ratio": [
+        ("form", "k % 31 <> 0 AND k % 37 = 0", ".5"),
+        ("range", "k % 31 <> 0 AND k % 37 <> 0 AND k % 43 = 0", "1e39"),
+        ("range", "k % 31 <> 0 AND k % 37 <> 0 AND k % 43 <> 0 AND k % 67 = 0", "-1e-50"),
+    ],
+    "total": [
+        ("range", "k % 53 = 0", "1e400"),
+        ("range", "k % 53 <> 0 AND k % 71 = 0", "-" + "9" * 400),
+    ],
+    "code": [("form", "k % 41 = 0", "x")],
+}
+_ORDER_TYPES = {
+    "big": "long", "price": "decimal", "day": "date", "at": "timestamp_ntz", "ratio": "float", "total": "double", "code": "fixed",
+}
+
+
+def _reasons_sql() -> str:
+    planted = [
+        f"SELECT '{name}' AS field, '{_ORDER_TYPES[name]}' AS type, '{why}' AS reason, '{text}' AS raw FROM o WHERE {wrong}"
+        for name, faults in _ORDER_FAULTS.items()
+        for why, wrong, text in faults
+    ]
+    return f"""WITH o AS (SELECT o_orderkey AS k FROM orders), planted AS ({" UNION ALL ".join(planted)})
+SELECT field, type, reason, COUNT(*) AS n, MIN(raw) AS least FROM planted GROUP BY field, type, reason"""
+
+
 def _orders_sql(sticky: bool) -> str:
     """What the orders become: a field is bad by its key; in sticky mode later fields are bad with it."""
-    bad = {"big": 13, "price": 17, "day": 23, "at": 29, "ratio": 37, "code": 41}
-    names = ["id", "big", "price", "day", "at", "ratio", "code", "raw"]
+    names = ["id", "big", "price", "day", "at", "ratio", "total", "code", "raw"]
 
     def fails(name: str) -> str:
         before = names[: names.index(name) + 1] if sticky else [name]
-        wrong = [f"k % {bad[n]} = 0" + (" AND k % 31 <> 0" if n == "ratio" else "") for n in before if n in bad]
+        wrong = [condition for n in before for _, condition, _ in _ORDER_FAULTS.get(n, ())]
         return " OR ".join(f"({w})" for w in wrong) or "FALSE"
 
     values = {
         "id": ("CAST(k AS INT)", "0"),
         "big": ("CAST(k AS BIGINT)", "NULL"),
-        "price": ("CASE WHEN k % 19 = 0 THEN 0 ELSE p END", "0"),
+        "price": ("CASE WHEN k % 19 = 0 THEN 0 WHEN k % 61 = 0 THEN 1.23 ELSE p END", "0"),
         "day": ("d", "DATE '1970-01-01'"),
         "at": ("CAST(d AS TIMESTAMP) + INTERVAL 45296 SECOND + to_microseconds(k % 1000000)", "NULL"),
         "ratio": ("CASE WHEN k % 31 = 0 THEN 1500 ELSE 0.25 END", "0"),
+        "total": ("CASE WHEN k % 73 = 0 THEN -CAST('Infinity' AS DOUBLE) WHEN k % 79 = 0 THEN 0 ELSE t END", "0"),
         "code": ("'666F7572'", "'00000000'"),
         "raw": ("lpad(hex(k), 16, '0')", "''"),
     }
-    types = {"price": "DECIMAL(15,2)", "ratio": "FLOAT"}
+    types = {"price": "DECIMAL(15,2)", "ratio": "FLOAT", "total": "DOUBLE"}
     columns = []
     for name, (value, default) in values.items():
         column = f"CASE WHEN {fails(name)} THEN {default} ELSE {value} END"
         columns.append(f"CAST({column} AS {types[name]}) AS {name}" if name in types else f"{column} AS {name}")
     return f"""WITH o AS (
-  SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS p, CAST(o_orderdate AS DATE) AS d FROM orders)
+  SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS p, o_totalprice AS t,
+    CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT {", ".join(columns)} FROM o"""
 
 
@@ -486,6 +541,7 @@ FROM flags""",
     "typed_times": "SELECT event_id, ts AS at, epoch_us(ts) AS instant_micros FROM events",
     "typed_cast_orders": _orders_sql(sticky=True),
     "typed_cast_orders_field": _orders_sql(sticky=False),
+    "error_reasons": _reasons_sql(),
     "replay_typed": """WITH t AS (
   SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(24,4)) + 12345678901234567.8901 AS DECIMAL(24,4)) AS amount,
     CAST(o_orderkey AS VARCHAR) || '.50' AS label FROM orders)

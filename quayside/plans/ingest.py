@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.grammar import EXCESS_DIGITS, REJECT
 from quayside.functions.moments import Moment, as_text, chunk_bounds
 from quayside.functions.names import name_list, quoted, unused
 from quayside.functions.ranges import check_page_size, offset_ranges
@@ -64,6 +67,7 @@ class IngestParams:
     id_file: str | None = None
     ids_per_batch: int = 100
     error_mode: str = cast.ROW_STICKY
+    excess_digits: str = REJECT
     partition_by: str | Sequence[str] = ()
     sink_format: str = sink.PARQUET
     blank_fields: Sequence[str] | None = None
@@ -106,6 +110,8 @@ def _check(contract: Contract, params: IngestParams) -> None:
         raise ValueError(f"extract_mode is one of {', '.join(EXTRACT_MODES)}, not {params.extract_mode!r}")
     if params.error_mode not in cast.ERROR_MODES:
         raise ValueError(f"error_mode is one of {', '.join(cast.ERROR_MODES)}, not {params.error_mode!r}")
+    if params.excess_digits not in EXCESS_DIGITS:
+        raise ValueError(f"excess_digits is one of {', '.join(EXCESS_DIGITS)}, not {params.excess_digits!r}")
     if params.retention not in retention.RETENTION_MODES:
         raise ValueError(f"retention is one of {', '.join(retention.RETENTION_MODES)}, not {params.retention!r}")
     if params.on_mismatch not in (FAIL, REPORT):
@@ -243,49 +249,59 @@ def _reconcile(
         raise RuntimeError(f"{wanted} records were {wanted_name} but {found} were {found_name}")
 
 
-def _write_typed(rows: cast.CastRows, params: IngestParams, path: str, blanks: list[str]) -> dict:
-    """Write the typed table and count its rows on the way.
+def _stage(rows: cast.CastRows, path: str, blanks: list[str]) -> tuple[DataFrame, dict]:
+    """Parse and cast the landing once: typed values (`t<i>`) of all rows, and beside them, where a row failed, its
+    original text and malformed line (`original`). Both tables are then read from these columns.
 
-    The counts are taken behind the shuffle that clusters sub-partitions, in the stage that writes: a stage that runs
-    again after a lost executor would count its rows twice, a write task that succeeds counts once.
+    The rows are counted on the way, in the stage that writes: a write task that succeeds counts once.
     """
-    partition_by = name_list(params.partition_by)
-    flagged = rows.frame.select(
-        *[f"t{i}" for i in range(len(rows.contract.fields))],
-        "failed",
-        F.col("bad_line").isNotNull().alias("malformed"),
-        *[(F.col(f"r{rows.index(b)}") == "").alias(f"b{j}") for j, b in enumerate(blanks)],
-    )
+    spark = rows.frame.sparkSession
+    fields = range(len(rows.contract.fields))
+    original = F.when(F.col("failed"), F.struct(*[f"r{i}" for i in fields], "bad_line"))
+    staged = rows.frame.select(*[f"t{i}" for i in fields], original.alias("original"), "failed", "bad_line", *[f"r{rows.index(b)}" for b in blanks])
     counts = Observation()
-    if partition_by:
-        flagged = sink.clustered(flagged, [f"t{rows.index(c)}" for c in partition_by])
-    counted = flagged.observe(
+    counted = staged.observe(
         counts,
         F.count(F.lit(1)).alias("processed"),
         F.count_if("failed").alias("error_rows"),
-        F.count_if("malformed").alias("malformed"),
-        *[F.count_if(f"b{j}").alias(f"b{j}") for j in range(len(blanks))],
-    )
-    sink.write_partition(
-        counted.select(*rows.typed_columns()), path, partition_by, params.sink_format, rows.contract
-    )
+        F.count_if(F.col("bad_line").isNotNull()).alias("malformed"),
+        *[F.count_if(F.col(f"r{rows.index(b)}") == "").alias(f"b{j}") for j, b in enumerate(blanks)],
+    ).select(*[f"t{i}" for i in fields], "original")
+    counted.write.mode("overwrite").parquet(path)
     found = dict(counts.get)
     found["blanks"] = {b: found.pop(f"b{j}") for j, b in enumerate(blanks)}
-    return found
+    return spark.read.schema(counted.schema).parquet(path), found
 
 
-def _write_quarantine(rows: cast.CastRows, params: IngestParams, path: str, errors: int) -> None:
-    """Write the originals of failed rows. A run without any only empties the partition, and does not parse again.
+def _write_typed(staged: DataFrame, contract: Contract, params: IngestParams, path: str) -> None:
+    partition_by = name_list(params.partition_by)
+    typed = staged.select(*[F.col(f"t{i}").alias(n) for i, n in enumerate(contract.names)])
+    if partition_by:
+        typed = sink.clustered(typed, [quoted(c) for c in partition_by])
+    sink.write_partition(typed, path, partition_by, params.sink_format, contract)
 
-    Failed rows are few and come from all tasks; they are gathered before they are written.
-    """
+
+def _write_quarantine(staged: DataFrame, contract: Contract, params: IngestParams, path: str) -> None:
+    """Write the originals of failed rows. They are few and come from all tasks, so they are gathered first."""
     partition_by = name_list(params.partition_by)
-    originals = cast.quarantine_rows(rows, unused(RAW_LINE, rows.contract.names))
-    if not errors:
-        originals = rows.frame.sparkSession.createDataFrame([], originals.schema)
+    texts = [F.col(f"original.r{i}").alias(n) for i, n in enumerate(contract.names)]
+    bad_line = F.col("original.bad_line").alias(unused(RAW_LINE, contract.names))
+    originals = staged.where("original IS NOT NULL").select(*texts, bad_line)
     sink.write_partition(sink.clustered(originals, [quoted(c) for c in partition_by]), path, partition_by)
 
 
+def _unique_keys(staged: DataFrame, contract: Contract, params: IngestParams) -> int:
+    at = [n.lower() for n in contract.names].index(params.key_col.lower())
+    return audit.unique_keys(staged.select(F.col(f"t{at}").alias(params.key_col)), params.key_col)
+
+
+def _together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Run independent jobs at the same time; all have ended when this returns or raises."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [w.result() for w in waiting]
+
+
 def run(
     spark: SparkSession,
     source: DataFrame | PagedService | LandedLines,
@@ -322,6 +338,8 @@ def _run(
 ) -> RunResult:
     clock, started = time.monotonic(), datetime.now(timezone.utc)
     run_date = params.run_date or started.date()
+    journal = sink.journal_path(params.output_dir, params.table, params.run_partition)
+    sink.recover(spark, journal)
 
     if isinstance(source, LandedLines):
         extraction, raw_path, landed = _Extraction(spark.read.text(source.path)), source.path, None
@@ -335,30 +353,30 @@ def _run(
         spellings = align.discover_spellings(spark.read.text(raw_path), contract)
     else:
         spellings = align.matched_spellings(extraction.names, contract)
-    if landed is None:
-        aligned = align.align_lines(spark.read.text(raw_path), contract, spellings)
-    else:
-        aligned = align.read_aligned(spark, raw_path, contract, spellings)
-    rows = cast.cast_rows(aligned, contract, params.error_mode)
+    aligned = align.read_aligned(spark, raw_path, contract, spellings, foreign=landed is None)
+    rows = cast.cast_rows(aligned, contract, params.error_mode, params.excess_digits)
 
     typed_path = sink.table_dir(params.output_dir, params.table, params.run_partition)
     quarantine_path = sink.quarantine_dir(params.output_dir, params.table, params.run_partition)
     blanks = params.blank_fields
     blanks = audit.default_ambiguous(contract) if blanks is None else list(blanks)
-    # both are written beside their partitions, which change places only when the counts agree
-    new_typed, new_quarantine = sink.staging_dir(typed_path), sink.staging_dir(quarantine_path)
+    # everything is written beside the partitions, which change places, together, only when the counts agree
+    new_rows, new_typed, new_quarantine = (
+        sink.staging_dir(path) for path in (typed_path, typed_path, quarantine_path)
+    )
     try:
-        counts = _write_typed(rows, params, new_typed, blanks)
+        staged, counts = _stage(rows, new_rows, blanks)
         _reconcile(params, landed, "landed", counts["processed"], "processed", always=True)
-        _write_quarantine(rows, params, new_quarantine, counts["error_rows"])
-        sink.publish(spark, new_typed, typed_path)
-        sink.publish(spark, new_quarantine, quarantine_path)
+        unique, *_ = _together(
+            spark,
+            lambda: _unique_keys(staged, contract, params),
+            lambda: _write_typed(staged, contract, params, new_typed),
+            lambda: _write_quarantine(staged, contract, params, new_quarantine),
+        )
+        sink.publish(spark, {typed_path: new_typed, quarantine_path: new_quarantine}, journal)
     finally:
-        for leftover in (new_typed, new_quarantine):
+        for leftover in (new_rows, new_typed, new_quarantine):
             delete_directory(spark, leftover)
-    unique = audit.unique_keys(
-        sink.read_partition(spark, typed_path, contract, params.sink_format), params.key_col
-    )
 
     report = {
         "table_name": params.table,

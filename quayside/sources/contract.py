@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -22,9 +23,12 @@ class Field:
 
 @dataclass(frozen=True)
 class Contract:
+    """The fields of a table, and the Avro schema they come from, where there is one, as JSON text."""
+
     name: str
     namespace: str | None
     fields: tuple[Field, ...]
+    avro: str | None = None
 
     def __post_init__(self):
         seen: set[str] = set()
@@ -132,6 +136,65 @@ def _resolve(schema, named: dict) -> _Resolved:
     return resolved
 
 
+def _writable(schema):
+    """The schema with unions that Spark reads as one wider type written as that type; all else stays."""
+    if isinstance(schema, list):
+        present = [b for b in schema if b != "null"]
+        if len(present) > 1 and all(isinstance(b, str) for b in present) and frozenset(present) in _WIDENING:
+            wide = _WIDENING[frozenset(present)]
+            return [b for b in ("null", wide) if b == wide or b in schema] if "null" in schema else wide
+        return [_writable(b) for b in schema]
+    if not isinstance(schema, dict):
+        return schema
+    made = {k: _writable(v) if k in ("type", "items", "values") else v for k, v in schema.items()}
+    if "fields" in made:
+        made["fields"] = [{**f, "type": _writable(f["type"])} for f in made["fields"]]
+    return made
+
+
+def _inlined(schema, gone: dict):
+    """The schema with the first use of every type that `gone` has by its name replaced by the definition."""
+    if isinstance(schema, str):
+        return gone.pop(schema, schema)
+    if isinstance(schema, list):
+        return [_inlined(b, gone) for b in schema]
+    made = {k: _inlined(v, gone) if k in ("type", "items", "values") and v != schema.get("name") else v for k, v in schema.items()}
+    if "fields" in made:
+        made["fields"] = [{**f, "type": _inlined(f["type"], gone)} for f in made["fields"]]
+    return made
+
+
+def _definitions(schema, found: dict) -> dict:
+    """Every named type that is defined within a schema."""
+    if isinstance(schema, list):
+        for branch in schema:
+            _definitions(branch, found)
+    elif isinstance(schema, dict):
+        if schema.get("type") in ("record", "enum", "fixed"):
+            found[schema["name"]] = schema
+        for inner in [*(schema.get(k) for k in ("type", "items", "values")), *(f["type"] for f in schema.get("fields", ()))]:
+            _definitions(inner, found)
+    return found
+
+
+def writer_schema(contract: Contract, left_out: Iterable[str] = ()) -> str | None:
+    """The Avro schema to write files of this contract with: its own, without the fields that go into directory names.
+
+    A type that a left-out field defines and another one uses is defined where it is used first.
+    """
+    if contract.avro is None:
+        return None
+    schema = json.loads(contract.avro)
+    apart = {n.lower() for n in left_out}
+    gone: dict = {}
+    for field in schema["fields"]:
+        if field["name"].lower() in apart:
+            _definitions(field["type"], gone)
+    kept = [f for f in schema["fields"] if f["name"].lower() not in apart]
+    schema["fields"] = [{**f, "type": _inlined(f["type"], gone)} for f in kept]
+    return json.dumps(schema)
+
+
 def parse_contract(text: str) -> Contract:
     """A contract from the JSON text of an Avro record schema. Field defaults, docs and aliases do not count."""
     schema = json.loads(text)
@@ -142,7 +205,7 @@ def parse_contract(text: str) -> Contract:
     for f in schema["fields"]:
         r = _resolve(f["type"], named)
         fields.append(Field(f["name"], r.kind, r.type, r.nullable, r.size))
-    return Contract(schema["name"], schema.get("namespace"), tuple(fields))
+    return Contract(schema["name"], schema.get("namespace"), tuple(fields), json.dumps(_writable(schema)))
 
 
 def read_contract(spark: SparkSession, contract_dir: str, table: str) -> Contract:

@@ -27,6 +27,28 @@ def delete_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.delete(target, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None where there is none."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of what is there."""
+    fs, target = file_system(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for data that cuts lineage. Only a local session may go without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -49,6 +49,35 @@ def test_values_that_are_not_text(align_all):
     assert [r[1] for r in rows(frame)] == ["5", "true", '{"x":1}', "[1,2]"]
 
 
+EXACT = ["1.50", "12345678901234567.8901", "1E+2", "-0.0", '{"x" : 1.50, "y":12345678901234567.8901}', '["\\u00e9", 1.0]']
+
+
+@pytest.mark.parametrize("token", EXACT)
+def test_everything_but_strings_keeps_its_characters(align_all, token):
+    records = [f'{{"sys_id":{token},"n":"1"}}', f'{{"SYS_ID":{token},"n":"2"}}', f'{{"Sys_id": {token} , "N":{token}}}']
+    assert rows(align_all(records[:1])) == [(token, "1", "", None)]
+    assert rows(align_all(records)) == sorted([(token, "1", "", None), (token, "2", "", None), (token, token, "", None)])
+
+
+def test_strings_give_their_characters(align_all):
+    records = [r'{"sys_id":"a\"b\u00e9\n","n":"\ud83d\ude42"}', r'{"SYS_ID":"\\","n":"}"}']
+    assert [r[:2] for r in rows(align_all(records))] == [("\\", "}"), ('a"bé\n', "🙂")]
+
+
+LOOSE = [
+    '{"sys_id":"a"} x', '{"sys_id":"a"} {"sys_id":"b"}', '{"sys_id":"a"}}', '{"sys_id":"a"},"p1":{"SYS_ID":"b"}',
+    '[{"sys_id":"a"},{"sys_id":"b"}]', "null", "5", '{"n":01}', '{"sys_id":"a"}],"q":[{"n":"1"}',
+]
+
+
+@pytest.mark.parametrize("line", LOOSE)
+@pytest.mark.parametrize("other", ['{"sys_id":"z"}', '{"sys_id":"z","SYS_ID":"y"}'])
+def test_a_line_that_is_no_single_object_is_malformed(spark, line, other):
+    lines = spark.createDataFrame([(line,), (other,), ("  ",), ("",)], "value string")
+    frame = align.align_lines(lines, CONTRACT, align.discover_spellings(lines, CONTRACT))
+    assert sorted(map(tuple, frame.collect()), key=repr) == [("", "", "", line), ("z", "", "", None)]
+
+
 def test_spelling(align_all):
     frame = align_all(['{"SYS_ID":"q","N":"1"}'])
     assert frame.columns[:3] == ["sys_id", "n", "note"]

@@ -217,6 +217,80 @@ def test_a_failed_write_leaves_the_old_partition(spark, make_source, params, mon
     assert list_directories(spark, f"{params.output_dir}/thing") == ["dt=" + params.run_partition]
 
 
+@pytest.mark.parametrize("fails_at", [1, 2, 3, 4])
+@pytest.mark.parametrize("lost_driver", [False, True])
+def test_a_failure_within_the_commit_leaves_both_old_tables(spark, make_source, params, monkeypatch, fails_at, lost_driver):
+    first = run(spark, make_source(source_rows(20)), CONTRACT, params)
+    journal = sink.journal_path(params.output_dir, params.table, params.run_partition)
+    plain, calls = sink._rename, []
+
+    def tables():
+        paths = [sink.resolved(spark, path, journal) for path in (first.typed_path, first.quarantine_path)]
+        return [spark.read.parquet(path).count() for path in paths]
+
+    before = tables()
+
+    def rename(session, source, target):
+        calls.append(target)
+        if len(calls) == fails_at:
+            assert tables() == before  # what a reader sees meanwhile
+            raise OSError("gone")
+        plain(session, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sink, "_rename", rename)
+        if lost_driver:  # nobody is left to undo anything
+            patched.setattr(sink, "recover", lambda *_: None)
+        with pytest.raises(OSError, match="gone"):
+            run(spark, make_source(source_rows(33)), CONTRACT, params)
+        assert tables() == before
+    sink.recover(spark, journal)
+    assert typed(spark, first) == expected_rows(source_rows(20)) and tables() == before
+    assert list_directories(spark, f"{params.output_dir}/thing") == ["dt=" + params.run_partition]
+    again = run(spark, make_source(source_rows(33)), CONTRACT, params)
+    assert len(typed(spark, again)) == 33 and tables() == [33, 3]
+
+
+def test_a_first_commit_that_fails_leaves_nothing(spark, make_source, params, monkeypatch):
+    plain, calls = sink._rename, []
+
+    def rename(session, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("gone")
+        plain(session, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sink, "_rename", rename)
+        with pytest.raises(OSError, match="gone"):
+            run(spark, make_source(source_rows(5)), CONTRACT, params)
+    journal = sink.journal_path(params.output_dir, params.table, params.run_partition)
+    assert sink.resolved(spark, sink.table_dir(params.output_dir, "thing", params.run_partition), journal) is None
+    assert list_directories(spark, f"{params.output_dir}/thing") == []
+
+
+def test_a_journal_that_was_cut_off_moved_nothing(spark, make_source, params):
+    first = run(spark, make_source(source_rows(5)), CONTRACT, params)
+    journal = Path(sink.journal_path(params.output_dir, params.table, params.run_partition))
+    journal.write_text('{"moves": [{"path": "')
+    assert sink.resolved(spark, first.typed_path, str(journal)) == first.typed_path
+    assert len(typed(spark, run(spark, make_source(source_rows(6)), CONTRACT, params))) == 6
+    assert not journal.exists()
+
+
+def test_the_landing_is_parsed_once(spark, make_source, params, monkeypatch):
+    """Both tables and all counts come from what one parse of the landing staged."""
+    parsed, written = [], []
+    read, typed_write, quarantine_write = ingest.align.read_aligned, ingest._write_typed, ingest._write_quarantine
+    monkeypatch.setattr(ingest.align, "read_aligned", lambda *a, **k: parsed.append(a[1]) or read(*a, **k))
+    monkeypatch.setattr(ingest, "_write_typed", lambda rows, *a: written.append(rows.inputFiles()) or typed_write(rows, *a))
+    monkeypatch.setattr(ingest, "_write_quarantine", lambda rows, *a: written.append(rows.inputFiles()) or quarantine_write(rows, *a))
+    result = run(spark, make_source(source_rows(50)), CONTRACT, params)
+    assert result.report["error_rows"] == 5
+    assert parsed == [result.raw_path] and len(written) == 2
+    assert all(f.endswith(".parquet") for files in written for f in files)
+
+
 def test_a_field_named_like_a_page_column(spark, params):
     contract = parse_contract(
         json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": "long"} for n in ("key", "page", "off")]})
