@@ -66,6 +66,7 @@ _BINARY = f"CASE WHEN {_MARKED} THEN try_to_binary({_ENCODED}, 'base64') ELSE en
 RULES: dict[str, Rule] = {
     "string": Rule(None, "{v}", "''"),
     "enum": Rule(None, "{v}", "''"),
+    "symbol": Rule("{v} IN ({symbols})", "{v}", "{symbol}"),
     "int": Rule(f"regexp_like({{v}}, {INTEGER})", _CAST, _ZERO),
     "long": Rule(f"regexp_like({{v}}, {INTEGER})", _CAST, _ZERO),
     "float": Rule(f"regexp_like({{v}}, {FLOATING})", _REAL, _ZERO),
@@ -98,6 +99,8 @@ def _rule(field: Field, excess_digits: str) -> Rule:
 def _fill(template: str, field: Field, v: str = "") -> str:
     spelled = ddl(field.type)
     filled = template.replace("{v}", v).replace("{size}", str(field.size))
+    symbols = [text_literal(s) for s in field.symbols] or ["''"]
+    filled = filled.replace("{symbols}", ", ".join(symbols)).replace("{symbol}", symbols[0])
     filled = filled.replace("{scale}", str(getattr(field.type, "scale", 0)))
     return filled.replace("{type}", spelled).replace("{type_text}", text_literal(spelled))
 

@@ -7,6 +7,11 @@ from collections.abc import Iterable
 from pyspark.sql import types as T
 
 
+# What stands between the texts of a record whose fingerprint is taken, and its length in hex digits.
+FIELD_END = "\x1f"
+PRINT_DIGITS = 15
+
+
 def unused(name: str, taken: Iterable[str]) -> str:
     """The name, with underscores in front until no taken name equals it in any case."""
     folded = {t.lower() for t in taken}

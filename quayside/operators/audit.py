@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quayside.functions.names import quoted
 from quayside.sources.contract import Contract
 
-TEXT_KINDS = ("string", "enum", "bytes")
+TEXT_KINDS = ("string", "enum", "symbol", "bytes")
 
 
 def blank_profile(aligned: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -36,7 +36,8 @@ AUDIT_SCHEMA = """
     table_name string, run_partition string, extract_mode string, started_at timestamp, elapsed_ms bigint,
     expected bigint, landed bigint, processed bigint, unique_keys bigint, error_rows bigint, malformed bigint,
     missing_fields array<string>, blanks map<string, bigint>,
-    ranges array<struct<range_id: int, low: string, high: string, records: bigint, requests: bigint>>
+    ranges array<struct<range_id: int, low: string, high: string, records: bigint, requests: bigint, fingerprint: string>>,
+    fingerprint string
 """
 
 

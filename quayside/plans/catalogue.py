@@ -158,8 +158,9 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blank_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blanks in landed lines whose keys are not known beforehand."""
-    lines = spark.read.text(landed_events(spark, sf_dir))
-    aligned = align.align_lines(lines, contract(), align.discover_spellings(lines, contract()))
+    path = landed_events(spark, sf_dir)
+    spellings = align.discover_spellings(spark.read.text(path), contract())
+    aligned = align.read_aligned(spark, path, contract(), spellings)
     return audit.blank_profile(aligned, ["user_id", "amount"])
 
 
@@ -243,25 +244,30 @@ def typed_cast_orders_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run over a table, then its landing replayed, as it is and with a second spelling in some records."""
+    """A run over a table, then its landing replayed: as it is, and by another writer, who spells a field in two ways,
+    puts numbers without quotes and an object where there was its text."""
     fields = [
         {"name": "id", "type": "long"},
         {"name": "amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 24, "scale": 4}},
         {"name": "label", "type": "string"},
+        {"name": "note", "type": "string"},
     ]
     wanted = parse_contract(json.dumps({"type": "record", "name": "replay", "fields": fields}))
     records = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id",
         "CAST(o_totalprice AS decimal(24,4)) + CAST('12345678901234567.8901' AS decimal(24,4)) AS amount",
         "concat(CAST(o_orderkey AS string), '.50') AS label",
+        "concat('{\"x\" : 1.50,\"y\":12345678901234567.8901,\"k\":', o_orderkey, '}') AS note",
         "o_orderdate AS changed",
     )
     folder = scratch_path(spark, "replay")
     params = IngestParams("replay", "20240101", folder, "id", "changed", num_chunks=4)
     first = run(spark, records, wanted, params)
     respelled = f"{folder}/respelled"
-    second = F.when(F.col("value").rlike('"id":"[0-9]*7"'), F.regexp_replace("value", '"amount"', '"Amount"'))
-    spark.read.text(first.raw_path).select(F.coalesce(second, "value").alias("value")).write.text(respelled)
+    bare = F.regexp_replace("value", r'"(amount|label)":"([0-9.]+)"', '"$1":$2')
+    bare = F.regexp_replace(F.replace(bare, F.lit('\\"'), F.lit('"')), r'"note":"(\{[^}]*\})"', '"note":$1')
+    second = F.when(F.col("value").rlike('"id":"[0-9]*7"'), F.regexp_replace(bare, '"amount"', '"Amount"'))
+    spark.read.text(first.raw_path).select(F.coalesce(second, bare).alias("value")).write.text(respelled)
     passes = [first.typed_path]
     for number, path in enumerate((first.raw_path, respelled), start=2):
         again = IngestParams("replay", f"2024010{number}", folder, "id", "changed")
@@ -309,6 +315,16 @@ def ingest_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read_partition(spark, result.typed_path, contract(), sink.AVRO)
 
 
+def ingest_avro_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields that stand in the header of a written Avro file, and how many rows the file's table has."""
+    result, _ = ingest_events(spark, sf_dir, sink_format=sink.AVRO)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.avro").load(result.typed_path)
+    header = F.regexp_extract(F.decode(F.substring("content", 1, 4000), "ISO-8859-1"), r'(\{"type":"record".*\}\]\})', 1)
+    fields = F.from_json(header, "fields array<struct<name string, type string>>")["fields"]
+    listed = files.select(F.posexplode(fields).alias("place", "field")).distinct()
+    return listed.select("place", "field.name", "field.type", F.lit(result.report["processed"]).cast("long").alias("n_rows"))
+
+
 def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run and then one of the same partition over fewer records: only the second one's rows are there."""
     _, folder = ingest_events(spark, sf_dir)
@@ -344,6 +360,8 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("missing_fields", ",").alias("missing_fields"),
         *[F.col("blanks")[name].alias(f"blank_{name}") for name in ("user_id", "amount", "active")],
         F.array_join(F.transform("ranges", _range_text), ";").alias("ranges"),
+        "fingerprint",
+        F.array_join(F.transform("ranges", lambda r: r["fingerprint"]), ";").alias("range_fingerprints"),
     )
 
 
@@ -394,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         error_summary,
         error_details,
         ingest_typed,
+        ingest_avro_schema,
         ingest_rerun,
         ingest_nothing,
         ingest_quarantine,
@@ -533,6 +552,9 @@ SELECT 'user_id' AS field, COUNT(*) FILTER (WHERE user_id = '') AS blanks FROM a
 UNION ALL SELECT 'amount', COUNT(*) FILTER (WHERE amount = '') FROM api""",
     "typed_cast": _TYPED,
     "ingest_typed": _TYPED,
+    "ingest_avro_schema": """SELECT CAST(place AS INT) AS place, name, type, (SELECT COUNT(*) FROM events) AS n_rows
+FROM (VALUES (0, 'sys_id', 'string'), (1, 'user_id', 'int'), (2, 'amount', 'double'), (3, 'active', 'boolean'),
+  (4, 'category', 'string'), (5, 'note', '["null","string"]')) f(place, name, type)""",
     "typed_cast_field": f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, CASE WHEN e1 OR user_id = '' THEN 0 ELSE TRY_CAST(user_id AS INT) END AS user_id,
   CASE WHEN e2 OR amount = '' THEN 0.0 ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
@@ -544,8 +566,9 @@ FROM flags""",
     "error_reasons": _reasons_sql(),
     "replay_typed": """WITH t AS (
   SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(24,4)) + 12345678901234567.8901 AS DECIMAL(24,4)) AS amount,
-    CAST(o_orderkey AS VARCHAR) || '.50' AS label FROM orders)
-SELECT id, amount, label, CAST(p AS INT) AS pass FROM t, range(3) r(p)""",
+    CAST(o_orderkey AS VARCHAR) || '.50' AS label,
+    '{"x" : 1.50,"y":12345678901234567.8901,"k":' || o_orderkey || '}' AS note FROM orders)
+SELECT id, amount, label, note, CAST(p AS INT) AS pass FROM t, range(3) r(p)""",
     "quarantine": _QUARANTINE,
     "ingest_quarantine": _QUARANTINE,
     "error_summary": f"""WITH {_API}, {_FLAGS}
@@ -558,18 +581,23 @@ UNION ALL SELECT sys_id, 'amount', 'double', amount FROM flags WHERE e2
 UNION ALL SELECT sys_id, 'active', 'boolean', active FROM flags WHERE e3""",
     "ingest_report": f"""WITH {_API}, {_FLAGS},
 w AS (SELECT epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts)) AS hi FROM events),
-c AS (SELECT CAST(LEAST((epoch_us(ts) - lo) * 8 // (hi - lo), 7) AS INT) AS i, COUNT(*) AS n
-  FROM events, w GROUP BY 1),
+f AS (
+  SELECT event_id, CAST('0x' || left(md5(concat_ws(chr(31), sys_id, user_id, amount, active, category, '')), 15) AS BIGINT)
+    AS print FROM api),
+c AS (SELECT CAST(LEAST((epoch_us(ts) - lo) * 8 // (hi - lo), 7) AS INT) AS i, COUNT(*) AS n, SUM(print) AS print
+  FROM events JOIN f USING (event_id), w GROUP BY 1),
 e AS (SELECT CAST(i AS INT) AS i, lo + ((hi - lo) * i + 7) // 8 AS us FROM w, range(9) r(i)),
 t AS (SELECT i, strftime(make_timestamp(us), '%Y-%m-%d %H:%M:%S.%f') AS at FROM e),
 ranges AS (
-  SELECT string_agg(a.i || '|' || a.at || '|' || b.at || '|' || COALESCE(c.n, 0), ';' ORDER BY a.i) AS ranges
+  SELECT string_agg(a.i || '|' || a.at || '|' || b.at || '|' || COALESCE(c.n, 0), ';' ORDER BY a.i) AS ranges,
+    string_agg(CAST(COALESCE(c.print, 0) AS VARCHAR), ';' ORDER BY a.i) AS prints
   FROM t a JOIN t b ON b.i = a.i + 1 LEFT JOIN c ON c.i = a.i)
 SELECT 'event_row' AS table_name, '20240130' AS run_partition, 'chunks' AS extract_mode, COUNT(*) AS expected,
   COUNT(*) AS landed, COUNT(*) AS processed, COUNT(DISTINCT sys_id) AS unique_keys,
   COUNT(*) FILTER (WHERE e1 OR e2 OR e3) AS error_rows, CAST(0 AS BIGINT) AS malformed, 'note' AS missing_fields,
   COUNT(*) FILTER (WHERE user_id = '') AS blank_user_id, COUNT(*) FILTER (WHERE amount = '') AS blank_amount,
-  COUNT(*) FILTER (WHERE active = '') AS blank_active, MAX(ranges) AS ranges
+  COUNT(*) FILTER (WHERE active = '') AS blank_active, MAX(ranges) AS ranges,
+  (SELECT CAST(SUM(print) AS VARCHAR) FROM f) AS fingerprint, MAX(prints) AS range_fingerprints
 FROM flags, ranges""",
     "ingest_rerun": f"""WITH {_API}, {_FLAGS}
 SELECT sys_id, part

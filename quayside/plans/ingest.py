@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
@@ -22,8 +23,19 @@ from quayside.functions.ranges import check_page_size, offset_ranges
 from quayside.operators import align, audit, cast, extract, retention, sink
 from quayside.sources.contract import Contract, read_contract
 from quayside.sources.idfile import read_id_file
-from quayside.sources.landing import as_lines, land, landing_dir
-from quayside.sources.paged import CHUNKS, OFFSETS, PagedScan, PagedService, fetch_ids, read_paged
+from quayside.sources.landing import as_lines, extracted_print, land, landing_dir, print_sum, record_print
+from quayside.sources.manifest import Manifest
+from quayside.sources.paged import (
+    CHUNKS,
+    OFFSETS,
+    PagedScan,
+    PagedService,
+    PlannedRange,
+    check_scan,
+    fetch_ids,
+    planned_ranges,
+    read_ranges,
+)
 from quayside.sources.storage import delete_directory
 
 IDS = "ids"
@@ -46,8 +58,12 @@ class IngestParams:
     `window_start` and `window_end` are inclusive. `num_chunks` is the number of window chunks, offset ranges or tasks
     that read keys; without it there are as many as the session runs tasks at once. `on_mismatch` says what happens when
     other numbers of records are expected, landed and processed: "fail", before any earlier output is replaced, or
-    "report", for a service whose records change while they are read. `blank_fields` names the fields whose blanks are counted (default: those
-    whose default value could be mistaken for data).
+    "report", for a service whose records change while they are read. `blank_fields` names the fields whose blanks are
+    counted (default: those whose default value could be mistaken for data).
+
+    The ranges of a service are landed `ranges_per_commit` at a time (default: four times as many as the session runs
+    tasks at once), and a run that failed is taken up behind the last commit by the next one of the same day and
+    parameters. `resume=False` starts over.
     """
 
     table: str
@@ -75,6 +91,8 @@ class IngestParams:
     raw_days_to_keep: int = 3
     retention: str = retention.EXACT
     run_date: date | None = None
+    resume: bool = True
+    ranges_per_commit: int | None = None
 
 
 @dataclass(frozen=True)
@@ -95,14 +113,15 @@ class RunResult:
 
 @dataclass
 class _Extraction:
-    """Lines to land and what is known about them beforehand."""
+    """Lines to land and what is known about them beforehand, or the scan of a service that lands them range by range."""
 
-    lines: DataFrame
+    lines: DataFrame | None
     names: list[str] | None = None
     expected: int | None = None
     ranges: list[tuple] = field(default_factory=list)
     metrics: dict[str, Column] = field(default_factory=dict)
     bounds: list[tuple[str, str]] = field(default_factory=list)
+    fingerprint: str | None = None
 
 
 def _check(contract: Contract, params: IngestParams) -> None:
@@ -128,7 +147,11 @@ def _check(contract: Contract, params: IngestParams) -> None:
         raise ValueError(f"not in contract {contract.name}: {', '.join(unknown)}")
 
 
-def _chunked(rows: DataFrame, fields: Sequence[str], params: IngestParams) -> _Extraction:
+def _lines(rows: DataFrame, fields: Sequence[str], contract: Contract, **beside: Column) -> DataFrame:
+    return as_lines(rows, fields, **beside, print=extracted_print(rows, fields, contract.names))
+
+
+def _chunked(rows: DataFrame, fields: Sequence[str], contract: Contract, params: IngestParams) -> _Extraction:
     """The records of a table by window chunks.
 
     One scan of the change times alone gives the expected count and the ends of an open window; how many records each
@@ -139,7 +162,7 @@ def _chunked(rows: DataFrame, fields: Sequence[str], params: IngestParams) -> _E
     if start is None or end is None:
         seen, expected = extract.probe(rows, params.updated_col)
         if seen is None:
-            return _Extraction(as_lines(rows, fields), fields, expected if params.count_probe else None)
+            return _Extraction(_lines(rows, fields, contract), fields, expected if params.count_probe else None)
         start, end = start or seen[0], end or seen[1]
     elif params.count_probe:
         expected = extract.expected_count(rows)
@@ -148,51 +171,60 @@ def _chunked(rows: DataFrame, fields: Sequence[str], params: IngestParams) -> _E
     metrics = {f"chunk{i}": F.count_if(F.col("chunk") == i) for i in range(len(bounds))}
     # records without a readable change time, possible only where no window is given
     metrics["chunk_none"] = F.count_if(F.col("chunk").isNull())
+    metrics |= {f"print{i}": print_sum(F.when(F.col("chunk") == i, F.col("print"))) for i in range(len(bounds))}
+    metrics["print_none"] = print_sum(F.when(F.col("chunk").isNull(), F.col("print")))
     expected = expected if params.count_probe else None
-    return _Extraction(as_lines(rows, fields, chunk=chunk), fields, expected, metrics=metrics, bounds=bounds)
+    lines = _lines(rows, fields, contract, chunk=chunk)
+    return _Extraction(lines, fields, expected, metrics=metrics, bounds=bounds)
 
 
 def _chunk_report(bounds: list[tuple[str, str]], seen: dict[str, Any]) -> list[tuple]:
-    report = [(i, low, high, seen[f"chunk{i}"], None) for i, (low, high) in enumerate(bounds)]
-    return report + ([(-1, None, None, seen["chunk_none"], None)] if seen["chunk_none"] else [])
+    report = [(i, low, high, seen[f"chunk{i}"], None, seen[f"print{i}"]) for i, (low, high) in enumerate(bounds)]
+    rest = (-1, None, None, seen["chunk_none"], None, seen["print_none"])
+    return report + ([rest] if seen["chunk_none"] else [])
 
 
 def _offset_ranges(count: int, params: IngestParams) -> list[tuple]:
     return [
-        (i, str(r.start), str(r.stop - 1), max(min(r.stop, count) - r.start, 0), None)
+        (i, str(r.start), str(r.stop - 1), max(min(r.stop, count) - r.start, 0), None, None)
         for i, r in enumerate(offset_ranges(count, params.num_chunks))
     ]
 
 
-def _from_table(df: DataFrame, params: IngestParams) -> _Extraction:
+def _from_table(df: DataFrame, contract: Contract, params: IngestParams) -> _Extraction:
     fields = name_list(params.fields) or df.columns
     if params.extract_mode == IDS:
         ids = read_id_file(df.sparkSession, params.id_file)
-        return _Extraction(as_lines(extract.extract_ids(df, ids, params.key_col), fields), fields)
+        return _Extraction(_lines(extract.extract_ids(df, ids, params.key_col), fields, contract), fields)
 
     rows = extract.extract_window(
         df, params.updated_col, params.window_start, params.window_end, params.base_filter
     )
     if params.extract_mode == CHUNKS:
-        return _chunked(rows, fields, params)
+        return _chunked(rows, fields, contract, params)
     expected = extract.expected_count(rows)
-    return _Extraction(as_lines(rows, fields), fields, expected, ranges=_offset_ranges(expected, params))
+    return _Extraction(_lines(rows, fields, contract), fields, expected, ranges=_offset_ranges(expected, params))
 
 
-def _from_service(
+def _ids_of_service(
     spark: SparkSession, service: PagedService, contract: Contract, params: IngestParams
 ) -> _Extraction:
     # The reader notes the spellings of contract fields as records pass, which saves a pass over the landed files. Few
-    # ranges differ in them, so the set is small.
-    wanted = tuple(contract.names)
-    spellings = {"names": F.collect_set("names")}
-    fields = tuple(name_list(params.fields))
-    if params.extract_mode == IDS:
-        ids = read_id_file(spark, params.id_file)
-        layout = (params.ids_per_batch, params.num_chunks, wanted, params.page_size)
-        lines = fetch_ids(ids, service, params.table, fields, *layout)
-        return _Extraction(lines, metrics=spellings)
+    # tasks differ in them, so the set is small.
+    ids = read_id_file(spark, params.id_file)
+    layout = (params.ids_per_batch, params.num_chunks, tuple(contract.names), params.page_size)
+    lines = fetch_ids(ids, service, params.table, tuple(name_list(params.fields)), *layout)
+    lines = lines.withColumn("print", F.col("fingerprint").cast("decimal(38,0)"))
+    return _Extraction(lines, metrics={"names": F.collect_set("names")})
 
+
+def _land_service(
+    spark: SparkSession, service: PagedService, contract: Contract, params: IngestParams, path: str
+) -> tuple[_Extraction, int]:
+    """Land the window of a service range by range, some ranges at a time, behind a manifest.
+
+    A range of a service without a count hands back what is more than a task reads; that is divided and read later.
+    """
     scan = PagedScan(
         params.table,
         params.key_col,
@@ -202,10 +234,10 @@ def _from_service(
         params.window_end,
         params.num_chunks if None not in (params.window_start, params.window_end) else 1,
         params.page_size,
-        fields,
+        tuple(name_list(params.fields)),
         extract.cleaned_filter(params.base_filter),
         report=True,
-        wanted_names=wanted,
+        wanted_names=tuple(contract.names),
     )
     expected = None
     if params.count_probe and service.count is not None:
@@ -214,32 +246,51 @@ def _from_service(
         if expected is None:
             raise ValueError("reading by offsets needs a service that can count")
         scan = replace(scan, expected=expected, num_ranges=params.num_chunks)
-    done = F.when(F.col("value").isNull(), F.struct("range_id", "low", "high", "records", "requests"))
-    return _Extraction(
-        read_paged(spark, service, scan),
-        expected=expected,
-        metrics={**spellings, "ranges": F.collect_list(done)},
-    )
-
-
-def _land(spark: SparkSession, extraction: _Extraction, params: IngestParams, run_date: date) -> tuple[str, int]:
-    path = landing_dir(params.output_dir, params.table, run_date)
+    check_scan(service, scan)
+    told = {k: str(v) for k, v in asdict(scan).items()} | {"rows_per_task": service.rows_per_task}
+    manifest = Manifest(spark, path, json.dumps(told, sort_keys=True))
+    if not (params.resume and manifest.resume()):
+        manifest.begin([r.as_json() for r in planned_ranges(spark, service, scan)])
+    together = params.ranges_per_commit or 4 * spark.sparkContext.defaultParallelism
+    report = ["range_id", "low", "high", "records", "requests", "fingerprint", "rest_after", "rest_split"]
+    done = F.when(F.col("value").isNull(), F.struct(*report))
+    while pending := manifest.pending():
+        batch = [PlannedRange.from_json(r) for r in pending[:together]]
+        seen = Observation()
+        counted = read_ranges(spark, service, scan, batch).observe(
+            seen, F.collect_set("names").alias("names"), F.collect_list(done).alias("ranges")
+        )
+        land(counted.where("value IS NOT NULL"), path, "append")
+        found = sorted(tuple(r) for r in seen.get["ranges"])
+        by_id, more = {r.range_id: r for r in batch}, []
+        for range_id, *_, after, split in found:
+            for request in by_id[range_id].rest(after, split) if after is not None else ():
+                more.append(PlannedRange(len(manifest.ranges) + len(more), request).as_json())
+        names = sorted({name for names in seen.get["names"] for name in names})
+        manifest.commit([r.range_id for r in batch], {"ranges": [r[:6] for r in found], "names": names}, more)
+    if not manifest.ranges:
+        land(spark.createDataFrame([], "value string"), path, "append")
+    manifest.end()
+    ranges = sorted(tuple(r) for commit in manifest.reports for r in commit["ranges"])
+    names = sorted({name for commit in manifest.reports for name in commit["names"]})
+    prints = str(sum(int(r[5]) for r in ranges))
+    extraction = _Extraction(None, names, expected, ranges, fingerprint=prints)
+    return extraction, sum(r[3] for r in ranges)
+
+
+def _land(extraction: _Extraction, path: str) -> int:
     seen = Observation()
+    metrics = extraction.metrics | {"print_all": print_sum(F.col("print"))}
     counted = extraction.lines.observe(
-        seen, F.count("value").alias("landed"), *[m.alias(n) for n, m in extraction.metrics.items()]
+        seen, F.count("value").alias("landed"), *[m.alias(n) for n, m in metrics.items()]
     )
     land(counted.where("value IS NOT NULL"), path)
-    if "ranges" in extraction.metrics:
-        extraction.ranges = sorted(tuple(r) for r in seen.get["ranges"])
     if extraction.bounds:
         extraction.ranges = _chunk_report(extraction.bounds, seen.get)
-    if "names" in extraction.metrics:
+    if "names" in metrics:
         extraction.names = sorted({name for names in seen.get["names"] for name in names})
-    # only now that the new landing is there
-    retention.apply_retention(
-        spark, params.output_dir, params.table, run_date, params.raw_days_to_keep, params.retention
-    )
-    return path, seen.get["landed"]
+    extraction.fingerprint = seen.get["print_all"]
+    return seen.get["landed"]
 
 
 def _reconcile(
@@ -258,13 +309,15 @@ def _stage(rows: cast.CastRows, path: str, blanks: list[str]) -> tuple[DataFrame
     spark = rows.frame.sparkSession
     fields = range(len(rows.contract.fields))
     original = F.when(F.col("failed"), F.struct(*[f"r{i}" for i in fields], "bad_line"))
-    staged = rows.frame.select(*[f"t{i}" for i in fields], original.alias("original"), "failed", "bad_line", *[f"r{rows.index(b)}" for b in blanks])
+    texts = [f"r{i}" for i in fields]
+    staged = rows.frame.select(*[f"t{i}" for i in fields], original.alias("original"), "failed", "bad_line", *texts)
     counts = Observation()
     counted = staged.observe(
         counts,
         F.count(F.lit(1)).alias("processed"),
         F.count_if("failed").alias("error_rows"),
         F.count_if(F.col("bad_line").isNotNull()).alias("malformed"),
+        print_sum(record_print([F.col(t) for t in texts])).alias("print"),
         *[F.count_if(F.col(f"r{rows.index(b)}") == "").alias(f"b{j}") for j, b in enumerate(blanks)],
     ).select(*[f"t{i}" for i in fields], "original")
     counted.write.mode("overwrite").parquet(path)
@@ -315,6 +368,8 @@ def run(
     if contract is None:
         contract = read_contract(spark, params.contract_dir, params.table)
     _check(contract, params)
+    if params.sink_format == sink.AVRO:
+        contract = contract.with_symbols()
     if params.num_chunks is None:
         params = replace(params, num_chunks=spark.sparkContext.defaultParallelism)
     with _settings(spark, SETTINGS):
@@ -344,9 +399,19 @@ def _run(
     if isinstance(source, LandedLines):
         extraction, raw_path, landed = _Extraction(spark.read.text(source.path)), source.path, None
     else:
-        from_service = isinstance(source, PagedService)
-        extraction = _from_service(spark, source, contract, params) if from_service else _from_table(source, params)
-        raw_path, landed = _land(spark, extraction, params, run_date)
+        raw_path = landing_dir(params.output_dir, params.table, run_date)
+        if not isinstance(source, PagedService):
+            extraction = _from_table(source, contract, params)
+            landed = _land(extraction, raw_path)
+        elif params.extract_mode == IDS:
+            extraction = _ids_of_service(spark, source, contract, params)
+            landed = _land(extraction, raw_path)
+        else:
+            extraction, landed = _land_service(spark, source, contract, params, raw_path)
+        # only now that the new landing is there
+        retention.apply_retention(
+            spark, params.output_dir, params.table, run_date, params.raw_days_to_keep, params.retention
+        )
         _reconcile(params, extraction.expected, "expected", landed, "landed")
 
     if extraction.names is None:
@@ -367,6 +432,10 @@ def _run(
     try:
         staged, counts = _stage(rows, new_rows, blanks)
         _reconcile(params, landed, "landed", counts["processed"], "processed", always=True)
+        if extraction.fingerprint not in (None, counts["print"]):
+            raise RuntimeError(
+                f"the records that were extracted ({extraction.fingerprint}) are not those that were processed ({counts['print']})"
+            )
         unique, *_ = _together(
             spark,
             lambda: _unique_keys(staged, contract, params),
@@ -393,6 +462,7 @@ def _run(
         "missing_fields": align.missing_fields(spellings),
         "blanks": counts["blanks"],
         "ranges": extraction.ranges,
+        "fingerprint": counts["print"],
     }
     failure = None
     try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Field:
-    """One contract field. `kind` names its rule in the cast grammar, `size` is the length of a fixed field."""
+    """One contract field. `kind` names its rule in the cast grammar, `size` is the length of a fixed field, `symbols`
+    are the values of an enum, the one first that stands for a blank."""
 
     name: str
     kind: str
     type: T.DataType
     nullable: bool = False
     size: int | None = None
+    symbols: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,11 @@ class Contract:
         if not self.fields:
             raise ValueError(f"contract {self.name} has no fields")
 
+    def with_symbols(self) -> Contract:
+        """The contract with enums that take their own symbols alone, as Avro files do; as text they take any."""
+        strict = (replace(f, kind="symbol") if f.kind == "enum" and f.symbols else f for f in self.fields)
+        return replace(self, fields=tuple(strict))
+
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
@@ -79,6 +86,7 @@ class _Resolved:
     type: T.DataType
     nullable: bool = False
     size: int | None = None
+    symbols: tuple[str, ...] = ()
 
 
 def _union(branches: list, named: dict) -> _Resolved:
@@ -89,7 +97,7 @@ def _union(branches: list, named: dict) -> _Resolved:
         inner = _resolve(_WIDENING[frozenset(present)], named)
     else:
         raise ValueError(f"a union of {present} has no single type")
-    return _Resolved(inner.kind, inner.type, inner.nullable or "null" in branches, inner.size)
+    return _Resolved(inner.kind, inner.type, inner.nullable or "null" in branches, inner.size, inner.symbols)
 
 
 def _record(schema: dict, named: dict) -> T.StructType:
@@ -118,7 +126,9 @@ def _resolve(schema, named: dict) -> _Resolved:
     elif base == "record":
         resolved = _Resolved("record", _record(schema, named))
     elif base == "enum":
-        resolved = _Resolved("enum", T.StringType())
+        # a schema may name the symbol that stands for all others
+        first = [s for s in schema["symbols"] if s == schema.get("default")]
+        resolved = _Resolved("enum", T.StringType(), symbols=tuple(first or schema["symbols"][:1]) + tuple(schema["symbols"]))
     elif base == "fixed":
         resolved = _Resolved("fixed", T.BinaryType(), size=int(schema["size"]))
     elif base == "array":
@@ -204,7 +214,7 @@ def parse_contract(text: str) -> Contract:
     fields = []
     for f in schema["fields"]:
         r = _resolve(f["type"], named)
-        fields.append(Field(f["name"], r.kind, r.type, r.nullable, r.size))
+        fields.append(Field(f["name"], r.kind, r.type, r.nullable, r.size, r.symbols))
     return Contract(schema["name"], schema.get("namespace"), tuple(fields), json.dumps(_writable(schema)))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.grammar import BASE64
-from quayside.functions.names import quoted
+from quayside.functions.names import FIELD_END, PRINT_DIGITS, quoted
 
 # The text forms of times within nested columns.
 _JSON_OPTIONS = {
@@ -45,6 +45,37 @@ def _as_text(name: str, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
+def record_print(texts: Sequence[Column]) -> Column:
+    """60 bits of a record's texts as a number; see `fingerprint` in `paged.py`."""
+    digest = F.md5(F.concat_ws(FIELD_END, *texts))
+    return F.conv(F.substring(digest, 1, PRINT_DIGITS), 16, 10).cast("decimal(20,0)")
+
+
+def print_sum(value: Column) -> Column:
+    """The fingerprint of many records, as text: a sum, so their order does not count."""
+    return F.coalesce(F.sum(value), F.lit(0)).cast("string")
+
+
+def extracted_print(records: DataFrame, fields: Sequence[str], names: Sequence[str]) -> Column:
+    """The print of each record as it is extracted: the texts of the contract's fields `names`, blank for null."""
+    types = {f.name: f.dataType for f in records.schema}
+    folded = {name.lower(): name for name in types}
+    given: dict[str, list[str]] = {}
+    for f in fields:
+        given.setdefault(f.lower(), []).append(f)
+    texts = []
+    for own in names:
+        spelled = sorted(given.get(own.lower(), ()), key=lambda n: (n != own, n))
+        found = []
+        for name in spelled:
+            data_type = types[name if name in types else folded[name.lower()]]
+            text = _as_text(name, data_type)
+            nested = isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
+            found.append(F.to_json(text, _JSON_OPTIONS) if nested else text)
+        texts.append(F.coalesce(*found, F.lit("")))
+    return record_print(texts)
+
+
 def as_lines(records: DataFrame, fields: Sequence[str] | None = None, **beside: Column) -> DataFrame:
     """Records, or some of their fields, as JSON text in the column `value`; a null field is left out of its record.
 
@@ -58,6 +89,6 @@ def as_lines(records: DataFrame, fields: Sequence[str] | None = None, **beside:
     return records.select(line, *[column.alias(name) for name, column in beside.items()])
 
 
-def land(lines: DataFrame, path: str) -> None:
-    """Write lines to a landing directory, replacing what a run of the same day left there."""
-    lines.select("value").write.mode("overwrite").text(path)
+def land(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write lines to a landing directory, replacing what a run of the same day left there, or adding to it."""
+    lines.select("value").write.mode(mode).text(path)

@@ -14,12 +14,13 @@ there, so none travel in options or plans. The contract of `fetch(request)`:
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import math
 import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping
-from dataclasses import dataclass, replace
-from datetime import datetime
+from dataclasses import asdict, dataclass, replace
+from datetime import datetime, timedelta
 from typing import Any
 
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql.datasource import (
 )
 
 from quayside.functions.grammar import BASE64
+from quayside.functions.names import FIELD_END, PRINT_DIGITS
 from quayside.functions.moments import Moment, as_datetime, as_text, chunk_bounds, from_micros, to_micros
 from quayside.functions.ranges import check_page_size, offset_ranges
 from quayside.operators.paging import id_batches
@@ -41,9 +43,13 @@ CHUNKS = "chunks"
 OFFSETS = "offsets"
 
 SCHEMA = "range_id int, updated string, value string"
-# With reports, each range ends in one row without a value. It tells what the range was, what reading it took, and in
-# which spellings the wanted names came up in its records.
-REPORT_SCHEMA = SCHEMA + ", low string, high string, records bigint, requests bigint, names array<string>"
+# With reports, each range ends in one row without a value. It tells what the range was, what reading it took, in which
+# spellings the wanted names came up in its records, their fingerprint, and what the range left for another task: the
+# records behind a key, and a moment to divide them at.
+REPORT_SCHEMA = SCHEMA + (
+    ", low string, high string, records bigint, requests bigint, names array<string>, fingerprint string"
+    ", rest_after string, rest_split string"
+)
 _ARROW = pa.schema(
     [
         ("range_id", pa.int32()),
@@ -54,8 +60,12 @@ _ARROW = pa.schema(
         ("records", pa.int64()),
         ("requests", pa.int64()),
         ("names", pa.list_(pa.string())),
+        ("fingerprint", pa.string()),
+        ("rest_after", pa.string()),
+        ("rest_split", pa.string()),
     ]
 )
+_FIRST_STEP = timedelta(days=1) // timedelta(microseconds=1)
 
 
 @dataclass(frozen=True)
@@ -78,7 +88,8 @@ class PagedService:
     """A fetch callable, and a count callable where the service can count.
 
     A window that holds more than `rows_per_task` records is halved until its parts do not, so a burst of changes does
-    not become one long task. Without a count, chunks are read as they are.
+    not become one long task. An open window is closed first, by counting what lies beyond ever later and earlier
+    moments. Without a count, a run divides while it reads: a task hands back what is left after `rows_per_task` records.
 
     `short_pages` tells that an offset page may be cut short though more records follow: the next page then starts
     behind the last record. Without it, an offset page that is short is an error.
@@ -116,13 +127,36 @@ class PagedScan:
 
 
 @dataclass
-class _Range(InputPartition):
+class PlannedRange(InputPartition):
     """One task: a keyset range of a window chunk, or a run of offsets."""
 
     range_id: int
     request: PageRequest
     offsets: range | None = None
 
+    def as_json(self) -> dict:
+        """The range as plain values, which `from_json` turns back."""
+        request = {k: v for k, v in asdict(self.request).items() if v not in (None, ())}
+        texts = {k: as_text(request[k]) for k in ("lo", "hi") if k in request}
+        span = None if self.offsets is None else [self.offsets.start, self.offsets.stop]
+        return {"range_id": self.range_id, "request": request | texts, "offsets": span}
+
+    @staticmethod
+    def from_json(given: dict) -> PlannedRange:
+        request = dict(given["request"])
+        request |= {k: as_datetime(request[k]) for k in ("lo", "hi") if k in request}
+        request |= {k: tuple(request[k]) for k in ("fields", "ids") if k in request}
+        span = given["offsets"]
+        return PlannedRange(given["range_id"], PageRequest(**request), None if span is None else range(*span))
+
+    def rest(self, after: str, split: str | None) -> list[PageRequest]:
+        """What is left behind a key, on both sides of a moment where one is known."""
+        left = replace(self.request, after=after)
+        if split is None:
+            return [left]
+        moment = as_datetime(split)
+        return [replace(left, hi=moment, hi_closed=False), replace(left, lo=moment)]
+
     def bounds(self) -> tuple[str | None, str | None]:
         if self.offsets is not None:
             return str(self.offsets.start), str(self.offsets.stop - 1)
@@ -142,9 +176,12 @@ def _landed(value: Any) -> Any:
     return str(value)
 
 
+def _json(value: Any) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), default=str)
+
+
 def as_line(record: Mapping[str, Any]) -> str:
-    texts = {name: _landed(value) for name, value in record.items()}
-    return json.dumps(texts, ensure_ascii=False, separators=(",", ":"), default=str)
+    return _json({name: _landed(value) for name, value in record.items()})
 
 
 def _text_of(record: Mapping[str, Any], name: str) -> str | None:
@@ -152,6 +189,32 @@ def _text_of(record: Mapping[str, Any], name: str) -> str | None:
     return None if value is None else str(value)
 
 
+def fingerprint(texts: Iterable[str]) -> int:
+    """60 bits of a record's texts; summed up over records, in whatever order, they tell whether two sets are alike."""
+    return int(hashlib.md5(FIELD_END.join(texts).encode("utf-8", "surrogatepass")).hexdigest()[:PRINT_DIGITS], 16)
+
+
+class _Texts:
+    """The texts that the parser will find for the wanted names in a record, in their order; blank where there is none."""
+
+    def __init__(self, wanted: Iterable[str]):
+        self.wanted = [(name, name.lower()) for name in wanted]
+        self.folded = {low for _, low in self.wanted}
+
+    def of(self, record: Mapping[str, Any]) -> list[str]:
+        found: dict[str, list[str]] = {}
+        for name in record:
+            if name.lower() in self.folded:
+                found.setdefault(name.lower(), []).append(name)
+        texts = []
+        for own, low in self.wanted:
+            spelled = sorted(found.get(low, ()), key=lambda n: (n != own, n))
+            values = (_landed(record[n]) for n in spelled)
+            value = next((v for v in values if v is not None), "")
+            texts.append(value if isinstance(value, str) else _json(value))
+        return texts
+
+
 class _Spellings:
     """The spellings in which wanted names come up in records."""
 
@@ -195,6 +258,63 @@ def halved(chunk: PageRequest, service: PagedService, key_col: str) -> Iterator[
             yield from halved(half, service, key_col)
 
 
+def closed(whole: PageRequest, service: PagedService, scan: PagedScan) -> Iterator[PageRequest]:
+    """An open window as parts with at most `rows_per_task` records each.
+
+    From one of its bounds, or from the change time of its first record, ends are sought that nothing lies beyond, by
+    steps that double; what is between them is halved. What is beyond stays open, for records that come meanwhile. Where
+    records have no change time, which no bound can find, the window is cut at keys.
+    """
+    found = service.count(whole)
+    if found <= service.rows_per_task:
+        yield whole
+        return
+    anchor = whole.lo or whole.hi or _first_moment(whole, service, scan.updated_col)
+    if anchor is None:
+        yield from _cut_at_keys(whole, found, service, scan.key_col)
+        return
+    low, high = whole.lo or anchor, whole.hi or anchor
+    beyond = []
+    if whole.lo is None:
+        low = _end(anchor, -1, lambda at: service.count(replace(whole, hi=at, hi_closed=False)))
+        beyond.append(replace(whole, hi=low, hi_closed=False))
+    if whole.hi is None:
+        high = _end(anchor, 1, lambda at: service.count(replace(whole, lo=at)))
+        beyond.append(replace(whole, lo=high))
+    between = replace(whole, lo=low, hi=high, hi_closed=whole.hi is not None and whole.hi_closed)
+    if whole.lo is None and whole.hi is None and found > sum(service.count(part) for part in [between, *beyond]):
+        yield from _cut_at_keys(whole, found, service, scan.key_col)
+        return
+    yield from halved(between, service, scan.key_col)
+    yield from beyond
+
+
+def _first_moment(whole: PageRequest, service: PagedService, updated_col: str) -> datetime | None:
+    for record in service.fetch(replace(whole, limit=1)):
+        return _moment(record.get(updated_col))
+    return None
+
+
+def _moment(value: Any) -> datetime | None:
+    """A change time as a moment; None where it is none."""
+    try:
+        return None if value is None else as_datetime(value)
+    except (TypeError, ValueError):
+        return None
+
+
+def _end(anchor: datetime, sign: int, count: Callable[[datetime], int]) -> datetime:
+    """A moment beyond which nothing is counted, sought from the anchor in steps that double."""
+    step = _FIRST_STEP
+    last = datetime.max if sign > 0 else datetime.min
+    while True:
+        room = abs(to_micros(last) - to_micros(anchor))
+        at = last if step >= room else from_micros(to_micros(anchor) + sign * step)
+        if at == last or not count(at):
+            return at
+        step *= 2
+
+
 def _cut_at_keys(instant: PageRequest, found: int, service: PagedService, key_col: str) -> Iterator[PageRequest]:
     step = service.rows_per_task
     edges: list[str] = []
@@ -207,33 +327,69 @@ def _cut_at_keys(instant: PageRequest, found: int, service: PagedService, key_co
         yield replace(instant, after=after, upto=upto)
 
 
+class _Span:
+    """First and last change time of the records that a task has read."""
+
+    def __init__(self):
+        self.first: datetime | None = None
+        self.last: datetime | None = None
+
+    def note(self, values: Iterable[Any]) -> None:
+        moments = [m for m in map(_moment, values) if m is not None]
+        if moments:
+            self.first = min([*moments, *([self.first] if self.first else [])])
+            self.last = max([*moments, *([self.last] if self.last else [])])
+
+    def split(self, request: PageRequest) -> str | None:
+        """The moment to divide the rest of a range at: amid what was read, or else amid the window; None at an instant.
+
+        A window without any bound may hold records without a change time, so it is not divided by time.
+        """
+        if request.lo is None and request.hi is None:
+            return None
+        for low, high in ((self.first, self.last), (request.lo, request.hi)):
+            if low is not None and high is not None and to_micros(high) > to_micros(low):
+                return as_text(from_micros((to_micros(low) + to_micros(high) + 1) // 2))
+        return None
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, service: PagedService, scan: PagedScan, ranges: list[_Range]):
+    def __init__(self, service: PagedService, scan: PagedScan, ranges: list[PlannedRange]):
         self.service = service
         self.scan = scan
         self.ranges = ranges
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[PlannedRange]:
         return self.ranges
 
-    def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: PlannedRange | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # what Spark passes when there are no ranges
             return
         pages = self._offset_pages(partition) if partition.offsets is not None else self._key_pages(partition)
-        requests = records = 0
-        spellings = _Spellings(self.scan.wanted_names)
+        requests = records = prints = 0
+        spellings, texts, span = _Spellings(self.scan.wanted_names), _Texts(self.scan.wanted_names), _Span()
+        hands_back = self.scan.report and partition.offsets is None and self.service.count is None
+        after = split = None
         for page in pages:
             requests += 1
             records += len(page)
-            spellings.note(page)
+            if self.scan.report:
+                spellings.note(page)
+                prints += sum(fingerprint(texts.of(r)) for r in page)
             if page:
                 yield self._batch(partition.range_id, page)
+            if hands_back and page:
+                span.note(r.get(self.scan.updated_col) for r in page)
+                if records >= self.service.rows_per_task:
+                    after, split = str(page[-1][self.scan.key_col]), span.split(partition.request)
+                    break
         if self.scan.report:
             low, high = partition.bounds()
             names = sorted(spellings.seen)
-            yield self._arrow([partition.range_id], [None], [None], [low], [high], [records], [requests], [names])
+            told = [low, high, records, requests, names, str(prints), after, split]
+            yield self._arrow([partition.range_id], [None], [None], *[[value] for value in told])
 
-    def _key_pages(self, partition: _Range) -> Iterator[list]:
+    def _key_pages(self, partition: PlannedRange) -> Iterator[list]:
         """Pages by exclusive key bound. Only an empty page ends the range: a service may well return short ones."""
         request = partition.request
         while True:
@@ -246,7 +402,7 @@ class _Reader(DataSourceReader):
                 raise ValueError(f"the page after key {last} ends in that same key; pages must be ordered by key")
             request = replace(request, after=last)
 
-    def _offset_pages(self, partition: _Range) -> Iterator[list]:
+    def _offset_pages(self, partition: PlannedRange) -> Iterator[list]:
         """Pages by offset, until all records that the range was planned for have come."""
         at, stop = partition.offsets.start, partition.offsets.stop
         while at < stop:
@@ -268,17 +424,17 @@ class _Reader(DataSourceReader):
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def planned_ranges(spark: SparkSession, service: PagedService, scan: PagedScan) -> list[_Range]:
+def planned_ranges(spark: SparkSession, service: PagedService, scan: PagedScan) -> list[PlannedRange]:
     """The tasks of a scan. Chunks are counted and halved by a Spark job, so the driver asks the service for nothing
     that grows with the records; what comes back is a few fields for each task."""
     if scan.mode == OFFSETS:
         count = service.count(scan.request()) if scan.expected is None else scan.expected
         wanted = max(scan.num_ranges, -(-count // service.rows_per_task))
         clipped = [range(r.start, min(r.stop, count)) for r in offset_ranges(count, wanted)]
-        return [_Range(i, scan.request(), r) for i, r in enumerate(clipped)]
+        return [PlannedRange(i, scan.request(), r) for i, r in enumerate(clipped)]
     chunks = _whole_chunks(scan)
     if service.count is None or not chunks:
-        return [_Range(i, chunk) for i, chunk in enumerate(chunks)]
+        return [PlannedRange(i, chunk) for i, chunk in enumerate(chunks)]
     _ship_package()
     numbered = spark.createDataFrame([(i, cloudpickle.dumps(c)) for i, c in enumerate(chunks)], "chunk int, request binary")
     one_task_each = numbered.repartitionByRange(len(chunks), "chunk")
@@ -286,17 +442,20 @@ def planned_ranges(spark: SparkSession, service: PagedService, scan: PagedScan)
     def plan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for number, request in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                pieces = [cloudpickle.dumps(piece) for piece in halved(cloudpickle.loads(request), service, scan.key_col)]
+                chunk = cloudpickle.loads(request)
+                is_open = chunk.lo is None or chunk.hi is None
+                parted = closed(chunk, service, scan) if is_open else halved(chunk, service, scan.key_col)
+                pieces = [cloudpickle.dumps(piece) for piece in parted]
                 rows = [[number] * len(pieces), list(range(len(pieces))), pieces]
                 arrays = [pa.array(r, t) for r, t in zip(rows, (pa.int32(), pa.int32(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "piece", "request"])
 
     pieces = one_task_each.mapInArrow(plan, "chunk int, piece int, request binary").collect()
     ordered = sorted(pieces, key=lambda r: (r["chunk"], r["piece"]))
-    return [_Range(i, cloudpickle.loads(bytes(r["request"]))) for i, r in enumerate(ordered)]
+    return [PlannedRange(i, cloudpickle.loads(bytes(r["request"]))) for i, r in enumerate(ordered)]
 
 
-def paged_source(service: PagedService, scan: PagedScan, ranges: list[_Range]) -> type[DataSource]:
+def paged_source(service: PagedService, scan: PagedScan, ranges: list[PlannedRange]) -> type[DataSource]:
     """The data source class of one planned scan, ready for `spark.dataSource.register`."""
 
     class Paged(DataSource):
@@ -328,15 +487,22 @@ def _ship_package() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
 
 
-def read_paged(spark: SparkSession, service: PagedService, scan: PagedScan) -> DataFrame:
-    """Records of a service as JSON lines (`range_id`, `updated`, `value`), one task per range."""
-    check_scan(service, scan)
+def read_ranges(spark: SparkSession, service: PagedService, scan: PagedScan, ranges: list[PlannedRange]) -> DataFrame:
+    """Records of some ranges of a service as JSON lines (`range_id`, `updated`, `value`), one task per range."""
     _ship_package()
-    source = paged_source(service, scan, planned_ranges(spark, service, scan))
+    source = paged_source(service, scan, ranges)
     spark.dataSource.register(source)
     return spark.read.format(source.name()).load()
 
 
+def read_paged(spark: SparkSession, service: PagedService, scan: PagedScan) -> DataFrame:
+    """Records of a service as JSON lines (`range_id`, `updated`, `value`), one task per range."""
+    check_scan(service, scan)
+    if scan.report and service.count is None and scan.mode == CHUNKS:
+        raise ValueError("a service without a count divides its ranges while a run reads them")
+    return read_ranges(spark, service, scan, planned_ranges(spark, service, scan))
+
+
 def fetch_ids(
     ids: DataFrame,
     service: PagedService,
@@ -350,22 +516,24 @@ def fetch_ids(
     """Records of the given (distinct) keys as JSON lines (`value`), at most `ids_per_batch` keys per request.
 
     Keys are spread over `tasks` tasks and never collected. A batch is paged until an empty page ends it: a key may have
-    several records, and a page may be short. Every task ends in one row without a value that tells (`names`) in which
-    spellings the wanted names came up.
+    several records, and a page may be short. Every task ends in one row without a value that tells in which spellings
+    the wanted names came up (`names`) and the fingerprint of its records.
     """
     _ship_package()
     fetch = service.fetch
-    lines = pa.schema([("value", pa.string()), ("names", pa.list_(pa.string()))])
+    lines = pa.schema([("value", pa.string()), ("names", pa.list_(pa.string())), ("fingerprint", pa.string())])
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spellings = _Spellings(wanted_names)
+        spellings, texts, prints = _Spellings(wanted_names), _Texts(wanted_names), 0
 
         def pages(keys: list[str]) -> Iterator[pa.RecordBatch]:
+            nonlocal prints
             request = PageRequest(table, page_size, tuple(fields), offset=0, ids=tuple(keys))
             while found := list(fetch(request)):
                 spellings.note(found)
-                values = [as_line(r) for r in found]
-                yield pa.RecordBatch.from_pydict({"value": values, "names": [None] * len(found)}, lines)
+                prints += sum(fingerprint(texts.of(r)) for r in found)
+                values, none = [as_line(r) for r in found], [None] * len(found)
+                yield pa.RecordBatch.from_pydict({"value": values, "names": none, "fingerprint": none}, lines)
                 request = replace(request, offset=request.offset + len(found))
 
         waiting, number = [], None
@@ -378,6 +546,8 @@ def fetch_ids(
                 number = batch
         if waiting:
             yield from pages(waiting)
-        yield pa.RecordBatch.from_pydict({"value": [None], "names": [sorted(spellings.seen)]}, lines)
+        told = {"value": [None], "names": [sorted(spellings.seen)], "fingerprint": [str(prints)]}
+        yield pa.RecordBatch.from_pydict(told, lines)
 
-    return id_batches(ids, ids.columns[0], ids_per_batch, tasks).mapInArrow(read, "value string, names array<string>")
+    batches = id_batches(ids, ids.columns[0], ids_per_batch, tasks)
+    return batches.mapInArrow(read, "value string, names array<string>, fingerprint string")

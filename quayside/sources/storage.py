@@ -22,6 +22,15 @@ def list_directories(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files right in a directory; those whose names readers pass over do not count."""
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if not s.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def delete_directory(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target) and fs.delete(target, True)

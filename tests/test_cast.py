@@ -247,3 +247,66 @@ def test_unknown_mode(spark):
     contract = contract_of(a="string")
     with pytest.raises(ValueError):
         cast.cast_rows(aligned(spark, contract, []), contract, "lenient")
+
+
+EDGES = {
+    "float": {
+        "3.4028235e38": 3.4028234663852886e38, "3.5e38": REJECTED, "-1E+39": REJECTED, "1e-45": 1.401298464324817e-45,
+        "1e-50": REJECTED, "-0e99": 0.0, "9" * 60: REJECTED, "0." + "0" * 60 + "1": REJECTED, "0" * 60 + "5": 5.0,
+        "-Infinity": float("-inf"),
+    },
+    "double": {
+        "1.7976931348623157e308": 1.7976931348623157e308, "1e400": REJECTED, "-1e400": REJECTED, "4.9e-324": 5e-324,
+        "1e-400": REJECTED, "0e999": 0.0, "9" * 400: REJECTED, "0.5" + "0" * 400: 0.5, "Infinity": float("inf"),
+    },
+    "decimal": {
+        "1.239": REJECTED, "1.23": Decimal("1.23"), "1.2300": Decimal("1.23"), "-1.2": Decimal("-1.20"), "1.": REJECTED,
+        "9999.99": Decimal("9999.99"), "10000.00": REJECTED, "0.001": REJECTED, "7": Decimal("7.00"),
+    },
+}
+
+
+@pytest.mark.parametrize("avro", EDGES)
+def test_no_number_changes_in_silence(spark, avro):
+    schema = MONEY if avro == "decimal" else avro
+    zero = Decimal("0.00") if avro == "decimal" else 0.0
+    contract = contract_of(f=schema)
+    rows = cast.error_lists(cast.cast_rows(aligned(spark, contract, [(t,) for t in EDGES[avro]]), contract))
+    found = {r["raw"]["f"]: (r["typed"]["f"], len(r["errors"])) for r in rows.collect()}
+    for text, value in EDGES[avro].items():
+        assert found[text] == ((zero, 1) if value is REJECTED else (value, 0)), text
+
+
+def test_reasons(spark):
+    contract = contract_of(a="int", b=MONEY, c="double", d=DATE, e="boolean")
+    given = [
+        ("x", "1.239", "1e400", "2024-02-30", "maybe"),
+        ("2147483648", "10000.00", "x", "2024", ""),
+        ("1", "a", "", "", "true"),
+    ]
+    rows = cast.error_lists(cast.cast_rows(aligned(spark, contract, given), contract, cast.FIELD)).select("raw.a", "errors")
+    found = {r["a"]: [(e["field"], e["reason"]) for e in r["errors"]] for r in rows.collect()}
+    assert found == {
+        "x": [("a", "form"), ("b", "scale"), ("c", "range"), ("d", "range"), ("e", "form")],
+        "2147483648": [("a", "range"), ("b", "range"), ("c", "form"), ("d", "form")],
+        "1": [("b", "form")],
+    }
+
+
+def test_excess_digits_are_rounded_on_request(spark):
+    contract = contract_of(f=MONEY)
+    given = [("1.239",), ("-1.235",), ("9999.999",), ("1.23",)]
+    rows = cast.cast_rows(aligned(spark, contract, given), contract, excess_digits="round")
+    found = {r["raw"]["f"]: (r["typed"]["f"], [e["reason"] for e in r["errors"]]) for r in cast.error_lists(rows).collect()}
+    assert found == {
+        "1.239": (Decimal("1.24"), []), "-1.235": (Decimal("-1.24"), []), "9999.999": (Decimal("0.00"), ["range"]),
+        "1.23": (Decimal("1.23"), []),
+    }
+    with pytest.raises(ValueError, match="excess_digits"):
+        cast.cast_rows(aligned(spark, contract, given), contract, excess_digits="ignore")
+
+
+def test_symbols(spark):
+    contract = contract_of(f={"type": "enum", "name": "e", "symbols": ["A", "B"], "default": "B"}).with_symbols()
+    rows = cast.typed_rows(cast.cast_rows(aligned(spark, contract, [("A",), ("C",), ("",)]), contract))
+    assert [r["f"] for r in rows.collect()] == ["A", "B", "B"]

@@ -12,7 +12,18 @@ from pyspark import cloudpickle
 
 from quayside import PagedService, PageRequest
 from quayside.functions.moments import as_text
-from quayside.sources.paged import OFFSETS, PagedScan, as_line, check_scan, fetch_ids, planned_ranges, read_paged
+from quayside.sources.paged import (
+    OFFSETS,
+    PagedScan,
+    PlannedRange,
+    _Texts,
+    as_line,
+    check_scan,
+    fetch_ids,
+    fingerprint,
+    planned_ranges,
+    read_paged,
+)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -149,6 +160,59 @@ def test_an_open_window_is_not_cut(spark):
     assert len(keys(whole)) == 5
 
 
+OPEN = {
+    "no bounds": dict(start=None, end=None),
+    "no end": dict(end=None),
+    "no start": dict(start=None),
+    "a far start": dict(start="0001-01-01", end=None),
+}
+
+
+@pytest.mark.parametrize("bounds", OPEN)
+def test_an_open_window_is_closed_and_halved(spark, bounds):
+    rows = records(1000)
+    scan = replace(SCAN, num_ranges=1, page_size=50, **OPEN[bounds])
+    frame = read_paged(spark, list_service(rows, rows_per_task=100), scan)
+    assert keys(frame) == [r["key"] for r in rows]
+    sizes = [r["count"] for r in frame.groupBy("range_id").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 100
+
+
+def test_records_without_a_change_time_are_read_in_an_open_window(spark):
+    rows = records(200)
+    for r in rows[::7]:
+        r["at"] = None
+    plain = list_service([r for r in rows if r["at"]], rows_per_task=40)
+    whole = list_service([r | {"at": ""} for r in rows], rows_per_task=40)
+
+    def either(call, request):
+        return call(whole if request.lo is None and request.hi is None else plain)
+
+    service = PagedService(
+        lambda request: either(lambda s: s.fetch(request), request),
+        lambda request: either(lambda s: s.count(request), request),
+        40,
+    )
+    scan = replace(SCAN, start=None, end=None, num_ranges=1)
+    frame = read_paged(spark, service, scan)
+    assert keys(frame) == [r["key"] for r in rows]
+    assert max(r["count"] for r in frame.groupBy("range_id").count().collect()) <= 40
+
+
+def test_ranges_survive_a_manifest(spark):
+    for scan in (SCAN, replace(SCAN, mode=OFFSETS), replace(SCAN, start=None, num_ranges=1, fields=("key", "at"))):
+        for planned in planned_ranges(spark, list_service(records(50), rows_per_task=9), scan):
+            again = PlannedRange.from_json(json.loads(json.dumps(planned.as_json())))
+            assert (again.range_id, again.request, again.offsets) == (planned.range_id, planned.request, planned.offsets)
+
+
+def test_fingerprints_do_not_depend_on_order_but_on_every_character():
+    rows = [{"A": 1, "b": None, "c": {"x": 1.5}}, {"a": "1", "B": "é"}]
+    texts = _Texts(["a", "b", "c"])
+    assert [texts.of(r) for r in rows] == [["1", "", '{"x":1.5}'], ["1", "é", ""]]
+    assert len({fingerprint(t) for t in (["a", "b"], ["b", "a"], ["ab", ""], ["a", "b "])}) == 4
+
+
 def test_keys_added_during_the_read(spark):
     rows = records(30)
     late = [{"key": f"{i:05d}x", "at": "2024-01-01 00:00:01", "v": 0} for i in (3, 29)]

@@ -6,6 +6,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_paged import list_service
 
 from quayside import IngestParams, LandedLines, parse_contract, run
@@ -291,6 +292,144 @@ def test_the_landing_is_parsed_once(spark, make_source, params, monkeypatch):
     assert all(f.endswith(".parquet") for files in written for f in files)
 
 
+@pytest.mark.parametrize("bounds", [("2024-01-01", "2024-01-03 09:00:00"), (None, "2024-01-04"), (None, None)])
+def test_a_service_without_a_count_is_divided_while_it_is_read(spark, params, bounds):
+    rows = source_rows(400)
+    service = list_service(rows, count=False, rows_per_task=30)
+    start, end = bounds
+    result = run(spark, service, CONTRACT, replace(params, window_start=start, window_end=end, num_chunks=1))
+    assert typed(spark, result) == expected_rows(rows) and result.report["expected"] is None
+    ranges = result.report["ranges"]
+    assert len(ranges) >= 400 / 40 and max(r[3] for r in ranges) < 30 + params.page_size
+    assert sum(r[3] for r in ranges) == 400
+
+
+def noted_service(rows, log, fails_on=(), **options):
+    """A service that notes the first request of every range, and refuses ranges whose number is in `fails_on`."""
+    plain = list_service(rows, **options)
+
+    def fetch(request):
+        if request.after is None:
+            name = str(request.lo).replace(":", "")
+            (log / name).touch()
+            if name in fails_on:
+                raise OSError("unreachable")
+        return plain.fetch(request)
+
+    return type(plain)(fetch, plain.count, plain.rows_per_task)
+
+
+def test_a_run_goes_on_where_it_stopped(spark, params, tmp_path):
+    rows, log = source_rows(100), tmp_path / "asked"
+    log.mkdir()
+    params = replace(params, num_chunks=10, ranges_per_commit=1, count_probe=False)
+
+    def asked():
+        names = sorted(p.name for p in log.iterdir())
+        for p in log.iterdir():
+            p.unlink()
+        return names
+
+    run(spark, noted_service(rows, log), CONTRACT, replace(params, output_dir=str(tmp_path / "other")))
+    every = asked()
+    assert len(every) == 10
+    with pytest.raises(Exception, match="unreachable"):
+        run(spark, noted_service(rows, log, fails_on=every[6:7]), CONTRACT, params)
+    assert asked() == every[:7]
+    landing = Path(params.output_dir) / "json" / "thing_20240104"
+    (landing / "part-of-a-commit-that-did-not-end").write_text('{"key":"zzz"}\n')
+    result = run(spark, noted_service(rows, log), CONTRACT, params)
+    assert asked() == every[6:]
+    assert typed(spark, result) == expected_rows(rows)
+    assert sorted(r[0] for r in result.report["ranges"]) == list(range(10))
+    # a run that ended is not taken up again, nor is one with other parameters
+    run(spark, noted_service(rows, log), CONTRACT, params)
+    assert asked() == every
+
+
+def test_another_window_is_another_extraction(spark, params, tmp_path):
+    rows, log = source_rows(60), tmp_path / "asked"
+    log.mkdir()
+    params = replace(params, num_chunks=4, ranges_per_commit=1, count_probe=False)
+    with pytest.raises(Exception, match="unreachable"):
+        run(spark, noted_service(rows, log, fails_on=["2024-01-02 120000"]), CONTRACT, replace(params, window_end="2024-01-04"))
+    with pytest.raises(Exception, match="unreachable"):
+        run(spark, noted_service(rows, log, fails_on=[sorted(p.name for p in log.iterdir())[0]]), CONTRACT, params)
+    assert len(typed(spark, run(spark, noted_service(rows, log), CONTRACT, params))) == 60
+
+
+@pytest.mark.parametrize("damage", [("00007", "00008"), ('"b"', '"c"')])
+def test_one_changed_character_is_told(spark, make_source, params, monkeypatch, damage):
+    rows = source_rows(30)
+    report = run(spark, make_source(rows), CONTRACT, params).report
+    assert int(report["fingerprint"]) == sum(int(r[5]) for r in report["ranges"])
+    plain = ingest.land
+
+    def land(lines, path, *mode):
+        changed = F.when(F.col("value").contains("00007"), F.replace("value", F.lit(damage[0]), F.lit(damage[1])))
+        plain(lines.withColumn("value", F.coalesce(changed, "value")), path, *mode)
+
+    monkeypatch.setattr(ingest, "land", land)
+    with pytest.raises(RuntimeError, match="not those that were processed"):
+        run(spark, make_source(rows), CONTRACT, params)
+
+
+def test_fingerprints_of_typed_columns_and_nested_values(spark, params):
+    fields = [{"name": n, "type": "string"} for n in ("key", "n", "d", "t", "s", "b", "none", "Deep")]
+    contract = parse_contract(json.dumps({"type": "record", "name": "t", "fields": fields}))
+    frame = spark.sql(
+        "SELECT CAST(id AS string) AS key, id AS n, id / 3 AS d, timestamp_micros(id) AS t, named_struct('x', id / 7, 'y', 'é\"') AS s,"
+        " CAST('q' AS binary) AS b, CAST(NULL AS int) AS none, array(1.50, id) AS deep, '2024-01-01 00:00:00' AS at FROM range(20)"
+    )
+    result = run(spark, frame, contract, params)
+    assert result.report["processed"] == 20 and int(result.report["fingerprint"]) > 0
+
+
+def test_avro_files_have_the_schema_of_the_contract(spark, params, tmp_path):
+    fields = [
+        {"name": "key", "type": "string"},
+        {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+        {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+        {"name": "local", "type": ["null", {"type": "long", "logicalType": "local-timestamp-micros"}], "default": None},
+        {"name": "kind", "type": {"type": "enum", "name": "Kind", "symbols": ["a", "b"]}},
+        {"name": "other", "type": ["null", "Kind"]},
+        {"name": "code", "type": {"type": "fixed", "name": "Four", "size": 4}},
+        {"name": "price", "type": {"type": "bytes", "logicalType": "decimal", "precision": 9, "scale": 2}},
+        {"name": "wide", "type": ["int", "null", "long"]},
+        {"name": "inner", "type": {"type": "record", "name": "Inner", "fields": [{"name": "x", "type": ["null", "int"]}]}},
+    ]
+    schema = {"type": "record", "name": "things", "namespace": "some.space", "fields": fields}
+    contract = parse_contract(json.dumps(schema))
+    rows = [
+        ("1", "2024-01-02", "2024-01-02 03:04:05.678", "2024-01-02 03:04:05.678901", "a", "b", "four", "1.20", "7", '{"x":1}'),
+        ("2", "", "bad", "", "b", "", "", "", "", ""),
+    ]
+    names = [f["name"] for f in fields]
+    frame = spark.createDataFrame([(*r, "2024-01-02 00:00:00") for r in rows], ", ".join(f"{n} string" for n in [*names, "changed"]))
+    for partition_by in ("", "kind"):
+        again = replace(params, updated_col="changed", sink_format="avro", error_mode="field", partition_by=partition_by)
+        result = run(spark, frame, contract, again)
+        file = next(Path(result.typed_path).rglob("part-*.avro"))
+        written = avro_schema(file.read_bytes())
+        found = {f["name"]: f["type"] for f in written["fields"]}
+        assert (written["name"], written["namespace"]) == ("things", "some.space")
+        wanted = {f["name"]: f["type"] for f in fields if f["name"] != partition_by}
+        wanted["wide"] = ["null", "long"]
+        if partition_by:
+            wanted["other"] = ["null", fields[4]["type"]]
+        assert found == wanted
+        typed = sink.read_partition(spark, result.typed_path, contract, "avro").orderBy("key").collect()
+        assert [(r["key"], r["kind"], bytes(r["code"]), str(r["price"]), r["wide"]) for r in typed] == [
+            ("1", "a", b"four", "1.20", 7), ("2", "b", bytes(4), "0.00", None)
+        ]
+
+
+def avro_schema(data: bytes) -> dict:
+    """The schema in the header of an Avro file."""
+    text = data[data.index(b"avro.schema") + len(b"avro.schema") :].decode("utf-8", "ignore")
+    return json.JSONDecoder().raw_decode(text[text.index("{") :])[0]
+
+
 def test_a_field_named_like_a_page_column(spark, params):
     contract = parse_contract(
         json.dumps({"type": "record", "name": "t", "fields": [{"name": n, "type": "long"} for n in ("key", "page", "off")]})
