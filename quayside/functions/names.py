@@ -7,9 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import types as T
 
 
-# What stands between the texts of a record whose fingerprint is taken, and its length in hex digits.
+# Fixed value: what stands between the texts of a record when its checksum is taken.
 FIELD_END = "\x1f"
-PRINT_DIGITS = 15
 
 
 def unused(name: str, taken: Iterable[str]) -> str:

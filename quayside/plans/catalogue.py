@@ -581,9 +581,13 @@ UNION ALL SELECT sys_id, 'amount', 'double', amount FROM flags WHERE e2
 UNION ALL SELECT sys_id, 'active', 'boolean', active FROM flags WHERE e3""",
     "ingest_report": f"""WITH {_API}, {_FLAGS},
 w AS (SELECT epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts)) AS hi FROM events),
+crc AS (
+  SELECT list(list_reduce(list_concat([b], [0, 1, 2, 3, 4, 5, 6, 7]),
+    lambda x, k: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY b) AS step FROM range(256) r(b)),
 f AS (
-  SELECT event_id, CAST('0x' || left(md5(concat_ws(chr(31), sys_id, user_id, amount, active, category, '')), 15) AS BIGINT)
-    AS print FROM api),
+  SELECT event_id, xor(list_reduce(list_concat([4294967295], [CAST(ord(x) AS BIGINT) FOR x IN string_split(
+    concat_ws(chr(31), sys_id, user_id, amount, active, category, ''), '')]),
+    lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS print FROM api, crc),
 c AS (SELECT CAST(LEAST((epoch_us(ts) - lo) * 8 // (hi - lo), 7) AS INT) AS i, COUNT(*) AS n, SUM(print) AS print
   FROM events JOIN f USING (event_id), w GROUP BY 1),
 e AS (SELECT CAST(i AS INT) AS i, lo + ((hi - lo) * i + 7) // 8 AS us FROM w, range(9) r(i)),

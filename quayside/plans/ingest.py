@@ -214,7 +214,7 @@ def _ids_of_service(
     ids = read_id_file(spark, params.id_file)
     layout = (params.ids_per_batch, params.num_chunks, tuple(contract.names), params.page_size)
     lines = fetch_ids(ids, service, params.table, tuple(name_list(params.fields)), *layout)
-    lines = lines.withColumn("print", F.col("fingerprint").cast("decimal(38,0)"))
+    lines = lines.withColumn("print", F.col("fingerprint").cast("long"))
     return _Extraction(lines, metrics={"names": F.collect_set("names")})
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.grammar import BASE64
-from quayside.functions.names import FIELD_END, PRINT_DIGITS, quoted
+from quayside.functions.names import FIELD_END, quoted
 
 # The text forms of times within nested columns.
 _JSON_OPTIONS = {
@@ -46,14 +46,18 @@ def _as_text(name: str, data_type: T.DataType) -> Column:
 
 
 def record_print(texts: Sequence[Column]) -> Column:
-    """60 bits of a record's texts as a number; see `fingerprint` in `paged.py`."""
-    digest = F.md5(F.concat_ws(FIELD_END, *texts))
-    return F.conv(F.substring(digest, 1, PRINT_DIGITS), 16, 10).cast("decimal(20,0)")
+    """The checksum of a record's texts as a number; see `fingerprint` in `paged.py`."""
+    return F.crc32(F.concat_ws(FIELD_END, *texts))
 
 
 def print_sum(value: Column) -> Column:
-    """The fingerprint of many records, as text: a sum, so their order does not count."""
-    return F.coalesce(F.sum(value), F.lit(0)).cast("string")
+    """The fingerprint of many records, as text: the sum of their checksums, so their order does not count.
+
+    High and low bits are summed apart, which no number of records makes overflow.
+    """
+    high, low = F.sum(F.shiftright(value, 16)), F.sum(value.bitwiseAND(F.lit(65535)))
+    whole = F.coalesce(high, F.lit(0)).cast("decimal(20,0)") * 65536 + F.coalesce(low, F.lit(0))
+    return whole.cast("decimal(38,0)").cast("string")
 
 
 def extracted_print(records: DataFrame, fields: Sequence[str], names: Sequence[str]) -> Column:
