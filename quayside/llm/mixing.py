@@ -9,6 +9,7 @@ the counts of (source, size), which hold all that rates depend on. Rates are the
 from __future__ import annotations
 
 import math
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from quayside.llm.common import column, stored
 
 MAX_COPIES = 2
 TOLERANCE = 1e-7
-MOST_ITERATIONS = 100
+NEWTON_STEPS = 50
+# a bracket this narrow, in parts of its ends, holds one number
+NARROW = 1e-15
 RANKED_TOGETHER = 1_000
 WORD = r"[^\\x20\\x09-\\x0D]+"
 
@@ -68,7 +71,7 @@ def tilts(classes: DataFrame, targets: DataFrame) -> DataFrame:
     """(key, tilt) of each source: its taken tokens at rates min(MAX_COPIES, exp(tilt * x)) reach its target.
 
     `classes` has (key, size, n); x is the size over the source's mean. Newton steps on the dual's gradient, halving a
-    bracket of the root where a step leaves it. A target at its limit takes all documents MAX_COPIES times, one of 0
+    bracket of the root where a step leaves it, and from NEWTON_STEPS steps on in any case. A target at its limit takes all documents MAX_COPIES times, one of 0
     takes none; both need no iteration.
     """
     tokens = F.col("n") * F.col("size")
@@ -88,7 +91,7 @@ def tilts(classes: DataFrame, targets: DataFrame) -> DataFrame:
         (share >= MAX_COPIES * (1 - 1e-12)).alias("done"),
     )
     state = stored(state, "tilts")
-    for _ in range(MOST_ITERATIONS):
+    for iteration in count():
         if state.where(~F.col("done")).isEmpty():
             break
         joined = classes.where("size > 0").join(state.where(~F.col("done")), "key")
@@ -102,9 +105,11 @@ def tilts(classes: DataFrame, targets: DataFrame) -> DataFrame:
             F.col("tilt")
         )
         newton = F.col("tilt") - F.try_divide(F.col("taken") - F.col("target"), F.col("slope"))
-        inside = (newton > low) & (newton < high)
+        # from here on the bracket is halved, which ends whatever the dual looks like
+        inside = (newton > low) & (newton < high) & F.lit(iteration < NEWTON_STEPS)
         reached = F.abs(F.col("taken") - F.col("target")) <= TOLERANCE * F.col("target")
-        stay = F.col("done") | reached
+        narrow = (high - low) <= NARROW * F.greatest(F.abs(low), F.abs(high))
+        stay = F.col("done") | reached | narrow
         state = stored(
             moved.select(
                 "key",
@@ -171,6 +176,10 @@ def class_copies(classes: DataFrame, targets: DataFrame, solved: DataFrame) -> D
     return summed.join(moves, ["key", "size"], "left").select("key", "size", "n", final.alias("copies"))
 
 
+def _source_key(source_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), column(source_col).cast("string")), F.lit("none"))
+
+
 def mixed(
     docs: DataFrame,
     weights: list[float],
@@ -179,12 +188,12 @@ def mixed(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """(id, version, size, source_size, target, copies) of every row of `docs`.
+    """(id, version, key, size, source_size, target, copies) of every row of `docs`.
 
     Sources share `budget` times all words by `weights`, see `shares`; a null source is one like others. A document is
     taken 0 to MAX_COPIES times, each source's words come within the smallest sizes of its target, and the same input
     gives the same copies. Which documents of one size and source get the one copy more is decided by a hash of id and
-    text. Texts without words and null texts have size 0 and no copies. `version` is a hash of the text.
+    text. Texts without words and null texts have size 0 and no copies. `version` is a hash of the text, `key` stands for the source.
     """
     source = column(source_col).cast("string")
     sized = stored(
@@ -192,7 +201,7 @@ def mixed(
             column(id_col).alias("id"),
             F.xxhash64(column(text_col)).alias("version"),
             source.alias("source"),
-            F.coalesce(F.concat(F.lit("s"), source), F.lit("none")).alias("key"),
+            _source_key(source_col).alias("key"),
             text_size(column(text_col)).alias("size"),
         ),
         "sizes",
@@ -229,24 +238,28 @@ def mixed(
     ranked = placed.withColumn("rank", F.row_number().over(within)).join(offsets, ["key", "size", "bucket"], "left")
     one_more = (F.col("rank") + F.coalesce("offset", F.lit(0)) <= F.col("more")).cast("long")
     return ranked.select(
-        "id", "version", "size", "source_size", "target", (F.col("each") + one_more).alias("copies")
+        "id", "version", "key", "size", "source_size", "target", (F.col("each") + one_more).alias("copies")
     )
 
 
-def taken(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, as often as `plan`, the result of `mixed` on them, takes each."""
+def taken(
+    docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The rows of `docs`, all columns as they are, as often as `plan`, the result of `mixed` on them, takes each.
+
+    Rows alike in id, text and source share their copies, the first of them the most.
+    """
 
-    def key(number: Column, version: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(number.cast("string"), F.lit("none")), version.cast("string"))
+    def key(number: Column, version: Column, source: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(number.cast("string"), F.lit("none")), version.cast("string"), source)
 
-    # rows that repeat share a key and split its copies among them
-    planned = plan.groupBy(key(F.col("id"), F.col("version")).alias("key")).agg(
+    planned = plan.groupBy(key(F.col("id"), F.col("version"), F.col("key")).alias("row_key")).agg(
         F.sort_array(F.collect_list("copies"), asc=False).alias("copies")
     )
     rows = docs.select(
         F.struct(*[column(c) for c in docs.columns]).alias("row"),
-        key(column(id_col), F.xxhash64(column(text_col))).alias("key"),
+        key(column(id_col), F.xxhash64(column(text_col)), _source_key(source_col)).alias("row_key"),
     )
-    again = Window.partitionBy("key").orderBy("key")
-    counted = rows.join(planned, "key").withColumn("copies", F.element_at("copies", F.row_number().over(again)))
+    again = Window.partitionBy("row_key").orderBy("row_key")
+    counted = rows.join(planned, "row_key").withColumn("copies", F.element_at("copies", F.row_number().over(again)))
     return counted.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

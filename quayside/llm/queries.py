@@ -141,7 +141,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+    return top_k(vectors, F.col("vec_id") % 50 == 0, 5).drop("score_text")
 
 
 def op11_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

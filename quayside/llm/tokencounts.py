@@ -12,18 +12,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column
+from quayside.llm.common import column, small_parts
 
 RULES = ("first", "last", "most", "share")
 
 # Fixed value: how the vocabulary's texts are split into words before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# The library's pattern steps back through a run of white space one character at a time, on a stack that has an end.
+LONG_RUN = 10_000
+
 
 class Encoder:
     """A byte-level BPE vocabulary of ranks, with the spans of its tokens."""
@@ -35,12 +39,25 @@ class Encoder:
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
 
+    def ids(self, text: str, long_run: int = LONG_RUN) -> np.ndarray:
+        """The ids of a text. A long run of white space is one word of the pattern, but for its last character where
+        something follows, so it is handed to the merges as it is."""
+        parts, at = [], 0
+        for run in regex.finditer(rf"\p{{White_Space}}{{{long_run},}}", text):
+            stop = run.end() - (run.end() < len(text))
+            parts.append(self.encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+            if stop > run.start():
+                parts.append(self.encoding._encode_single_piece(text[run.start() : stop]))
+            at = stop
+        parts.append(self.encoding.encode_to_numpy(text[at:], disallowed_special=()))
+        return np.concatenate([np.asarray(p, dtype=np.int64) for p in parts])
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and the end character of each token.
 
         A token that holds only a part of a character's bytes spans that character.
         """
-        ids = np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()), dtype=np.int64)
+        ids = self.ids(text)
         ends = np.cumsum(self.lengths[ids]) if len(ids) else np.zeros(0, dtype=np.int64)
         starts = ends - self.lengths[ids] if len(ids) else ends
         data = text.encode()
@@ -107,7 +124,8 @@ def token_attribution(
     n_tokens, n_crossing (tokens over a boundary), n_outside (tokens in no section by the rule) and `sections`, an
     array of (name, start, end, n_tokens) in the order of the text; n_tokens is double under the rule "share", where a
     part outside all sections is in none. Nulls: a null text is empty, a null array is no section, entries with null
-    bounds or of no length count no tokens. No shuffle.
+    bounds or of no length count no tokens. A section that begins before an earlier one has ended counts none either,
+    and `n_overlapping` tells how many such there are. Repeated rows are answered each time. No shuffle.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -118,19 +136,19 @@ def token_attribution(
         column(text_col).alias("text"),
         *([column(sections_col).alias("sections")] if sections_col else []),
     )
-    fields = "n_tokens long, n_crossing long, n_outside long, "
+    fields = "n_tokens long, n_crossing long, n_outside long, n_overlapping long, "
     fields += "sections array<struct<name: string, start: long, end: long, n_tokens: double>>"
     schema = StructType([source.schema[id_col], *StructType.fromDDL(fields).fields])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(ranks)
         target = to_arrow_schema(schema)
-        for part in parts:
+        for part in small_parts(parts, 1):
             rows = []
             given = part.column(2).to_pylist() if sections_col else None
             for at, text in enumerate(part.column(1).to_pylist()):
                 rows.append(_document(encoder, text or "", given[at] or [] if sections_col else None, rule))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             arrays = [part.column(0).cast(target.field(0).type)]
             arrays += [pa.array(values, type=target.field(i + 1).type) for i, values in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
@@ -140,6 +158,7 @@ def token_attribution(
 
 def _document(encoder: Encoder, text: str, given: list[dict] | None, rule: str) -> tuple:
     _, starts, ends = encoder.spans(text)
+    overlapping = 0
     if given is None:
         lengths = np.fromiter((len(line) + 1 for line in text.split("\n")), dtype=np.int64)
         stops = np.cumsum(lengths)
@@ -152,11 +171,15 @@ def _document(encoder: Encoder, text: str, given: list[dict] | None, rule: str)
         bounds = np.array([s["start"] for s in usable], dtype=np.int64)
         stops = np.maximum(np.array([s["end"] for s in usable], dtype=np.int64), bounds)
         names = [s["name"] for s in usable]
-        if (bounds[1:] < stops[:-1]).any():
-            raise ValueError("sections overlap")
+        until = 0
+        for i in range(len(bounds)):
+            if bounds[i] < until and stops[i] > bounds[i]:
+                stops[i] = bounds[i]
+                overlapping += 1
+            until = max(until, stops[i])
     filled = np.flatnonzero(stops > bounds)
     counts = np.zeros(len(bounds))
     counts[filled], crossing, outside = attributed(starts, ends, bounds[filled], stops[filled], rule)
     keys = ("name", "start", "end", "n_tokens")
     rows = zip(names, bounds.tolist(), stops.tolist(), counts.tolist(), strict=True)
-    return len(starts), crossing, outside, [dict(zip(keys, row, strict=True)) for row in rows]
+    return len(starts), crossing, outside, overlapping, [dict(zip(keys, row, strict=True)) for row in rows]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,15 +25,13 @@ FOLDS = 4
 MAX_TRAINING_ROWS = 20_000
 FEATURES_PER_CATEGORY = 400
 LEAST_DOCUMENTS = 4
-LEAST_RATIO = 2.0
 PENALTY = 0.2
 COUNTS_HELD = 300_000
+CATEGORIES = ("quality", "toxic")
 
-# Words that tell two categories among documents labelled toxic.
-SEEDS = {
-    "insult": ["clown", "idiot", "loser", "moron", "stupid"],
-    "contempt": ["disgusting", "pathetic", "scum", "trash", "worthless"],
-}
+# where a fit ends: the slope that is left, in parts of the rows, and of a Newton step's linear system
+SLOPE_LEFT = 1e-6
+RESIDUAL_LEFT = 1e-6
 
 
 def features(text: str) -> set[str]:
@@ -48,39 +46,31 @@ def features(text: str) -> set[str]:
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
-    label_col: str = "toxic",
+    categories: Sequence[str] = CATEGORIES,
     max_rows: int = MAX_TRAINING_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(id, text, label) of at most `max_rows` labelled documents, the first in the order of a hash of their id.
+    """(id, text, and a 0/1 column for each category) of at most `max_rows` labelled documents, the first in the order
+    of a hash of their id.
 
-    The bound makes the sample small enough to fit models on and to send its ids to all tasks. Rows without an id or
-    label are left out; an id that is labelled twice counts as 1 if any of its labels is.
+    The bound makes the sample small enough to fit models on and to send its ids to all tasks. Rows without an id, or
+    without a label of some category, are left out; an id that is labelled twice counts as 1 if any of its labels is.
     """
+    known = column(id_col).isNotNull()
+    for c in categories:
+        known = known & column(c).isNotNull()
     chosen = (
-        labels.where(column(id_col).isNotNull() & column(label_col).isNotNull())
+        labels.where(known)
         .groupBy(column(id_col).alias("id"))
-        .agg(F.max(column(label_col)).cast("int").alias("label"))
+        .agg(*[F.max(column(c).cast("int")).alias(c) for c in categories])
         .orderBy(F.xxhash64("id"), "id")
         .limit(max_rows)
     )
     texts = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
     # an id that repeats is one document, its text the smallest
-    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    return stored(found.select("id", "text", "label"), "labelled")
-
-
-def with_categories(sample: DataFrame) -> DataFrame:
-    """The one given label split into a chain of categories: insult and contempt where a toxic text has such words,
-    then toxic itself."""
-    seeded = {
-        name: (F.col("label") == 1) & F.lower("text").rlike(rf"\b(?:{'|'.join(words)})\b")
-        for name, words in SEEDS.items()
-    }
-    return sample.select(
-        "id", "text", *[c.cast("int").alias(name) for name, c in seeded.items()], F.col("label").alias("toxic")
-    )
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", *categories).agg(F.min("text").alias("text"))
+    return stored(found.select("id", "text", *categories), "labelled")
 
 
 @dataclass
@@ -106,30 +96,48 @@ def _sigmoid(x):
 
 
 class Sparse:
-    """Rows of 0/1 features beside a few dense columns, and a constant."""
+    """Rows of 0/1 features beside a few dense columns, and a constant. Features are kept in the order of rows and in
+    that of columns, so that products with either are sums of neighbouring numbers."""
 
     def __init__(self, hits: list[np.ndarray], width: int, dense: np.ndarray):
-        self.rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-        self.cols = np.concatenate(hits) if hits else np.zeros(0, dtype=np.int64)
+        sizes = np.array([len(h) for h in hits], dtype=np.int64)
+        self.cols = np.concatenate(hits).astype(np.int64) if hits else np.zeros(0, dtype=np.int64)
+        rows = np.repeat(np.arange(len(hits)), sizes)
+        self.rows = rows[np.argsort(self.cols, kind="stable")]
         self.n, self.width, self.dense = len(hits), width, dense
+        self.by_row = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.by_col = np.concatenate([[0], np.cumsum(np.bincount(self.cols, minlength=width))]).astype(np.int64)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        sparse = np.bincount(self.rows, weights[self.cols], self.n)
-        return sparse + self.dense @ weights[self.width : -1] + weights[-1]
+        return _sums(weights[self.cols], self.by_row) + self.dense @ weights[self.width : -1] + weights[-1]
 
     def back(self, values: np.ndarray) -> np.ndarray:
-        sparse = np.bincount(self.cols, values[self.rows], self.width)
-        return np.concatenate([sparse, self.dense.T @ values, [values.sum()]])
+        return np.concatenate([_sums(values[self.rows], self.by_col), self.dense.T @ values, [values.sum()]])
+
+
+def _sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums of the values between neighbouring edges, 0 where there are none."""
+    out = np.zeros(len(edges) - 1)
+    filled = edges[1:] > edges[:-1]
+    if filled.any():
+        out[filled] = np.add.reduceat(values, edges[:-1][filled])
+    return out
 
 
-def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
+def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY, start: np.ndarray | None = None) -> np.ndarray:
     """Weights of a logistic regression with a squared penalty on all but the constant, by damped Newton steps whose
-    linear systems are solved by conjugate gradients. Without both classes the constant tells their share."""
+    linear systems are solved by conjugate gradients. It ends where no slope is left, or where a step no longer lowers
+    the loss, which the convex loss reaches. Without both classes the constant tells their share.
+
+    `start` are the weights to begin with; they change the way, not the end.
+    """
     weights = np.zeros(x.width + x.dense.shape[1] + 1)
     share = y.mean() if len(y) else 0.0
     weights[-1] = np.log((share + 1e-9) / (1 - share + 1e-9))
     if share in (0.0, 1.0):
         return weights
+    if start is not None:
+        weights = start.copy()
     ridge = np.full(len(weights), penalty)
     ridge[-1] = 0.0
 
@@ -138,22 +146,29 @@ def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY) -> np.ndarr
 
     scores = x.dot(weights)
     now = loss(weights, scores)
-    for _ in range(50):
-        p = _sigmoid(scores)
+    while True:
+        p = 1 / (1 + np.exp(-np.clip(scores, -500, 500)))
         gradient = x.back(p - y) + ridge * weights
+        if np.abs(gradient).max() <= SLOPE_LEFT * len(y):
+            return weights
         curve = p * (1 - p)
+        scale = x.back(curve) + ridge  # the diagonal of the curvature: features are 0 or 1
+        scale[x.width : -1] = (x.dense * x.dense).T @ curve + ridge[x.width : -1]
+        scale = np.maximum(scale, 1e-12)
         step, residual = np.zeros(len(weights)), -gradient
-        direction, size = residual.copy(), residual @ residual
-        start = size
-        for _ in range(60):
+        direction = residual / scale
+        size = residual @ direction
+        goal = RESIDUAL_LEFT**2 * size
+        for _ in range(len(weights)):
             bent = x.back(curve * x.dot(direction)) + ridge * direction
-            along = size / max(direction @ bent, 1e-12)
+            along = size / max(direction @ bent, 1e-300)
             step += along * direction
             residual -= along * bent
-            smaller = residual @ residual
-            if smaller < 1e-3 * start:
+            scaled = residual / scale
+            smaller = residual @ scaled
+            if smaller <= goal:
                 break
-            direction = residual + smaller / size * direction
+            direction = scaled + smaller / size * direction
             size = smaller
         # a step that leads too far is halved until the loss falls as the gradient promises
         slope, length = gradient @ step, 1.0
@@ -161,14 +176,12 @@ def fit_logistic(x: Sparse, y: np.ndarray, penalty: float = PENALTY) -> np.ndarr
             moved = weights + length * step
             scores = x.dot(moved)
             then = loss(moved, scores)
-            if then <= now + 1e-4 * length * slope or length < 1e-6:
+            if then <= now + 1e-4 * length * slope or length < 1e-10:
                 break
             length /= 2
-        done = now - then < 1e-4 * max(1.0, now)
+        if not then < now:
+            return weights
         weights, now = moved, then
-        if done:
-            break
-    return weights
 
 
 def fit_chain(hits: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, width: int) -> list[np.ndarray]:
@@ -178,25 +191,30 @@ def fit_chain(hits: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, wid
     fitted = []
     for category in range(count):
         y = labels[:, category].astype(float)
-        fitted.append(fit_logistic(Sparse(hits, width, earlier), y))
+        fitted.append(whole := fit_logistic(Sparse(hits, width, earlier), y))
         if category + 1 == count:
             break
         unseen = np.zeros(n)
         for fold in np.unique(folds):
             out = folds == fold
             kept, left = np.flatnonzero(~out), np.flatnonzero(out)
-            weights = fit_logistic(Sparse([hits[i] for i in kept], width, earlier[kept]), y[kept])
+            weights = fit_logistic(Sparse([hits[i] for i in kept], width, earlier[kept]), y[kept], start=whole)
             unseen[left] = _sigmoid(Sparse([hits[i] for i in left], width, earlier[left]).dot(weights))
         earlier = np.column_stack([earlier, unseen])
     return fitted
 
 
-def train(sample: DataFrame, categories: list[str]) -> Chain:
+def train(
+    sample: DataFrame,
+    categories: list[str],
+    features_per_category: int = FEATURES_PER_CATEGORY,
+    least_documents: int = LEAST_DOCUMENTS,
+) -> Chain:
     """A chain over `categories`, in this order, from a bounded sample with `id`, `text` and a 0/1 column for each.
 
-    Of each category those features enter that speak for it most: by documents times log odds, FEATURES_PER_CATEGORY at
-    most, from LEAST_DOCUMENTS documents on and LEAST_RATIO times as frequent in the category as outside. Only counts, and the numbers of these features in each row, come to the
-    driver.
+    Of each category those features enter that speak for it most: by documents times log odds, `features_per_category`
+    of them, from `least_documents` documents on. Both bound the model that travels to all tasks, not the texts it is
+    used on. Only counts, and the numbers of these features in each row, come to the driver.
     """
     width = len(categories)
     wanted = sample.select("text", *categories)
@@ -227,7 +245,7 @@ def train(sample: DataFrame, categories: list[str]) -> Chain:
     sums = ["n", *[f"c{i}" for i in range(width)]]
     schema = "feature string, " + ", ".join(f"{c} long" for c in sums)
     counts = wanted.mapInArrow(counted, schema).groupBy("feature").agg(*[F.sum(c).alias(c) for c in sums])
-    counts = stored(counts.where(F.col("n") >= LEAST_DOCUMENTS), "features")
+    counts = stored(counts.where(F.col("n") >= least_documents), "features")
     total, *positive = wanted.agg(
         F.count(F.lit(1)), *[F.coalesce(F.sum(column(c)), F.lit(0)) for c in categories]
     ).first()
@@ -235,10 +253,8 @@ def train(sample: DataFrame, categories: list[str]) -> Chain:
     for i, own in enumerate(positive):
         inside = (F.col(f"c{i}") + 0.5) / (own + 1.0)
         outside = (F.col("n") - F.col(f"c{i}") + 0.5) / (total - own + 1.0)
-        ranked = counts.withColumn("weight", F.col(f"c{i}") * F.log(inside / outside)).where(
-            inside >= LEAST_RATIO * outside
-        )
-        top = ranked.orderBy(F.desc("weight"), "feature").limit(FEATURES_PER_CATEGORY)
+        ranked = counts.withColumn("weight", F.col(f"c{i}") * F.log(inside / outside)).where("weight > 0")
+        top = ranked.orderBy(F.desc("weight"), "feature").limit(features_per_category)
         chosen.update(r["feature"] for r in top.select("feature").collect())
     vocabulary = {f: i for i, f in enumerate(sorted(chosen))}
 
@@ -260,13 +276,15 @@ def train(sample: DataFrame, categories: list[str]) -> Chain:
     return Chain(list(categories), vocabulary, weights)
 
 
-def chain_of(docs: DataFrame, labels: DataFrame) -> Chain:
-    """The chain insult, contempt, toxic trained on labelled documents."""
-    return train(with_categories(labelled_sample(docs, labels)), [*SEEDS, "toxic"])
+def chain_of(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGORIES) -> Chain:
+    """The chain over the given label columns, in this order, trained on labelled documents. The last one is the verdict;
+    without any label it is never given."""
+    return train(labelled_sample(docs, labels, categories), list(categories))
 
 
 def scored(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The probability of each category for every whole text. A null text is read as empty: no feature speaks."""
+    """The probability of each category for every whole text. A null text is read as empty: no feature speaks. Rows that
+    repeat are answered each time."""
     fields = ", ".join(f"`{c}` double" for c in chain.categories)
     return per_document(docs, lambda text: tuple(chain.probabilities(text)), fields, id_col, text_col)
 

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm.mixing import mixed, taken
+from quayside.llm.mixing import mixed, taken, tilts
 
 
 def brute_targets(sizes, weights, budget):
@@ -100,6 +102,45 @@ def test_taken_rows(awkward):
     assert got == {k: n for k, n in wanted.items() if n}
 
 
+def test_rows_alike_in_id_and_text_are_told_apart_by_their_source(spark):
+    rows = [(1, "a b c d", "A"), (1, "a b c d", "B"), (1, "a b c d", None), (2, "x y", "A"), (2, "x y", "A")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for weights in ([1, 3, 2], [3, 1, 2], [2, 1, 5]):
+        plan = mixed(docs, weights, 1.5)
+        words, targets = defaultdict(int), {}
+        for r in plan.collect():
+            words[r["key"]] += r["copies"] * r["size"]
+            targets[r["key"]] = r["target"]
+        got = defaultdict(int)
+        for r in taken(docs, plan).collect():
+            got["none" if r["source"] is None else "s" + r["source"]] += size_of(r["text"])
+        assert got == {k: n for k, n in words.items() if n}
+        assert all(abs(words[k] - targets[k]) <= 4 for k in targets)
+
+
+def test_rates_solve_the_dual(spark):
+    """Tilts against those that plain bisection of the whole gradient finds, document by document."""
+    rng = random.Random(8)
+    classes = [("s", size, rng.randrange(1, 9)) for size in range(1, 60)] + [("t", size, 3) for size in (1, 500, 9000)]
+    sizes = {key: sum(s * n for k, s, n in classes if k == key) for key in "st"}
+    for share in (0.02, 0.6, 1.0, 1.4, 1.97):
+        targets = [(key, float(sizes[key]), share * sizes[key]) for key in "st"]
+        found = tilts(
+            spark.createDataFrame(classes, "key string, size long, n long"),
+            spark.createDataFrame(targets, "key string, source_size double, target double"),
+        )
+        for r in found.collect():
+            own = [(s / r["mean"], s, n) for k, s, n in classes if k == r["key"]]
+            low, high = -1e6, 1e6
+            for _ in range(200):
+                middle = (low + high) / 2
+                words = sum(n * s * min(2.0, math.exp(min(middle * x, 50))) for x, s, n in own)
+                low, high = (middle, high) if words < share * sizes[r["key"]] else (low, middle)
+            taken_words = sum(n * s * min(2.0, math.exp(min(r["tilt"] * x, 50))) for x, s, n in own)
+            assert abs(taken_words - share * sizes[r["key"]]) <= 2e-7 * share * sizes[r["key"]]
+            assert r["tilt"] == pytest.approx(low, rel=1e-4, abs=1e-6)
+
+
 def test_nothing_but_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", None), (None, " ", "b")], "doc_id long, text string, source string")
     assert [(r["size"], r["target"], r["copies"]) for r in mixed(docs, [1], 1.5).collect()] == [(0, 0.0, 0)] * 3

@@ -96,11 +96,29 @@ def test_given_sections(spark):
     assert 0 < shared["sections"][0]["n_tokens"] % 1 < 1
 
 
-def test_overlapping_sections_are_refused(spark):
+def test_overlapping_sections_are_told(spark):
     schema = "doc_id int, text string, fields array<struct<name: string, start: long, end: long>>"
-    docs = spark.createDataFrame([(1, "some text", [("a", 0, 5), ("b", 3, 9)])], schema)
-    with pytest.raises(Exception, match="sections overlap"):
-        token_attribution(docs, RANKS, "fields").collect()
+    docs = spark.createDataFrame([(1, "some more text", [("a", 0, 5), ("b", 3, 9), ("c", 5, 14)]), (2, "x", None)], schema)
+    rows = {r["doc_id"]: r for r in token_attribution(docs, RANKS, "fields").collect()}
+    assert (rows[1]["n_overlapping"], rows[2]["n_overlapping"]) == (1, 0)
+    assert [(s["name"], s["n_tokens"] > 0) for s in rows[1]["sections"]] == [("a", True), ("b", False), ("c", True)]
+    assert rows[1]["n_outside"] == 0
+
+
+def test_long_runs_of_white_space_give_the_ids_of_the_library(encoder):
+    rng = np.random.default_rng(9)
+    marks = ["a", "Bc", "1", "'s", "!", " ", " ", "  ", "\n", "\t", "\u00a0", "\x1c", "\u2028", "é", "🙂"]
+    for _ in range(500):
+        text = "".join(rng.choice(marks, rng.integers(0, 30)))
+        for long_run in (1, 2, 5):
+            assert encoder.ids(text, long_run).tolist() == encoder.encoding.encode_ordinary(text)
+
+
+def test_two_million_blanks(spark, encoder):
+    text = "x" + " " * 2_000_000 + "y" + "\n" * 50_000
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    row = token_attribution(docs, RANKS).first()
+    assert row["n_tokens"] == len(encoder.ids(text)) and sum(s["n_tokens"] for s in row["sections"]) == row["n_tokens"]
 
 
 def test_empty_table(empty):
