@@ -253,28 +253,34 @@ def _priced(parts: Iterator[pa.RecordBatch], order: int, low: np.ndarray) -> Ite
         )
 
 
+def asked(pieces: DataFrame, model: DataFrame) -> DataFrame:
+    """Every model row and every piece of a block, once: a shard of the model right before the pieces that ask it."""
+    none = F.lit(None).cast("binary")
+    # no block has the number -1, so the shard itself sorts first
+    shards = model.select("kind", "shard", F.lit(-1).cast("long").alias("block"), none.alias("keys"), "model_keys", "numbers")
+    asking = pieces.select("kind", "shard", "block", "keys", none.alias("model_keys"), none.alias("numbers"))
+    return shards.unionByName(asking).repartition("kind", "shard").sortWithinPartitions("kind", "shard", "block")
+
+
 def _answers(parts: Iterator[pa.RecordBatch], target: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """For each piece of a block, the shard's numbers at its keys. Pieces of one shard come in a row."""
-    held, decoded = None, None
+    """For each piece of a block, the shard's numbers at its keys. A shard comes before its pieces and is read once."""
+    decoded = None
     for part in parts:
-        rows = []
         for at in range(len(part)):
-            kind, shard, block, keys, model_keys, numbers = (part.column(i)[at].as_py() for i in range(6))
-            if held != (kind, shard):
-                held = (kind, shard)
+            kind, _, block, keys, model_keys, numbers = (part.column(i)[at].as_py() for i in range(6))
+            if model_keys is not None:
                 if kind == WORDS:
                     decoded = dict(zip(_words_of(model_keys), _numbered(numbers).tolist(), strict=True))
                 else:
                     decoded = (_grams_of(model_keys), _numbered(numbers, np.float32))
+                continue
             if kind == WORDS:
                 wanted = _words_of(keys)
                 found = _numbers(np.fromiter(map(decoded.__getitem__, wanted), np.int64, len(wanted)))
             else:
                 found = _numbers(decoded[1][np.searchsorted(decoded[0], _grams_of(keys))])
-            rows.append((block, kind, keys, found))
-        arrays = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)] if rows else []
-        if rows:
-            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+            columns = zip(((block,), (kind,), (keys,), (found,)), target, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=target)
 
 
 def _block_scores(block: pa.Table, answers: pa.Table, order: int, id_type: pa.DataType) -> pa.Table:
@@ -367,11 +373,8 @@ def ppm_scores(
         "kind", "shard", F.col("keys").alias("model_keys"), F.col("counts").alias("numbers")
     )
     answer = StructType.fromDDL("block long, kind int, keys binary, numbers binary")
-    answers = (
-        pieces.drop("counts")
-        .join(stored(words.unionByName(priced), "priced"), ["kind", "shard"])
-        .select("kind", "shard", "block", "keys", "model_keys", "numbers")
-        .mapInArrow(lambda parts: _answers(parts, to_arrow_schema(answer)), answer)
+    answers = asked(pieces, words.unionByName(priced)).mapInArrow(
+        lambda parts: _answers(parts, to_arrow_schema(answer)), answer
     )
     id_field = packed.schema["ids"].dataType.elementType
     result = f"id {id_field.simpleString()}, learned boolean, n_tokens long, n_known long, base_log double, score double"

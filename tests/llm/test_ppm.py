@@ -10,7 +10,7 @@ import pytest
 from made_texts import texts
 from pyspark.sql import functions as F
 
-from quayside.llm.ppm import adaptive_score, adaptive_scores, folded, ppm_scores
+from quayside.llm.ppm import asked, adaptive_score, adaptive_scores, folded, ppm_scores
 from quayside.llm.ppm_trie import DISCOUNT, END, SYMBOLS, GramTable, code_lengths, grams, levels_of
 
 
@@ -150,3 +150,21 @@ def test_adaptive_scores(spark):
 def _adaptive_aa():
     # a: unseen; a again: order 0 has a once, order 1 context a is new; end: order 1 knows a, order 0 has nothing else
     return -math.log10(SYMBOLS) + math.log10(1 - DISCOUNT) + math.log10(DISCOUNT) - math.log10(SYMBOLS - 1)
+
+
+def test_a_shard_of_the_model_is_sent_once_whatever_the_blocks(spark):
+    """Rows on their way to Python: as many as there are pieces and shards, not their product."""
+    model = spark.range(6).selectExpr(
+        "CAST(id % 2 AS int) AS kind", "CAST(id AS int) AS shard", "X'01' AS model_keys", "X'02' AS numbers"
+    )
+    for blocks in (1, 7, 50):
+        pieces = spark.range(6 * blocks).selectExpr(
+            "id % 6 % 2 AS kind", "CAST(id % 6 AS int) AS shard", "id div 6 AS block", "X'03' AS keys", "X'04' AS counts"
+        )
+        rows = asked(pieces, model)
+        assert rows.count() == 6 + 6 * blocks and "Join" not in rows._jdf.queryExecution().toString()
+        order = rows.select("shard", "model_keys", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+        first = {}
+        for r in sorted(order.collect(), key=lambda r: r["at"]):
+            first.setdefault(r["shard"], r["model_keys"])
+        assert all(keys is not None for keys in first.values())
