@@ -91,5 +91,5 @@ def test_stages_of_an_empty_table(spark, folder):
 
 def test_registered():
     names = list(queries())
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert "pipeline" not in oracle_sql() and pipeline.ORACLE_SQL is None
