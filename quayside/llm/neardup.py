@@ -7,6 +7,10 @@ minhashes. Only halves that two different sets share can make a shared key, so a
 What shares a key is only a candidate. Keys tie documents into groups by stars, one for each key, which takes as many
 rows as the key has documents; the groups are then checked in blocks of documents on their full shingle sets, and a
 block returns no more links than hold its documents together. Exact copies are one node from the start.
+
+A group that does not fit into a block and whose documents are not near one of them, as those made from one template,
+is divided first: two linked documents share one of the rarest fifth of their shingles, so only documents that share
+such a shingle stay together. Documents whose own part is larger than the threshold allows share none and are done.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ SHINGLE = 5
 HALVES = 10
 MINHASHES_PER_HALF = 2
 BLOCK_DOCS = 1_000
+BLOCK_SHINGLES = 2_000_000
+DIVIDED_TIMES = 2
 WORDS_KEPT = 100_000
 COLUMNS_AT_ONCE = 8_192
 
@@ -201,9 +207,13 @@ def _checked(placed: DataFrame, percent: int) -> DataFrame:
     return placed.groupBy("component", "first", "second").applyInArrow(check, "node long, other long")
 
 
-def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
-    """`rows` with the number of `blocks` that their component needs, and the block each belongs to."""
-    counts = rows.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks"))
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """`rows` with the number of `blocks` that their component needs, and the block each belongs to.
+
+    A block has some BLOCK_DOCS documents and BLOCK_SHINGLES shingles at the most, or one document that has more.
+    """
+    by_docs, by_shingles = F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_SHINGLES
+    counts = rows.groupBy("component").agg(F.ceil(F.greatest(by_docs, by_shingles)).cast("int").alias("blocks"))
     dealt = rows.join(counts, "component")
     return dealt.withColumn("block", F.pmod(F.xxhash64("node", "version"), "blocks").cast("int"))
 
@@ -212,31 +222,90 @@ def _each(count: str):
     return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
 
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """(component, node, version, n_shingles, shingles) of texts with these columns."""
+    schema = StructType.fromDDL("component long, node long, version long, n_shingles long, shingles array<long>")
+    source = texts.select("component", "node", "version", "text")
+
+    def made(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, target = WordHashes(), to_arrow_schema(schema)
+        for part in small_parts(parts, 3):
+            sets = [shingle_set(text, hashes).view(np.int64) for text in part.column(3).to_pylist()]
+            columns = [*part.columns[:3], pa.array([len(s) for s in sets]), pa.array(sets)]
+            arrays = [c.cast(f.type) for c, f in zip(columns, target, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    return source.mapInArrow(made, schema)
+
+
+def rare_shingles(texts: DataFrame, percent: int) -> DataFrame:
+    """(component, shingle, node, n_shingles, reach): of each text the shingles one of which all its links share.
+
+    With the shingles of a component in one order, rarest first, two linked documents share one of the first
+    `n - percent / 100 * n + 1` shingles of each. Shingles of a single document come first, they link it with nothing
+    and are not returned. `reach` is the size of the largest document that can be linked with the shingles that are
+    not its own. Counts are merged before their shuffle and stored, so adaptive execution can split a frequent shingle.
+    """
+    sets = stored(_shingle_sets(texts), "shingles")
+    spread = sets.select("component", "node", "version", "n_shingles", F.explode("shingles").alias("shingle"))
+    counts = spread.groupBy("component", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = (
+        spread.join(stored(counts, "shared_shingles"), ["component", "shingle"])
+        .groupBy("component", "node", "version", "n_shingles")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared"))
+        .withColumn("rare", F.expr(f"size(shared) - (n_shingles * {percent} + 99) div 100 + 1").cast("int"))
+        .withColumn("reach", F.expr(f"size(shared) * {100 + percent}L div {percent} - n_shingles"))
+    )
+    rare = F.explode(F.slice("shared", F.lit(1), F.col("rare")))
+    found = shared.where("rare > 0").select("component", "node", "n_shingles", "reach", rare.alias("one"))
+    return found.select("component", "one.shingle", "node", "n_shingles", "reach")
+
+
+def divided(texts: DataFrame, percent: int) -> DataFrame:
+    """(node, component): the groups of `texts` divided so that no link between two of their documents is lost.
+
+    What shares a rare shingle stays together, where sizes allow a link. A document that none of those with its
+    shingle can be linked with, by the shares that are its own or theirs, leaves that shingle.
+    """
+    rare = stored(rare_shingles(texts, percent), "rare_shingles")
+    one = ["component", "shingle"]
+    bounds = (
+        rare.groupBy(*one)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("n_shingles").alias("least"), F.max("reach").alias("farthest"))
+        .where("n > 1")
+    )
+    possible = rare.join(stored(bounds, "bounds"), one).where("least <= reach AND n_shingles <= farthest")
+    possible = stored(possible.select(*one, "node"), "possible")
+    centres = possible.groupBy(*one).agg(F.min("node").alias("other"))
+    stars = possible.join(stored(centres, "centres"), one).where(F.col("node") != F.col("other"))
+    return components(stars.select("node", "other"))
+
+
 def verified_links(
-    docs: DataFrame, classes: DataFrame, groups: DataFrame, weights: DataFrame, percent: int
+    sizes: DataFrame, texts: DataFrame, groups: DataFrame, weights: DataFrame, percent: int, divide: int = DIVIDED_TIMES
 ) -> DataFrame:
     """(node, other): true links that connect the nodes of each group just as all its true links would.
 
-    A group of one block is checked at once. In a larger one all documents are first compared with one of them, the
-    pivot, a block at a time. Those linked to it are connected; only the others are compared with all of the group,
-    each block of them with each block of the group. So the work is linear in a group whose documents are all near its
-    pivot, and grows with the square of those that are not.
+    `sizes` has (node, version, n_shingles) and `texts` (node, version, text) of all of them. A group of one block is
+    checked at once. In a larger one all documents are first compared with one of them, the pivot, a block at a time.
+    Those linked to it are connected; only the others are compared with all of the group. Where they are more than a
+    block, the group is divided by rare shingles and its parts are checked like groups. What still has more after
+    `divide` times is compared in blocks, each block of the others with each block of the group.
+
+    So the work is linear in documents that are near the pivot or have enough text of their own. It grows with the
+    square of those that have neither, in one group: many texts a little less alike than `percent`.
     """
     roots = groups.select("component", F.col("component").alias("node")).distinct()
     members = groups.select("component", "node").unionByName(roots)
     # blocks are dealt out before texts come along, which are never dealt by component alone
-    dealt = _in_blocks(members.join(classes.select("node", "version"), "node"), BLOCK_DOCS)
-    texts = stored(
-        dealt.join(docs, (F.col("node") == F.col("id")) & (F.col("version") == F.col("text_version")))
-        .select("component", "node", "version", "blocks", "block", "text")
-        .dropDuplicates(["node", "version"]),
-        "group_texts",
-    )
-    both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
-    zero = F.lit(0)
-    small = texts.where("blocks = 1").select("component", zero.alias("first"), zero.alias("second"), *both, "node", "text")
+    dealt = _in_blocks(members.join(sizes.select("node", "version", "n_shingles"), "node"))
+    placed = stored(dealt.join(texts, ["node", "version"]).dropDuplicates(["node", "version"]), "group_texts")
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    both = [yes.alias("left"), yes.alias("right")]
+    small = placed.where("blocks = 1")
+    small = small.select("component", zero.alias("first"), zero.alias("second"), *both, "node", "text")
     links = _checked(small, percent)
-    large = texts.where("blocks > 1")
+    large = placed.where("blocks > 1")
     if large.isEmpty():
         return links
 
@@ -247,15 +316,23 @@ def verified_links(
         .groupBy("component", "blocks")
         .agg(F.max_by(F.struct("node", "text"), most).alias("pivot"))
     )
-    yes, no = F.lit(True), F.lit(False)
     left, right = [yes.alias("left"), no.alias("right")], [no.alias("left"), yes.alias("right")]
     pivots = chosen.select("component", _each("blocks").alias("first"), zero.alias("second"), *left, "pivot.*")
     compared = large.select("component", F.col("block").alias("first"), zero.alias("second"), *right, "node", "text")
     to_pivot = stored(_checked(pivots.unionByName(compared), percent), "pivot_links")
+    links = links.unionByName(to_pivot)
     connected = to_pivot.select("node").unionByName(to_pivot.select(F.col("other").alias("node"))).distinct()
-    keys = large.select("component", "node", "version", "block", F.col("blocks").alias("all_blocks"))
-    apart = _in_blocks(keys.drop("block").join(connected, "node", "left_anti"), BLOCK_DOCS)
+    keys = large.select("component", "node", "version", "n_shingles", "block", F.col("blocks").alias("all_blocks"))
+    apart = _in_blocks(keys.drop("block").join(connected, "node", "left_anti"))
     apart = stored(apart.withColumnsRenamed({"blocks": "parts", "block": "part"}), "apart")
+    if divide:
+        crowded = apart.where("parts > 1").select("component").distinct()
+        if not crowded.isEmpty():
+            rows = large.join(crowded, "component", "left_semi")
+            own = rows.select("node", "version", "text")
+            parts_of = divided(rows, percent)
+            links = links.unionByName(verified_links(rows, own, parts_of, weights, percent, divide - 1))
+            apart = apart.where("parts = 1")
     parts = apart.select("component", "parts").distinct()
     one = large.select("node", "version", "text")
     asking = apart.join(one, ["node", "version"]).select(
@@ -264,7 +341,7 @@ def verified_links(
     asked = keys.join(parts, "component").join(one, ["node", "version"]).select(
         "component", _each("parts").alias("first"), F.col("block").alias("second"), *right, "node", "text"
     )
-    return links.unionByName(to_pivot).unionByName(_checked(asking.unionByName(asked), percent))
+    return links.unionByName(_checked(asking.unionByName(asked), percent))
 
 
 def near_duplicates(
@@ -281,17 +358,17 @@ def near_duplicates(
     classes = (
         signed.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
         .groupBy("digest")
-        .agg(F.min(F.struct("id", "version", "halves")).alias("one"))
-        .select("digest", F.col("one.id").alias("node"), "one.version", "one.halves")
+        .agg(F.min(F.struct("id", "version", "n_shingles", "halves")).alias("one"))
+        .select("digest", F.col("one.id").alias("node"), "one.version", "one.n_shingles", "one.halves")
     )
     classes = stored(classes, "classes")
     groups, weights = candidate_groups(classes)
     source = docs.select(
-        column(id_col).cast("long").alias("id"),
+        column(id_col).cast("long").alias("node"),
+        F.xxhash64(column(text_col)).alias("version"),
         column(text_col).alias("text"),
-        F.xxhash64(column(text_col)).alias("text_version"),
     )
-    found = components(verified_links(source, classes, groups, weights, percent))
+    found = components(verified_links(classes, source, groups, weights, percent))
     owners = classes.select("digest", "node").join(found, "node", "left")
     owners = owners.select("digest", F.coalesce("component", "node").alias("component"))
     return signed.join(owners, "digest", "left").select(

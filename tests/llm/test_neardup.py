@@ -11,6 +11,7 @@ from quayside.llm.components import components
 from quayside.llm.neardup import (
     BLOCK_DOCS,
     WordHashes,
+    _checked,
     block_links,
     near_duplicates,
     shingle_set,
@@ -77,6 +78,72 @@ def test_large_groups_in_several_blocks(spark, monkeypatch, families, copies):
     assert {tuple(r) for r in near_duplicates(docs, 85).collect()} == brute(rows, 85)
 
 
+def of_templates(seed, templates, each, shared, own):
+    """Documents that are a template's words and some of their own, every tenth with a near copy."""
+    rng = random.Random(seed)
+    made = []
+    for number in range(templates):
+        common = [f"t{number}w{at}" for at in range(shared)]
+        for _ in range(each):
+            words = common + ["w" + str(rng.randrange(10**9)) for _ in range(own)]
+            made.append(words)
+            if rng.random() < 0.1:
+                made.append([*words[:-1], "copy"])
+    rng.shuffle(made)
+    return [(number, " ".join(words)) for number, words in enumerate(made)]
+
+
+def checked_rows(monkeypatch):
+    """How many texts are sent to be compared, as a list that grows with each comparison."""
+    sent = []
+
+    def counted(placed, percent):
+        sent.append(placed.count())
+        return _checked(placed, percent)
+
+    monkeypatch.setattr("quayside.llm.neardup._checked", counted)
+    return sent
+
+
+@pytest.mark.parametrize("shared, own", [(50, 55), (70, 25), (80, 12)])
+def test_documents_of_one_template(spark, monkeypatch, shared, own):
+    """Similar to all others, but linked with their copies alone: as many comparisons as documents."""
+    monkeypatch.setattr("quayside.llm.neardup.BLOCK_DOCS", 20)
+    sent = checked_rows(monkeypatch)
+    grown = []
+    for each in (150, 300):
+        rows = of_templates(each, 1, each, shared, own)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        sent.clear()
+        assert {tuple(r) for r in near_duplicates(docs, 85).collect()} == brute(rows, 85)
+        grown.append(sum(sent) / len(rows))
+    assert grown[1] < 1.3 * grown[0]
+    assert grown[1] < 4
+
+
+def test_templates_too_much_alike_to_divide(spark, monkeypatch):
+    """A little less alike than the threshold and of many sizes: what cannot be divided meets in blocks."""
+    monkeypatch.setattr("quayside.llm.neardup.BLOCK_DOCS", 15)
+    rng = random.Random(6)
+    common = [f"w{at}" for at in range(120)]
+    texts = [[*common[: rng.randrange(90, 120)], *(f"x{rng.randrange(10**9)}" for _ in range(9))] for _ in range(120)]
+    rows = [(number, " ".join(words)) for number, words in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in near_duplicates(docs, 85).collect()} == brute(rows, 85)
+
+
+def test_blocks_by_size(spark, monkeypatch):
+    """Long texts make blocks of few documents; one longer than a block is one of its own."""
+    monkeypatch.setattr("quayside.llm.neardup.BLOCK_SHINGLES", 3_000)
+    rng = random.Random(12)
+    long = sentence(rng, 4_000).split()
+    made = [long, [*long[:-9], "x"], *(long[:2_000] + sentence(rng, n).split() for n in range(100, 1_500, 100))]
+    rows = [(number, " ".join(words)) for number, words in enumerate(made)] + near_copies(3, 4, 9)[20:]
+    rows = [(number, text) for number, (_, text) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in near_duplicates(docs, 85).collect()} == brute(rows, 85)
+
+
 def test_awkward_documents(awkward):
     rows = awkward.select("doc_id", "text").distinct().collect()
     found = near_duplicates(awkward, 80).collect()
