@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.sources.storage import scratch_path
+from quayside.sources.storage import delete_directory, scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,13 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of tables that `stored` wrote, as soon as nothing reads them any more."""
+    for frame in frames:
+        for path in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            delete_directory(frame.sparkSession, path)
+
+
 BATCH_BYTES = 4 << 20
 
 

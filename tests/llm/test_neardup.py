@@ -17,6 +17,7 @@ from quayside.llm.neardup import (
     shingle_set,
     without_near_duplicates,
 )
+from quayside.sources.storage import list_directories, shared_dir
 
 
 def shingles(text):
@@ -190,6 +191,16 @@ def test_components(spark):
     assert found == {(n, root(n)) for n in parent if root(n) != n}
 
 
+def test_rounds_leave_one_table(spark):
+    folder = shared_dir(spark)
+    before = set(list_directories(spark, folder))
+    edges = spark.range(300).selectExpr("id AS node", "id + 1 AS other")
+    found = components(edges)
+    left = set(list_directories(spark, folder)) - before
+    assert len(left) == 1
+    assert {tuple(r) for r in found.collect()} == {(n, 0) for n in range(1, 301)}
+
+
 def test_block_links_span_what_is_linked():
     hashes = WordHashes()
     rows = near_copies(9, 6, 14)
