@@ -14,7 +14,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import column, stored
+from quayside.llm.common import column, discard, stored
 
 MAX_COPIES = 2
 TOLERANCE = 1e-7
@@ -110,7 +110,7 @@ def tilts(classes: DataFrame, targets: DataFrame) -> DataFrame:
         reached = F.abs(F.col("taken") - F.col("target")) <= TOLERANCE * F.col("target")
         narrow = (high - low) <= NARROW * F.greatest(F.abs(low), F.abs(high))
         stay = F.col("done") | reached | narrow
-        state = stored(
+        before, state = state, stored(
             moved.select(
                 "key",
                 "target",
@@ -122,6 +122,7 @@ def tilts(classes: DataFrame, targets: DataFrame) -> DataFrame:
             ),
             "tilts",
         )
+        discard(before)
     return state.select("key", "tilt", "mean")
 
 
