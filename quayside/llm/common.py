@@ -33,6 +33,23 @@ def discard(*frames: DataFrame) -> None:
             delete_directory(frame.sparkSession, path)
 
 
+_kept: dict = {}
+
+
+def kept_in_worker(key: object, make: Callable[[], object]) -> object:
+    """What `make` builds, kept for the next tasks of a Python worker in place of whatever was kept there before."""
+    if key not in _kept:
+        let_go()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Free what a Python worker kept for tasks of another operator. Workers outlive stages, so it would add up."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 BATCH_BYTES = 4 << 20
 
 
@@ -69,7 +86,7 @@ def per_document(
 ) -> DataFrame:
     """The id of every document with the fields that `row` makes of its whole text, in one pass without a shuffle.
 
-    A null text is read as empty. `setup` builds `row` once for each task. Only id and text leave the scan, so extra
+    A null text is read as empty. `setup` builds `row` once for each task, from what `kept_in_worker` has. Only id and text leave the scan, so extra
     columns never clash; rows that repeat are answered each time.
     """
     schema = StructType.fromDDL(fields)
@@ -78,6 +95,8 @@ def per_document(
     names = schema.fieldNames()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not setup:
+            let_go()
         made = setup() if setup else row
         target = to_arrow_schema(schema)
         for part in small_parts(parts, 1):

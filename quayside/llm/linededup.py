@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, small_parts, stored
+from quayside.llm.common import column, let_go, small_parts, stored
 
 BLANKS = b" \t\n\x0b\x0c\r"
 MASK = (1 << 63) - 1
@@ -43,6 +43,7 @@ def line_keys(text: str) -> list[tuple[int, int, int]]:
 
 
 def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for part in small_parts(parts, 1):
         documents, texts, rows = part.column(0), part.column(1), part.column(2).to_pylist()
         owners, found, versions = [], [], []

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, small_parts, stored
+from quayside.llm.common import column, let_go, small_parts, stored
 from quayside.llm.components import components
 
 SHINGLE = 5
@@ -91,6 +91,7 @@ def _seeds() -> np.ndarray:
 
 
 def _signatures(parts: Iterator[pa.RecordBatch], target: pa.Schema) -> Iterator[pa.RecordBatch]:
+    let_go()
     hashes, seeds = WordHashes(), _seeds()
     for part in small_parts(parts, 1):
         sizes, digests, keys = [], [], []

@@ -13,14 +13,13 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-from functools import lru_cache
 from itertools import groupby
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from sentencepiece import SentencePieceProcessor
 
-from quayside.llm.common import per_document
+from quayside.llm.common import kept_in_worker, per_document
 
 SPACE = "▁"
 CHUNKS_KEPT = 300_000
@@ -175,10 +174,9 @@ class PieceTable(dict):
             return data.decode(errors="quayside-each-byte")
 
 
-@lru_cache(maxsize=2)
 def table_of(model: bytes) -> PieceTable:
     """The table of a model, kept with what it remembers for the tasks that a worker runs one after the other."""
-    return PieceTable(model)
+    return kept_in_worker(("pieces", model), lambda: PieceTable(model))
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

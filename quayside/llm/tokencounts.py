@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, small_parts
+from quayside.llm.common import column, kept_in_worker, small_parts
 
 RULES = ("first", "last", "most", "share")
 
@@ -68,9 +67,8 @@ class Encoder:
         return ids, character[starts], character[ends - 1] + 1
 
 
-@lru_cache(maxsize=2)
 def encoder_of(ranks_file: bytes) -> Encoder:
-    return Encoder(ranks_file)
+    return kept_in_worker(("ranks", ranks_file), lambda: Encoder(ranks_file))
 
 
 def attributed(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import column, per_document, stored
+from quayside.llm.common import column, let_go, per_document, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
@@ -26,7 +26,7 @@ MAX_TRAINING_ROWS = 20_000
 FEATURES_PER_CATEGORY = 400
 LEAST_DOCUMENTS = 4
 PENALTY = 0.2
-COUNTS_HELD = 300_000
+COUNTS_HELD = 100_000
 CATEGORIES = ("quality", "toxic")
 
 # where a fit ends: the slope that is left, in parts of the rows, and of a Newton step's linear system
@@ -230,6 +230,7 @@ def train(
                 c.clear()
             return pa.RecordBatch.from_arrays(columns, names=["feature", "n", *[f"c{i}" for i in range(width)]])
 
+        let_go()
         for part in parts:
             marks = [part.column(i + 1).to_pylist() for i in range(width)]
             for at, text in enumerate(part.column(0).to_pylist()):
@@ -297,6 +298,7 @@ def without_toxic(docs: DataFrame, chain: Chain, threshold: float = 0.5, text_co
 
     @F.arrow_udf("boolean")
     def kept(texts: pa.Array) -> pa.Array:
+        let_go()
         return pa.array([chain.probabilities(t.as_py() or "")[-1] < threshold for t in texts], pa.bool_())
 
     return docs.where(kept(column(text_col)))
