@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,9 +46,15 @@ def kept_in_worker(key: object, make: Callable[[], object]) -> object:
 
 
 def let_go() -> None:
-    """Free what a Python worker kept for tasks of another operator. Workers outlive stages, so it would add up."""
+    """Free what a Python worker kept for tasks of another operator, and hand freed memory back to the system.
+
+    Workers outlive stages and wait for the next task, so what they hold would be missing to the executor meanwhile.
+    """
     _kept.clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
 
 
 BATCH_BYTES = 4 << 20

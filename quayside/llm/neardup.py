@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quayside.llm.common import column, let_go, small_parts, stored
+from quayside.llm.common import BATCH_BYTES, column, let_go, small_parts, stored
 from quayside.llm.components import components
 
 SHINGLE = 5
@@ -107,6 +107,8 @@ def _signatures(parts: Iterator[pa.RecordBatch], target: pa.Schema) -> Iterator[
         columns = [part.column(0), pa.array(sizes), part.column(2), pa.array(digests), pa.array(keys)]
         arrays = [c.cast(f.type) for c, f in zip(columns, target, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, schema=target)
+    hashes.clear()
+    let_go()
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -203,6 +205,8 @@ def _checked(placed: DataFrame, percent: int) -> DataFrame:
         sides = list(zip(table.column("left").to_pylist(), table.column("right").to_pylist(), strict=True))
         links = block_links(sets, table.column("node").to_pylist(), sides, percent)
         pairs = [list(c) for c in zip(*links, strict=True)] or [[], []]
+        if table.nbytes > BATCH_BYTES:
+            let_go()
         return pa.table([pa.array(p, pa.int64()) for p in pairs], names=["node", "other"])
 
     return placed.groupBy("component", "first", "second").applyInArrow(check, "node long, other long")
